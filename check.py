@@ -24,7 +24,8 @@ def main() -> int:
         except Exception as error:  # report and go on
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         bad += bool(problem) and name in sql
-        print(f"{'ok  ' if not problem else '--  '} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)
+        took = time.time() - start
+        print(f"{'ok  ' if not problem else '--  '} {name} {took:.1f}s {problem or ''}", flush=True)
     print("failed", bad)
     return bad
 

@@ -33,6 +33,11 @@ def pct(part: Column | str, whole: Column | str, places: int = 1) -> Column:
     return F.round(ratio(part, whole) * 100, places)
 
 
+def tidy(value: Column | str, places: int) -> Column:
+    """Round, after taking off the noise of floating arithmetic, so ties always go up."""
+    return F.round(F.round(col(value), 9), places)
+
+
 def exact_mean(value: Column | str) -> Column:
     """Mean whose sum is exact, so the result does not depend on how rows were partitioned."""
     return F.sum(col(value).cast("decimal(18,4)")).cast("double") / F.nullif(F.count(col(value)), F.lit(0))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberlog.session import checkpointed, fits_one_task
+from emberlog.session import fits_one_task, stored
 
 # kind -> (value within an ordered frame, how earlier slices add up)
 _FRAME = {
@@ -58,8 +58,8 @@ def _windowed(df, keys, order, measures):
 def _sliced(df, keys, order, measures, parts):
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(parts, *[F.col(k).asc() for k in keys], *order)
-    # Slice numbers must not change between the two uses below, so they are checkpointed.
-    sliced = checkpointed(ranged.withColumn("_slice", F.spark_partition_id()))
+    # Slice numbers must not change between the two uses below, so the slices are stored.
+    sliced = stored(ranged.withColumn("_slice", F.spark_partition_id()))
     whole = Window.partitionBy(*keys, "_slice")
     ordered = whole.orderBy(*order)
     rows = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -14,6 +14,7 @@ from emberlog.plans import gold_profile as profile
 from emberlog.plans import gold_readiness as readiness
 from emberlog.plans import gold_wipes as wipes
 from emberlog.plans import silver
+from emberlog.session import stored
 from emberlog.sources.sinks import write_clustered
 
 Table = tuple[Callable[..., DataFrame], tuple[str, ...]]
@@ -112,11 +113,24 @@ LAYOUT = {
 
 
 class Catalog(dict):
-    """Frames by table name; a missing table is planned from the ones it reads."""
+    """Frames by table name; a missing table is planned from the ones it reads.
+
+    ``planners`` may replace the planning of single tables. Tables named in ``store`` are written
+    once to the shared folder when first used, because several others read them.
+    """
+
+    def __init__(self, *args, store: tuple[str, ...] = (), **kwargs):
+        super().__init__(*args, **kwargs)
+        self.planners: dict[str, Callable[[], DataFrame]] = {}
+        self.store = store
 
     def __missing__(self, name: str) -> DataFrame:
-        build, inputs = TABLES[name]
-        self[name] = build(*[self[i] for i in inputs])
+        if name in self.planners:
+            frame = self.planners[name]()
+        else:
+            build, inputs = TABLES[name]
+            frame = build(*[self[i] for i in inputs])
+        self[name] = stored(frame) if name in self.store else frame
         return self[name]
 
 

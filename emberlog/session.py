@@ -1,8 +1,9 @@
-"""Session defaults, reliable checkpoints and size estimates."""
+"""Session defaults, stored intermediate tables and size estimates."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,24 +31,29 @@ def build_session(app: str = "emberlog", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage on the shared checkpoint folder, so the rows survive lost executors.
-
-    The folder comes from ``spark.checkpoint.dir``; only where that is unset (tests) is a
-    temporary one chosen.
-    """
-    spark = df.sparkSession
+def _shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the cluster; a temporary one only where none is named (tests)."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="emberlog-ckpt-"))
-    return df.checkpoint()
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="emberlog-ckpt-"))
+    return context.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write the rows as a table in the shared checkpoint folder and read them back.
+
+    It cuts the lineage, survives lost executors, and gives later plans true sizes, so Spark can
+    pick broadcast joins where a side really is small.
+    """
+    path = f"{_shared_folder(df.sparkSession)}/emberlog-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scanned_bytes(df: DataFrame) -> int:
     """Bytes of all leaf relations of the optimised plan: a plan-time estimate, no job."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def fits_one_task(df: DataFrame, limit: int = ONE_TASK_BYTES) -> bool:

@@ -155,18 +155,20 @@ CTES: dict[str, str] = {
 
 
 def pruned_ctes(sql: str, extra: dict[str, str] | None = None) -> dict[str, str]:
-    """The CTEs a statement needs, in order."""
+    """The CTEs a statement needs, each after those it reads."""
     every = {**CTES, **(extra or {})}
-    wanted: set[str] = set()
+    found: dict[str, str] = {}
+    seen: set[str] = set()
 
     def visit(text: str) -> None:
         for name in every:
-            if name not in wanted and re.search(rf"\b(FROM|JOIN)\s+{name}\b", text):
-                wanted.add(name)
+            if name not in seen and re.search(rf"\b(FROM|JOIN)\s+{name}\b", text):
+                seen.add(name)
                 visit(every[name])
+                found[name] = every[name]
 
     visit(sql)
-    return {n: every[n] for n in every if n in wanted}
+    return found
 
 
 def with_domain(sql: str, dialect: str, extra: dict[str, str] | None = None) -> str:

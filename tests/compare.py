@@ -43,9 +43,10 @@ def canonical(columns, rows):
 
 
 def differences(df, con, sql: str) -> str | None:
+    rows = df.collect()
     cursor = con.execute(sql)
     want_cols, want = canonical([d[0] for d in cursor.description], cursor.fetchall())
-    got_cols, got = canonical(df.columns, [tuple(r) for r in df.collect()])
+    got_cols, got = canonical(df.columns, [tuple(r) for r in rows])
     if got_cols != want_cols:
         return f"columns: only Spark {set(got_cols) - set(want_cols)}, only SQL {set(want_cols) - set(got_cols)}"
     if got == want:
