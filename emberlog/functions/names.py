@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented letters and the base letter they fold to.
-_ACCENTED = "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ"
-_FOLDED = "aaaaaaceeeeiiiinoooooouuuuyy"
+def _accent_pairs() -> dict[str, str]:
+    """Accented Latin letters and their base letter, by Unicode decomposition."""
+    pairs = {}
+    for code in range(0xC0, 0x250):
+        base = "".join(c for c in unicodedata.normalize("NFKD", chr(code).lower()) if not unicodedata.combining(c))
+        if len(base) == 1 and base.isascii() and base.isalpha():
+            pairs[chr(code).lower()] = base
+    return {k: v for k, v in pairs.items() if len(k) == 1 and not k.isascii()}
+
+
+_ACCENTS = _accent_pairs()
 
 
 def col(value: Column | str) -> Column:
@@ -44,7 +53,7 @@ def join_names(names: Column | str, sep: str = " | ") -> Column:
 def merge_name_columns(*columns: Column | str) -> Column:
     """Union of several ``a | b`` strings: trimmed, blanks dropped, first occurrence kept."""
     text = F.concat_ws("|", *[col(c) for c in columns])
-    parts = F.transform(F.split(text, r"\|"), F.trim)
+    parts = F.transform(F.split(text, r"\|"), lambda p: F.trim(p))
     return join_names(F.array_distinct(F.filter(parts, lambda p: p != "")))
 
 
@@ -74,20 +83,25 @@ def realm_slug(realm: Column | str, default: str = "", overrides: dict[str, str]
 
 def fold_text(text: Column | str) -> Column:
     """Lower case, accents folded, only letters and digits kept."""
-    return F.regexp_replace(F.translate(F.lower(F.coalesce(col(text), F.lit(""))), _ACCENTED, _FOLDED),
+    return F.regexp_replace(F.translate(F.lower(F.coalesce(col(text), F.lit(""))), "".join(_ACCENTS), "".join(_ACCENTS.values())),
                             "[^a-z0-9]", "")
 
 
+def _subsequence(letters: str) -> str:
+    """Pattern that finds the letters in order; each step stops at the first hit, so it is linear."""
+    return "^" + "".join(f"[^{c}]*{c}" for c in letters)
+
+
 def loose_match(text: Column | str, query: str) -> Column:
     """Contains the folded query, or (from 5 letters) shares 3 letters and holds it as a subsequence."""
-    folded_query = "".join(dict(zip(_ACCENTED, _FOLDED)).get(c, c) for c in query.lower())
-    folded_query = "".join(c for c in folded_query if c.isascii() and c.isalnum())
-    folded = fold_text(text)
+    plain = unicodedata.normalize("NFKD", query).lower()
+    folded_query = "".join(c for c in plain if c.isascii() and c.isalnum())
     if not folded_query:
         return F.lit(True)
+    folded = fold_text(text)
     hit = folded.contains(folded_query)
     if len(folded_query) >= 5:
-        hit = hit | (folded.startswith(folded_query[:3]) & folded.rlike("^" + ".*".join(folded_query)))
+        hit = hit | (folded.startswith(folded_query[:3]) & folded.rlike(_subsequence(folded_query)))
     return hit
 
 
