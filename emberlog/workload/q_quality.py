@@ -1 +1,216 @@
+"""Queries over data quality, contracts, completeness and publishing."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from emberlog import rules
+from emberlog.operators import rows
+from emberlog.plans import publish
+from emberlog.quality import completeness, contracts
+from emberlog.quality.contracts import Contract, Field
+from emberlog.quality.expectations import RULES, expect_or_drop, expectation_report
+from emberlog.workload import bronze
+from emberlog.workload.domain import Domain
+from emberlog.workload.q_gold import SHARED, catalog
+from emberlog.workload.registry import query
+
+
+@query("expectation_report", """SELECT rule, (SELECT COUNT(*) FROM rankings) AS total_rows, failed_rows, ROUND(failed_rows / (SELECT COUNT(*) FROM rankings), 4) AS failed_share
+    FROM (SELECT 'rank_percent_present' AS rule, COUNT(*) FILTER (rank_percent IS NULL) AS failed_rows FROM rankings UNION ALL SELECT 'high_amount', COUNT(*) FILTER (NOT amount > 1000) FROM rankings
+    UNION ALL SELECT 'ingested_at_present', COUNT(*) FILTER (_ingested_at IS NULL) FROM rankings) t""")
+def expectations(dom: Domain) -> DataFrame:
+    return expectation_report(dom["rankings"], {"rank_percent_present": "rank_percent IS NOT NULL", "high_amount": "amount > 1000",
+                                                "ingested_at_present": RULES["ingested_at_present"]})
+
+
+@query("expect_or_drop", "SELECT report_code, fight_id, player_name FROM rankings WHERE rank_percent > 20")
+def dropped(dom: Domain) -> DataFrame:
+    """A null condition fails too."""
+    return expect_or_drop(dom["rankings"], {"ranked": "rank_percent > 20"}).select("report_code", "fight_id", "player_name")
+
+
+@query("shared_rules", """SELECT rule, CAST((SELECT COUNT(*) FROM members) AS BIGINT) AS total_rows, failed_rows, ROUND(failed_rows / (SELECT COUNT(*) FROM members), 4) AS failed_share FROM
+    (SELECT 'valid_id' AS rule, COUNT(*) FILTER (NOT user_id > 0) AS failed_rows FROM members UNION ALL SELECT 'valid_name', COUNT(*) FILTER (name IS NULL OR LENGTH(TRIM(name)) = 0) FROM members
+    UNION ALL SELECT 'no_future_dates', 0 FROM members LIMIT 3) t""".replace(" FROM members LIMIT 3", ""))
+def shared_rules(dom: Domain) -> DataFrame:
+    rows_ = dom["members"].withColumn("id", F.col("user_id")).withColumn("created_at", F.to_timestamp("_ingested_at"))
+    return expectation_report(rows_, {r: RULES[r] for r in ("valid_id", "valid_name", "no_future_dates")})
+
+
+_ORDERS = Contract("orders", "1", {
+    "o_orderkey": Field("integer"), "o_custkey": Field("integer"), "o_orderstatus": Field("string"), "o_orderpriority": Field("number"),
+    "o_orderdate": Field("date"), "o_comment": Field("string", True)},
+    key=("o_custkey",), enums={"o_orderstatus": ("F", "O")}, expressions={"price": "o_orderkey >= 0 and max(o_custkey, 5) > 5", "dear": "o_orderkey % 2 == 0 or o_custkey != 7"})
+_ORDER_CHECKS = " UNION ALL ".join([
+    *[f"SELECT 'missing_column' AS \"check\", '{c}' AS subject, {int(c == 'o_comment')} AS violations" for c in _ORDERS.fields],
+    *[f"SELECT 'null', '{c}', COUNT(*) FILTER ({c} IS NULL) FROM orders" for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")],
+    *[f"SELECT 'empty', '{c}', COUNT(*) FILTER ({c} = '') FROM orders" for c in ("o_orderstatus", "o_orderpriority")],
+    *[f"SELECT 'type', '{c}', 0" for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")],
+    "SELECT 'type', 'o_orderpriority', COUNT(*) FILTER (o_orderpriority IS NOT NULL AND o_orderpriority <> '' AND TRY_CAST(o_orderpriority AS DOUBLE) IS NULL) FROM orders",
+    "SELECT 'enum', 'o_orderstatus', COUNT(*) FILTER (o_orderstatus NOT IN ('F', 'O')) FROM orders",
+    "SELECT 'rule', 'price', COUNT(*) FILTER (NOT (o_orderkey >= 0 AND GREATEST(o_custkey, 5) > 5)) FROM orders",
+    "SELECT 'rule', 'dear', COUNT(*) FILTER (NOT (o_orderkey % 2 = 0 OR o_custkey <> 7)) FROM orders",
+    "SELECT 'null_key', 'o_custkey', COUNT(*) FILTER (o_custkey IS NULL) FROM orders",
+    "SELECT 'duplicate_key', 'o_custkey', COUNT(*) FROM (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING COUNT(*) > 1) t"])
+
+
+@query("contract_report", f"SELECT 'orders' AS table_name, * FROM ({_ORDER_CHECKS}) t")
+def contract_report(dom: Domain) -> DataFrame:
+    return contracts.contract_report(dom.table("orders"), _ORDERS)
+
+
+@query("contract_projection", f"""SELECT 'orders' AS table_name, * FROM ({_ORDER_CHECKS}) t WHERE "check" IN ('missing_column', 'null', 'empty', 'type', 'enum')
+    AND subject IN ('o_orderkey', 'o_orderstatus')""")
+def contract_projection(dom: Domain) -> DataFrame:
+    """Only the checks the projected columns can be held to."""
+    frame = dom.table("orders").select("o_orderkey", "o_orderstatus")
+    return contracts.contract_report(frame, _ORDERS.project(frame.columns))
+
+
+def _clean(table: str, keys: int) -> str:
+    return f"SELECT '{table}' AS table_name, CAST(0 AS BIGINT) AS failed_checks, CAST({keys} AS BIGINT) AS key_and_rule_checks"
+
+
+_CHECKED = ("gold_boss_progression", "gold_raid_summary", "gold_best_kills", "gold_player_attendance", "gold_player_mplus_summary", "gold_boss_pull_history")
+
+
+@query("gold_contracts", " UNION ALL ".join(_clean(t, 2 + len(contracts.ENUMS.get(t, {})) + len(contracts.EXPRESSIONS.get(t, {}))) for t in _CHECKED))
+def gold_contracts(dom: Domain) -> DataFrame:
+    """The carried-over contracts hold on the tables: no check fails."""
+    t = catalog(dom)
+    reports = []
+    for name in _CHECKED:
+        frame = t[name]
+        reports.append(contracts.contract_report(frame, contracts.contract_for(name, frame.schema)))
+    special = F.col("check").isin("null_key", "duplicate_key", "enum", "rule")
+    return rows.union_branches(reports).groupBy("table_name").agg(
+        F.count_if(F.col("violations") > 0).alias("failed_checks"), F.count_if(special).alias("key_and_rule_checks"))
+
+
+@query("unique_key_check", """SELECT 'null_key' AS "check", 'text_hash' AS subject, CAST(0 AS BIGINT) AS violations UNION ALL
+    SELECT 'duplicate_key', 'text_hash', COUNT(*) FROM (SELECT md5(text) FROM documents GROUP BY md5(text) HAVING COUNT(*) > 1) t""")
+def unique_key_check(dom: Domain) -> DataFrame:
+    return contracts.key_violations(dom.table("documents").select(F.md5("text").alias("text_hash")), ("text_hash",))
+
+
+@query("parse_completeness", """SELECT report_code, CAST(SUM(CASE WHEN n / a > 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS incomplete_fights, COUNT(*) AS total_fights,
+    CAST(SUM(n) AS BIGINT) AS null_chars, CAST(SUM(a) AS BIGINT) AS total_chars FROM (SELECT report_code, fight_id, COUNT(*) AS a, COUNT(*) FILTER (rank_percent IS NULL) AS n
+    FROM rankings GROUP BY report_code, fight_id) t GROUP BY report_code""")
+def parse_completeness(dom: Domain) -> DataFrame:
+    return completeness.parse_completeness(bronze.fight_rankings(dom).filter("_ingested_at >= '2024'"))
+
+
+@query("backfill_decisions", """SELECT report_code, incomplete_fights, file_age_days, CASE WHEN incomplete_fights = 0 THEN 'skip_complete' WHEN file_age_days >= 14 THEN 'accept_final' ELSE 'refetch' END AS decision
+    FROM (SELECT report_code, CAST(SUM(CASE WHEN n / a > 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS incomplete_fights, CAST(date_diff('day', MAX(d), DATE '2024-01-31') AS INT) AS file_age_days FROM
+    (SELECT r.report_code, fight_id, MAX(CAST(substr(_ingested_at, 1, 10) AS DATE)) AS d, COUNT(*) AS a, COUNT(*) FILTER (rank_percent IS NULL) AS n FROM rankings r GROUP BY r.report_code, fight_id) t GROUP BY report_code) x""")
+def backfill_decisions(dom: Domain) -> DataFrame:
+    landed = bronze.fight_rankings(dom).filter("_ingested_at >= '2024'")
+    ages = landed.select("report_code", F.datediff(F.lit("2024-01-31").cast("date"), F.to_date("_ingested_at")).alias("file_age_days"))
+    decided = completeness.backfill_decision(completeness.parse_completeness(landed).join(ages, "report_code"))
+    return decided.select("report_code", "incomplete_fights", "file_age_days", "decision")
+
+
+@query("stale_landings", """SELECT f.report_code, COUNT(*) FILTER (d.fight_id IS NULL) AS missing_fights, COUNT(d.fight_id) = 0 AS never_landed, FALSE AS payload_absent, FALSE AS multi_fight_records
+    FROM fights f LEFT JOIN (SELECT DISTINCT report_code, fight_id FROM deaths WHERE killing_blow_id = 5) d ON f.report_code = d.report_code AND f.fight_id = d.fight_id
+    GROUP BY f.report_code HAVING COUNT(*) FILTER (d.fight_id IS NULL) > 0""")
+def stale_landings(dom: Domain) -> DataFrame:
+    """Reports whose landed deaths (here those of one blow) do not cover their fights."""
+    some = dom["deaths"].filter("killing_blow_id = 5")
+    landed = some.select("report_code", "fight_id").distinct().select("report_code", F.array("fight_id").alias("fight_ids"), F.lit("x").alias("table_json"))
+    return completeness.stale_landings(dom["fights"].select("report_code", "fight_id"), landed, ("table_json",), allow_multi=False)
+
+
+@query("data_gap_report", """SELECT p.player_name, array_to_string(list_filter([CASE WHEN a.player_name IS NULL THEN 'deaths' END, CASE WHEN b.player_name IS NULL THEN 'kills' END,
+    CASE WHEN c.player_name IS NULL THEN 'runs' END], lambda x: x IS NOT NULL), ',') AS gaps FROM (SELECT DISTINCT player_name FROM actors) p
+    LEFT JOIN (SELECT DISTINCT player_name FROM deaths WHERE killing_blow_id = 3) a ON p.player_name = a.player_name
+    LEFT JOIN (SELECT DISTINCT player_name FROM perf WHERE role = 'tank') b ON p.player_name = b.player_name
+    LEFT JOIN (SELECT DISTINCT player_name FROM runs WHERE mythic_level > 18) c ON p.player_name = c.player_name
+    WHERE a.player_name IS NULL OR b.player_name IS NULL OR c.player_name IS NULL""")
+def data_gap_report(dom: Domain) -> DataFrame:
+    products = {"deaths": dom["deaths"].filter("killing_blow_id = 3"), "kills": dom["perf"].filter("role = 'tank'"), "runs": dom["runs"].filter("mythic_level > 18")}
+    gaps = completeness.data_gaps(dom["actors"].select("player_name").distinct(), products)
+    return gaps.withColumn("gaps", F.array_join("gaps", ","))
+
+
+@query("landed_fights", """SELECT report_code, string_agg(CAST(fight_id AS VARCHAR), ',' ORDER BY fight_id) AS fight_ids, COUNT(*) AS fights
+    FROM (SELECT DISTINCT report_code, fight_id FROM deaths) t GROUP BY report_code""")
+def landed_fights(dom: Domain) -> DataFrame:
+    found = completeness.landed_fights(bronze.fight_deaths(dom))
+    return found.withColumn("fight_ids", F.array_join("fight_ids", ","))
+
+
+@query("required_source_columns", """SELECT 'player_attendance' AS dataset, 'player_realm' AS "column", COUNT(*) AS source_rows FROM attendance""")
+def required_source_columns(dom: Domain) -> DataFrame:
+    """A source without a required column is found from its schema."""
+    source = dom["attendance"].withColumn("player_identity_key", F.col("player_name"))
+    lacking = publish.missing_columns({"gold_player_attendance": source})
+    counted = source.agg(F.count(F.lit(1)).alias("source_rows"))
+    return counted.select(F.explode(F.array(*[F.struct(F.lit(d).alias("dataset"), F.lit(c).alias("column")) for d, c in lacking])).alias("m"), "source_rows").select("m.*", "source_rows")
+
+
+_PUBLISHED = ("boss_progression", "best_kills", "raid_summary", "player_attendance", "boss_pull_history", "progression_timeline", "player_mplus_summary")
+_SIZE_SQL = {
+    "raid_summary": "raid_summary WHERE TRIM(zone_name) <> ''", "boss_progression": "(SELECT DISTINCT encounter_id, difficulty, zone_id FROM fights)",
+    "best_kills": "(SELECT DISTINCT encounter_id, difficulty FROM fights WHERE is_kill)", "player_attendance": "(SELECT DISTINCT player_name FROM attendance)",
+    "boss_pull_history": "fights", "progression_timeline": "(SELECT DISTINCT encounter_id, difficulty FROM fights WHERE is_kill)",
+    "player_mplus_summary": "(SELECT DISTINCT player_name FROM scores)"}
+_SIZES = " UNION ALL ".join(f"SELECT '{d}' AS dataset, COUNT(*) AS row_count FROM {s}" for d, s in _SIZE_SQL.items())
+
+
+@query("publish_sizes", f"SELECT dataset, row_count, row_count <= 100000 AS within_limits FROM ({_SIZES}) t")
+def publish_sizes(dom: Domain) -> DataFrame:
+    t = catalog(dom)
+    return publish.dataset_sizes({d: publish.project(d, t) for d in _PUBLISHED}).drop("byte_size")
+
+
+@query("publish_bytes", f"""SELECT 'orders' AS dataset, COUNT(*) AS row_count, CAST(SUM(LENGTH(CONCAT('{{"o_orderkey":', o_orderkey, ',"o_orderstatus":"', o_orderstatus, '"}}')) + 1) + 1 AS BIGINT) AS byte_size,
+    COUNT(*) <= 100000 AND SUM(LENGTH(CONCAT('{{"o_orderkey":', o_orderkey, ',"o_orderstatus":"', o_orderstatus, '"}}')) + 1) + 1 <= {rules.MAX_DATASET_BYTES} AS within_limits FROM orders""".replace("{{", "{").replace("}}", "}"))
+def publish_bytes(dom: Domain) -> DataFrame:
+    return publish.dataset_sizes({"orders": dom.table("orders").select("o_orderkey", "o_orderstatus")})
+
+
+@query("publish_manifest", f"""SELECT 's1' AS snapshot_id, '2024-02-01T00:00:00Z' AS generated_at, dataset, CONCAT(dataset, '.json') AS path, row_count, CONCAT('gold_', dataset) AS source_table,
+    '0.1.0' AS contract_version FROM ({_SIZES}) t""")
+def publish_manifest(dom: Domain) -> DataFrame:
+    t = catalog(dom)
+    sizes = publish.dataset_sizes({d: publish.project(d, t) for d in _PUBLISHED})
+    return publish.manifest(dom.spark, sizes, "s1", "2024-02-01T00:00:00Z").drop("byte_size")
+
+
+@query("manifest_mismatch", """SELECT CAST(dom AS VARCHAR) AS dataset, 'missing' AS problem FROM (SELECT DISTINCT dom FROM e WHERE dom NOT IN (SELECT dom FROM e WHERE k > 97)) a UNION ALL
+    SELECT CAST(user_id AS VARCHAR), 'extra' FROM (SELECT DISTINCT user_id FROM e WHERE k > 97 AND user_id > 100) b""")
+def manifest_mismatch(dom: Domain) -> DataFrame:
+    """Names wanted: days; names listed: days and users of some events."""
+    e = dom["e"]
+    wanted = e.select(F.col("dom").cast("string").alias("dataset")).distinct()
+    some = e.filter("k > 97")
+    listed = some.select(F.col("dom").cast("string").alias("dataset")).unionByName(some.filter("user_id > 100").select(F.col("user_id").cast("string").alias("dataset")))
+    return publish.manifest_mismatch(listed, wanted)
+
+
+@query("latest_snapshot", """SELECT report_code AS snapshot_id, CAST(fight_id AS VARCHAR) AS dataset FROM fights WHERE report_code = (SELECT MAX(report_code) FROM
+    (SELECT report_code FROM fights WHERE duration_seconds > 250 GROUP BY report_code HAVING COUNT(DISTINCT fight_id) = 6) t) AND duration_seconds > 250""")
+def latest_snapshot(dom: Domain) -> DataFrame:
+    """Reports as snapshots, long pulls as datasets: the newest with all six."""
+    manifests = dom["fights"].filter("duration_seconds > 250").select(F.col("report_code").alias("snapshot_id"), F.col("fight_id").cast("string").alias("dataset"))
+    return publish.latest_complete_snapshot(manifests, 6)
+
+
+@query("published_cooldown_totals", """SELECT boss_name, zone_name, difficulty_label, cooldown_category, player_identity_key, player_name, player_class, realm, ability_id, ability_name,
+    CAST(SUM(possible_casts) AS BIGINT) AS possible_casts, CAST(SUM(observed_casts) AS BIGINT) AS observed_casts, CAST(SUM(actual_casts) AS BIGINT) AS actual_casts,
+    CAST(SUM(over_capacity_casts) AS BIGINT) AS over_capacity_casts, CAST(SUM(missed_casts) AS BIGINT) AS missed_casts FROM utilization
+    GROUP BY boss_name, zone_name, difficulty_label, cooldown_category, player_identity_key, player_name, player_class, realm, ability_id, ability_name""")
+def published_cooldowns(dom: Domain) -> DataFrame:
+    return publish.project("wipe_cooldown_utilization", catalog(dom, SHARED[:4]))
+
+
+@query("published_utility_pulls", "SELECT DISTINCT report_code, fight_id, boss_name, zone_name, difficulty_label, is_kill, player_name, player_class FROM utility")
+def published_utility(dom: Domain) -> DataFrame:
+    return publish.project("player_utility_by_pull", catalog(dom))
+
+
+@query("published_attendance", "SELECT player_name, COUNT(*) AS total_raids_tracked FROM attendance WHERE TRIM(player_name) <> '' GROUP BY player_name")
+def published_attendance(dom: Domain) -> DataFrame:
+    return publish.project("player_attendance", catalog(dom)).select("player_name", "total_raids_tracked")
