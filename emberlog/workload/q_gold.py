@@ -74,7 +74,9 @@ def joined_text(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def gold(name: str, sql: str | None, *arrays: str, store: tuple[str, ...] = ()):
-    """Register a gold table under its own name."""
+    """Register a gold table under its own name; other statements read it as ``t_<name>``."""
+    cte(f"t_{name}", sql)
+
     @query(name, sql)
     def run(dom: Domain) -> DataFrame:
         inputs = tuple(t for t in store if t != name)
