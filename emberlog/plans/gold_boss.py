@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog import rules
@@ -10,22 +10,25 @@ from emberlog.functions import values as v
 from emberlog.operators import rows
 
 BOSS = ["encounter_id", "boss_name", "zone_name", "difficulty", "difficulty_label"]
-_KILL = F.coalesce(F.col("is_kill"), F.lit(False))
+
+
+def _kill() -> Column:
+    return F.coalesce(F.col("is_kill"), F.lit(False))
 
 
 def _when_kill(column: str):
-    return F.when(_KILL, F.col(column))
+    return F.when(_kill(), F.col(column))
 
 
 def _when_wipe(column: str):
-    return F.when(~_KILL, F.col(column))
+    return F.when(~_kill(), F.col(column))
 
 
 def boss_progression(fights: DataFrame) -> DataFrame:
     grouped = fights.groupBy("encounter_id", "boss_name", "zone_id", "zone_name", "difficulty", "difficulty_label").agg(
-        F.count(F.lit(1)).alias("total_pulls"), F.count_if(_KILL).alias("total_kills"), F.count_if(~_KILL).alias("total_wipes"),
+        F.count(F.lit(1)).alias("total_pulls"), F.count_if(_kill()).alias("total_kills"), F.count_if(~_kill()).alias("total_wipes"),
         F.min(_when_kill("duration_seconds")).alias("best_kill_seconds"),
-        v.exact_mean("duration_seconds").alias("avg_pull_duration_seconds"), F.max(F.when(_KILL, F.lit(True))).alias("is_killed"),
+        v.exact_mean("duration_seconds").alias("avg_pull_duration_seconds"), F.max(F.when(_kill(), F.lit(True))).alias("is_killed"),
         F.min(_when_kill("raid_night_date")).alias("first_kill_date"), F.max("raid_night_date").alias("last_attempt_date"))
     return grouped.withColumn("wipe_to_kill_ratio", F.round(v.ratio("total_wipes", "total_kills"), 2))
 
@@ -34,7 +37,7 @@ def raid_summary(reports: DataFrame, fights: DataFrame) -> DataFrame:
     """One row per report; its descriptive columns come from the first pull of the night."""
     opening = F.min(F.struct("fight_id", "zone_id", "zone_name", "raid_night_date", "difficulty_label"))
     stats = fights.groupBy("report_code").agg(
-        F.count(F.lit(1)).alias("total_pulls"), F.count_if(_KILL).alias("boss_kills"), F.count_if(~_KILL).alias("total_wipes"),
+        F.count(F.lit(1)).alias("total_pulls"), F.count_if(_kill()).alias("boss_kills"), F.count_if(~_kill()).alias("total_wipes"),
         F.sum("duration_seconds").alias("total_fight_seconds"), F.countDistinct("encounter_id").alias("unique_bosses_engaged"),
         F.countDistinct(_when_kill("encounter_id")).alias("unique_bosses_killed"), opening.alias("_first"))
     base = reports.select(F.col("code").alias("report_code"), F.col("title").alias("report_title"), "start_time_utc", "end_time_utc")
@@ -50,7 +53,7 @@ def progression_timeline(fights: DataFrame) -> DataFrame:
     Kills are first reduced to one row per boss, then counted per day, so the running window sees
     one row per difficulty and day.
     """
-    kills = fights.filter(_KILL).select(*BOSS, "raid_night_date", "report_code", "fight_id")
+    kills = fights.filter(_kill()).select(*BOSS, "raid_night_date", "report_code", "fight_id")
     first = rows.latest_by(kills, ["encounter_id", "difficulty"],
                            [F.col("raid_night_date").asc(), F.col("report_code").asc(), F.col("fight_id").asc()])
     days = first.groupBy("difficulty", "raid_night_date").agg(F.count(F.lit(1)).alias("_n"))
@@ -62,7 +65,7 @@ def progression_timeline(fights: DataFrame) -> DataFrame:
 
 
 def best_kills(fights: DataFrame) -> DataFrame:
-    grouped = fights.filter(_KILL).groupBy(*BOSS).agg(
+    grouped = fights.filter(_kill()).groupBy(*BOSS).agg(
         F.min("duration_seconds").alias("best_kill_seconds"), v.exact_mean("duration_seconds").alias("avg_kill_seconds"),
         F.count(F.lit(1)).alias("total_kills"), F.min("raid_night_date").alias("first_kill_date"),
         F.max("raid_night_date").alias("latest_kill_date"))
@@ -85,9 +88,9 @@ def _report_titles(reports: DataFrame) -> DataFrame:
 
 def boss_progress_history(fights: DataFrame, reports: DataFrame) -> DataFrame:
     nights = fights.groupBy(*BOSS, "raid_night_date", "report_code").agg(
-        F.count(F.lit(1)).alias("pulls_on_night"), F.count_if(_KILL).alias("kills_on_night"), F.count_if(~_KILL).alias("wipes_on_night"),
+        F.count(F.lit(1)).alias("pulls_on_night"), F.count_if(_kill()).alias("kills_on_night"), F.count_if(~_kill()).alias("wipes_on_night"),
         F.min(_when_wipe("boss_percentage")).alias("best_wipe_pct_on_night"),
-        F.round(v.exact_mean(_when_wipe("boss_percentage")), 2).alias("avg_wipe_pct_on_night"), F.max(_KILL).alias("is_kill_on_night"),
+        F.round(v.exact_mean(_when_wipe("boss_percentage")), 2).alias("avg_wipe_pct_on_night"), F.max(_kill()).alias("is_kill_on_night"),
         F.max("duration_seconds").alias("longest_pull_seconds"), F.max(_when_kill("duration_seconds")).alias("kill_duration_seconds"))
     left = F.when(F.col("is_kill_on_night"), 0.0).otherwise(F.round("best_wipe_pct_on_night", 2))
     return nights.join(_report_titles(reports), "report_code", "left").select(
@@ -98,7 +101,7 @@ def boss_progress_history(fights: DataFrame, reports: DataFrame) -> DataFrame:
 
 def boss_pull_history(fights: DataFrame, reports: DataFrame) -> DataFrame:
     context = fights.drop("start_time_utc").join(_report_titles(reports), "report_code", "left")
-    left = F.when(_KILL, 0.0).otherwise(F.col("boss_percentage"))
+    left = F.when(_kill(), 0.0).otherwise(F.col("boss_percentage"))
     return context.select(*BOSS, "raid_night_date", "report_code", F.coalesce("_title", "report_title").alias("report_title"),
                           "start_time_utc", "end_time_utc", "fight_id", "is_kill", "boss_percentage",
                           left.alias("boss_hp_remaining"), "duration_seconds", "last_phase")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.functions import names as nm
@@ -10,9 +10,15 @@ from emberlog.functions import values as v
 from emberlog.operators import ordered, rows
 
 WHO = ["player_name", "realm_slug", "region", "season"]
-_KEY = nm.identity_key("player_name", None, "realm_slug").alias("player_identity_key")
 _BEST_FIRST = ["timed", "mythic_level", "score", "completed_at", "clear_time_ms", "dungeon", "source"]
-_TIMED = F.coalesce(F.col("timed"), F.lit(False))
+
+
+def _key() -> Column:
+    return nm.identity_key("player_name", None, "realm_slug").alias("player_identity_key")
+
+
+def _timed() -> Column:
+    return F.coalesce(F.col("timed"), F.lit(False))
 
 
 def _scores():
@@ -21,19 +27,19 @@ def _scores():
 
 def score_history(scores: DataFrame) -> DataFrame:
     return scores.filter("player_name IS NOT NULL").select(
-        _KEY, "player_name", "realm_slug", "region", "profile_url", "season", "snapshot_at", F.to_date("snapshot_at").alias("snapshot_date"),
+        _key(), "player_name", "realm_slug", "region", "profile_url", "season", "snapshot_at", F.to_date("snapshot_at").alias("snapshot_date"),
         *_scores(), "world_rank", "region_rank", "realm_rank", "raiderio_last_crawled_at")
 
 
 def run_history(runs: DataFrame) -> DataFrame:
     return runs.filter("dungeon IS NOT NULL").select(
-        _KEY, "player_name", "realm_slug", "region", "season", "source", "dungeon", "short_name", "mythic_level", "score",
+        _key(), "player_name", "realm_slug", "region", "season", "source", "dungeon", "short_name", "mythic_level", "score",
         "completed_at", F.to_date("completed_at").alias("completed_date"), "clear_time_ms", "par_time_ms", "num_keystone_upgrades",
         "timed", "url", "snapshot_at")
 
 
 def _run_counts():
-    return [F.count(F.lit(1)).alias("total_runs"), F.count_if(_TIMED).alias("timed_runs"), F.count_if(~F.col("timed")).alias("untimed_runs")]
+    return [F.count(F.lit(1)).alias("total_runs"), F.count_if(_timed()).alias("timed_runs"), F.count_if(~F.col("timed")).alias("untimed_runs")]
 
 
 def _best(runs: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:
@@ -42,7 +48,7 @@ def _best(runs: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFram
 
 def summary(scores: DataFrame, runs: DataFrame, **options) -> DataFrame:
     latest = rows.latest_by(scores, WHO, ["snapshot_at", "score_all"])
-    counts = runs.groupBy(*WHO).agg(*_run_counts(), F.max(F.when(_TIMED, F.col("mythic_level"))).alias("highest_timed_level"),
+    counts = runs.groupBy(*WHO).agg(*_run_counts(), F.max(F.when(_timed(), F.col("mythic_level"))).alias("highest_timed_level"),
                                     F.max(F.when(~F.col("timed"), F.col("mythic_level"))).alias("highest_untimed_level"))
     best = _best(runs, WHO, {"best_run_dungeon": "dungeon", "best_run_short_name": "short_name", "best_run_level": "mythic_level",
                              "best_run_score": "score", "best_run_timed": "timed", "best_run_completed_at": "completed_at",
@@ -51,7 +57,7 @@ def summary(scores: DataFrame, runs: DataFrame, **options) -> DataFrame:
     joined = latest.join(counts, WHO, "left").join(best, WHO, "left").join(modal, WHO, "left").fillna(
         0, ["total_runs", "timed_runs", "untimed_runs", "most_common_key_count"])
     flat = joined.select(
-        _KEY, "player_name", "realm_slug", "region", "profile_url", "season", "snapshot_at", *_scores(), "world_rank", "region_rank",
+        _key(), "player_name", "realm_slug", "region", "profile_url", "season", "snapshot_at", *_scores(), "world_rank", "region_rank",
         "realm_rank", "total_runs", "timed_runs", "untimed_runs", "highest_timed_level", "highest_untimed_level",
         "most_common_key_level", "most_common_key_count", "best_run_dungeon", "best_run_short_name", "best_run_level",
         F.round("best_run_score", 1).alias("best_run_score"), "best_run_timed", "best_run_completed_at", "best_run_url",
@@ -73,19 +79,19 @@ def weekly_activity(runs: DataFrame) -> DataFrame:
     counts = weekly.groupBy(*keys).agg(*_run_counts(), F.max("mythic_level").alias("highest_key_level"),
                                        F.countDistinct("dungeon").alias("unique_dungeons"))
     modal = rows.mode_by(weekly, keys, "mythic_level", "most_common_key_level", largest_value_first=True)
-    return counts.join(modal, keys, "left").select(_KEY, *keys, "total_runs", "timed_runs", "untimed_runs", "highest_key_level",
+    return counts.join(modal, keys, "left").select(_key(), *keys, "total_runs", "timed_runs", "untimed_runs", "highest_key_level",
                                                    "unique_dungeons", "most_common_key_level")
 
 
 def dungeon_breakdown(runs: DataFrame) -> DataFrame:
     keys = [*WHO, "dungeon"]
     counts = runs.groupBy(*keys).agg(F.max("mythic_level").alias("highest_key_level"),
-                                     F.max(F.when(_TIMED, F.col("mythic_level"))).alias("highest_timed_level"), *_run_counts(),
+                                     F.max(F.when(_timed(), F.col("mythic_level"))).alias("highest_timed_level"), *_run_counts(),
                                      F.max("completed_at").alias("latest_completed_at"))
     best = _best(runs, keys, {"best_short_name": "short_name", "best_key_level": "mythic_level", "best_score": "score",
                               "best_timed": "timed", "best_clear_time_ms": "clear_time_ms", "best_par_time_ms": "par_time_ms",
                               "best_completed_at": "completed_at", "best_run_url": "url"})
     return counts.join(best, keys, "left").withColumn("best_score", F.round("best_score", 1)).select(
-        _KEY, *keys, "best_short_name", "highest_key_level", "highest_timed_level", "total_runs", "timed_runs", "untimed_runs",
+        _key(), *keys, "best_short_name", "highest_key_level", "highest_timed_level", "total_runs", "timed_runs", "untimed_runs",
         "latest_completed_at", "best_key_level", "best_score", "best_timed", "best_clear_time_ms", "best_par_time_ms",
         "best_completed_at", "best_run_url")

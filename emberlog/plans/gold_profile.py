@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.functions import names as nm
 from emberlog.sources.payloads import payload_ddl
 
-_KEY = nm.identity_key("player_name", None, "realm_slug").alias("player_identity_key")
 # Fixed value: names of the raid feats that count.
 RAID_FEATS = r"cutting edge:|famed slayer|famed bane"
 
 
+def _key() -> Column:
+    return nm.identity_key("player_name", None, "realm_slug").alias("player_identity_key")
+
+
 def live_raid_roster(roster: DataFrame) -> DataFrame:
     return roster.select("name", "roster_rank", "player_class", "race", "note", "source_refreshed_at")
 
@@ -23,7 +26,7 @@ def guild_zone_ranks(ranks: DataFrame) -> DataFrame:
 
 
 def player_character_media(media: DataFrame) -> DataFrame:
-    return media.select(_KEY, "player_name", "realm_slug", "avatar_url", "inset_url", "main_url", "main_raw_url")
+    return media.select(_key(), "player_name", "realm_slug", "avatar_url", "inset_url", "main_url", "main_raw_url")
 
 
 def _or_blank(column):
@@ -33,7 +36,7 @@ def _or_blank(column):
 def player_character_equipment(equipment: DataFrame, item_media: DataFrame) -> DataFrame:
     """One row per equipped item; nested lists are written back as compact JSON."""
     parsed = equipment.withColumn("q", F.from_json("equipment_json", payload_ddl("equipment")))
-    items = parsed.select(_KEY, "player_name", "realm_slug", F.explode("q.equipped_items").alias("it"))
+    items = parsed.select(_key(), "player_name", "realm_slug", F.explode("q.equipped_items").alias("it"))
     enchants = F.transform("it.enchantments", lambda e: F.struct(
         _or_blank(e["display_string"]).alias("display_string"), _or_blank(e["source_item"]["name"]).alias("source_item_name"),
         F.coalesce(e["enchantment_id"], e["id"]).alias("enchantment_id")))
@@ -67,7 +70,7 @@ def player_character_equipment(equipment: DataFrame, item_media: DataFrame) -> D
 
 def player_raid_achievements(achievements: DataFrame) -> DataFrame:
     parsed = achievements.withColumn("a", F.from_json("achievements_json", payload_ddl("achievements")))
-    each = parsed.select(_KEY, "player_name", "realm_slug", F.explode("a.achievements").alias("r"))
+    each = parsed.select(_key(), "player_name", "realm_slug", F.explode("a.achievements").alias("r"))
     flat = each.select("player_identity_key", "player_name", "realm_slug", F.coalesce("r.achievement.id", "r.id").alias("achievement_id"),
                        F.col("r.achievement.name").alias("achievement_name"), F.col("r.completed_timestamp").alias("completed_timestamp"),
                        F.coalesce("r.criteria.is_completed", F.lit(False)).alias("_done"))

@@ -13,7 +13,10 @@ from emberlog.plans.gold_player import PLAYER
 from emberlog.plans.identity import with_identity
 
 PULL = ["report_code", "fight_id"]
-_WIPE = ~F.coalesce(F.col("is_kill"), F.lit(False))
+
+
+def _wipe() -> Column:
+    return ~F.coalesce(F.col("is_kill"), F.lit(False))
 
 
 def utility_type(ability_id: Column, ability_name: Column) -> Column:
@@ -64,7 +67,7 @@ def wipe_survival_events(death_events: DataFrame, capacity: DataFrame, casts: Da
     ``mode="any_cast"`` keeps the literal older rule, where one old cast is enough and a death
     with no tracked ability counts as available.
     """
-    deaths = joins.restrict_to(death_events.filter(_WIPE), casts.filter("fight_id IS NOT NULL"), PULL)
+    deaths = joins.restrict_to(death_events.filter(_wipe()), casts.filter("fight_id IS NOT NULL"), PULL)
     tracked = with_identity(capacity.filter(F.col("has_tracked_capacity") & F.col("cooldown_category").isin(*rules.PERSONAL)), actors)
     tracked = tracked.select(*PULL, "player_identity_key", "spec_id", "ability_id", "ability_name", "cooldown_seconds", "active_seconds")
     moment = [*PULL, "player_identity_key", "player_name", "death_timestamp_ms"]
@@ -108,7 +111,7 @@ def wipe_survival_events(death_events: DataFrame, capacity: DataFrame, casts: Da
 
 
 def wipe_cooldown_utilization(capacity: DataFrame, actors: DataFrame) -> DataFrame:
-    scored = capacity.filter("has_scored_capacity").filter(_WIPE).filter("duration_seconds > 0")
+    scored = capacity.filter("has_scored_capacity").filter(_wipe()).filter("duration_seconds > 0")
     efficiency = F.when(F.col("possible_casts") > 0, v.pct("actual_casts", "possible_casts")).otherwise(0.0)
     return with_identity(scored, actors).select(
         *PULL, "encounter_id", "boss_name", "zone_name", "difficulty", "difficulty_label", "raid_night_date", "duration_seconds", *PLAYER,
@@ -135,7 +138,7 @@ def discipline_counts(utility: DataFrame, survival: DataFrame, utilization: Data
     """
     grain = ["player_identity_key", *DIMS]
     who = [F.max(c).alias(c) for c in PLAYER[1:]]
-    wipe_pulls = (utility.filter(_WIPE).groupBy(*grain, *PULL).agg(*who).groupBy(*grain)
+    wipe_pulls = (utility.filter(_wipe()).groupBy(*grain, *PULL).agg(*who).groupBy(*grain)
                   .agg(*who, F.count(F.lit(1)).alias("wipe_pulls_tracked")))
     # The first death of a pull is one small aggregate per pull, not a window over all deaths.
     opening = survival.groupBy(*PULL).agg(F.min(F.struct("death_timestamp_ms", "player_name")).alias("_first"))

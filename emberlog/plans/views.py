@@ -17,7 +17,6 @@ from emberlog.operators import joins, ordered, rows
 
 c = F.col
 BOSS = ["encounter_id", "difficulty"]
-_ONE = F.lit(1)
 
 
 def included(df: DataFrame) -> DataFrame:
@@ -35,7 +34,7 @@ def _mean(column: Column | str) -> Column:
 def scoped_attendance(roster: DataFrame, summary: DataFrame, attendance: DataFrame) -> DataFrame:
     """Per player: distinct reports with a kill in scope, against the sessions in scope."""
     sessions = joins.restrict_to(summary, roster, ["report_code"])
-    total = sessions.agg(F.count(_ONE).alias("n"))
+    total = sessions.agg(F.count("*").alias("n"))
     seen = joins.restrict_to(roster, sessions, ["report_code"]).groupBy("player_name").agg(
         F.countDistinct("report_code").alias("raids_present"), F.min("raid_night_date").alias("first_raid_date"),
         F.max("raid_night_date").alias("last_raid_date"), F.max("player_class").alias("_class"))
@@ -48,7 +47,7 @@ def scoped_attendance(roster: DataFrame, summary: DataFrame, attendance: DataFra
 
 def attendance_kpis(scoped: DataFrame) -> DataFrame:
     tracked = scoped.filter("total_raids_tracked > 0")
-    return tracked.agg(F.count(_ONE).alias("players"), F.round(v.exact_mean("attendance_rate_pct"), 2).alias("avg_attendance"),
+    return tracked.agg(F.count("*").alias("players"), F.round(v.exact_mean("attendance_rate_pct"), 2).alias("avg_attendance"),
                        F.count_if(c("raids_present") == c("total_raids_tracked")).alias("perfect"), F.max("total_raids_tracked").alias("sessions"))
 
 
@@ -67,7 +66,7 @@ def progression_log(pulls: DataFrame) -> DataFrame:
     """Per boss and report: pulls, wipes, best health left and fastest kill."""
     kill = c("is_kill")
     return pulls.groupBy(*BOSS, "difficulty_label", "report_code", "report_title", "raid_night_date").agg(
-        F.count(_ONE).alias("pulls"), F.count_if(~kill).alias("wipes"),
+        F.count("*").alias("pulls"), F.count_if(~kill).alias("wipes"),
         F.when(F.max(kill), 0.0).otherwise(F.least(F.lit(100.0), F.coalesce(F.min("boss_hp_remaining"), F.lit(100.0)))).alias("best_hp"),
         F.min(F.when(kill, c("duration_seconds"))).alias("kill_time"), F.max(kill).alias("is_kill"))
 
@@ -130,7 +129,7 @@ def nightly_candles(pulls: DataFrame, **options) -> DataFrame:
     when = F.struct("start_time_utc", "report_code", "fight_id")
     nights = pulls.groupBy(*BOSS, "raid_night_date").agg(
         F.min_by(hp, when).alias("_first"), F.max_by(hp, when).alias("close"), F.max(hp).alias("_high"), F.min(hp).alias("_low"),
-        F.count(_ONE).alias("pull_count"))
+        F.count("*").alias("pull_count"))
     chained = ordered.running(nights, BOSS, [c("raid_night_date").asc()], {"_before": ("prev", "close"), "previous_night": ("prev", "raid_night_date")}, **options)
     opened = chained.withColumn("open", F.coalesce("_before", "_first"))
     return opened.select(*BOSS, "raid_night_date", "previous_night", "open", "close", F.greatest("_high", "open").alias("high"),
@@ -162,16 +161,18 @@ def focus_history(history: DataFrame, progression: DataFrame) -> DataFrame:
 
 # --- players -------------------------------------------------------------------------------
 
-_LATEST = F.struct("raid_night_date", "report_code", "fight_id")
+def _latest() -> Column:
+    """Order of kills; the last is the newest."""
+    return F.struct("raid_night_date", "report_code", "fight_id")
 
 
 def scoped_players(roster: DataFrame) -> DataFrame:
     return roster.groupBy("player_name").agg(
-        F.count(_ONE).alias("kills_tracked"), F.round(_mean("throughput_per_second"), 2).alias("avg_throughput_per_second"),
+        F.count("*").alias("kills_tracked"), F.round(_mean("throughput_per_second"), 2).alias("avg_throughput_per_second"),
         F.coalesce(F.max("throughput_per_second"), F.lit(0)).alias("best_throughput_per_second"),
         F.round(_mean("rank_percent"), 4).alias("avg_rank_percent"), F.coalesce(F.max("rank_percent"), F.lit(0.0)).alias("best_rank_percent"),
         F.round(_mean("avg_item_level"), 4).alias("avg_item_level"), F.max("raid_night_date").alias("last_seen_date"),
-        *[F.max_by(n, _LATEST).alias(a) for n, a in (("spec", "primary_spec"), ("player_class", "player_class"), ("role", "role"))])
+        *[F.max_by(n, _latest()).alias(a) for n, a in (("spec", "primary_spec"), ("player_class", "player_class"), ("role", "role"))])
 
 
 def player_kpis(players: DataFrame) -> DataFrame:
@@ -185,7 +186,7 @@ def player_kpis(players: DataFrame) -> DataFrame:
 
 
 def top_performers(roster: DataFrame, n: int = 9) -> DataFrame:
-    players = roster.groupBy("player_name").agg(F.count(_ONE).alias("kills_tracked"), F.count("rank_percent").alias("_ranked"),
+    players = roster.groupBy("player_name").agg(F.count("*").alias("kills_tracked"), F.count("rank_percent").alias("_ranked"),
                                                 F.round(v.exact_mean("rank_percent"), 4).alias("avg_rank_percent"))
     kept = players.filter("kills_tracked >= 2 AND _ranked > 0").drop("_ranked")
     return kept.orderBy(c("avg_rank_percent").desc(), "player_name").limit(n)
@@ -203,17 +204,17 @@ def throughput_over_time(roster: DataFrame) -> DataFrame:
 def player_boss_fallback(roster: DataFrame) -> DataFrame:
     """Boss aggregate of a player straight from kill rows, with the newest report per boss."""
     return roster.groupBy("player_name", *BOSS).agg(
-        F.count(_ONE).alias("kills_on_boss"), F.round(_mean("throughput_per_second"), 2).alias("avg_throughput_per_second"),
+        F.count("*").alias("kills_on_boss"), F.round(_mean("throughput_per_second"), 2).alias("avg_throughput_per_second"),
         F.coalesce(F.max("throughput_per_second"), F.lit(0)).alias("best_throughput_per_second"),
         F.round(_mean("rank_percent"), 4).alias("avg_rank_percent"), F.coalesce(F.max("rank_percent"), F.lit(0.0)).alias("best_rank_percent"),
-        F.max_by("report_code", _LATEST).alias("latest_report_code"), F.max_by("fight_id", _LATEST).alias("latest_fight_id"))
+        F.max_by("report_code", _latest()).alias("latest_report_code"), F.max_by("fight_id", _latest()).alias("latest_fight_id"))
 
 
 def item_levels(equipment: DataFrame, roster: DataFrame, summary: DataFrame) -> DataFrame:
     """Worn gear mean without cosmetic slots, else the latest log, else the summary."""
     worn = equipment.filter(~F.upper("slot_type").isin("SHIRT", "TABARD") & (c("item_level") > 0)).groupBy("player_name").agg(
         F.round(v.exact_mean("item_level"), 4).alias("_gear"))
-    logged = roster.groupBy("player_name").agg(F.max_by("avg_item_level", F.when(c("avg_item_level") > 0, _LATEST)).alias("_log"))
+    logged = roster.groupBy("player_name").agg(F.max_by("avg_item_level", F.when(c("avg_item_level") > 0, _latest())).alias("_log"))
     known = summary.groupBy("player_name").agg(F.max(F.when(c("avg_item_level") > 0, c("avg_item_level"))).alias("_summary"))
     merged = rows.union_branches([worn, logged, known]).groupBy("player_name").agg(*[F.max(n).alias(n) for n in ("_gear", "_log", "_summary")])
     return merged.select("player_name", F.coalesce("_gear", "_log", "_summary").alias("item_level")).filter("item_level IS NOT NULL")
@@ -244,17 +245,17 @@ def reports_by_boss(roster: DataFrame, summary: DataFrame) -> DataFrame:
 
 
 def raid_kpis(summary: DataFrame) -> DataFrame:
-    return summary.agg(F.count(_ONE).alias("raids"), F.sum("boss_kills").alias("total_kills"), F.sum("total_wipes").alias("total_wipes"),
+    return summary.agg(F.count("*").alias("raids"), F.sum("boss_kills").alias("total_kills"), F.sum("total_wipes").alias("total_wipes"),
                        F.sum("total_fight_seconds").alias("total_seconds"), F.round(v.exact_mean("boss_kills"), 4).alias("avg_kills"))
 
 
 def raids_by_zone(summary: DataFrame) -> DataFrame:
-    return summary.groupBy("zone_name").agg(F.count(_ONE).alias("raids"), F.sum("boss_kills").alias("boss_kills"), F.max("raid_night_date").alias("last_raid_date"))
+    return summary.groupBy("zone_name").agg(F.count("*").alias("raids"), F.sum("boss_kills").alias("boss_kills"), F.max("raid_night_date").alias("last_raid_date"))
 
 
 def raid_kills(roster: DataFrame) -> DataFrame:
     """Kills of a report with the size of their roster; the roster rows themselves stay rows."""
-    return roster.groupBy("report_code", "encounter_id", "fight_id", "boss_name", "difficulty_label", "duration_seconds").agg(F.count(_ONE).alias("players"))
+    return roster.groupBy("report_code", "encounter_id", "fight_id", "boss_name", "difficulty_label", "duration_seconds").agg(F.count("*").alias("players"))
 
 
 def top_parses(roster: DataFrame, n: int = 10) -> DataFrame:
@@ -338,7 +339,7 @@ def active_runners(summary: DataFrame) -> DataFrame:
 
 def team_runners(summary: DataFrame, live: DataFrame, team: DataFrame) -> DataFrame:
     """Active players of the live roster, or of the raid team when the live roster is empty."""
-    size = live.agg(F.count(_ONE).alias("n"))
+    size = live.agg(F.count("*").alias("n"))
     names = live.select(F.lower(F.trim("name")).alias("_name")).unionByName(
         team.filter(size.scalar() == 0).select(F.lower("name").alias("_name"))).filter("_name <> ''")
     return active_runners(summary).withColumn("_name", F.lower("player_name")).join(names, "_name", "left_semi").drop("_name")
@@ -351,13 +352,13 @@ def _this_week(weekly: DataFrame) -> DataFrame:
 
 def runner_kpis(runners: DataFrame, weekly: DataFrame) -> DataFrame:
     joined = runners.join(_this_week(weekly), "player_name", "left").fillna(0, ["runs_this_week"])
-    return joined.agg(F.count(_ONE).alias("active"), F.round(v.exact_mean("score_all"), 2).alias("avg_score"),
+    return joined.agg(F.count("*").alias("active"), F.round(v.exact_mean("score_all"), 2).alias("avg_score"),
                       F.max_by("player_name", F.struct("score_all", "player_name")).alias("top_player"), F.sum("runs_this_week").alias("keys_this_week"))
 
 
 def vault_tiers(runners: DataFrame, weekly: DataFrame) -> DataFrame:
     joined = runners.join(_this_week(weekly), "player_name", "left").fillna(0, ["runs_this_week"])
-    return joined.agg(*[F.count_if(c("runs_this_week") >= n).alias(f"filled_{n}") for n in (1, 4, 8)], F.count(_ONE).alias("players"),
+    return joined.agg(*[F.count_if(c("runs_this_week") >= n).alias(f"filled_{n}") for n in (1, 4, 8)], F.count("*").alias("players"),
                       F.sum("runs_this_week").alias("total_runs"))
 
 
@@ -402,15 +403,15 @@ def push_candidates(dungeons: DataFrame, runners: DataFrame) -> DataFrame:
 
 def run_heatmap(runs: DataFrame) -> DataFrame:
     return runs.filter("completed_date IS NOT NULL").groupBy("player_name", "completed_date").agg(
-        F.count(_ONE).alias("runs"), F.max("mythic_level").alias("highest_level"), F.count_if("timed").alias("timed"))
+        F.count("*").alias("runs"), F.max("mythic_level").alias("highest_level"), F.count_if("timed").alias("timed"))
 
 
 def runs_in_year(runs: DataFrame, year: int) -> DataFrame:
-    return runs.filter(F.year("completed_date") == year).groupBy("player_name").agg(F.count(_ONE).alias("runs_this_year"))
+    return runs.filter(F.year("completed_date") == year).groupBy("player_name").agg(F.count("*").alias("runs_this_year"))
 
 
 def timer_used(runs: DataFrame) -> DataFrame:
-    used = F.when((c("clear_time_ms") > 0) & (c("par_time_ms") > 0), v.tidy(c("clear_time_ms") / c("par_time_ms") * 100, 4))
+    used = F.when((c("clear_time_ms") > 0) & (c("par_time_ms") > 0), c("clear_time_ms") / c("par_time_ms") * 100)
     return runs.select("url", used.alias("timer_used_pct"))
 
 
@@ -426,7 +427,7 @@ PARSE_TIERS = (("Grey", 0), ("Green", 5), ("Blue", 10), ("Epic", 15), ("Legendar
 
 def parse_histogram(roster: DataFrame) -> DataFrame:
     """Twenty bins, empty ones included."""
-    counts = _parses(roster).groupBy("bin").agg(F.count(_ONE).alias("parses"))
+    counts = _parses(roster).groupBy("bin").agg(F.count("*").alias("parses"))
     bins = roster.sparkSession.range(20).select(c("id").alias("bin"))
     return bins.join(counts, "bin", "left").fillna(0, ["parses"]).withColumn("midpoint", c("bin") * 5 + 2.5)
 
@@ -435,7 +436,7 @@ def parse_tier_mix(roster: DataFrame) -> DataFrame:
     tier = F.lit(None).cast("string")
     for name, first in PARSE_TIERS:
         tier = F.when(c("bin") >= first, name).otherwise(tier) if first else F.lit(name)
-    return _parses(roster).groupBy(tier.alias("tier")).agg(F.count(_ONE).alias("parses"))
+    return _parses(roster).groupBy(tier.alias("tier")).agg(F.count("*").alias("parses"))
 
 
 def parse_median(roster: DataFrame, **options) -> DataFrame:
@@ -444,7 +445,7 @@ def parse_median(roster: DataFrame, **options) -> DataFrame:
 
 def parse_shape(roster: DataFrame) -> DataFrame:
     """One row: moments of the parse distribution and the most likely type with its probability."""
-    moments = _parses(roster).agg(F.count(_ONE).alias("n"), F.stddev_pop("rank_percent").alias("sd"), F.skewness("rank_percent").alias("skew"),
+    moments = _parses(roster).agg(F.count("*").alias("n"), F.stddev_pop("rank_percent").alias("sd"), F.skewness("rank_percent").alias("skew"),
                                   (F.kurtosis("rank_percent") + 3).alias("kurt"))
     line = Window.partitionBy(F.lit(0)).orderBy("bin")  # twenty rows
     bins = parse_histogram(roster)
@@ -477,8 +478,8 @@ def parse_shape(roster: DataFrame) -> DataFrame:
 def scoped_survivability(roster: DataFrame, deaths: DataFrame, summary: DataFrame) -> DataFrame:
     """Deaths per kill and per pull of every player with a kill or death in scope."""
     kill = F.coalesce("is_kill", F.lit(False))
-    kills = roster.groupBy("player_name").agg(F.count(_ONE).alias("kills_tracked"), F.max("player_class").alias("player_class"))
-    died = deaths.groupBy("player_name").agg(F.count(_ONE).alias("total_deaths"), F.count_if(kill).alias("kill_deaths"), F.count_if(~kill).alias("wipe_deaths"),
+    kills = roster.groupBy("player_name").agg(F.count("*").alias("kills_tracked"), F.max("player_class").alias("player_class"))
+    died = deaths.groupBy("player_name").agg(F.count("*").alias("total_deaths"), F.count_if(kill).alias("kill_deaths"), F.count_if(~kill).alias("wipe_deaths"),
                                              F.max("player_class").alias("player_class"))
     nights = roster.select("player_name", "report_code").distinct().join(summary.select("report_code", "total_wipes"), "report_code")
     wiped = nights.groupBy("player_name").agg(F.sum("total_wipes").alias("_wipes"))
@@ -498,7 +499,7 @@ def scoped_survivability(roster: DataFrame, deaths: DataFrame, summary: DataFram
 def cooldown_capacity(utilization: DataFrame) -> DataFrame:
     sums = utilization.groupBy("cooldown_category", "player_name", "ability_id").agg(
         F.max("ability_name").alias("ability_name"), *[F.sum(n).alias(n) for n in ("possible_casts", "actual_casts", "missed_casts")],
-        F.count(_ONE).alias("pulls_tracked"))
+        F.count("*").alias("pulls_tracked"))
     return sums.withColumn("cast_efficiency_pct", F.when(c("possible_casts") > 0, F.round(c("actual_casts") / c("possible_casts") * 100, 4)).otherwise(0.0))
 
 
@@ -515,7 +516,7 @@ def relative_grades(discipline: DataFrame) -> DataFrame:
     scope = ["zone_name", "boss_name", "difficulty_label"]
     distinct = discipline.select(*scope, "survival_discipline_score").distinct()
     whole = Window.partitionBy(*scope)
-    placed = distinct.select("*", (F.row_number().over(whole.orderBy("survival_discipline_score")) - 1).alias("_i"), F.count(_ONE).over(whole).alias("_n"))
+    placed = distinct.select("*", (F.row_number().over(whole.orderBy("survival_discipline_score")) - 1).alias("_i"), F.count("*").over(whole).alias("_n"))
     middle = (c("_i") - 1) / F.greatest(c("_n") - 3, F.lit(1))
     grade = (F.when((c("_n") <= 1) | (c("_i") == c("_n") - 1), "S").when(c("_i") == 0, "F").when(c("_n") <= 3, "A")
              .when(middle >= 0.8, "A").when(middle >= 0.6, "B").when(middle >= 0.4, "C").when(middle >= 0.2, "D").otherwise("E"))
@@ -528,7 +529,7 @@ _LENGTHS = {"<1 min": "wipes_lt_1min", "1–3 min": "wipes_1_3min", "3–5 min":
 
 def wipe_kpis(wipes: DataFrame, mechanics: DataFrame, deaths: DataFrame) -> DataFrame:
     """One row: wipes, early and late share, deaths per wipe, and the length that dominates."""
-    lost = deaths.filter(~c("is_kill")).agg(F.count(_ONE).alias("n"))
+    lost = deaths.filter(~c("is_kill")).agg(F.count("*").alias("n"))
     total = wipes.agg(F.coalesce(F.sum("total_wipes"), F.lit(0)).alias("n"))
     sums = mechanics.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in _LENGTHS.values()])
     base = sums.select("*", total.scalar().alias("total_wipes"), lost.scalar().alias("wipe_deaths"))
@@ -546,14 +547,14 @@ def _named_blows(deaths: DataFrame) -> DataFrame:
 
 
 def top_killing_blows(deaths: DataFrame, n: int = 10) -> DataFrame:
-    counts = _named_blows(deaths).groupBy("killing_blow_name").agg(F.count(_ONE).alias("deaths"))
+    counts = _named_blows(deaths).groupBy("killing_blow_name").agg(F.count("*").alias("deaths"))
     return counts.orderBy(c("deaths").desc(), "killing_blow_name").limit(n)
 
 
 def recurring_killers(deaths: DataFrame, n: int | None = 10) -> DataFrame:
     """Blows of wipe deaths by how many players and bosses they span."""
     killers = _named_blows(deaths).filter(~c("is_kill")).groupBy("killing_blow_name").agg(
-        F.count(_ONE).alias("deaths"), F.countDistinct("player_name").alias("unique_players"), F.countDistinct("boss_name").alias("unique_bosses"))
+        F.count("*").alias("deaths"), F.countDistinct("player_name").alias("unique_players"), F.countDistinct("boss_name").alias("unique_bosses"))
     order = [c("unique_players").desc(), c("deaths").desc(), c("killing_blow_name").asc()]
     return killers.orderBy(*order).limit(n) if n else killers
 
@@ -572,7 +573,7 @@ def death_timing(deaths: DataFrame, **options) -> DataFrame:
     low = box.select((c("q1") - (c("q3") - c("q1")) * 1.5).alias("x"))
     high = box.select((c("q3") + (c("q3") - c("q1")) * 1.5).alias("x"))
     # Few distinct times: fences are compared once per time, not per death.
-    times = after.groupBy("ms").agg(F.count(_ONE).alias("_k"))
+    times = after.groupBy("ms").agg(F.count("*").alias("_k"))
     fenced = times.select("ms", "_k", (c("ms") < low.scalar()).alias("_below"), (c("ms") > high.scalar()).alias("_above"))
     whiskers = fenced.agg(F.min("ms").alias("min_ms"), F.max("ms").alias("max_ms"), F.min(F.when(~c("_below"), c("ms"))).alias("lower_whisker"),
                           F.max(F.when(~c("_above"), c("ms"))).alias("upper_whisker"),
@@ -589,7 +590,7 @@ def first_deaths(deaths: DataFrame) -> DataFrame:
 
 
 def first_death_leaders(deaths: DataFrame) -> DataFrame:
-    return first_deaths(deaths).groupBy("player_name").agg(F.count(_ONE).alias("first_deaths"), F.max("player_class").alias("player_class"))
+    return first_deaths(deaths).groupBy("player_name").agg(F.count("*").alias("first_deaths"), F.max("player_class").alias("player_class"))
 
 
 def first_death_profile(deaths: DataFrame, roster: DataFrame) -> DataFrame:
@@ -599,14 +600,14 @@ def first_death_profile(deaths: DataFrame, roster: DataFrame) -> DataFrame:
     ms = c("death_timestamp_ms") - c("fight_start_ms")
     timed = (c("fight_start_ms") > 0) & (ms >= 0)
     return first.agg(
-        F.count(_ONE).alias("total"), *[F.count_if(c("role") == r).alias(f"role_{r}") for r in ("tank", "healer", "dps")],
+        F.count("*").alias("total"), *[F.count_if(c("role") == r).alias(f"role_{r}") for r in ("tank", "healer", "dps")],
         F.count_if(c("role").isNull()).alias("role_unknown"), F.count_if(timed & (ms < 30000)).alias("lt_30s"),
         F.count_if(timed & (ms >= 30000) & (ms < 60000)).alias("s30_60"), F.count_if(timed & (ms >= 60000) & (ms < 120000)).alias("m1_2"),
         F.count_if(timed & (ms >= 120000)).alias("gt_2m"))
 
 
 def first_death_blows(deaths: DataFrame, n: int = 4) -> DataFrame:
-    counts = _named_blows(first_deaths(deaths)).groupBy("killing_blow_name").agg(F.count(_ONE).alias("deaths"))
+    counts = _named_blows(first_deaths(deaths)).groupBy("killing_blow_name").agg(F.count("*").alias("deaths"))
     return counts.orderBy(c("deaths").desc(), "killing_blow_name").limit(n)
 
 

@@ -12,8 +12,14 @@ from pyspark.sql import functions as F
 from emberlog.workload.domain import Domain
 
 CHUNK = 64
-_STAMP = F.max("_ingested_at").alias("_ingested_at")
-_SOURCE = F.lit("events").alias("_source")
+
+
+def _stamp() -> Column:
+    return F.max("_ingested_at").alias("_ingested_at")
+
+
+def _source() -> Column:
+    return F.lit("events").alias("_source")
 
 
 def _list(*fields: Column | str) -> Column:
@@ -30,7 +36,7 @@ def _zone() -> Column:
 
 def guild_reports(dom: Domain) -> DataFrame:
     rows = dom["reports"].select("code", "title", F.col("start_ms").alias("startTime"), F.col("end_ms").alias("endTime"), _zone(),
-                                 _SOURCE, "_ingested_at")
+                                 _source(), "_ingested_at")
     blank = rows.limit(1).withColumn("code", F.lit(""))  # one bad row for the drop rule
     # Every report lands twice; the second landing is the newer one.
     return rows.withColumn("title", F.lit("stale")).withColumn("_ingested_at", F.lit("2023-01-01T00:00:00")).unionByName(rows).unionByName(blank)
@@ -44,24 +50,24 @@ def report_fights(dom: Domain) -> DataFrame:
                      F.col("last_phase").alias("lastPhase"), F.col("fight_size").alias("size"),
                      F.col("friendly_player_ids").alias("friendlyPlayers"))
     grouped = f.groupBy(F.col("report_code").alias("code"), F.col("report_title").alias("title")).agg(
-        F.sort_array(F.collect_list(fight)).alias("fights"), _STAMP)
+        F.sort_array(F.collect_list(fight)).alias("fights"), _stamp())
     # Pulls outside the raid rules, which must be filtered.
     extra = F.transform("fights", lambda x: x.withField("id", x["id"] + 100).withField("difficulty", F.lit(10).cast("bigint")))
     trash = F.transform("fights", lambda x: x.withField("id", x["id"] + 200).withField("encounterID", F.lit(0).cast("bigint")))
-    return grouped.withColumn("fights", F.concat("fights", extra, trash)).withColumn("_source", _SOURCE)
+    return grouped.withColumn("fights", F.concat("fights", extra, trash)).withColumn("_source", _source())
 
 
 def raid_attendance(dom: Domain) -> DataFrame:
     a = dom["attendance"]
     player = _list(F.concat(F.lit(" "), "player_name", F.lit(" ")).alias("name"), F.col("presence").cast("bigint").alias("presence"),
                    F.col("player_class").alias("type"))
-    return a.groupBy(F.col("report_code").alias("code")).agg(player.alias("players"), _STAMP).withColumn("_source", _SOURCE)
+    return a.groupBy(F.col("report_code").alias("code")).agg(player.alias("players"), _stamp()).withColumn("_source", _source())
 
 
 def actor_roster(dom: Domain) -> DataFrame:
     actor = _list(F.col("actor_id").alias("id"), F.concat("player_name", F.lit(" ")).alias("name"), F.lit("Player").alias("type"),
                   F.col("player_class").alias("subType"), F.col("realm").alias("server"))
-    return dom["actors"].groupBy("report_code").agg(actor.alias("actors"), _STAMP).withColumn("_source", _SOURCE)
+    return dom["actors"].groupBy("report_code").agg(actor.alias("actors"), _stamp()).withColumn("_source", _source())
 
 
 def player_details(dom: Domain) -> DataFrame:
@@ -78,10 +84,10 @@ def player_details(dom: Domain) -> DataFrame:
                       F.col("potion_use").alias("potionUse"), F.col("healthstone_use").alias("healthstoneUse"),
                       F.struct(F.struct(*stat).alias("stats"), gear.alias("gear")).alias("combatantInfo"))
     keys = ["report_code", "fight_id", "boss_name", "encounter_id", "difficulty", "zone_id", "zone_name", "duration_ms"]
-    groups = p.groupBy(*keys).agg(_STAMP, *[F.sort_array(F.collect_list(F.when(F.col("role") == r, player))).alias(n)
+    groups = p.groupBy(*keys).agg(_stamp(), *[F.sort_array(F.collect_list(F.when(F.col("role") == r, player))).alias(n)
                                            for r, n in (("dps", "dps"), ("healer", "healers"), ("tank", "tanks"))])
     details = F.struct(F.struct(F.struct("dps", "healers", "tanks").alias("playerDetails")).alias("data"))
-    return groups.select(*keys, F.lit(True).alias("is_kill"), F.to_json(details).alias("player_details_json"), _SOURCE, "_ingested_at")
+    return groups.select(*keys, F.lit(True).alias("is_kill"), F.to_json(details).alias("player_details_json"), _source(), "_ingested_at")
 
 
 def fight_rankings(dom: Domain) -> DataFrame:
@@ -90,16 +96,16 @@ def fight_rankings(dom: Domain) -> DataFrame:
     parse = F.struct(F.col("player_name").alias("name"), F.col("player_class").alias("class"), "spec", "amount",
                      F.col("rank_percent").alias("rankPercent"), F.col("bracket_percent").alias("bracketPercent"),
                      F.col("rank_string").alias("rank"), F.col("total_parses").alias("totalParses"))
-    fights = r.groupBy("report_code", "fight_id").agg(_STAMP, *[
+    fights = r.groupBy("report_code", "fight_id").agg(_stamp(), *[
         F.struct(F.sort_array(F.collect_list(F.when(F.col("role") == role, parse))).alias("characters")).alias(group)
         for role, group in (("tank", "tanks"), ("healer", "healers"), ("dps", "dps"))])
     wrong = F.transform("healers.characters", lambda c: c.withField("amount", F.lit(-1.0)))
     first = F.struct(F.col("fight_id").alias("fightID"), F.struct("tanks", F.struct(wrong.alias("characters")).alias("healers"), "dps").alias("roles"))
     second = F.struct(F.col("fight_id").alias("fightID"), F.struct("healers").alias("roles"))
     reports = fights.groupBy("report_code").agg(
-        _STAMP, F.to_json(F.struct(F.sort_array(F.collect_list(first)).alias("data"))).alias("rankings_json"),
+        _stamp(), F.to_json(F.struct(F.sort_array(F.collect_list(first)).alias("data"))).alias("rankings_json"),
         F.to_json(F.struct(F.sort_array(F.collect_list(second)).alias("data"))).alias("rankings_hps_json"))
-    new = reports.withColumn("_source", _SOURCE)
+    new = reports.withColumn("_source", _source())
     stale = new.withColumn("rankings_json", F.lit('{"data": []}')).withColumn("_ingested_at", F.lit("2023-01-01T00:00:00"))
     return new.unionByName(stale)
 
@@ -113,9 +119,9 @@ def fight_deaths(dom: Domain) -> DataFrame:
                     F.struct(F.lit("Mend").alias("name"), F.lit(7).cast("bigint").alias("guid")).alias("ability"))
     entry = F.struct(F.col("player_name").alias("name"), F.col("player_class").alias("type"), F.col("death_timestamp_ms").alias("timestamp"),
                      F.col("fight_id").alias("fight"), "overkill", F.array(heal, hit).alias("events"))
-    single = d.groupBy("report_code", "fight_id", _chunk()).agg(_STAMP, F.sort_array(F.collect_list(entry)).alias("entries")).select(
+    single = d.groupBy("report_code", "fight_id", _chunk()).agg(_stamp(), F.sort_array(F.collect_list(entry)).alias("entries")).select(
         "report_code", F.array("fight_id").alias("fight_ids"), F.to_json(F.struct(F.struct("entries").alias("data"))).alias("table_json"),
-        _SOURCE, "_ingested_at")
+        _source(), "_ingested_at")
     old = single.withColumn("fight_ids", F.array(F.lit(1).cast("bigint"), F.lit(2).cast("bigint")))
     bad = single.withColumn("table_json", F.lit('{"data": '))
     return single.unionByName(old).unionByName(bad)
@@ -144,14 +150,14 @@ def fight_casts(dom: Domain) -> DataFrame:
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part, allowMissingColumns=True)
-    return merged.select("*", F.lit("2024-02-01T00:00:00").alias("_ingested_at"), _SOURCE, F.lit("casts").alias("_file_path"))
+    return merged.select("*", F.lit("2024-02-01T00:00:00").alias("_ingested_at"), _source(), F.lit("casts").alias("_file_path"))
 
 
 def zone_catalog(dom: Domain) -> DataFrame:
     levels = F.array(*[F.struct(F.lit(n).alias("name")) for n in ("Normal", "Heroic", "Mythic")])
     encounter = _list(F.col("encounter_id").alias("id"), F.col("encounter_name").alias("name"))
     return dom["zones"].groupBy(F.col("zone_id").alias("id"), F.col("zone_name").alias("name"), F.col("zone_frozen").alias("frozen")).agg(
-        F.concat(encounter, encounter).alias("encounters"), _STAMP).withColumn("difficulties", levels)
+        F.concat(encounter, encounter).alias("encounters"), _stamp()).withColumn("difficulties", levels)
 
 
 def guild_members(dom: Domain) -> DataFrame:

@@ -184,11 +184,13 @@ class Domain:
     """Domain tables of one data folder, planned when first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir, self._frames = spark, sf_dir, {}
+        self.spark, self.sf_dir, self._frames, self._tables = spark, sf_dir, {}, {}
 
     def table(self, name: str) -> DataFrame:
         """A driver table."""
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:

@@ -382,7 +382,7 @@ def runs_in_year(t: In) -> DataFrame:
     return views.runs_in_year(t.source["gold_player_mplus_run_history"], 2024)
 
 
-@view("timer_used", "SELECT url, ROUND(ROUND(clear_time_ms / par_time_ms * 100, 9), 4) AS timer_used_pct FROM runs")
+@view("timer_used", "SELECT url, clear_time_ms / par_time_ms * 100 AS timer_used_pct FROM runs")
 def timer_used(t: In) -> DataFrame:
     return views.timer_used(t.source["gold_player_mplus_run_history"])
 
