@@ -200,19 +200,27 @@ def player_cast_events(casts: DataFrame, fights: DataFrame, actors: DataFrame) -
 def player_combatant_buffs(combatants: DataFrame, fights: DataFrame, actors: DataFrame) -> DataFrame:
     """Preparation signals per player and pull.
 
-    Names are classified before they are collected, so only listed names (a bounded set) reach the
-    group, each once and in order.
+    Names are classified before they are collected, so a group holds each matching name once, and
+    copies collapse on the map side.
     """
     named = _named_in_fight(combatants, fights, actors, "combatant_timestamp_ms")
     kinds = {"food_buff": (rules.FOOD_NAMES, rules.FOOD_KEYWORDS), "flask_or_phial": (rules.FLASK_NAMES, rules.FLASK_KEYWORDS),
              "weapon": (rules.WEAPON_NAMES, rules.WEAPON_KEYWORDS)}
-    tagged = named.select("*", *[nm.classify_names("aura_names", *lists).alias(f"_{k}") for k, lists in kinds.items()])
+
+    def tagged(kind: str, names: Column) -> Column:
+        return F.transform(names, lambda n: F.struct(F.lit(kind).alias("kind"), n.alias("name")))
+
+    found = F.concat(tagged("talent", F.col("talent_spell_ids")), *[tagged(k, nm.classify_names("aura_names", *lists)) for k, lists in kinds.items()])
     keys = ["report_code", "fight_id", "player_name", "player_class"]
-    columns = ["talent_spell_ids", *[f"_{k}" for k in kinds]]
-    grouped = tagged.groupBy(*keys).agg(
-        F.max("spec_id").alias("spec_id"), F.max("_ingested_at").alias("_ingested_at"),
-        *[F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in columns])
-    return grouped.select(
+    each = named.select(*keys, "spec_id", "_ingested_at", F.explode_outer(found).alias("_item"))
+    grouped = each.groupBy(*keys).agg(F.max("spec_id").alias("spec_id"), F.max("_ingested_at").alias("_ingested_at"), F.collect_set("_item").alias("_items"))
+
+    def of(kind: str) -> Column:
+        own = F.filter("_items", lambda i: i["kind"] == kind)
+        return F.array_sort(F.transform(own, lambda i: i["name"]))
+
+    split = grouped.select(*keys, "spec_id", "_ingested_at", of("talent").alias("talent_spell_ids"), *[of(k).alias(f"_{k}") for k in kinds])
+    return split.select(
         *keys, "spec_id", "talent_spell_ids",
         (F.size("_food_buff") > 0).alias("has_food_buff"), nm.join_names("_food_buff").alias("food_buff_names"),
         (F.size("_flask_or_phial") > 0).alias("has_flask_or_phial_buff"),

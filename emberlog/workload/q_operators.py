@@ -200,15 +200,16 @@ def case_insensitive_lookup(dom: Domain) -> DataFrame:
     return joins.lookup(players, dom["labelled_members"], [(F.lower("player_name"), F.lower("name"))], ["rank_label"])
 
 
-@query("full_outer_as_union", """SELECT COALESCE(a.user_id, b.user_id) AS user_id, COALESCE(errors, 0) AS errors, COALESCE(big_buys, 0) AS big_buys
-    FROM (SELECT user_id, COUNT(*) AS errors FROM ev WHERE event_type = 'error' AND k > 70 GROUP BY user_id) a FULL OUTER JOIN
-    (SELECT user_id, COUNT(*) AS big_buys FROM ev WHERE event_type = 'purchase' AND k > 70 GROUP BY user_id) b ON a.user_id = b.user_id""")
+@query("full_outer_as_union", """SELECT COALESCE(a.user_id, b.user_id) AS user_id, COALESCE(a.d, b.d) AS d, COALESCE(errors, 0) AS errors, COALESCE(buys, 0) AS buys
+    FROM (SELECT user_id, d, COUNT(*) AS errors FROM ev WHERE event_type = 'error' GROUP BY user_id, d) a FULL OUTER JOIN
+    (SELECT user_id, d, COUNT(*) AS buys FROM ev WHERE event_type = 'purchase' GROUP BY user_id, d) b ON a.user_id = b.user_id AND a.d = b.d""")
 def full_outer_as_union(dom: Domain) -> DataFrame:
-    e = dom["ev"].filter("k > 70")
+    """Days with errors only, buys only, or both."""
+    e, key = dom["ev"], ["user_id", "d"]
     zero = F.lit(0).cast("bigint")
-    errors = e.filter("event_type = 'error'").groupBy("user_id").agg(F.count(F.lit(1)).alias("errors"))
-    buys = e.filter("event_type = 'purchase'").groupBy("user_id").agg(F.count(F.lit(1)).alias("big_buys"))
-    return scopes.combine_sources([errors, buys], ["user_id"], {c: F.coalesce(F.sum(c), zero) for c in ("errors", "big_buys")})
+    errors = e.filter("event_type = 'error'").groupBy(*key).agg(F.count("*").alias("errors"))
+    buys = e.filter("event_type = 'purchase'").groupBy(*key).agg(F.count("*").alias("buys"))
+    return scopes.combine_sources([errors, buys], key, {c: F.coalesce(F.sum(c), zero) for c in ("errors", "buys")})
 
 
 @query("prefer_flagged_rows", """SELECT o_orderkey, o_custkey, o_orderstatus FROM (SELECT *, MAX(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey) AS f

@@ -113,25 +113,30 @@ def backfill_decisions(dom: Domain) -> DataFrame:
 
 
 @query("stale_landings", """SELECT f.report_code, COUNT(*) FILTER (d.fight_id IS NULL) AS missing_fights, COUNT(d.fight_id) = 0 AS never_landed, FALSE AS payload_absent, FALSE AS multi_fight_records
-    FROM fights f LEFT JOIN (SELECT DISTINCT report_code, fight_id FROM deaths WHERE killing_blow_id = 5) d ON f.report_code = d.report_code AND f.fight_id = d.fight_id
+    FROM fights f LEFT JOIN (SELECT DISTINCT report_code, fight_id FROM bought) d ON f.report_code = d.report_code AND f.fight_id = d.fight_id
     GROUP BY f.report_code HAVING COUNT(*) FILTER (d.fight_id IS NULL) > 0""")
 def stale_landings(dom: Domain) -> DataFrame:
-    """Reports whose landed deaths (here those of one blow) do not cover their fights."""
-    some = dom["deaths"].filter("killing_blow_id = 5")
-    landed = some.select("report_code", "fight_id").distinct().select("report_code", F.array("fight_id").alias("fight_ids"), F.lit("x").alias("table_json"))
-    return completeness.stale_landings(dom["fights"].select("report_code", "fight_id"), landed, ("table_json",), allow_multi=False)
-
-
-@query("data_gap_report", """SELECT p.player_name, array_to_string(list_filter([CASE WHEN a.player_name IS NULL THEN 'deaths' END, CASE WHEN b.player_name IS NULL THEN 'kills' END,
-    CASE WHEN c.player_name IS NULL THEN 'runs' END], lambda x: x IS NOT NULL), ',') AS gaps FROM (SELECT DISTINCT player_name FROM actors) p
-    LEFT JOIN (SELECT DISTINCT player_name FROM deaths WHERE killing_blow_id = 3) a ON p.player_name = a.player_name
-    LEFT JOIN (SELECT DISTINCT player_name FROM perf WHERE role = 'tank') b ON p.player_name = b.player_name
-    LEFT JOIN (SELECT DISTINCT player_name FROM runs WHERE mythic_level > 18) c ON p.player_name = c.player_name
-    WHERE a.player_name IS NULL OR b.player_name IS NULL OR c.player_name IS NULL""")
+    """Reports whose landed player details do not cover their fights."""
+    landed = dom["bought"].select("report_code", "fight_id").distinct().select("report_code", F.array("fight_id").alias("fight_ids"), F.lit("x").alias("payload"))
+    return completeness.stale_landings(dom["fights"].select("report_code", "fight_id"), landed, ("payload",), allow_multi=False)
+
+
+def _on_night(table: str) -> str:
+    return f"SELECT DISTINCT CONCAT(report_code, '/', player_name) AS n FROM {table}"
+
+
+@query("data_gap_report", f"""SELECT p.n AS player_name, array_to_string(list_filter([CASE WHEN a.n IS NULL THEN 'deaths' END, CASE WHEN b.n IS NULL THEN 'kills' END,
+    CASE WHEN c.n IS NULL THEN 'casts' END], lambda x: x IS NOT NULL), ',') AS gaps FROM ({_on_night('actors')}) p LEFT JOIN ({_on_night('deaths')}) a ON p.n = a.n
+    LEFT JOIN ({_on_night('perf')}) b ON p.n = b.n LEFT JOIN ({_on_night('raw_casts JOIN actors USING (report_code, actor_id)')}) c ON p.n = c.n
+    WHERE a.n IS NULL OR b.n IS NULL OR c.n IS NULL""")
 def data_gap_report(dom: Domain) -> DataFrame:
-    products = {"deaths": dom["deaths"].filter("killing_blow_id = 3"), "kills": dom["perf"].filter("role = 'tank'"), "runs": dom["runs"].filter("mythic_level > 18")}
-    gaps = completeness.data_gaps(dom["actors"].select("player_name").distinct(), products)
-    return gaps.withColumn("gaps", F.array_join("gaps", ","))
+    """Players of a night and the products that lack them on that night."""
+    def named(df: DataFrame) -> DataFrame:
+        return df.select(F.concat_ws("/", "report_code", "player_name").alias("player_name"))
+
+    casts = dom["raw_casts"].join(dom["actors"].select("report_code", "actor_id", "player_name"), ["report_code", "actor_id"])
+    products = {"deaths": named(dom["deaths"]), "kills": named(dom["perf"]), "casts": named(casts)}
+    return completeness.data_gaps(named(dom["actors"]).distinct(), products).withColumn("gaps", F.array_join("gaps", ","))
 
 
 @query("landed_fights", """SELECT report_code, string_agg(CAST(fight_id AS VARCHAR), ',' ORDER BY fight_id) AS fight_ids, COUNT(*) AS fights
@@ -179,23 +184,22 @@ def publish_manifest(dom: Domain) -> DataFrame:
     return publish.manifest(dom.spark, sizes, "s1", "2024-02-01T00:00:00Z").drop("byte_size")
 
 
-@query("manifest_mismatch", """SELECT CAST(dom AS VARCHAR) AS dataset, 'missing' AS problem FROM (SELECT DISTINCT dom FROM e WHERE dom NOT IN (SELECT dom FROM e WHERE k > 97)) a UNION ALL
-    SELECT CAST(user_id AS VARCHAR), 'extra' FROM (SELECT DISTINCT user_id FROM e WHERE k > 97 AND user_id > 100) b""")
+@query("manifest_mismatch", """SELECT report_code AS dataset, 'missing' AS problem FROM (SELECT DISTINCT report_code FROM fights WHERE is_kill) a WHERE report_code NOT IN
+    (SELECT report_code FROM deaths WHERE killing_blow_id IS NULL) UNION ALL SELECT report_code, 'extra' FROM (SELECT DISTINCT report_code FROM deaths WHERE killing_blow_id IS NULL) b
+    WHERE report_code NOT IN (SELECT report_code FROM fights WHERE is_kill)""")
 def manifest_mismatch(dom: Domain) -> DataFrame:
-    """Names wanted: days; names listed: days and users of some events."""
-    e = dom["e"]
-    wanted = e.select(F.col("dom").cast("string").alias("dataset")).distinct()
-    some = e.filter("k > 97")
-    listed = some.select(F.col("dom").cast("string").alias("dataset")).unionByName(some.filter("user_id > 100").select(F.col("user_id").cast("string").alias("dataset")))
+    """Names wanted: reports with a kill; names listed: reports with a death of unknown cause."""
+    wanted = dom["fights"].filter("is_kill").select(F.col("report_code").alias("dataset")).distinct()
+    listed = dom["deaths"].filter("killing_blow_id IS NULL").select(F.col("report_code").alias("dataset"))
     return publish.manifest_mismatch(listed, wanted)
 
 
-@query("latest_snapshot", """SELECT report_code AS snapshot_id, CAST(fight_id AS VARCHAR) AS dataset FROM fights WHERE report_code = (SELECT MAX(report_code) FROM
-    (SELECT report_code FROM fights WHERE duration_seconds > 250 GROUP BY report_code HAVING COUNT(DISTINCT fight_id) = 6) t) AND duration_seconds > 250""")
+@query("latest_snapshot", """SELECT report_code AS snapshot_id, CAST(fight_id AS VARCHAR) AS dataset FROM fights WHERE NOT is_kill AND report_code = (SELECT MAX(report_code) FROM
+    (SELECT report_code FROM fights WHERE NOT is_kill GROUP BY report_code HAVING COUNT(DISTINCT fight_id) = 4) t)""")
 def latest_snapshot(dom: Domain) -> DataFrame:
-    """Reports as snapshots, long pulls as datasets: the newest with all six."""
-    manifests = dom["fights"].filter("duration_seconds > 250").select(F.col("report_code").alias("snapshot_id"), F.col("fight_id").cast("string").alias("dataset"))
-    return publish.latest_complete_snapshot(manifests, 6)
+    """Reports as snapshots and their wipes as datasets: the newest with exactly four."""
+    manifests = dom["fights"].filter("NOT is_kill").select(F.col("report_code").alias("snapshot_id"), F.col("fight_id").cast("string").alias("dataset"))
+    return publish.latest_complete_snapshot(manifests, 4)
 
 
 @query("published_cooldown_totals", """SELECT boss_name, zone_name, difficulty_label, cooldown_category, player_identity_key, player_name, player_class, realm, ability_id, ability_name,

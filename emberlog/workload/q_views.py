@@ -65,11 +65,11 @@ def _scoped_attendance(t: In) -> DataFrame:
     return views.scoped_attendance(scope(t[_ROSTER], zone="ZONE_1", difficulty="Heroic"), summary, t.source["silver_raid_attendance"])
 
 
-view("scoped_attendance", "SELECT * FROM scoped_attendance")(_scoped_attendance)
+view("scoped_attendance", "SELECT * FROM scoped_attendance", _ROSTER)(_scoped_attendance)
 
 
 @view("attendance_kpis", f"""SELECT COUNT(*) AS players, ROUND({mean('attendance_rate_pct')}, 2) AS avg_attendance, COUNT(*) FILTER (raids_present = total_raids_tracked) AS perfect,
-    MAX(total_raids_tracked) AS sessions FROM scoped_attendance""")
+    MAX(total_raids_tracked) AS sessions FROM scoped_attendance""", _ROSTER)
 def attendance_kpis(t: In) -> DataFrame:
     return views.attendance_kpis(_scoped_attendance(t))
 
@@ -212,18 +212,17 @@ def player_boss_fallback(t: In) -> DataFrame:
     return views.player_boss_fallback(t[_ROSTER])
 
 
-@view("item_levels", f"""SELECT player_name, COALESCE(g, l, s) AS item_level FROM (SELECT player_name, ROUND({mean('item_level')}, 4) AS g FROM equipment WHERE item_level > 0 AND UPPER(slot_type) NOT IN ('SHIRT', 'TABARD') AND player_name LIKE 'A%'
+@view("item_levels", f"""SELECT player_name, COALESCE(g, l, s) AS item_level FROM (SELECT player_name, ROUND({mean('item_level')}, 4) AS g FROM equipment WHERE item_level > 0 AND UPPER(slot_type) NOT IN ('SHIRT', 'TABARD') 
     GROUP BY player_name) a FULL OUTER JOIN (SELECT player_name, ARG_MAX(avg_item_level, {_AT}) AS l FROM roster_in GROUP BY player_name) b USING (player_name)
     FULL OUTER JOIN (SELECT player_name, MAX(avg_item_level) AS s FROM performance_summary GROUP BY player_name) c USING (player_name)""")
 def item_levels(t: In) -> DataFrame:
-    gear = t.source["gold_player_character_equipment"].filter("player_name LIKE 'A%'")  # others fall back
-    return views.item_levels(gear, t[_ROSTER], t.source["gold_player_performance_summary"])
+    return views.item_levels(t.source["gold_player_character_equipment"], t[_ROSTER], t.source["gold_player_performance_summary"])
 
 
 @view("tier_completion", f"""SELECT p.player_name, d.difficulty_label, COALESCE(k.n, 0) AS completed, b.n AS total, ROUND(COALESCE(k.n, 0) / b.n * 100, 2) AS pct FROM
     (SELECT DISTINCT player_name FROM roster_in) p, (SELECT UNNEST(['Normal', 'Heroic', 'Mythic']) AS difficulty_label) d, (SELECT COUNT(DISTINCT encounter_name) AS n FROM zones WHERE zone_name = {_TIER}) b
     LEFT JOIN (SELECT player_name, difficulty_label, COUNT(DISTINCT boss_name) AS n FROM roster_in WHERE zone_name = {_TIER} GROUP BY player_name, difficulty_label) k
-    ON p.player_name = k.player_name AND d.difficulty_label = k.difficulty_label""")
+    ON p.player_name = k.player_name AND d.difficulty_label = k.difficulty_label""", _ROSTER)
 def tier_completion(t: In) -> DataFrame:
     return views.tier_completion(t[_ROSTER], t["gold_encounter_catalog"], _tier(t))
 
@@ -422,7 +421,7 @@ def parse_median(t: In) -> DataFrame:
     1 - ABS(skew) / 0.8 - ABS(kurt - 1.8) / 1.4 - CASE WHEN peaks > 2 THEN 0.2 ELSE 0 END AS s5 FROM b),
     w AS (SELECT *, UNNEST(['Normal', 'Left-skew', 'Right-skew', 'Bimodal', 'Uniform']) AS type, EXP(UNNEST([LEAST(0.98, GREATEST(0.02, s1)), LEAST(0.98, GREATEST(0.02, s2)), LEAST(0.98, GREATEST(0.02, s3)),
     LEAST(0.98, GREATEST(0.02, s4)), LEAST(0.82, GREATEST(0.02, s5))]) * 4) AS w FROM sc), tt AS (SELECT *, SUM(w) OVER () AS tot FROM w)
-    SELECT * FROM tt ORDER BY w DESC LIMIT 1) q""")
+    SELECT * FROM tt ORDER BY w DESC LIMIT 1) q""", _ROSTER)
 def parse_shape(t: In) -> DataFrame:
     return views.parse_shape(t[_ROSTER])
 
@@ -446,10 +445,10 @@ def _survivability(t: In) -> DataFrame:
     return views.scoped_survivability(t[_ROSTER], t[_DEATHS], t["gold_raid_summary"])
 
 
-view("scoped_survivability", "SELECT * FROM scoped_survivability", "silver_fight_events", _DEATHS)(_survivability)
+view("scoped_survivability", "SELECT * FROM scoped_survivability", "silver_fight_events", _DEATHS, _ROSTER)(_survivability)
 
 
-@view("most_punished", "SELECT player_name, wipe_deaths, total_deaths FROM scoped_survivability WHERE wipe_deaths > 0 ORDER BY wipe_deaths DESC, player_name LIMIT 10", "silver_fight_events", _DEATHS)
+@view("most_punished", "SELECT player_name, wipe_deaths, total_deaths FROM scoped_survivability WHERE wipe_deaths > 0 ORDER BY wipe_deaths DESC, player_name LIMIT 10", "silver_fight_events", _DEATHS, _ROSTER)
 def most_punished(t: In) -> DataFrame:
     return views.most_punished(_survivability(t))
 

@@ -255,3 +255,13 @@ def test_stale_landings(spark):
     have = spark.createDataFrame([("a", [1], "x"), ("b", [1], None), ("d", [1], "x")], "report_code STRING, fight_ids ARRAY<BIGINT>, buffs STRING")
     assert flat(stale_landings(wanted, have, ("buffs",)), "report_code", "missing_fights", "never_landed", "payload_absent") == [
         ("a", 1, False, False), ("b", 0, False, True), ("c", 1, True, False)]
+
+
+def test_item_level_falls_back(spark):
+    from emberlog.plans.views import item_levels
+
+    gear = spark.createDataFrame([("Ann", "HEAD", 10), ("Ann", "SHIRT", 900), ("Bob", "TABARD", 900)], "player_name STRING, slot_type STRING, item_level BIGINT")
+    roster = spark.createDataFrame([("Bob", 20.0, "2024-01-01", "a", 1), ("Bob", 0.0, "2024-01-02", "b", 1), ("Ann", 5.0, "2024-01-01", "a", 1)],
+                                   "player_name STRING, avg_item_level DOUBLE, raid_night_date STRING, report_code STRING, fight_id INT")
+    summary = spark.createDataFrame([("Cy", 30.0), ("Bob", 7.0)], "player_name STRING, avg_item_level DOUBLE")
+    assert flat(item_levels(gear, roster, summary), "player_name", "item_level") == [("Ann", 10.0), ("Bob", 20.0), ("Cy", 30.0)]
