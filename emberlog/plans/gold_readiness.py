@@ -75,8 +75,10 @@ def readiness_rates(roster: DataFrame, identities: DataFrame) -> DataFrame:
 def preparation_readiness(summary: DataFrame, live: DataFrame, team: DataFrame, overrides: DataFrame, roster: DataFrame) -> DataFrame:
     raids = summary.filter("report_code IS NOT NULL AND raid_night_date IS NOT NULL AND zone_name IS NOT NULL").filter(
         ~c("zone_name").isin(*rules.EXCLUDED_ZONES))
-    tier = raids.agg(F.max_by("zone_name", F.struct("raid_night_date", "zone_name")).alias("zone_name"))
-    nights = raids.filter(c("zone_name") == tier.scalar()).agg(F.countDistinct("raid_night_date").alias("n"))
+    # Newest zone and its raid nights in one pass over the raids.
+    zones = raids.groupBy("zone_name").agg(F.max("raid_night_date").alias("last"), F.countDistinct("raid_night_date").alias("nights"))
+    newest = zones.agg(F.max(F.struct("last", "zone_name", "nights")).alias("t"))
+    tier, nights = newest.select("t.zone_name"), newest.select("t.nights")
 
     members = team_with_fallback(live, team)
     override = override_characters(overrides)

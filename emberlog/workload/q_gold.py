@@ -25,6 +25,7 @@ def parsed_casts(dom: Domain) -> DataFrame:
 # Tables that many others read; queries deep in the chain store them.
 SHARED = ("silver_fight_events", "silver_player_cast_events", "silver_player_combatant_buffs", "silver_player_cooldown_capacity",
           "gold_boss_kill_roster", "gold_player_death_events", "gold_wipe_survival_events")
+READY = ("silver_fight_events", "silver_player_combatant_buffs", "gold_boss_kill_roster", "gold_raid_summary", "gold_raid_team")
 
 
 def catalog(dom: Domain, store: tuple[str, ...] = ()) -> Catalog:
@@ -508,13 +509,13 @@ _READY = """WITH raids AS (SELECT * FROM raid_summary WHERE zone_name <> 'Blackr
     CASE mode WHEN 'replace' THEN 'Replace' WHEN 'pool' THEN 'Pool' ELSE '' END AS override_label FROM s"""
 cte("readiness", _READY.format(team="""SELECT name, player_class, roster_rank AS rank_label, TRUE AS is_active, 'live_raid_roster' AS roster_source FROM live_roster"""))
 cte("readiness_fallback", _READY.format(team="SELECT name, player_class, rank_label, is_active, 'gold_raid_team' AS roster_source FROM raid_team"))
-gold("gold_preparation_readiness", "SELECT * FROM readiness", store=SHARED)
+gold("gold_preparation_readiness", "SELECT * FROM readiness", store=READY)
 
 
 @query("gold_preparation_readiness_fallback", "SELECT * FROM readiness_fallback")
 def readiness_fallback(dom: Domain) -> DataFrame:
     """The raid team stands in when the live roster holds no named row."""
-    t = catalog(dom, SHARED)
+    t = catalog(dom, READY)
     blank = t["gold_live_raid_roster"].withColumn("name", F.lit(""))
     return preparation_readiness(t["gold_raid_summary"], blank, t["gold_raid_team"], t["identity_overrides"], t["gold_boss_kill_roster"])
 

@@ -9,7 +9,7 @@ from emberlog.operators.scopes import scope
 from emberlog.plans import views
 from emberlog.plans.pipeline import Catalog
 from emberlog.workload.domain import Domain
-from emberlog.workload.q_gold import SHARED, catalog
+from emberlog.workload.q_gold import READY, SHARED, catalog
 from emberlog.workload.registry import cte, mean, query
 
 OPEN = "zone_name <> 'Blackrock Depths'"
@@ -285,23 +285,23 @@ def merged_team(t: In) -> DataFrame:
 @view("readiness_kpis", f"""SELECT ROUND({mean('readiness_score')}, 2) AS avg_readiness, ROUND({mean0('CASE WHEN kills_tracked > 0 THEN combat_potion_rate END')}, 2) AS avg_combat_potion,
     ROUND({mean0('CASE WHEN kills_tracked > 0 THEN (food_rate + flask_rate + weapon_rate) / 3 END')}, 2) AS avg_core_coverage, COUNT(*) FILTER (readiness_label = 'watch') AS watchlist,
     COUNT(*) FILTER (is_active) AS active, COUNT(*) FILTER (has_current_tier_data) AS current_tier, COUNT(*) FILTER (kills_tracked > 0) > 0 AND
-    COUNT(*) FILTER (kills_tracked > 0 AND food_rate + flask_rate + weapon_rate + combat_potion_rate <> 0) = 0 AS zero_consumable_coverage FROM readiness""", *SHARED[:5])
+    COUNT(*) FILTER (kills_tracked > 0 AND food_rate + flask_rate + weapon_rate + combat_potion_rate <> 0) = 0 AS zero_consumable_coverage FROM readiness""", *READY)
 def readiness_kpis(t: In) -> DataFrame:
     return views.readiness_kpis(t.source["gold_preparation_readiness"])
 
 
-@view("watch_list", "SELECT identity_key, readiness_score FROM readiness WHERE readiness_label = 'watch' ORDER BY readiness_score, identity_key LIMIT 3", *SHARED[:5])
+@view("watch_list", "SELECT identity_key, readiness_score FROM readiness WHERE readiness_label = 'watch' ORDER BY readiness_score, identity_key LIMIT 3", *READY)
 def watch_list(t: In) -> DataFrame:
     return views.watch_list(t.source["gold_preparation_readiness"])
 
 
-@view("best_prepared", "SELECT identity_key, readiness_score FROM readiness ORDER BY readiness_score DESC, identity_key LIMIT 3", *SHARED[:5])
+@view("best_prepared", "SELECT identity_key, readiness_score FROM readiness ORDER BY readiness_score DESC, identity_key LIMIT 3", *READY)
 def best_prepared(t: In) -> DataFrame:
     return views.best_prepared(t.source["gold_preparation_readiness"])
 
 
 @view("strongest_signals", """SELECT identity_key, ARG_MAX(l, (v, -o)) AS signal, MAX(v) AS value FROM (SELECT identity_key, UNNEST(['Attendance', 'Food', 'Flask', 'Weapon', 'Combat Potion']) AS l,
-    UNNEST([attendance_rate_pct, food_rate, flask_rate, weapon_rate, CASE WHEN role = 'dps' THEN combat_potion_rate ELSE -1 END]) AS v, UNNEST([0, 1, 2, 3, 4]) AS o FROM readiness) t GROUP BY identity_key""", *SHARED[:5])
+    UNNEST([attendance_rate_pct, food_rate, flask_rate, weapon_rate, CASE WHEN role = 'dps' THEN combat_potion_rate ELSE -1 END]) AS v, UNNEST([0, 1, 2, 3, 4]) AS o FROM readiness) t GROUP BY identity_key""", *READY)
 def strongest_signals(t: In) -> DataFrame:
     return views.strongest_signals(t.source["gold_preparation_readiness"])
 
