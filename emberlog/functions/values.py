@@ -24,18 +24,18 @@ def outcome(is_kill: Column | str) -> Column:
     return F.when(col(is_kill), "kill").otherwise("wipe")
 
 
+def tidy(value: Column | str, places: int) -> Column:
+    """Round half up on the decimal value: floating noise below nine places is taken off first."""
+    return F.round(F.round(col(value), 9), places)
+
+
 def ratio(part: Column | str, whole: Column | str) -> Column:
     """``part / max(whole, 1)`` as double, so an empty whole never divides by zero."""
     return col(part).cast("double") / F.greatest(col(whole).cast("double"), F.lit(1.0))
 
 
 def pct(part: Column | str, whole: Column | str, places: int = 1) -> Column:
-    return F.round(ratio(part, whole) * 100, places)
-
-
-def tidy(value: Column | str, places: int) -> Column:
-    """Round, after taking off the noise of floating arithmetic, so ties always go up."""
-    return F.round(F.round(col(value), 9), places)
+    return tidy(ratio(part, whole) * 100, places)
 
 
 def exact_mean(value: Column | str) -> Column:
@@ -103,7 +103,7 @@ def array_mean(array: Column | str, number, places: int = 1) -> Column:
     """Rounded mean of a number drawn from each element; missing numbers count as 0."""
     total = F.aggregate(col(array), F.lit(0).cast("bigint"),
                         lambda acc, e: acc + F.coalesce(number(e), F.lit(0).cast("bigint")))
-    return F.round(ratio(total, F.size(col(array))), places)
+    return tidy(ratio(total, F.size(col(array))), places)
 
 
 def killing_blow(events: Column | str) -> Column:
@@ -115,4 +115,4 @@ def rank_percentile(rank: Column | str, total: Column | str) -> Column:
     """100 for the best of the ranked, 0 for the last; 100 when there is only one."""
     rank, total = col(rank), col(total)
     return F.when(total <= 1, F.lit(100.0)).otherwise(
-        F.round((total - rank).cast("double") / F.nullif((total - 1).cast("double"), F.lit(0.0)) * 100, 1))
+        tidy((total - rank).cast("double") / F.nullif((total - 1).cast("double"), F.lit(0.0)) * 100, 1))

@@ -30,7 +30,7 @@ def boss_progression(fights: DataFrame) -> DataFrame:
         F.min(_when_kill("duration_seconds")).alias("best_kill_seconds"),
         v.exact_mean("duration_seconds").alias("avg_pull_duration_seconds"), F.max(F.when(_kill(), F.lit(True))).alias("is_killed"),
         F.min(_when_kill("raid_night_date")).alias("first_kill_date"), F.max("raid_night_date").alias("last_attempt_date"))
-    return grouped.withColumn("wipe_to_kill_ratio", F.round(v.ratio("total_wipes", "total_kills"), 2))
+    return grouped.withColumn("wipe_to_kill_ratio", v.tidy(v.ratio("total_wipes", "total_kills"), 2))
 
 
 def raid_summary(reports: DataFrame, fights: DataFrame) -> DataFrame:
@@ -79,7 +79,7 @@ def boss_wipe_analysis(fights: DataFrame) -> DataFrame:
         F.max("last_phase").alias("max_phase_reached"), v.exact_mean("duration_seconds").alias("avg_wipe_duration_seconds"),
         F.max("duration_seconds").alias("longest_wipe_seconds"), F.min("raid_night_date").alias("first_wipe_date"),
         F.max("raid_night_date").alias("latest_wipe_date"), F.countDistinct("raid_night_date").alias("raid_nights_attempted"))
-    return grouped.withColumn("avg_wipe_pct_rounded", F.round("avg_wipe_pct", 1))
+    return grouped.withColumn("avg_wipe_pct_rounded", v.tidy("avg_wipe_pct", 1))
 
 
 def _report_titles(reports: DataFrame) -> DataFrame:
@@ -90,9 +90,9 @@ def boss_progress_history(fights: DataFrame, reports: DataFrame) -> DataFrame:
     nights = fights.groupBy(*BOSS, "raid_night_date", "report_code").agg(
         F.count(F.lit(1)).alias("pulls_on_night"), F.count_if(_kill()).alias("kills_on_night"), F.count_if(~_kill()).alias("wipes_on_night"),
         F.min(_when_wipe("boss_percentage")).alias("best_wipe_pct_on_night"),
-        F.round(v.exact_mean(_when_wipe("boss_percentage")), 2).alias("avg_wipe_pct_on_night"), F.max(_kill()).alias("is_kill_on_night"),
+        v.tidy(v.exact_mean(_when_wipe("boss_percentage")), 2).alias("avg_wipe_pct_on_night"), F.max(_kill()).alias("is_kill_on_night"),
         F.max("duration_seconds").alias("longest_pull_seconds"), F.max(_when_kill("duration_seconds")).alias("kill_duration_seconds"))
-    left = F.when(F.col("is_kill_on_night"), 0.0).otherwise(F.round("best_wipe_pct_on_night", 2))
+    left = F.when(F.col("is_kill_on_night"), 0.0).otherwise(v.tidy("best_wipe_pct_on_night", 2))
     return nights.join(_report_titles(reports), "report_code", "left").select(
         *BOSS, "raid_night_date", "report_code", F.col("_title").alias("report_title"), "start_time_utc", "end_time_utc",
         "pulls_on_night", "kills_on_night", "wipes_on_night", "best_wipe_pct_on_night", "avg_wipe_pct_on_night",
@@ -133,11 +133,11 @@ def boss_mechanics(fights: DataFrame) -> DataFrame:
     joined = total.join(last, ["encounter_id", "difficulty"], "left")
     mean = F.col("_sum").cast("double") / F.nullif("_n", F.lit(0))
     recent = F.col("_last._wsum").cast("double") / F.nullif(F.col("_last._wn"), F.lit(0))
-    trend = F.round(recent - mean, 2)
+    trend = v.tidy(recent - mean, 2)
     return joined.select(
-        *BOSS, F.col("_wipes").alias("total_wipes"), F.round(mean, 1).alias("avg_boss_pct"),
+        *BOSS, F.col("_wipes").alias("total_wipes"), v.tidy(mean, 1).alias("avg_boss_pct"),
         *[v.pct(f"_{n}", "_wipes").alias(f"pct_wipes_{n}") for n in phases], *[f"wipes_{n}" for n in lengths],
-        F.round(recent, 1).alias("last_week_avg_boss_pct"), trend.alias("progress_trend"),
+        v.tidy(recent, 1).alias("last_week_avg_boss_pct"), trend.alias("progress_trend"),
         # The value is boss health left, so a falling one is an improvement.
         F.when(trend < 0, "improving").when(trend > 0, "regressing").when(trend == 0, "flat").alias("trend_direction"))
 

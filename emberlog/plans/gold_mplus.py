@@ -22,7 +22,7 @@ def _timed() -> Column:
 
 
 def _scores():
-    return [F.round(f"score_{r}", 1).alias(f"score_{r}") for r in ("all", "dps", "healer", "tank")]
+    return [v.tidy(f"score_{r}", 1).alias(f"score_{r}") for r in ("all", "dps", "healer", "tank")]
 
 
 def score_history(scores: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def summary(scores: DataFrame, runs: DataFrame, **options) -> DataFrame:
         _key(), "player_name", "realm_slug", "region", "profile_url", "season", "snapshot_at", *_scores(), "world_rank", "region_rank",
         "realm_rank", "total_runs", "timed_runs", "untimed_runs", "highest_timed_level", "highest_untimed_level",
         "most_common_key_level", "most_common_key_count", "best_run_dungeon", "best_run_short_name", "best_run_level",
-        F.round("best_run_score", 1).alias("best_run_score"), "best_run_timed", "best_run_completed_at", "best_run_url",
+        v.tidy("best_run_score", 1).alias("best_run_score"), "best_run_timed", "best_run_completed_at", "best_run_url",
         (F.coalesce("score_all", F.lit(0.0)) > 0).cast("int").alias("_scored"))
     # Scored players come first in the order, so their row number is their rank.
     ranked = ordered.running(
@@ -91,7 +91,7 @@ def dungeon_breakdown(runs: DataFrame) -> DataFrame:
     best = _best(runs, keys, {"best_short_name": "short_name", "best_key_level": "mythic_level", "best_score": "score",
                               "best_timed": "timed", "best_clear_time_ms": "clear_time_ms", "best_par_time_ms": "par_time_ms",
                               "best_completed_at": "completed_at", "best_run_url": "url"})
-    return counts.join(best, keys, "left").withColumn("best_score", F.round("best_score", 1)).select(
+    return counts.join(best, keys, "left").withColumn("best_score", v.tidy("best_score", 1)).select(
         _key(), *keys, "best_short_name", "highest_key_level", "highest_timed_level", "total_runs", "timed_runs", "untimed_runs",
         "latest_completed_at", "best_key_level", "best_score", "best_timed", "best_clear_time_ms", "best_par_time_ms",
         "best_completed_at", "best_run_url")

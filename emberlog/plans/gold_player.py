@@ -34,8 +34,8 @@ def boss_kill_roster(fact: DataFrame, actors: DataFrame) -> DataFrame:
 def _level_stats() -> list[Column]:
     return [v.exact_mean("throughput_per_second").cast("bigint").alias("avg_throughput_per_second"),
             F.max("throughput_per_second").alias("best_throughput_per_second"),
-            F.round(v.exact_mean("rank_percent"), 1).alias("avg_rank_percent"), F.round(F.max("rank_percent"), 1).alias("best_rank_percent"),
-            F.round(v.exact_mean("avg_item_level"), 1).alias("avg_item_level")]
+            v.tidy(v.exact_mean("rank_percent"), 1).alias("avg_rank_percent"), v.tidy(F.max("rank_percent"), 1).alias("best_rank_percent"),
+            v.tidy(v.exact_mean("avg_item_level"), 1).alias("avg_item_level")]
 
 
 def player_performance_summary(roster: DataFrame) -> DataFrame:
@@ -59,7 +59,7 @@ def player_boss_performance(roster: DataFrame) -> DataFrame:
     latest = roster.groupBy(*key).agg(F.max_by("throughput_per_second", F.when(F.col("throughput_per_second").isNotNull(), when))
                                       .alias("latest_throughput_per_second"))
     change = (F.col("latest_throughput_per_second") - F.col("avg_throughput_per_second")).cast("double")
-    trend = F.when(F.col("kills_on_boss") > 1, F.round(v.ratio(change, "avg_throughput_per_second") * 100, 1))
+    trend = F.when(F.col("kills_on_boss") > 1, v.tidy(v.ratio(change, "avg_throughput_per_second") * 100, 1))
     return grouped.join(latest, key, "left").select(
         *PLAYER, "role", "primary_spec", *boss, "kills_on_boss", "avg_throughput_per_second", "best_throughput_per_second",
         "latest_throughput_per_second", trend.alias("throughput_trend"), "avg_rank_percent", "best_rank_percent", "avg_item_level",
@@ -76,7 +76,7 @@ def player_survivability(events: DataFrame, roster: DataFrame, actors: DataFrame
     blows = rows.top_values_json(deaths, key, "killing_blow_name", 3, "top_killing_blows_json")
     kills = roster.groupBy(*key).agg(F.count(F.lit(1)).alias("kills_tracked"))
     joined = grouped.join(blow, key, "left").join(blows, key, "left").join(kills, key, "left").fillna(0, ["kills_tracked"])
-    return joined.select(*PLAYER, "total_deaths", "kills_tracked", F.round(v.ratio("total_deaths", "kills_tracked"), 2).alias("deaths_per_kill"),
+    return joined.select(*PLAYER, "total_deaths", "kills_tracked", v.tidy(v.ratio("total_deaths", "kills_tracked"), 2).alias("deaths_per_kill"),
                          "most_common_killing_blow", "most_common_killing_blow_count", "top_killing_blows_json", "zones_died_in",
                          "last_death_timestamp_ms")
 
@@ -149,5 +149,5 @@ def player_survivability_rankings(roster: DataFrame, deaths: DataFrame, team: Da
         "player_identity_key", "player_name", "player_class", "zone_name",
         F.when(F.col("boss_name") != scopes.ALL, F.col("_boss_id")).alias("encounter_id"), "boss_name",
         F.when(F.col("difficulty_label") != scopes.ALL, F.col("_level_id")).alias("difficulty"), "difficulty_label", "deaths", "kills",
-        F.round("_rate", 4).alias("deaths_per_kill"), "survivability_rank", "survivability_rank_total",
+        v.tidy("_rate", 4).alias("deaths_per_kill"), "survivability_rank", "survivability_rank_total",
         v.rank_percentile("survivability_rank", "survivability_rank_total").alias("survivability_rank_percentile"))

@@ -126,10 +126,10 @@ def preparation_readiness(summary: DataFrame, live: DataFrame, team: DataFrame,
     potion_names = F.coalesce("recent_combat_potion_names", F.when(c("_potion") > 0, "Combat potion used"), blank)
     return scored.select(
         "identity_key", "player_name", "player_class", "role", "rank_label", "is_active", "current_tier", "roster_source",
-        "has_current_tier_data", F.round("_att", 1).alias("attendance_rate_pct"), "raids_present", "total_raids_tracked", "kills_tracked",
-        *[F.round(f"_{k}_rate", 1).alias(f"{n}_rate") for k, n in (("food", "food"), ("flask", "flask"), ("weapon", "weapon"), ("potion", "combat_potion"))],
+        "has_current_tier_data", v.tidy("_att", 1).alias("attendance_rate_pct"), "raids_present", "total_raids_tracked", "kills_tracked",
+        *[v.tidy(f"_{k}_rate", 1).alias(f"{n}_rate") for k, n in (("food", "food"), ("flask", "flask"), ("weapon", "weapon"), ("potion", "combat_potion"))],
         v.tidy("_score", 1).alias("readiness_score"), label.alias("readiness_label"), F.array_join("_notes", "|").alias("readiness_notes"),
-        F.coalesce("_spec", F.lit(rules.EMPTY_MARK)).alias("spec"), F.round(F.coalesce("_level", F.lit(0.0)), 1).alias("latest_avg_item_level"),
+        F.coalesce("_spec", F.lit(rules.EMPTY_MARK)).alias("spec"), v.tidy(F.coalesce("_level", F.lit(0.0)), 1).alias("latest_avg_item_level"),
         F.coalesce(c("_last").cast("string"), blank).alias("latest_kill_date"), "weakest_signal_label",
         *[F.coalesce(f"recent_{k}_names", blank).alias(f"recent_{k}_names") for k in ("food", "flask", "weapon")],
         potion_names.alias("recent_combat_potion_names"), "character_names",

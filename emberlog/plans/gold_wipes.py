@@ -221,13 +221,13 @@ def wipe_survival_discipline(utility: DataFrame, survival: DataFrame, utilizatio
     return scored.select(
         "player_identity_key", "player_name", F.coalesce("player_class", F.lit("Unknown")).alias("player_class"),
         F.coalesce("realm", F.lit("unknown")).alias("realm"), "role", *DIMS, "wipe_pulls_tracked", "wipe_deaths", "first_deaths",
-        "early_deaths", "kill_deaths", "kills_tracked", F.round("_per_kill", 4).alias("deaths_per_kill"),
-        F.round("_per_wipe", 4).alias("deaths_per_wipe"), "pulls_with_tracked_defensive_capacity", "tracked_defensive_capacity",
+        "early_deaths", "kill_deaths", "kills_tracked", v.tidy("_per_kill", 4).alias("deaths_per_kill"),
+        v.tidy("_per_wipe", 4).alias("deaths_per_wipe"), "pulls_with_tracked_defensive_capacity", "tracked_defensive_capacity",
         "defensive_casts", "defensive_missed_casts", "healthstone_uses", "potion_uses", "no_healthstone_deaths", "no_health_potion_deaths",
         "defensive_usage_rate", "healthstone_usage_rate", "potion_usage_rate", "no_healthstone_pct", "no_health_potion_pct",
         *[v.tidy(f"_{s}", 1).alias(f"{n}_score") for s, n in (("pressure", "death_pressure"), ("defensive", "defensive_component"),
                                                              ("stone", "healthstone_component"), ("potion", "potion_component"))],
-        F.round("_median", 1).alias("defensive_class_baseline_pct"), v.tidy(gap, 1).alias("defensive_class_delta_pct"),
+        v.tidy("_median", 1).alias("defensive_class_baseline_pct"), v.tidy(gap, 1).alias("defensive_class_delta_pct"),
         v.tidy("_points", 1).alias("weighted_failure_points"), v.tidy(total, 1).alias("survival_failure_score"),
         v.tidy(total, 1).alias("survival_discipline_score"), weakest.alias("top_improvement_area"), weakest.alias("top_missing_category"),
         "defensive_tracking_status", tracked.alias("has_defensive_capacity_tracked"),

@@ -99,7 +99,7 @@ def player_performance(raw: DataFrame) -> DataFrame:
         v.label("difficulty", rules.DIFFICULTIES, "Unknown").alias("difficulty_label"), "zone_id", "zone_name", "duration_ms",
         "role", F.col("p.id").alias("actor_id"), F.trim("p.name").alias("player_name"), F.col("p.type").alias("player_class"),
         F.get("p.specs", F.lit(0))["spec"].alias("spec"),
-        F.round((F.col("p.minItemLevel") + F.col("p.maxItemLevel")) / 2, 1).alias("avg_item_level"),
+        v.tidy((F.col("p.minItemLevel") + F.col("p.maxItemLevel")) / 2, 1).alias("avg_item_level"),
         F.col("p.potionUse").alias("potion_use"), F.col("p.healthstoneUse").alias("healthstone_use"),
         F.coalesce(F.size("_weapons") > 0, F.lit(False)).alias("has_weapon_enhancement"),
         nm.join_names("_weapons").alias("weapon_enhancement_names"), *stats, "_ingested_at")

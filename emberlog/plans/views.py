@@ -47,7 +47,7 @@ def scoped_attendance(roster: DataFrame, summary: DataFrame, attendance: DataFra
 
 def attendance_kpis(scoped: DataFrame) -> DataFrame:
     tracked = scoped.filter("total_raids_tracked > 0")
-    return tracked.agg(F.count("*").alias("players"), F.round(v.exact_mean("attendance_rate_pct"), 2).alias("avg_attendance"),
+    return tracked.agg(F.count("*").alias("players"), v.tidy(v.exact_mean("attendance_rate_pct"), 2).alias("avg_attendance"),
                        F.count_if(c("raids_present") == c("total_raids_tracked")).alias("perfect"), F.max("total_raids_tracked").alias("sessions"))
 
 
@@ -77,7 +77,7 @@ def boss_kpis(progression: DataFrame, wipes: DataFrame, best: DataFrame) -> Data
     label = F.concat_ws(" / ", "boss_name", "difficulty_label")
     base = progression.agg(
         F.sum("total_pulls").alias("total_pulls"), F.sum("total_kills").alias("total_kills"),
-        F.coalesce(F.round(v.exact_mean(F.when(killed, c("total_pulls"))), 4), F.lit(0.0)).alias("avg_pulls_to_kill"),
+        F.coalesce(v.tidy(v.exact_mean(F.when(killed, c("total_pulls"))), 4), F.lit(0.0)).alias("avg_pulls_to_kill"),
         F.count_if(~killed).alias("unresolved"), F.coalesce(F.sum(F.when(~killed, c("total_pulls"))), F.lit(0)).alias("unresolved_pulls"),
         F.max_by(label, F.when(~killed, F.struct("total_wipes", label))).alias("biggest_wall"),
         F.count_if(killed & (c("difficulty_label") == "Mythic")).alias("mythic_kills"),
@@ -85,7 +85,7 @@ def boss_kpis(progression: DataFrame, wipes: DataFrame, best: DataFrame) -> Data
     unresolved = progression.filter(~killed).select(*BOSS).distinct()
     close = wipes.filter("best_wipe_pct > 0").join(unresolved, BOSS, "left_semi").agg(F.min_by(label, F.struct("best_wipe_pct", label)).alias("x"))
     fast = best.agg(F.min_by(label, F.struct("best_kill_seconds", label)).alias("x"))
-    return base.select("*", F.round(v.ratio("total_kills", "total_pulls") * 100, 2).alias("kill_rate_pct"),
+    return base.select("*", v.tidy(v.ratio("total_kills", "total_pulls") * 100, 2).alias("kill_rate_pct"),
                        close.scalar().alias("closest_unresolved"), fast.scalar().alias("fastest_kill"))
 
 
@@ -168,10 +168,10 @@ def _latest() -> Column:
 
 def scoped_players(roster: DataFrame) -> DataFrame:
     return roster.groupBy("player_name").agg(
-        F.count("*").alias("kills_tracked"), F.round(_mean("throughput_per_second"), 2).alias("avg_throughput_per_second"),
+        F.count("*").alias("kills_tracked"), v.tidy(_mean("throughput_per_second"), 2).alias("avg_throughput_per_second"),
         F.coalesce(F.max("throughput_per_second"), F.lit(0)).alias("best_throughput_per_second"),
-        F.round(_mean("rank_percent"), 4).alias("avg_rank_percent"), F.coalesce(F.max("rank_percent"), F.lit(0.0)).alias("best_rank_percent"),
-        F.round(_mean("avg_item_level"), 4).alias("avg_item_level"), F.max("raid_night_date").alias("last_seen_date"),
+        v.tidy(_mean("rank_percent"), 4).alias("avg_rank_percent"), F.coalesce(F.max("rank_percent"), F.lit(0.0)).alias("best_rank_percent"),
+        v.tidy(_mean("avg_item_level"), 4).alias("avg_item_level"), F.max("raid_night_date").alias("last_seen_date"),
         *[F.max_by(n, _latest()).alias(a) for n, a in (("spec", "primary_spec"), ("player_class", "player_class"), ("role", "role"))])
 
 
@@ -179,15 +179,15 @@ def player_kpis(players: DataFrame) -> DataFrame:
     """One row: mean and best parse, mean item level and its population deviation."""
     ranked, levelled = c("avg_rank_percent") > 0, c("avg_item_level") > 0
     return players.agg(
-        F.round(_mean(F.when(ranked, c("avg_rank_percent"))), 4).alias("avg_parse"),
+        v.tidy(_mean(F.when(ranked, c("avg_rank_percent"))), 4).alias("avg_parse"),
         F.coalesce(F.max(F.when(ranked, c("best_rank_percent"))), F.lit(0.0)).alias("top_parse"),
-        F.round(_mean(F.when(levelled, c("avg_item_level"))), 4).alias("avg_item_level"),
-        F.round(F.stddev_pop(F.when(levelled, c("avg_item_level"))), 4).alias("item_level_std_dev"), F.count_if(ranked).alias("ranked_players"))
+        v.tidy(_mean(F.when(levelled, c("avg_item_level"))), 4).alias("avg_item_level"),
+        v.tidy(F.stddev_pop(F.when(levelled, c("avg_item_level"))), 4).alias("item_level_std_dev"), F.count_if(ranked).alias("ranked_players"))
 
 
 def top_performers(roster: DataFrame, n: int = 9) -> DataFrame:
     players = roster.groupBy("player_name").agg(F.count("*").alias("kills_tracked"), F.count("rank_percent").alias("_ranked"),
-                                                F.round(v.exact_mean("rank_percent"), 4).alias("avg_rank_percent"))
+                                                v.tidy(v.exact_mean("rank_percent"), 4).alias("avg_rank_percent"))
     kept = players.filter("kills_tracked >= 2 AND _ranked > 0").drop("_ranked")
     return kept.orderBy(c("avg_rank_percent").desc(), "player_name").limit(n)
 
@@ -204,16 +204,16 @@ def throughput_over_time(roster: DataFrame) -> DataFrame:
 def player_boss_fallback(roster: DataFrame) -> DataFrame:
     """Boss aggregate of a player straight from kill rows, with the newest report per boss."""
     return roster.groupBy("player_name", *BOSS).agg(
-        F.count("*").alias("kills_on_boss"), F.round(_mean("throughput_per_second"), 2).alias("avg_throughput_per_second"),
+        F.count("*").alias("kills_on_boss"), v.tidy(_mean("throughput_per_second"), 2).alias("avg_throughput_per_second"),
         F.coalesce(F.max("throughput_per_second"), F.lit(0)).alias("best_throughput_per_second"),
-        F.round(_mean("rank_percent"), 4).alias("avg_rank_percent"), F.coalesce(F.max("rank_percent"), F.lit(0.0)).alias("best_rank_percent"),
+        v.tidy(_mean("rank_percent"), 4).alias("avg_rank_percent"), F.coalesce(F.max("rank_percent"), F.lit(0.0)).alias("best_rank_percent"),
         F.max_by("report_code", _latest()).alias("latest_report_code"), F.max_by("fight_id", _latest()).alias("latest_fight_id"))
 
 
 def item_levels(equipment: DataFrame, roster: DataFrame, summary: DataFrame) -> DataFrame:
     """Worn gear mean without cosmetic slots, else the latest log, else the summary."""
     worn = equipment.filter(~F.upper("slot_type").isin("SHIRT", "TABARD") & (c("item_level") > 0)).groupBy("player_name").agg(
-        F.round(v.exact_mean("item_level"), 4).alias("_gear"))
+        v.tidy(v.exact_mean("item_level"), 4).alias("_gear"))
     logged = roster.groupBy("player_name").agg(F.max_by("avg_item_level", F.when(c("avg_item_level") > 0, _latest())).alias("_log"))
     known = summary.groupBy("player_name").agg(F.max(F.when(c("avg_item_level") > 0, c("avg_item_level"))).alias("_summary"))
     merged = rows.union_branches([worn, logged, known]).groupBy("player_name").agg(*[F.max(n).alias(n) for n in ("_gear", "_log", "_summary")])
@@ -227,7 +227,7 @@ def tier_completion(roster: DataFrame, catalog: DataFrame, tier: Column) -> Data
     levels = F.array(*[F.lit(x) for x in rules.DIFFICULTIES.values()])
     grid = roster.select("player_name").distinct().withColumn("difficulty_label", F.explode(levels))
     filled = grid.join(kills, ["player_name", "difficulty_label"], "left").fillna(0, ["completed"]).withColumn("total", bosses.scalar())
-    return filled.withColumn("pct", F.round(v.ratio("completed", "total") * 100, 2))
+    return filled.withColumn("pct", v.tidy(v.ratio("completed", "total") * 100, 2))
 
 
 # --- raids ---------------------------------------------------------------------------------
@@ -246,7 +246,7 @@ def reports_by_boss(roster: DataFrame, summary: DataFrame) -> DataFrame:
 
 def raid_kpis(summary: DataFrame) -> DataFrame:
     return summary.agg(F.count("*").alias("raids"), F.sum("boss_kills").alias("total_kills"), F.sum("total_wipes").alias("total_wipes"),
-                       F.sum("total_fight_seconds").alias("total_seconds"), F.round(v.exact_mean("boss_kills"), 4).alias("avg_kills"))
+                       F.sum("total_fight_seconds").alias("total_seconds"), v.tidy(v.exact_mean("boss_kills"), 4).alias("avg_kills"))
 
 
 def raids_by_zone(summary: DataFrame) -> DataFrame:
@@ -302,8 +302,8 @@ def readiness_kpis(ready: DataFrame) -> DataFrame:
     core = (c("food_rate") + c("flask_rate") + c("weapon_rate")) / 3
     bare = (c("food_rate") + c("flask_rate") + c("weapon_rate") + c("combat_potion_rate")) == 0
     return ready.agg(
-        F.round(v.exact_mean("readiness_score"), 2).alias("avg_readiness"), F.round(_mean(F.when(tracked, c("combat_potion_rate"))), 2).alias("avg_combat_potion"),
-        F.round(_mean(F.when(tracked, core)), 2).alias("avg_core_coverage"), F.count_if(c("readiness_label") == "watch").alias("watchlist"),
+        v.tidy(v.exact_mean("readiness_score"), 2).alias("avg_readiness"), v.tidy(_mean(F.when(tracked, c("combat_potion_rate"))), 2).alias("avg_combat_potion"),
+        v.tidy(_mean(F.when(tracked, core)), 2).alias("avg_core_coverage"), F.count_if(c("readiness_label") == "watch").alias("watchlist"),
         F.count_if("is_active").alias("active"), F.count_if("has_current_tier_data").alias("current_tier"),
         ((F.count_if(tracked) > 0) & (F.count_if(tracked & ~bare) == 0)).alias("zero_consumable_coverage"))
 
@@ -352,7 +352,7 @@ def _this_week(weekly: DataFrame) -> DataFrame:
 
 def runner_kpis(runners: DataFrame, weekly: DataFrame) -> DataFrame:
     joined = runners.join(_this_week(weekly), "player_name", "left").fillna(0, ["runs_this_week"])
-    return joined.agg(F.count("*").alias("active"), F.round(v.exact_mean("score_all"), 2).alias("avg_score"),
+    return joined.agg(F.count("*").alias("active"), v.tidy(v.exact_mean("score_all"), 2).alias("avg_score"),
                       F.max_by("player_name", F.struct("score_all", "player_name")).alias("top_player"), F.sum("runs_this_week").alias("keys_this_week"))
 
 
@@ -378,17 +378,17 @@ def matrix_summary(dungeons: DataFrame, runners: DataFrame, **options) -> DataFr
     timed = own.filter("highest_timed_level > 0")
     median = ordered.exact_quantiles(timed, [], "highest_timed_level", {"m": 0.5}, **options).select("m")
     base = own.agg(F.count_if(c("highest_timed_level") > 0).alias("timed_cells"), F.max("highest_key_level").alias("best_key"),
-                   F.round(_mean(F.when(c("highest_timed_level") > 0, c("highest_timed_level"))), 4).alias("avg_timed"))
+                   v.tidy(_mean(F.when(c("highest_timed_level") > 0, c("highest_timed_level"))), 4).alias("avg_timed"))
     cells = base.select("*", (players.scalar() * kinds.scalar()).alias("total_cells"), F.coalesce(median.scalar(), F.lit(0.0)).alias("median_timed"))
-    return cells.withColumn("coverage_pct", F.round(v.ratio("timed_cells", "total_cells") * 100, 2))
+    return cells.withColumn("coverage_pct", v.tidy(v.ratio("timed_cells", "total_cells") * 100, 2))
 
 
 def score_trajectory(history: DataFrame, runners: DataFrame) -> DataFrame:
     roles = runners.groupBy("player_name").agg(F.max("role").alias("role"))
     scored = history.filter("score_all > 0").join(roles, "player_name")
     return scored.groupBy("snapshot_date").agg(
-        *[F.round(v.exact_mean(F.when(c("role") == r, c("score_all"))), 4).alias(r) for r in ("dps", "healer", "tank")],
-        F.round(v.exact_mean("score_all"), 4).alias("all_roles"))
+        *[v.tidy(v.exact_mean(F.when(c("role") == r, c("score_all"))), 4).alias(r) for r in ("dps", "healer", "tank")],
+        v.tidy(v.exact_mean("score_all"), 4).alias("all_roles"))
 
 
 def push_candidates(dungeons: DataFrame, runners: DataFrame) -> DataFrame:
@@ -469,8 +469,8 @@ def parse_shape(roster: DataFrame) -> DataFrame:
         "Uniform": bounded(1 - size / 0.8 - F.abs(c("kurt") - 1.8) / 1.4 - F.when(c("peaks") > 2, 0.2).otherwise(0.0), 0.82)}
     weighted = base.select("*", F.array(*[F.struct(F.exp(s * 4).alias("w"), F.lit(t).alias("t")) for t, s in scores.items()]).alias("all"))
     best = weighted.select("*", F.array_max("all").alias("top"), F.aggregate("all", F.lit(0.0), lambda acc, x: acc + x["w"]).alias("sum"))
-    return best.select("n", "peaks", F.round("sd", 6).alias("standard_deviation"), F.round("skew", 6).alias("skewness"), F.round("kurt", 6).alias("kurtosis"),
-                       c("top.t").alias("type"), F.round(c("top.w") / c("sum") * 100, 4).alias("probability"))
+    return best.select("n", "peaks", v.tidy("sd", 6).alias("standard_deviation"), v.tidy("skew", 6).alias("skewness"), v.tidy("kurt", 6).alias("kurtosis"),
+                       c("top.t").alias("type"), v.tidy(c("top.w") / c("sum") * 100, 4).alias("probability"))
 
 
 # --- wipes ---------------------------------------------------------------------------------
@@ -491,8 +491,8 @@ def scoped_survivability(roster: DataFrame, deaths: DataFrame, summary: DataFram
     pulls = merged.withColumn("pulls_tracked", c("kills_tracked") + c("_wipes"))
     return pulls.select(
         "player_name", "player_class", "total_deaths", "wipe_deaths", "kill_deaths", "kills_tracked", "pulls_tracked",
-        F.when(c("kills_tracked") > 0, F.round(v.ratio("total_deaths", "kills_tracked"), 4)).alias("deaths_per_kill"),
-        F.when(c("pulls_tracked") > 0, F.round(v.ratio("total_deaths", "pulls_tracked"), 4)).alias("deaths_per_pull"),
+        F.when(c("kills_tracked") > 0, v.tidy(v.ratio("total_deaths", "kills_tracked"), 4)).alias("deaths_per_kill"),
+        F.when(c("pulls_tracked") > 0, v.tidy(v.ratio("total_deaths", "pulls_tracked"), 4)).alias("deaths_per_pull"),
         F.coalesce("most_common_killing_blow", F.lit("")).alias("most_common_killing_blow"), "most_common_killing_blow_count")
 
 
@@ -500,7 +500,7 @@ def cooldown_capacity(utilization: DataFrame) -> DataFrame:
     sums = utilization.groupBy("cooldown_category", "player_name", "ability_id").agg(
         F.max("ability_name").alias("ability_name"), *[F.sum(n).alias(n) for n in ("possible_casts", "actual_casts", "missed_casts")],
         F.count("*").alias("pulls_tracked"))
-    return sums.withColumn("cast_efficiency_pct", F.when(c("possible_casts") > 0, F.round(c("actual_casts") / c("possible_casts") * 100, 4)).otherwise(0.0))
+    return sums.withColumn("cast_efficiency_pct", F.when(c("possible_casts") > 0, v.tidy(c("actual_casts") / c("possible_casts") * 100, 4)).otherwise(0.0))
 
 
 def top_missed_cooldowns(utilization: DataFrame, category: str, n: int = 8) -> DataFrame:
@@ -536,9 +536,9 @@ def wipe_kpis(wipes: DataFrame, mechanics: DataFrame, deaths: DataFrame) -> Data
     entries = F.array(*[F.struct(c(n).alias("w"), F.lit(-i).alias("o"), F.lit(label).alias("l")) for i, (label, n) in enumerate(_LENGTHS.items())])
     top = F.array_max(entries)
     share = v.ratio(top["w"], "total_wipes")
-    return base.select("total_wipes", "wipe_deaths", *_LENGTHS.values(), F.round(v.ratio("wipes_lt_1min", "total_wipes"), 4).alias("early_wipe_rate"),
-                       F.round(v.ratio("wipes_5plus_min", "total_wipes"), 4).alias("late_wipe_rate"),
-                       F.round(v.ratio("wipe_deaths", "total_wipes"), 4).alias("deaths_per_wipe"),
+    return base.select("total_wipes", "wipe_deaths", *_LENGTHS.values(), v.tidy(v.ratio("wipes_lt_1min", "total_wipes"), 4).alias("early_wipe_rate"),
+                       v.tidy(v.ratio("wipes_5plus_min", "total_wipes"), 4).alias("late_wipe_rate"),
+                       v.tidy(v.ratio("wipe_deaths", "total_wipes"), 4).alias("deaths_per_wipe"),
                        F.when((c("total_wipes") > 0) & (share >= 0.4), top["l"]).alias("dominant_length"))
 
 
@@ -634,5 +634,5 @@ def scope_signals(wipes: DataFrame, progression: DataFrame, deaths: DataFrame) -
     killer = recurring_killers(deaths, 1).select("killing_blow_name")
     leader = first_death_leaders(deaths).agg(F.max_by("player_name", F.struct("first_deaths", "player_name")).alias("x"))
     open_bosses = progression.agg(F.count_if(~F.coalesce("is_killed", F.lit(False))).alias("n"))
-    return base.select("total_wipes", c("top.l").alias("top_blocker"), F.round(v.ratio("top.w", "total_wipes") * 100, 2).alias("top_blocker_pct"),
+    return base.select("total_wipes", c("top.l").alias("top_blocker"), v.tidy(v.ratio("top.w", "total_wipes") * 100, 2).alias("top_blocker_pct"),
                        open_bosses.scalar().alias("unresolved"), killer.scalar().alias("top_killer"), leader.scalar().alias("first_death_leader"))

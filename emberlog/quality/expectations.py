@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from emberlog.functions.values import tidy
+
 # Shared rules, name -> SQL condition.
 RULES = {
     "valid_id": "id IS NOT NULL AND id > 0",
@@ -44,4 +46,4 @@ def expectation_report(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     entries = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("failed_rows")) for n in rules])
     flat = counted.select("_rows", F.explode(entries).alias("e"))
     return flat.select("e.rule", F.col("_rows").alias("total_rows"), "e.failed_rows",
-                       F.round(F.col("e.failed_rows") / F.greatest("_rows", F.lit(1)), 4).alias("failed_share"))
+                       tidy(F.col("e.failed_rows") / F.greatest("_rows", F.lit(1)), 4).alias("failed_share"))

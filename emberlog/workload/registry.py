@@ -34,6 +34,33 @@ def mean(x: str) -> str:
     return f"(CAST(SUM(CAST({x} AS DECIMAL(18,4))) AS DOUBLE) / NULLIF(COUNT({x}), 0))"
 
 
+def half_up(sql: str) -> str:
+    """Two-argument ROUND as half up on the decimal value, the rule the library rounds by.
+
+    Plain ROUND of a binary fraction is left to each engine at a tie such as 0.285.
+    """
+    out, at = [], 0
+    for found in re.finditer(r"\bROUND\(", sql):
+        if found.start() < at:
+            continue
+        depth, comma, end = 1, None, found.end()
+        while depth:
+            char = sql[end]
+            depth += (char in "([") - (char in ")]")
+            if char == "," and depth == 1:
+                comma = end
+            end += 1
+        inner = sql[found.end():end - 1]
+        if comma is None:
+            text = f"ROUND({half_up(inner)})"
+        else:
+            value, places = half_up(sql[found.end():comma]), sql[comma + 1:end - 1].strip()
+            text = f"CAST(ROUND(CAST({value} AS DECIMAL(28,9)), {places}) AS DOUBLE)"
+        out += [sql[at:found.start()], text]
+        at = end
+    return "".join([*out, sql[at:]])
+
+
 def _load() -> None:
     from emberlog.workload import q_gold, q_operators, q_quality, q_silver, q_views  # noqa: F401
 
@@ -45,4 +72,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     _load()
-    return {n: re.sub(r"[ \t]*\n[ \t]*", "\n", with_domain(s, "duckdb", ORACLE_CTES)) for n, s in _SQL.items()}
+    return {n: half_up(re.sub(r"[ \t]*\n[ \t]*", "\n", with_domain(s, "duckdb", ORACLE_CTES))) for n, s in _SQL.items()}
