@@ -208,7 +208,8 @@ def player_combatant_buffs(combatants: DataFrame, fights: DataFrame, actors: Dat
              "weapon": (rules.WEAPON_NAMES, rules.WEAPON_KEYWORDS)}
 
     def tagged(kind: str, names: Column) -> Column:
-        return F.transform(names, lambda n: F.struct(F.lit(kind).alias("kind"), n.alias("name")))
+        known = F.coalesce(names, F.array().cast("array<string>"))
+        return F.transform(known, lambda n: F.struct(F.lit(kind).alias("kind"), n.alias("name")))
 
     found = F.concat(tagged("talent", F.col("talent_spell_ids")), *[tagged(k, nm.classify_names("aura_names", *lists)) for k, lists in kinds.items()])
     keys = ["report_code", "fight_id", "player_name", "player_class"]

@@ -265,3 +265,12 @@ def test_item_level_falls_back(spark):
                                    "player_name STRING, avg_item_level DOUBLE, raid_night_date STRING, report_code STRING, fight_id INT")
     summary = spark.createDataFrame([("Cy", 30.0), ("Bob", 7.0)], "player_name STRING, avg_item_level DOUBLE")
     assert flat(item_levels(gear, roster, summary), "player_name", "item_level") == [("Ann", 10.0), ("Bob", 20.0), ("Cy", 30.0)]
+
+
+def test_missing_auras_or_talents_keep_the_other(spark, fight_world):
+    fights, actors = fight_world
+    raw = landed(spark, "fight_casts", casts_record((), [{"timestamp": 1, "sourceID": 1, "fight": 1, "talentTree": [{"id": 5}]}, {"timestamp": 1, "sourceID": 2, "fight": 1, "auras": [{"name": "Well Fed"}]},
+                                                         {"timestamp": 1, "sourceID": 2, "fight": 2}]))
+    got = silver.player_combatant_buffs(silver.parsed_combatants(raw), fights, actors)
+    assert flat(got, "player_name", "fight_id", "talent_spell_ids", "has_food_buff", "food_buff_names") == [
+        ("Ann", 1, ["5"], False, None), ("Bob", 1, [], True, "Well Fed"), ("Bob", 2, [], False, None)]
