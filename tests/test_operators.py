@@ -163,3 +163,18 @@ def test_union_equals_full_outer(spark):
 def test_stored_keeps_rows_and_schema(spark):
     df = table(spark, [(1, ["a"], None)], T.StructType([T.StructField("i", T.IntegerType()), T.StructField("l", T.ArrayType(T.StringType())), T.StructField("n", T.StringType())]))
     assert collected(stored(df)) == collected(df)
+
+
+def test_hot_key_spreads_over_slices(spark, readings, monkeypatch):
+    """The stored slices cut the hot key, so no task orders all of its rows."""
+    kept = []
+
+    def keep(df):
+        kept.append(stored(df))
+        return kept[-1]
+
+    monkeypatch.setattr(ordered, "stored", keep)
+    df = table(spark, readings, "id INT, key STRING, at INT, x INT")
+    ordered.running(df, ["key"], [F.col("at").asc(), F.col("id").asc()], {"n": ("row", None)}, parts=6, distributed=True).count()
+    slices = kept[0].filter("key = 'hot'").groupBy("_slice").count().collect()
+    assert len(slices) > 1 and max(r["count"] for r in slices) < 200
