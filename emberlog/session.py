@@ -31,12 +31,19 @@ def build_session(app: str = "emberlog", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the cluster; a temporary one only where none is named (tests)."""
+def work_folder(spark: SparkSession) -> str:
+    """A fresh path in the folder that the driver and all executors share.
+
+    The folder is the one ``spark.checkpoint.dir`` names. Where it is unset a temporary one is made,
+    which only a local master can share with its executors; any other master is an error.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="emberlog-ckpt-"))
-    return context.getCheckpointDir()
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="emberlog-ckpt-"))
+    return f"{context.getCheckpointDir()}/emberlog-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -45,7 +52,7 @@ def stored(df: DataFrame) -> DataFrame:
     It cuts the lineage, survives lost executors, and gives later plans true sizes, so Spark can
     pick broadcast joins where a side really is small.
     """
-    path = f"{_shared_folder(df.sparkSession)}/emberlog-{uuid.uuid4().hex}"
+    path = work_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +28,7 @@ def cents(column: str):
 
 def folder(dom: Domain) -> str:
     """A new folder of its own inside the shared checkpoint folder."""
-    return f"{session._shared_folder(dom.spark)}/run-{uuid.uuid4().hex}"
+    return session.work_folder(dom.spark)
 
 
 # --- scans, sinks, streams -----------------------------------------------------------------
