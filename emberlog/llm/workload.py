@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bloom_dedup, fair_mix, url_reputation
+from emberlog.llm import bloom_dedup, bpe, fair_mix, language_id, secret_ownership, url_reputation, warc_bundles
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -89,6 +89,85 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
+# --- op3: language id ----------------------------------------------------------------------
+
+@query("op3_word_backoff_language")
+def op3_word_backoff_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn from the rows that are not held out, predict all; SQL cannot hold the model, tests compare with brute force."""
+    docs = table(spark, sf_dir, "documents")
+    outside = language_id.held_out(F.col("doc_id"))
+    model = language_id.train(docs.filter(F.col("doc_id").isNotNull() & ~outside))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", outside.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+# --- op5: WARC -----------------------------------------------------------------------------
+
+@query("op5_seekable_warc", """
+WITH hashed AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+grouped AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN MAX(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS largest FROM hashed)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS NOT DISTINCT FROM largest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM largest THEN largest END AS refers_to FROM grouped""")
+def op5_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages, then read every bundle back."""
+    folder, _ = warc_bundles.archive(table(spark, sf_dir, "pages"))
+    found = warc_bundles.read_bundles(spark, folder)
+    return found.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+# --- op6: byte-level BPE -------------------------------------------------------------------
+
+def vocabulary_path() -> str:
+    """The vocabulary file that the query names; the operator takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op6_numpy_bpe")
+def op6_numpy_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and round trip of every text; tests compare with the tokenizers library."""
+    tokenizer = bpe.Tokenizer.read(spark, vocabulary_path())
+    found = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer, decoded=True)
+    return found.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded_text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+# --- op7: secrets --------------------------------------------------------------------------
+
+_ASSIGN_SQL = secret_ownership.ASSIGN.replace("'", "''")
+
+
+def _spans_sql(pattern: str, group: int, kind: int, keep: str) -> str:
+    """One row per document: list of kept spans (start, kind, end, value) from gap and match lengths."""
+    gaps, whole = f"string_split_regex(t, '{pattern}')", f"regexp_extract_all(t, '{pattern}', 0)"
+    place = "list_sum(list_transform(g[:i], lambda x: len(x))) + coalesce(list_sum(list_transform(m[:i - 1], lambda x: len(x))), 0)"
+    spans = f"list_transform(range(1, len(m) + 1), lambda i: {{'s': CAST({place} AS BIGINT), 'k': {kind}, 'e': CAST({place} + len(m[i]) AS BIGINT), 'v': v[i]}})"
+    return f"(SELECT list_filter({spans}, lambda x: {keep}) FROM (SELECT {gaps} AS g, {whole} AS m, regexp_extract_all(t, '{pattern}', {group}) AS v))"
+
+
+@query("op7_secret_ownership", f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+found AS (SELECT r, doc_id, source,
+    {_spans_sql(_ASSIGN_SQL, 2, 0, 'len(x.v) >= 6')} AS assign, {_spans_sql(secret_ownership.ACCESS, 0, 1, 'true')} AS access,
+    {_spans_sql(secret_ownership.HEX, 0, 2, 'true')} AS hex,
+    {_spans_sql(secret_ownership.BARE, 0, 3, "regexp_matches(x.v, '[0-9]') AND regexp_matches(x.v, '[A-Za-z]')")} AS bare FROM docs),
+candidates AS (SELECT r, doc_id, source, unnest(assign || access || hex || bare) AS c FROM found),
+counts AS (SELECT c.v AS v, COUNT(DISTINCT coalesce(source, '<null>')) AS owners, COUNT(DISTINCT (source, doc_id)) AS repositories FROM candidates GROUP BY c.v),
+live AS (SELECT r, list_sort(list_distinct(list({{'s': c.e - len(c.v), 'k': 3, 'e': c.e, 'v': c.v}}))) AS live
+         FROM candidates JOIN counts ON c.v = counts.v WHERE owners <= 1 AND repositories <= 3 GROUP BY r),
+merged AS (SELECT f.*, list_sort(assign || access || hex) AS base, list_sort(assign || access || hex || coalesce(live, [])) AS every FROM found f LEFT JOIN live USING (r))
+SELECT doc_id, CAST(len(assign) AS BIGINT) AS n_assign, CAST(len(access) AS BIGINT) AS n_access, CAST(len(hex) AS BIGINT) AS n_hex,
+       sha256(array_to_string(list_transform(base, lambda x: ['assign', 'access', 'hex', 'live'][x.k + 1] || ':' || x.s || ':' || x.e), ',')) AS base_sha256,
+       array_to_string(list_transform(every, lambda x: ['assign', 'access', 'hex', 'live'][x.k + 1] || ':' || x.s || ':' || x.e), ',') AS spans
+FROM merged""")
+def op7_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_ownership.scan(table(spark, sf_dir, "documents"))
+    base = F.col("base")
+    return found.select("doc_id", *(secret_ownership.count_of(base, k).alias(f"n_{secret_ownership.KINDS[k]}") for k in range(3)),
+                        F.sha2(secret_ownership.span_text(base).cast("binary"), 256).alias("base_sha256"),
+                        secret_ownership.span_text(F.sort_array(F.concat("base", "live"))).alias("spans"))
+
+
 # --- op8: mixing ---------------------------------------------------------------------------
 
 @query("op8_fair_mix", r"""
