@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bloom_dedup, bpe, fair_mix, language_id, secret_ownership, url_reputation, warc_bundles
+from emberlog.llm import bloom_dedup, bpe, fair_mix, hash_search, language_id, secret_ownership, url_reputation, warc_bundles
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -101,6 +101,14 @@ def op3_word_backoff_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", outside.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+# --- op4: nearest neighbours ---------------------------------------------------------------
+
+@query("op4_multi_index_hashing")
+def op4_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every twentieth id against all rows; tests measure recall against brute force."""
+    return hash_search.nearest(table(spark, sf_dir, "embeddings"), query_step=20)
+
+
 # --- op5: WARC -----------------------------------------------------------------------------
 
 @query("op5_seekable_warc", """
