@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bloom_dedup, bpe, fair_mix, hash_search, language_id, secret_ownership, url_reputation, warc_bundles
+from emberlog.llm import bloom_dedup, bpe, fair_mix, hash_search, jaccard_join, language_id, secret_ownership, url_reputation, warc_bundles
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -209,3 +209,21 @@ SELECT doc_id, MAX(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, COUNT(*)
 def op9_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bloom_dedup.annotate(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+
+
+# --- op10: near duplicates -----------------------------------------------------------------
+
+@query("op10_prefix_jaccard", r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+                             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
+rows AS (SELECT doc_id, unnest(s) AS x, len(s) AS n FROM sets),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b FROM rows a JOIN rows b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * COUNT(*) >= 90 * (a.n + b.n - COUNT(*))),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (
+  WITH RECURSIVE r(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM r JOIN links l ON r.b = l.a) SELECT a, MIN(b) AS b FROM r GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(reach.b, doc_id)) AS component_id FROM sets LEFT JOIN reach ON reach.a = doc_id""")
+def op10_prefix_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three-word shingles, similarity of 0.9 or more."""
+    return jaccard_join.cluster(table(spark, sf_dir, "documents"), k=3, percent=90)
