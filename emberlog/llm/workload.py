@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bloom_dedup, bpe, fair_mix, hash_search, jaccard_join, language_id, secret_ownership, url_reputation, warc_bundles
+from emberlog.llm import bloom_dedup, bpe, fair_mix, hash_search, jaccard_join, language_id, secret_ownership, suffix_dedup, url_reputation, warc_bundles
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -89,6 +89,17 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
+# --- op2: repeated strings -----------------------------------------------------------------
+
+@query("op2_suffix_family_dedup")
+def op2_suffix_family_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings of 100 bytes over all documents; tests compare with brute force."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    n_bytes = F.octet_length("text").cast("long")
+    return found.select("doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.octet_length("kept_bytes")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 # --- op3: language id ----------------------------------------------------------------------
 
 @query("op3_word_backoff_language")
