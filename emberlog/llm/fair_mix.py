@@ -123,3 +123,20 @@ def _edge(queued: DataFrame, budget_share: float, max_repeats: int) -> tuple[flo
     last = step.filter(F.col("through") <= budget_share * words_in_all).orderBy(F.desc("through")).select("finish", "rank", "place").first()
     # nothing of the step fits: all before it is taken, nothing in it
     return tuple(last) if last else (over["step"] / per_unit, 0, -1)
+
+
+def take(df: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **options) -> DataFrame:
+    """The mix itself: the rows of ``df``, each as often as it is taken.
+
+    Only ids, hashes and copies go through the queue; texts shuffle once, when they are repeated. Rows
+    equal in id, source and text are one document here, which comes out as often as all of them are taken.
+    """
+    if clash := {"mix_tag", "mix_copies"} & set(df.columns):
+        raise ValueError(f"reserved column names: {sorted(clash)}")
+    tag = F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(source).cast("string"), F.lit("")))
+    tagged = df.withColumn("mix_tag", tag)
+    copies = mix(tagged, text, source, doc_id, keep=("mix_tag",), **options).groupBy("doc_id", "mix_tag").agg(F.sum("copies").cast("int").alias("mix_copies"))
+    copies = stored(copies.filter("mix_copies > 0").withColumnsRenamed({"doc_id": "m_id", "mix_tag": "m_tag"}))
+    distinct = tagged.dropDuplicates([doc_id, "mix_tag"])
+    joined = distinct.join(copies, distinct[doc_id].eqNullSafe(copies["m_id"]) & (distinct["mix_tag"] == copies["m_tag"]))
+    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(*df.columns)

@@ -52,8 +52,8 @@ def _slots(shingles: np.ndarray) -> np.ndarray:
 
 
 def _classes_and_counts(k: int, id_type: pa.DataType):
-    """Rows (doc_id, n, class) of all documents, then the task's sketch in packed chunks."""
-    names = ["doc_id", "n", "class", "chunk", "counts"]
+    """Rows (doc_id, tag, n, class) of all documents, then the task's sketch in packed chunks."""
+    names = ["doc_id", "tag", "n", "class", "chunk", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
@@ -62,10 +62,10 @@ def _classes_and_counts(k: int, id_type: pa.DataType):
             if sets:
                 slots, seen = np.unique(_slots(np.concatenate(sets)), return_counts=True)
                 counts[slots] += seen.astype(np.uint32)
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()), pa.array([class_of(s) for s in sets], pa.binary()),
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("tag"), pa.array([len(s) for s in sets], pa.int32()), pa.array([class_of(s) for s in sets], pa.binary()),
                                               pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names=names)
         chunks = [(i, c) for i, c in enumerate(counts.reshape(-1, CHUNK)) if c.any()]
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(chunks), id_type), pa.nulls(len(chunks), pa.int32()), pa.nulls(len(chunks), pa.binary()),
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(chunks), id_type), pa.nulls(len(chunks), pa.int64()), pa.nulls(len(chunks), pa.int32()), pa.nulls(len(chunks), pa.binary()),
                                           pa.array([i for i, _ in chunks], pa.int32()), pa.array([zlib.compress(c.tobytes(), 1) for _, c in chunks], pa.binary())], names=names)
     return run
 
@@ -282,22 +282,42 @@ def link_classes(docs: DataFrame, sized: DataFrame, sketch, k: int, percent: int
     return components(near.unionByName(rest))
 
 
-def cluster(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 80) -> DataFrame:
-    """One row per input row: ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links, its own included)."""
+def linked_rows(df: DataFrame, text: str, doc_id: str, k: int, percent: int) -> DataFrame:
+    """``doc_id, tag`` (hash of the text)``, n, class, component`` of every row, the last null without shingles."""
     spark = df.sparkSession
-    docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tag"))
     id_sql = docs.schema["doc_id"].dataType.simpleString()
     id_type = docs.select("doc_id").limit(0).toArrow().schema.field(0).type
-    first = stored(docs.mapInArrow(_classes_and_counts(k, id_type), f"doc_id {id_sql}, n int, class binary, chunk int, counts binary"))
-    sized = first.filter("class IS NOT NULL").select("doc_id", "n", "class")
+    first = stored(docs.mapInArrow(_classes_and_counts(k, id_type), f"doc_id {id_sql}, tag long, n int, class binary, chunk int, counts binary"))
+    sized = first.filter("class IS NOT NULL").select("doc_id", "tag", "n", "class")
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
     for row in first.filter("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(_add_counts, "chunk int, counts binary").collect():
         sketch[row["chunk"] * CHUNK:(row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
-    linked = stored(link_classes(docs, sized, spark.sparkContext.broadcast(sketch), k, percent))
+    linked = stored(link_classes(docs.select("doc_id", "text"), sized, spark.sparkContext.broadcast(sketch), k, percent))
+    linked = linked.select("node", F.col("component").alias("reached"))
+    found = sized.join(linked, F.col("class") == F.col("node"), "left")
+    return stored(found.select("doc_id", "tag", "n", "class", F.when(F.col("n") > 0, F.coalesce("reached", "class")).alias("component")))
 
-    classes = sized.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
-    classes = stored(classes.join(linked, classes["class"] == linked["node"], "left").select("class", "least", F.coalesce("component", "class").alias("component")))
-    ids = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = stored(classes.join(ids, "component").select(F.col("class").alias("c"), "component_id"))
-    found = sized.join(ids, (F.col("class") == F.col("c")) & (F.col("n") > 0), "left")
+
+def cluster(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 80) -> DataFrame:
+    """One row per input row: ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links, its own included)."""
+    rows = linked_rows(df, text, doc_id, k, percent)
+    ids = stored(rows.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("component", "c"))
+    found = rows.join(ids, F.col("component") == F.col("c"), "left")
     return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def keep_one(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``df`` without near duplicates: of each component the row with the smallest id, then hash of text, stays.
+
+    Rows without shingles all stay. Only the ids of the rows to drop are joined to the texts, by id
+    and hash, so no component meets in one task. Rows equal in id and text stay or go together.
+    """
+    if "near_tag" in df.columns:
+        raise ValueError("reserved column name: near_tag")
+    rows = linked_rows(df, text, doc_id, k, percent)
+    winners = stored(rows.filter("n > 0").groupBy("component").agg(F.min(F.struct("doc_id", "tag")).alias("winner")).withColumnRenamed("component", "c"))
+    losers = rows.join(winners, F.col("component") == F.col("c")).filter(F.struct("doc_id", "tag") > F.col("winner"))
+    losers = stored(losers.select(F.col("doc_id").alias("l_id"), F.col("tag").alias("l_tag")))
+    tagged = df.withColumn("near_tag", F.xxhash64(text))
+    return tagged.join(losers, tagged[doc_id].eqNullSafe(losers["l_id"]) & (tagged["near_tag"] == losers["l_tag"]), "left_anti").drop("near_tag")
