@@ -37,6 +37,7 @@ from emberlog.session import stored
 SKETCH_BITS = 22
 CHUNK = 1 << 16
 CELL_CLASSES = 512
+WHOLE_LIST = 2048
 SUFFIX_PARTS = 16
 _U = np.uint64
 
@@ -157,21 +158,59 @@ def _first_pairs(percent: int):
     return run
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop repeated rows and lists of one class from rows sorted by (shingle, class)."""
-    held = None  # the last new row, not yet known to have company
-    in_list = False
-    for batch in batches:
-        keep: list[tuple] = []
-        for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if held is not None and row[0] == held[0]:
-                if row[1] != held[1]:
-                    keep += [row] if in_list else [held, row]
-                    held, in_list = row, True
-            else:
-                held, in_list = row, False
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in keep], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.int32(), pa.int32()))],
-                                         names=["shingle", "class", "n", "pos"])
+def viable(n: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
+    """Which members of a list have a partner in it that length and place of the shared shingle allow."""
+    rest = n - pos
+    fits = np.minimum(rest[:, None], rest[None, :]) >= least_overlap(n[:, None], n[None, :], percent)
+    fits &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
+    np.fill_diagonal(fits, False)
+    return fits.any(1)
+
+
+def _lists(percent: int):
+    """Of rows sorted by (shingle, class): one row per class, of the lists and members that can give a pair.
+
+    A list of more than ``WHOLE_LIST`` members is passed on whole, row by row, without being held.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        long_list = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            shingle = rows["shingle"].to_numpy()
+            last = int(np.searchsorted(shingle, shingle[-1])) if len(shingle) else 0
+            if len(shingle) - last > WHOLE_LIST:
+                long_list, last = shingle[-1], len(shingle)
+            yield from _viable_rows(rows.slice(0, last), percent, long_list)
+            held = rows.slice(last)
+        if held is not None:
+            yield from _viable_rows(held, percent, long_list)
+    return run
+
+
+def _viable_rows(rows: pa.Table, percent: int, long_list: int | None) -> Iterator[pa.RecordBatch]:
+    rows = rows.combine_chunks()
+    if not len(rows):
+        return
+    shingle, n, pos = rows["shingle"].to_numpy(), rows["n"].to_numpy().astype(np.int64), rows["pos"].to_numpy().astype(np.int64)
+    names = np.frombuffer(b"".join(rows["class"].to_pylist()), np.uint64).reshape(-1, 2)
+    new = np.ones(len(shingle), bool)
+    new[1:] = (shingle[1:] != shingle[:-1]) | (names[1:] != names[:-1]).any(1)
+    at = np.flatnonzero(new)
+    starts = np.flatnonzero(np.diff(shingle[at], prepend=shingle[0] ^ 1))
+    sizes = np.diff(starts, append=len(at))
+    keep = np.zeros(len(at), bool)
+    two = starts[sizes == 2]
+    if len(two):
+        i, j = at[two], at[two + 1]
+        fine = (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= least_overlap(n[i], n[j], percent)) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+        keep[two[fine]] = keep[two[fine] + 1] = True
+    for start, size in zip(starts[sizes > 2], sizes[sizes > 2]):
+        inside = at[start:start + size]
+        keep[start:start + size] = viable(n[inside], pos[inside], percent) if size <= WHOLE_LIST else True
+    if long_list is not None:
+        keep |= shingle[at] == long_list
+    yield from rows.take(pa.array(at[keep])).to_batches()
 
 
 def _ordered_sets(k: int, shared):
@@ -257,7 +296,7 @@ def _check_cells(percent: int):
 def link_classes(docs: DataFrame, sized: DataFrame, sketch, k: int, percent: int) -> DataFrame:
     """``node, component`` over the classes of ``docs`` (doc_id, text) that have a link; ``sized`` has (doc_id, n, class)."""
     lists = docs.mapInArrow(_prefixes(k, percent, sketch), "shingle long, class binary, n int, pos int").repartition("shingle").sortWithinPartitions("shingle", "class")
-    lists = stored(lists.mapInArrow(_lists, "shingle long, class binary, n int, pos int"))
+    lists = stored(lists.mapInArrow(_lists(percent), "shingle long, class binary, n int, pos int"))
 
     pairs = lists.repartition("shingle").sortWithinPartitions("shingle", "class").mapInArrow(_first_pairs(percent), "a binary, b binary").distinct()
     pairs = stored(pairs)
