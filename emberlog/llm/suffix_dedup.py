@@ -9,15 +9,17 @@ enough to compare strings that share an anchor. The context of an anchor is all
 can cover. Three passes over the texts keep what is moved small:
 
 1. A filter, sized by the data, of the grams that may occur twice. Unique grams are not looked at again.
-2. Contexts, as 128-bit fingerprints. Every context but the first of its kind is removed whole. Only
-   grams with several different contexts, the ends of repeated passages, need more.
+2. Contexts, as 128-bit fingerprints. Every context but the first of its kind is removed whole; of copies
+   in one block of texts only the first is shuffled. Only grams with several different contexts, the ends
+   of repeated passages, need more.
 3. First contexts of those grams go, with their bytes, to index families, dealt by gram. A family takes
    its contexts in document order, in batches. A new batch gets a suffix array of its strings; the array
    is merge-scanned against the existing levels, where a match means that the string starts earlier; the
    strings that are new become a level, and levels of equal rank merge, so there are logarithmically many.
 
-Copies, however many, are settled in step 2 by aggregation. A gram with more than ``FAMILY_CONTEXTS``
-different contexts is not given to one family: its strings are dealt by their own fingerprints instead.
+The filters only decide what is looked at: a wrong hit costs work and changes no result. A gram with more
+than ``FAMILY_CONTEXTS`` different contexts is not given to one family: its strings are dealt by their own
+fingerprints instead.
 
 Defined cases: a null text is empty; texts under ``LENGTH`` bytes lose nothing. A null id is smaller
 than any other. Rows that share an id are ordered by a hash of their texts; rows equal in both count as
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm.blocks import text_blocks
@@ -215,34 +217,72 @@ def _place_hash(first: np.ndarray, second: np.ndarray, place: np.ndarray) -> np.
     return mixed(first + mixed(second ^ mixed(place.astype(_U))))
 
 
+def _pack(pos: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Place in the document and reach to both sides in one number, in the order of places."""
+    return pos << 14 | left << 7 | right
+
+
 def _context_rows(repeated):
-    """(gram, f1, f2, doc_id, tag, pos, reach_left, reach_right) of the anchors that pass the filter."""
+    """(gram, f1, f2, doc_id, tag, place) of the first anchor of each context in a block; of later ones their whole context as a range.
+
+    A range has no gram, and ``f1`` and ``place`` as its ends.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text"):
             found = Anchors(block.column("text"))
             if repeated is not None:
                 found.keep(_in_filter(repeated.value, found.gram))
             found.contexts()
+            ids = block.column("doc_id").to_pylist()
+            rank = np.empty(len(ids), np.int64)
+            rank[sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, block.column("tag")[i].as_py()))] = np.arange(len(ids))
+            order = np.lexsort((found.at, rank[found.doc], found.second, found.first))
+            later = np.zeros(len(order), bool)
+            later[order[1:]] = (found.first[order[1:]] == found.first[order[:-1]]) & (found.second[order[1:]] == found.second[order[:-1]])
+            start = found.offsets[found.doc]
+            place = _pack(found.at - start, found.at - found.low, found.high - found.at)
             which = pa.array(found.doc)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x.view(np.int64)) for x in (found.gram.astype(_U), found.first, found.second)] + [block.column("doc_id").take(which), block.column("tag").take(which)]
-                + [pa.array(x.astype(np.int32)) for x in (found.at - found.offsets[found.doc], found.at - found.low, found.high - found.at)],
-                names=["gram", "f1", "f2", "doc_id", "tag", "pos", "reach_left", "reach_right"])
+                [pa.array(found.gram.astype(_U).view(np.int64), mask=later), pa.array(np.where(later, found.low - start, found.first.view(np.int64))), pa.array(found.second.view(np.int64)),
+                 block.column("doc_id").take(which), block.column("tag").take(which), pa.array(np.where(later, found.high - start, place))],
+                names=["gram", "f1", "f2", "doc_id", "tag", "place"])
     return run
 
 
-def _context_bytes(wanted):
-    """The same anchors with the bytes of their contexts, of those in the filter of wanted places."""
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (context, document, place): the first of each context as it is, later ones as ranges."""
+    last = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        gram, f1, f2, place = (batch.column(c) for c in ("gram", "f1", "f2", "place"))
+        context = ~np.asarray(gram.is_null())
+        f1, f2, place = (x.to_numpy().copy() for x in (f1, f2, place))
+        before1, before2, was = (np.concatenate([[x], y[:-1]]) for x, y in zip(last or (0, 0, False), (f1, f2, context)))
+        later = context & was.astype(bool) & (f1 == before1) & (f2 == before2)
+        last = (f1[-1], f2[-1], bool(context[-1]))
+        pos, left, right = place >> 14, place >> 7 & 127, place & 127
+        is_range = later | ~context
+        low, high = np.where(later, pos - left, f1), np.where(later, pos + right, place)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(gram.fill_null(0).to_numpy(), mask=is_range), pa.array(f1, mask=is_range), pa.array(f2, mask=is_range), batch.column("doc_id"), batch.column("tag"), pa.array(place, mask=is_range),
+             pa.array(low.astype(np.int32), mask=~is_range), pa.array(high.astype(np.int32), mask=~is_range)],
+            names=["gram", "f1", "f2", "doc_id", "tag", "place", "low", "high"])
+
+
+def _context_bytes(several, firsts):
+    """(gram, doc_id, tag, pos, reach_left, context) of the anchors that pass both filters: of grams with several contexts, and of first places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text"):
             found = Anchors(block.column("text"))
+            found.keep(_in_filter(several.value, found.gram))
             found.contexts()
-            place = found.at - found.offsets[found.doc]
-            at = np.flatnonzero(_in_filter(wanted.value, _place_hash(found.first, found.second, place)))
+            pos, left = found.at - found.offsets[found.doc], found.at - found.low
+            at = np.flatnonzero(_in_filter(firsts.value, _place_hash(found.first, found.second, _pack(pos, left, found.high - found.at))))
             data, which = found.data.tobytes(), pa.array(found.doc[at])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[at].view(np.int64)) for x in (found.first, found.second)] + [block.column("doc_id").take(which), block.column("tag").take(which), pa.array(place[at].astype(np.int32))]
-                + [pa.array([data[a:b] for a, b in zip(found.low[at], found.high[at])], pa.binary())], names=["f1", "f2", "doc_id", "tag", "pos", "context"])
+                [pa.array(found.gram[at].astype(_U).view(np.int64)), block.column("doc_id").take(which), block.column("tag").take(which), pa.array(pos[at].astype(np.int32)), pa.array(left[at].astype(np.int32)),
+                 pa.array([data[a:b] for a, b in zip(found.low[at], found.high[at])], pa.binary())], names=["gram", "doc_id", "tag", "pos", "reach_left", "context"])
     return run
 
 
@@ -285,49 +325,50 @@ def _later(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
     return rows.join(stored(first), same).filter(order > F.col("least"))
 
 
-def removed_ranges(docs: DataFrame, filter_bits: int | None = None, family_contexts: int = FAMILY_CONTEXTS) -> DataFrame:
+def _bits_for(count: int) -> int:
+    return min(MAX_FILTER_BITS, max(CHUNK_BITS, 1 << (count * BITS_PER_ANCHOR).bit_length()))
+
+
+def removed_ranges(docs: DataFrame, max_filter_bits: int = MAX_FILTER_BITS, family_contexts: int = FAMILY_CONTEXTS) -> DataFrame:
     """``doc_id, tag, low, high``: byte ranges to remove, possibly overlapping; ``docs`` has (doc_id, tag, text)."""
     spark = docs.sparkSession
+    chunks = "chunk int, once binary, twice binary"
     id_sql = docs.schema["doc_id"].dataType.simpleString()
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    needed = size // 32 * BITS_PER_ANCHOR  # about one anchor in 32 bytes
-    bits = filter_bits or max(CHUNK_BITS, 1 << int(needed).bit_length())
-    texts, repeated = docs.select("text"), None
-    if bits <= MAX_FILTER_BITS:
-        repeated = spark.sparkContext.broadcast(_filter(texts.mapInArrow(_bit_chunks(bits, _grams), "chunk int, once binary, twice binary"), bits, "twice"))
-    rows = stored(docs.mapInArrow(_context_rows(repeated), f"gram long, f1 long, f2 long, doc_id {id_sql}, tag long, pos int, reach_left int, reach_right int"))
-
-    whole = F.col("reach_left") + F.col("reach_right") >= LENGTH
-    ranges = _later(rows.filter(whole), ["f1", "f2"], "pos").select("doc_id", "tag", (F.col("pos") - F.col("reach_left")).alias("low"), (F.col("pos") + F.col("reach_right")).alias("high"))
-
-    kinds = rows.filter(whole).groupBy("gram", "f1", "f2").agg(F.min(F.struct("doc_id", "tag", "pos", "reach_left")).alias("p"))
-    kinds = stored(kinds.select("gram", "f1", "f2", "p.*"))
-    several = kinds.groupBy("gram").agg(F.count("*").alias("contexts")).filter("contexts > 1").withColumnRenamed("gram", "g")
-    ends = stored(kinds.join(several, F.col("gram") == F.col("g")).drop("g"))
-    count = ends.count()
+    repeated, bits = None, max(CHUNK_BITS, 1 << (size // 32 * BITS_PER_ANCHOR).bit_length())  # about one anchor in 32 bytes
+    if bits <= max_filter_bits:
+        repeated = spark.sparkContext.broadcast(_filter(docs.select("text").mapInArrow(_bit_chunks(bits, _grams), chunks), bits, "twice"))
+    rows = docs.mapInArrow(_context_rows(repeated), f"gram long, f1 long, f2 long, doc_id {id_sql}, tag long, place long")
+    settled = rows.repartition("f1", "f2").sortWithinPartitions("f1", "f2", F.col("gram").isNull(), "doc_id", "tag", "place")
+    settled = stored(settled.mapInArrow(_settle, f"gram long, f1 long, f2 long, doc_id {id_sql}, tag long, place long, low int, high int"))
+    ranges, kinds = settled.filter("gram IS NULL").select("doc_id", "tag", "low", "high"), settled.filter("gram IS NOT NULL")
+
+    count = kinds.count()
     if not count:
         return ranges
-    place_bits = min(MAX_FILTER_BITS, max(CHUNK_BITS, 1 << (count * BITS_PER_ANCHOR).bit_length()))
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        return (b.column(0).to_numpy().view(_U) for b in batches)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
-            f1, f2, pos = (batch.column(i).to_numpy() for i in range(3))
-            yield _place_hash(f1.view(_U), f2.view(_U), pos)
-
-    wanted = spark.sparkContext.broadcast(_filter(ends.select("f1", "f2", "pos").mapInArrow(_bit_chunks(place_bits, places), "chunk int, once binary, twice binary"), place_bits, "once"))
-    found = docs.mapInArrow(_context_bytes(wanted), f"f1 long, f2 long, doc_id {id_sql}, tag long, pos int, context binary")
-    named = ends.select(F.col("f1").alias("e1"), F.col("f2").alias("e2"), F.col("doc_id").alias("e_id"), F.col("tag").alias("e_tag"), F.col("pos").alias("e_pos"), "gram", "reach_left", "contexts")
-    same = (F.col("f1") == F.col("e1")) & (F.col("f2") == F.col("e2")) & (F.col("tag") == F.col("e_tag")) & (F.col("pos") == F.col("e_pos")) & F.col("doc_id").eqNullSafe(F.col("e_id"))
-    found = found.join(named, same).dropDuplicates(["f1", "f2"]).select("gram", "doc_id", "tag", "pos", "reach_left", "context", "contexts")
-    found = stored(found)
-
-    partitions = max(1, -(-count // (2 * BATCH_CONTEXTS)))
-    dealt = found.filter(F.col("contexts") <= family_contexts).repartition(partitions, "gram").sortWithinPartitions("doc_id", "tag", "pos")
-    ranges = ranges.unionByName(dealt.mapInArrow(_family_ranges, f"doc_id {id_sql}, tag long, low int, high int"))
-    if not found.filter(F.col("contexts") > family_contexts).isEmpty():
-        strings = found.filter(F.col("contexts") > family_contexts).mapInArrow(_string_rows, f"s1 long, s2 long, doc_id {id_sql}, tag long, low int")
+            f1, f2, place = (batch.column(i).to_numpy() for i in range(3))
+            yield _place_hash(f1.view(_U), f2.view(_U), place)
+
+    bits = _bits_for(count)
+    several = spark.sparkContext.broadcast(_filter(kinds.select("gram").mapInArrow(_bit_chunks(bits, grams), chunks), bits, "twice"))
+    firsts = spark.sparkContext.broadcast(_filter(kinds.select("f1", "f2", "place").mapInArrow(_bit_chunks(bits, places), chunks), bits, "once"))
+    frequent = stored(kinds.groupBy("gram").count().filter(F.col("count") > family_contexts).select(F.col("gram").alias("g")))
+    contexts = docs.mapInArrow(_context_bytes(several, firsts), f"gram long, doc_id {id_sql}, tag long, pos int, reach_left int, context binary")
+    dealt = contexts
+    if not frequent.isEmpty():
+        dealt = contexts.join(frequent, F.col("gram") == F.col("g"), "left_anti")
+        strings = contexts.join(frequent, F.col("gram") == F.col("g"), "left_semi").mapInArrow(_string_rows, f"s1 long, s2 long, doc_id {id_sql}, tag long, low int")
         ranges = ranges.unionByName(_later(strings, ["s1", "s2"], "low").select("doc_id", "tag", "low", (F.col("low") + LENGTH).cast("int").alias("high")))
-    return ranges
+    # ends of passages are some part of all contexts: partitions sized as if they were a quarter
+    partitions = max(1, -(-count // (8 * BATCH_CONTEXTS)))
+    dealt = dealt.repartition(partitions, "gram").sortWithinPartitions("doc_id", "tag", "pos")
+    return ranges.unionByName(dealt.mapInArrow(_family_ranges, f"doc_id {id_sql}, tag long, low int, high int"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,14 +390,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=[*kept.schema.names, "kept_bytes", "spans"])
 
 
-def tag_of(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")))
-
-
 def remove_repeats(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """``doc_id, text, kept_bytes`` (binary) and ``spans``: maximal removed ranges (low, high) in bytes, per input row."""
-    docs = df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("tag", tag_of(F.col("text")))
-    ranges = removed_ranges(docs, **options).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
+    docs = df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # the tag tells rows of one id apart; where all ids differ it is 0 and costs nothing to move
+    docs, once = docs.withColumn("tag", F.lit(0).cast("long")), None
+    if not docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        docs = docs.withColumn("tag", F.xxhash64("text"))
+        once = docs.dropDuplicates(["doc_id", "tag"])
+    ranges = removed_ranges(docs if once is None else once, **options).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
     ranges = stored(ranges.select(F.col("doc_id").alias("r_id"), F.col("tag").alias("r_tag"), "ranges"))
     joined = docs.join(ranges, docs["doc_id"].eqNullSafe(ranges["r_id"]) & (docs["tag"] == ranges["r_tag"]), "left").select("doc_id", "text", "ranges")
     id_sql = docs.schema["doc_id"].dataType.simpleString()
