@@ -133,7 +133,8 @@ def annotate(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **limits
     hashed = stored(df.select(F.col(doc_id).alias("doc_id"), F.sha2(whole.cast("binary"), 256).alias("text_sha256"), F.xxhash64(whole).alias("bloom_hash")))
     probed = stored(possible_repeats(hashed, **limits).drop("bloom_hash"))
     hits = probed.filter("bloom_hit")
-    groups = hits.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    # stored, so that the join deals its rows anew and Spark can split a large group
+    groups = stored(hits.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
     repeated = hits.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", "text_sha256", "bloom_hit")
     alone = probed.filter("NOT bloom_hit").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "text_sha256", "bloom_hit")
     return alone.unionByName(repeated)

@@ -68,7 +68,7 @@ def rule_for(host: Column, path: Column, rules=RULES) -> Column:
     ordered = sorted(rules, key=lambda r: -len(r[0] + r[1]))
     fits = [((host == h) | host.endswith("." + h)) & path.startswith(p) for h, p, _ in ordered]
     found = [F.struct(F.lit(h + p).alias("rule"), F.lit(v).alias("verdict")) for h, p, v in ordered]
-    return reduce(lambda rest, pair: F.when(*pair).otherwise(rest), reversed(list(zip(fits, found))), F.lit(None))
+    return reduce(lambda rest, pair: F.when(*pair).otherwise(rest), reversed(list(zip(fits, found))), F.lit(None).cast("struct<rule:string,verdict:string>"))
 
 
 def _strength(groups: DataFrame, n: str, bad: str, prior: str) -> float:
@@ -143,7 +143,8 @@ def judge(pages: DataFrame, outcomes: DataFrame, url: str = "url", rules=RULES,
     hosts = hosts.join(by_suffix, F.col("suffix") == F.col("s"), "left")
     mean = F.coalesce("host_mean", "domain_mean", "suffix_mean", F.lit(rate))
     weight = F.coalesce("weight", "strength", F.lit(MIN_STRENGTH))
-    scores = hosts.select(F.col("host").alias("scored"), mean.alias("bad_rate"), lower_bound(mean, weight, sigmas).alias("bad_rate_low"))
+    # stored, so that the join below deals its rows anew and Spark can split a very common host
+    scores = stored(hosts.select(F.col("host").alias("scored"), mean.alias("bad_rate"), lower_bound(mean, weight, sigmas).alias("bad_rate_low")))
 
     read = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     joined = read.join(scores, F.col("host") == F.col("scored"), "left").drop("scored")
