@@ -1,9 +1,11 @@
 """N-gram Jaccard join: rare-first prefix filtering with length, positional and suffix filters.
 
 1. Documents with equal shingle sets form a class; all later work is on classes, so copies cost nothing.
-   The same pass counts shingles in a sketch of fixed size, over all documents.
-2. A set is ordered rarest first by (sketch count, hash). Two sets that reach the threshold share a
-   shingle in their prefixes; prefixes meet in lists, one per shingle, of which single entries go.
+   The same pass counts shingles over all documents: a filter tells those that surely occur once, a
+   sketch of fixed size how frequent the others are.
+2. A set is ordered rarest first by (once, sketch count, hash). Two sets that reach the threshold share a
+   shingle in their prefixes; prefixes meet in lists, one per shingle, of which single entries, and
+   members that no other's length and place allow, go. A shingle that surely occurs once has no list.
 3. Each list first proposes only pairs with its first class, after length and positional filters. They are
    verified once each, and linked classes become components.
 4. Lists whose classes are then still in more than one component are checked whole, in cells of bounded
@@ -29,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberlog.llm.bit_filter import Chunks, bits_for, contains, merged_bits
 from emberlog.llm.blocks import text_blocks
 from emberlog.llm.components import components
 from emberlog.llm.hashing import mixed, shingle_sets
@@ -52,22 +55,28 @@ def _slots(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> _U(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def _classes_and_counts(k: int, id_type: pa.DataType):
-    """Rows (doc_id, tag, n, class) of all documents, then the task's sketch in packed chunks."""
-    names = ["doc_id", "tag", "n", "class", "chunk", "counts"]
+def _classes_and_counts(k: int, id_type: pa.DataType, bits: int):
+    """Rows (doc_id, tag, n, class) of all documents, and the task's filter and sketch in packed chunks."""
+    names, types = ["doc_id", "tag", "n", "class", "chunk", "counts", "once", "twice"], (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        nothing = [pa.nulls(len(rows), t) for t in (id_type, pa.int64(), pa.int32(), pa.binary())]
+        return pa.RecordBatch.from_arrays([*nothing, *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+        counts, seen_bits = np.zeros(1 << SKETCH_BITS, np.uint32), Chunks(bits)
         for block in text_blocks(batches, "text"):
             sets = shingle_sets(block.column("text"), k)
             if sets:
-                slots, seen = np.unique(_slots(np.concatenate(sets)), return_counts=True)
+                together = np.concatenate(sets)
+                slots, seen = np.unique(_slots(together), return_counts=True)
                 counts[slots] += seen.astype(np.uint32)
+                if rows := seen_bits.add(together):
+                    yield packed([(chunk, None, once, twice) for chunk, once, twice in rows])
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("tag"), pa.array([len(s) for s in sets], pa.int32()), pa.array([class_of(s) for s in sets], pa.binary()),
-                                              pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names=names)
-        chunks = [(i, c) for i, c in enumerate(counts.reshape(-1, CHUNK)) if c.any()]
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(chunks), id_type), pa.nulls(len(chunks), pa.int64()), pa.nulls(len(chunks), pa.int32()), pa.nulls(len(chunks), pa.binary()),
-                                          pa.array([i for i, _ in chunks], pa.int32()), pa.array([zlib.compress(c.tobytes(), 1) for _, c in chunks], pa.binary())], names=names)
+                                              *(pa.nulls(len(sets), t) for t in types)], names=names)
+        yield packed([(chunk, None, once, twice) for chunk, once, twice in seen_bits.rows()])
+        yield packed([(i, zlib.compress(c.tobytes(), 1), None, None) for i, c in enumerate(counts.reshape(-1, CHUNK)) if c.any()])
     return run
 
 
@@ -81,9 +90,17 @@ def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary())], names=["chunk", "counts"])
 
 
-def rare_first(shingles: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """The set in the global order; ``shingles`` are sorted by hash."""
-    return shingles[np.argsort(sketch[_slots(shingles)], kind="stable")]
+class Order:
+    """The global order of shingles: those that surely occur once, then by sketch count, then by hash."""
+
+    def __init__(self, sketch: np.ndarray, repeated: np.ndarray):
+        self.sketch, self.repeated = sketch, repeated
+
+    def rare_first(self, shingles: np.ndarray) -> tuple[np.ndarray, int]:
+        """The set, sorted by hash, in the global order; and how many of it surely occur once."""
+        many = contains(self.repeated, shingles)
+        rank = np.where(many, self.sketch[_slots(shingles)].astype(np.int64) + 1, 0)
+        return shingles[np.argsort(rank, kind="stable")], len(many) - int(many.sum())
 
 
 def least_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -109,12 +126,14 @@ def _prefixes(k: int, percent: int, shared):
                     done.clear()  # later copies are only repeated rows
                 done.add(name)
                 length = prefix_length(len(shingles), percent)
-                rows.append((rare_first(shingles, shared.value)[:length], len(shingles)))
-                names.append(name)
+                ordered, single = shared.value.rare_first(shingles)
+                if single < length:
+                    rows.append((ordered[single:length], len(shingles), single))
+                    names.append(name)
             sizes = [len(r[0]) for r in rows]
             if rows:
                 first = np.concatenate([r[0] for r in rows]).view(np.int64)
-                place = np.concatenate([np.arange(s, dtype=np.int32) for s in sizes])
+                place = np.concatenate([np.arange(r[2], r[2] + s, dtype=np.int32) for r, s in zip(rows, sizes)])
                 which = pa.array(np.repeat(np.arange(len(rows)), sizes))
                 yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(names, pa.binary()).take(which), pa.array(np.repeat([r[1] for r in rows], sizes).astype(np.int32)), pa.array(place)],
                                                  names=["shingle", "class", "n", "pos"])
@@ -217,7 +236,7 @@ def _ordered_sets(k: int, shared):
     """(class, shingles in global order) of documents that are the chosen one of their class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text"):
-            found = [(name, rare_first(s, shared.value).tobytes()) for s, name in zip(shingle_sets(block.column("text"), k), block.column("class").to_pylist()) if class_of(s) == name]
+            found = [(name, shared.value.rare_first(s)[0].tobytes()) for s, name in zip(shingle_sets(block.column("text"), k), block.column("class").to_pylist()) if class_of(s) == name]
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.binary()) for i in range(2)], names=["class", "shingles"])
     return run
 
@@ -293,9 +312,9 @@ def _check_cells(percent: int):
     return run
 
 
-def link_classes(docs: DataFrame, sized: DataFrame, sketch, k: int, percent: int) -> DataFrame:
+def link_classes(docs: DataFrame, sized: DataFrame, order, k: int, percent: int) -> DataFrame:
     """``node, component`` over the classes of ``docs`` (doc_id, text) that have a link; ``sized`` has (doc_id, n, class)."""
-    lists = docs.mapInArrow(_prefixes(k, percent, sketch), "shingle long, class binary, n int, pos int").repartition("shingle").sortWithinPartitions("shingle", "class")
+    lists = docs.mapInArrow(_prefixes(k, percent, order), "shingle long, class binary, n int, pos int").repartition("shingle").sortWithinPartitions("shingle", "class")
     lists = stored(lists.mapInArrow(_lists(percent), "shingle long, class binary, n int, pos int"))
 
     pairs = lists.repartition("shingle").sortWithinPartitions("shingle", "class").mapInArrow(_first_pairs(percent), "a binary, b binary").distinct()
@@ -303,7 +322,7 @@ def link_classes(docs: DataFrame, sized: DataFrame, sketch, k: int, percent: int
     in_lists = lists.select("class").distinct()
     chosen = stored(sized.join(in_lists, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("chosen")))
     texts = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["chosen"])).select("text", "class")
-    sets = stored(texts.mapInArrow(_ordered_sets(k, sketch), "class binary, shingles binary"))
+    sets = stored(texts.mapInArrow(_ordered_sets(k, order), "class binary, shingles binary"))
 
     left, right = sets.toDF("a", "x"), sets.toDF("b", "y")
     near = stored(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_verify_pairs(percent), "a binary, b binary"))
@@ -327,12 +346,15 @@ def linked_rows(df: DataFrame, text: str, doc_id: str, k: int, percent: int) ->
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tag"))
     id_sql = docs.schema["doc_id"].dataType.simpleString()
     id_type = docs.select("doc_id").limit(0).toArrow().schema.field(0).type
-    first = stored(docs.mapInArrow(_classes_and_counts(k, id_type), f"doc_id {id_sql}, tag long, n int, class binary, chunk int, counts binary"))
+    bits = bits_for(docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] // 6, per_hash=8)  # about one word in six bytes
+    first = docs.mapInArrow(_classes_and_counts(k, id_type, bits), f"doc_id {id_sql}, tag long, n int, class binary, chunk int, counts binary, once binary, twice binary")
+    first = stored(first)
     sized = first.filter("class IS NOT NULL").select("doc_id", "tag", "n", "class")
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
-    for row in first.filter("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(_add_counts, "chunk int, counts binary").collect():
+    for row in first.filter("counts IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(_add_counts, "chunk int, counts binary").toLocalIterator():
         sketch[row["chunk"] * CHUNK:(row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
-    linked = stored(link_classes(docs.select("doc_id", "text"), sized, spark.sparkContext.broadcast(sketch), k, percent))
+    order = Order(sketch, merged_bits(first.filter("once IS NOT NULL").select("chunk", "once", "twice"), bits, "twice"))
+    linked = stored(link_classes(docs.select("doc_id", "text"), sized, spark.sparkContext.broadcast(order), k, percent))
     linked = linked.select("node", F.col("component").alias("reached"))
     found = sized.join(linked, F.col("class") == F.col("node"), "left")
     return stored(found.select("doc_id", "tag", "n", "class", F.when(F.col("n") > 0, F.coalesce("reached", "class")).alias("component")))

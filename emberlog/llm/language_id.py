@@ -118,8 +118,12 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = PER_LANGUAGE, max_words: int = MAX_WORDS) -> Model:
     """Fit on at most ``per_language`` documents and ``max_words`` words of each language."""
     usable = labelled.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id")).withColumn("at", F.row_number().over(first)).filter(F.col("at") <= per_language)
+    keys = usable.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id")).withColumn("at", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    # one row per language; of a frequent one only about four times the rows wanted are ranked at all
+    counts = keys.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(4.0 * per_language) / F.count("*")).alias("share")).withColumnRenamed("lang", "of_lang")
+    keys = keys.join(F.broadcast(counts), F.col("lang") == F.col("of_lang")).filter(F.col("at") < F.col("share") * (1 << 40))
+    first = Window.partitionBy("lang").orderBy("at", "doc_id")
+    chosen = keys.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_language)
     chosen = chosen.select(F.col("lang").alias("c_lang"), F.col("doc_id").alias("c_id")).distinct()
     sample = usable.join(F.broadcast(chosen), (F.col(lang) == F.col("c_lang")) & (F.col(doc_id) == F.col("c_id")), "left_semi")
     counts = sample.select(F.col(lang), F.col(text)).mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))

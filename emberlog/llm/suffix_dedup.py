@@ -28,7 +28,6 @@ one document and get equal results. Extra columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,17 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberlog.llm.bit_filter import CHUNK_BITS, CHUNK_SCHEMA, MAX_BITS, bits_for, chunk_rows, contains, merged_bits
 from emberlog.llm.blocks import text_blocks
 from emberlog.llm.hashing import BASES, layout, mixed, pieces, running
 from emberlog.session import stored
 
 LENGTH = 100
 GRAM = 40
-BITS_PER_ANCHOR = 16
-MAX_FILTER_BITS = 1 << 29
-"""Above this the filter would be too large to send; then all anchors pass, which moves more but finds the same."""
-CHUNK_BITS = 1 << 19
-HELD_HASHES = 4 << 20
 BATCH_CONTEXTS = 4096
 FAMILY_CONTEXTS = 50_000
 _U = np.uint64
@@ -150,62 +145,6 @@ def _runs(seen: np.ndarray, start: int, length: int) -> list[tuple[int, int]]:
     return [(start + int(a), start + int(b) + length) for a, b in zip(firsts, lasts)]
 
 
-# --- filters -------------------------------------------------------------------------------
-
-def _bit_chunks(bits: int, hashes_of):
-    """Packed bitmaps, cut into chunks, of the slots hit once or more and of those hit twice or more."""
-    def packed(slots: np.ndarray) -> bytes:
-        chunk = np.zeros(CHUNK_BITS, bool)
-        chunk[slots % CHUNK_BITS] = True
-        return zlib.compress(np.packbits(chunk).tobytes(), 1)
-
-    def rows_of(held: list[np.ndarray]) -> pa.RecordBatch:
-        slots, counts = np.unique(np.concatenate(held), return_counts=True)
-        chunks = slots // CHUNK_BITS
-        starts = np.flatnonzero(np.diff(chunks, prepend=-1))
-        rows = [(int(chunks[s]), packed(slots[s:e]), packed(slots[s:e][counts[s:e] > 1])) for s, e in zip(starts, [*starts[1:], len(slots)])]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["chunk", "once", "twice"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count = [], 0
-        for hashes in hashes_of(batches):
-            held.append((hashes % _U(bits)).astype(np.int64))
-            count += len(hashes)
-            if count > HELD_HASHES:
-                yield rows_of(held)
-                held, count = [], 0
-        if count:
-            yield rows_of(held)
-    return run
-
-
-def _merge_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slots hit by two tasks, or twice by one; all rows of a chunk are in one partition."""
-    sums: dict[int, list[np.ndarray]] = {}
-    for batch in batches:
-        for chunk, *packed in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            once, twice = (np.frombuffer(zlib.decompress(p), np.uint8) for p in packed)
-            known = sums.setdefault(chunk, [np.zeros(CHUNK_BITS // 8, np.uint8), np.zeros(CHUNK_BITS // 8, np.uint8)])
-            known[1] |= twice | known[0] & once
-            known[0] |= once
-    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), *(pa.array([zlib.compress(s[i].tobytes(), 1) for s in sums.values()], pa.binary()) for i in (0, 1))],
-                                     names=["chunk", "once", "twice"])
-
-
-def _filter(parts: DataFrame, bits: int, which: str) -> np.ndarray:
-    """The merged bitmap: of fixed size ``bits``, whatever the data."""
-    out = np.zeros(bits // 8, np.uint8)
-    rows = parts.repartition("chunk").mapInArrow(_merge_chunks, "chunk int, once binary, twice binary").select("chunk", which)
-    for chunk, packed in rows.toLocalIterator():
-        out[chunk * CHUNK_BITS // 8:(chunk + 1) * CHUNK_BITS // 8] = np.frombuffer(zlib.decompress(packed), np.uint8)
-    return out
-
-
-def _in_filter(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slots = (hashes % _U(len(bitmap) * 8)).astype(np.int64)
-    return (bitmap[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 == 1
-
-
 # --- passes --------------------------------------------------------------------------------
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -231,7 +170,7 @@ def _context_rows(repeated):
         for block in text_blocks(batches, "text"):
             found = Anchors(block.column("text"))
             if repeated is not None:
-                found.keep(_in_filter(repeated.value, found.gram))
+                found.keep(contains(repeated.value, found.gram))
             found.contexts()
             ids = block.column("doc_id").to_pylist()
             rank = np.empty(len(ids), np.int64)
@@ -275,10 +214,10 @@ def _context_bytes(several, firsts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text"):
             found = Anchors(block.column("text"))
-            found.keep(_in_filter(several.value, found.gram))
+            found.keep(contains(several.value, found.gram))
             found.contexts()
             pos, left = found.at - found.offsets[found.doc], found.at - found.low
-            at = np.flatnonzero(_in_filter(firsts.value, _place_hash(found.first, found.second, _pack(pos, left, found.high - found.at))))
+            at = np.flatnonzero(contains(firsts.value, _place_hash(found.first, found.second, _pack(pos, left, found.high - found.at))))
             data, which = found.data.tobytes(), pa.array(found.doc[at])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.gram[at].astype(_U).view(np.int64)), block.column("doc_id").take(which), block.column("tag").take(which), pa.array(pos[at].astype(np.int32)), pa.array(left[at].astype(np.int32)),
@@ -325,19 +264,14 @@ def _later(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
     return rows.join(stored(first), same).filter(order > F.col("least"))
 
 
-def _bits_for(count: int) -> int:
-    return min(MAX_FILTER_BITS, max(CHUNK_BITS, 1 << (count * BITS_PER_ANCHOR).bit_length()))
-
-
-def removed_ranges(docs: DataFrame, max_filter_bits: int = MAX_FILTER_BITS, family_contexts: int = FAMILY_CONTEXTS) -> DataFrame:
+def removed_ranges(docs: DataFrame, max_filter_bits: int = MAX_BITS, family_contexts: int = FAMILY_CONTEXTS) -> DataFrame:
     """``doc_id, tag, low, high``: byte ranges to remove, possibly overlapping; ``docs`` has (doc_id, tag, text)."""
     spark = docs.sparkSession
-    chunks = "chunk int, once binary, twice binary"
     id_sql = docs.schema["doc_id"].dataType.simpleString()
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    repeated, bits = None, max(CHUNK_BITS, 1 << (size // 32 * BITS_PER_ANCHOR).bit_length())  # about one anchor in 32 bytes
-    if bits <= max_filter_bits:
-        repeated = spark.sparkContext.broadcast(_filter(docs.select("text").mapInArrow(_bit_chunks(bits, _grams), chunks), bits, "twice"))
+    repeated, bits = None, bits_for(size // 32, limit=1 << 62)  # about one anchor in 32 bytes
+    if bits <= max_filter_bits:  # a larger filter is not sent; then all anchors pass, which moves more but finds the same
+        repeated = spark.sparkContext.broadcast(merged_bits(docs.select("text").mapInArrow(chunk_rows(bits, _grams), CHUNK_SCHEMA), bits, "twice"))
     rows = docs.mapInArrow(_context_rows(repeated), f"gram long, f1 long, f2 long, doc_id {id_sql}, tag long, place long")
     settled = rows.repartition("f1", "f2").sortWithinPartitions("f1", "f2", F.col("gram").isNull(), "doc_id", "tag", "place")
     settled = stored(settled.mapInArrow(_settle, f"gram long, f1 long, f2 long, doc_id {id_sql}, tag long, place long, low int, high int"))
@@ -355,9 +289,9 @@ def removed_ranges(docs: DataFrame, max_filter_bits: int = MAX_FILTER_BITS, fami
             f1, f2, place = (batch.column(i).to_numpy() for i in range(3))
             yield _place_hash(f1.view(_U), f2.view(_U), place)
 
-    bits = _bits_for(count)
-    several = spark.sparkContext.broadcast(_filter(kinds.select("gram").mapInArrow(_bit_chunks(bits, grams), chunks), bits, "twice"))
-    firsts = spark.sparkContext.broadcast(_filter(kinds.select("f1", "f2", "place").mapInArrow(_bit_chunks(bits, places), chunks), bits, "once"))
+    bits = bits_for(count)
+    several = spark.sparkContext.broadcast(merged_bits(kinds.select("gram").mapInArrow(chunk_rows(bits, grams), CHUNK_SCHEMA), bits, "twice"))
+    firsts = spark.sparkContext.broadcast(merged_bits(kinds.select("f1", "f2", "place").mapInArrow(chunk_rows(bits, places), CHUNK_SCHEMA), bits, "once"))
     frequent = stored(kinds.groupBy("gram").count().filter(F.col("count") > family_contexts).select(F.col("gram").alias("g")))
     contexts = docs.mapInArrow(_context_bytes(several, firsts), f"gram long, doc_id {id_sql}, tag long, pos int, reach_left int, context binary")
     dealt = contexts
