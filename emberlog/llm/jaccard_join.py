@@ -8,8 +8,8 @@
    members that no other's length and place allow, go. A shingle that surely occurs once has no list.
 3. Each list first proposes only pairs with its first class, after length and positional filters. They are
    verified once each, and linked classes become components.
-4. Lists whose classes are then still in more than one component are checked whole, in cells of bounded
-   size: every pair that passes length, positional and suffix filters, and that has this list's
+4. Lists whose classes are then still in more than one component are checked whole, but for members
+   without a possible partner in another component, in cells of bounded size: every pair that passes length, positional and suffix filters, and that has this list's
    shingle as its first common one, is verified there by the exact overlap. A cell returns a spanning
    forest of its links, never all pairs.
 5. Components of both kinds of links are the result.
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.bit_filter import Chunks, bits_for, contains, merged_bits
+from emberlog.llm.bit_filter import CHUNK_SCHEMA, Chunks, bits_for, chunk_rows, contains, merged_bits
 from emberlog.llm.blocks import text_blocks
 from emberlog.llm.components import components
 from emberlog.llm.hashing import mixed, shingle_sets
@@ -140,8 +140,8 @@ def _prefixes(k: int, percent: int, shared):
     return run
 
 
-def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Tables of equal ``keys`` from batches sorted by them; only one group is held."""
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str], at_most: int | None = None) -> Iterator[pa.Table]:
+    """Tables of equal ``keys`` from batches sorted by them; one group is held, of a longer one about ``at_most`` rows at a time."""
     open_rows: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
@@ -151,7 +151,7 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         cuts = np.flatnonzero(np.any([v[1:] != v[:-1] for v in values], axis=0)) + 1
         for start, end in zip([0, *cuts], [*cuts, len(batch)]):
             key = tuple(v[start] for v in values)
-            if last is not None and key != last:
+            if last is not None and (key != last or at_most and sum(map(len, open_rows)) > at_most):
                 yield pa.Table.from_batches(open_rows)
                 open_rows = []
             open_rows.append(batch.slice(start, end - start))
@@ -177,13 +177,13 @@ def _first_pairs(percent: int):
     return run
 
 
-def viable(n: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
-    """Which members of a list have a partner in it that length and place of the shared shingle allow."""
+def viable(n: np.ndarray, pos: np.ndarray, percent: int, component: np.ndarray | None = None) -> np.ndarray:
+    """Which members of a list have a partner in it, of another component, that length and place of the shared shingle allow."""
     rest = n - pos
     fits = np.minimum(rest[:, None], rest[None, :]) >= least_overlap(n[:, None], n[None, :], percent)
     fits &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
     np.fill_diagonal(fits, False)
-    return fits.any(1)
+    return (fits if component is None else fits & (component[:, None] != component[None, :])).any(1)
 
 
 def _lists(percent: int):
@@ -232,15 +232,28 @@ def _viable_rows(rows: pa.Table, percent: int, long_list: int | None) -> Iterato
     yield from rows.take(pa.array(at[keep])).to_batches()
 
 
-def _ordered_sets(k: int, shared):
-    """(class, shingles in global order) of documents that are the chosen one of their class."""
+def _ordered_sets(k: int, order, chosen):
+    """(class, shingles in global order) of the documents whose key passes the filter of chosen ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text"):
-            found = [(name, shared.value.rare_first(s)[0].tobytes()) for s, name in zip(shingle_sets(block.column("text"), k), block.column("class").to_pylist()) if class_of(s) == name]
+            block = block.filter(pa.array(contains(chosen.value, block.column("key").to_numpy().view(_U))))
+            found = [(class_of(s), order.value.rare_first(s)[0].tobytes()) for s in shingle_sets(block.column("text"), k)]
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.binary()) for i in range(2)], names=["class", "shingles"])
     return run
 
 
+def _other_components(percent: int):
+    """Of lists sorted by (shingle, class): members with a possible partner in another component; long lists as they are."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches, ["shingle"], WHOLE_LIST):
+            keep = np.ones(len(rows), bool)
+            if len(rows) <= WHOLE_LIST and rows["whole"][0].as_py():
+                n, pos = rows["n"].to_numpy().astype(np.int64), rows["pos"].to_numpy().astype(np.int64)
+                keep = viable(n, pos, percent, np.unique(rows["component"].to_pylist(), return_inverse=True)[1])
+            yield from rows.filter(pa.array(keep)).to_batches()
+    return run
+
+
 def _verify_pairs(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,16 +326,23 @@ def _check_cells(percent: int):
 
 
 def link_classes(docs: DataFrame, sized: DataFrame, order, k: int, percent: int) -> DataFrame:
-    """``node, component`` over the classes of ``docs`` (doc_id, text) that have a link; ``sized`` has (doc_id, n, class)."""
-    lists = docs.mapInArrow(_prefixes(k, percent, order), "shingle long, class binary, n int, pos int").repartition("shingle").sortWithinPartitions("shingle", "class")
+    """``node, component`` over the classes of ``docs`` (doc_id, text, tag) that have a link; ``sized`` has (doc_id, n, class)."""
+    lists = docs.select("text").mapInArrow(_prefixes(k, percent, order), "shingle long, class binary, n int, pos int").repartition("shingle").sortWithinPartitions("shingle", "class")
     lists = stored(lists.mapInArrow(_lists(percent), "shingle long, class binary, n int, pos int"))
 
     pairs = lists.repartition("shingle").sortWithinPartitions("shingle", "class").mapInArrow(_first_pairs(percent), "a binary, b binary").distinct()
     pairs = stored(pairs)
     in_lists = lists.select("class").distinct()
-    chosen = stored(sized.join(in_lists, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("chosen")))
-    texts = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["chosen"])).select("text", "class")
-    sets = stored(texts.mapInArrow(_ordered_sets(k, order), "class binary, shingles binary"))
+    chosen = stored(sized.join(in_lists, "class", "left_semi").groupBy("class").agg(F.min(F.struct("doc_id", "tag")).alias("d")).select(F.xxhash64("d.doc_id", "d.tag").alias("key")))
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        return (batch.column(0).to_numpy().view(_U) for batch in batches)
+
+    # the filter finds the chosen documents without a shuffle of texts; a wrong hit is one set too many
+    bits = bits_for(chosen.count(), per_hash=128)
+    wanted = docs.sparkSession.sparkContext.broadcast(merged_bits(chosen.mapInArrow(chunk_rows(bits, keys), CHUNK_SCHEMA), bits, "once"))
+    texts = docs.select("text", F.xxhash64("doc_id", "tag").alias("key"))
+    sets = stored(texts.mapInArrow(_ordered_sets(k, order, wanted), "class binary, shingles binary"))
 
     left, right = sets.toDF("a", "x"), sets.toDF("b", "y")
     near = stored(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_verify_pairs(percent), "a binary, b binary"))
@@ -331,8 +351,10 @@ def link_classes(docs: DataFrame, sized: DataFrame, order, k: int, percent: int)
     placed = lists.join(known, lists["class"] == known["node"], "left").select("shingle", "class", "n", "pos", F.coalesce("component", "class").alias("component"))
     placed = stored(placed)
     mixed_lists = placed.groupBy("shingle").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
-    mixed_lists = mixed_lists.select(F.col("shingle").alias("s"), F.ceil(F.col("members") / CELL_CLASSES).cast("int").alias("chunks"))
-    members = placed.join(mixed_lists, F.col("shingle") == F.col("s")).withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
+    mixed_lists = mixed_lists.select(F.col("shingle").alias("s"), F.ceil(F.col("members") / CELL_CLASSES).cast("int").alias("chunks"), "members")
+    placed = placed.join(mixed_lists, F.col("shingle") == F.col("s")).withColumn("whole", F.col("members") <= WHOLE_LIST).select("shingle", "class", "n", "pos", "component", "chunks", "whole")
+    placed = placed.repartition("shingle").sortWithinPartitions("shingle", "class").mapInArrow(_other_components(percent), "shingle long, class binary, n int, pos int, component binary, chunks int, whole boolean")
+    members = placed.withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     cells = members.select("shingle", F.least("c", "other").alias("i"), F.greatest("c", "other").alias("j"), "c", "class", "n", "pos").join(sets, "class")
     cells = cells.select("shingle", "i", "j", "c", "class", "n", "pos", "shingles").repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "class")
@@ -354,7 +376,7 @@ def linked_rows(df: DataFrame, text: str, doc_id: str, k: int, percent: int) ->
     for row in first.filter("counts IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(_add_counts, "chunk int, counts binary").toLocalIterator():
         sketch[row["chunk"] * CHUNK:(row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
     order = Order(sketch, merged_bits(first.filter("once IS NOT NULL").select("chunk", "once", "twice"), bits, "twice"))
-    linked = stored(link_classes(docs.select("doc_id", "text"), sized, spark.sparkContext.broadcast(order), k, percent))
+    linked = stored(link_classes(docs, sized, spark.sparkContext.broadcast(order), k, percent))
     linked = linked.select("node", F.col("component").alias("reached"))
     found = sized.join(linked, F.col("class") == F.col("node"), "left")
     return stored(found.select("doc_id", "tag", "n", "class", F.when(F.col("n") > 0, F.coalesce("reached", "class")).alias("component")))
