@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 BITS_PER_HASH = 16
 MAX_BITS = 1 << 29
 CHUNK_BITS = 1 << 19
-HELD_HASHES = 4 << 20
+HELD_HASHES = 2 << 20
 CHUNK_SCHEMA = "chunk int, once binary, twice binary"
 _U = np.uint64
 _TYPES = (pa.int32(), pa.binary(), pa.binary())

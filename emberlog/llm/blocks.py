@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def text_blocks(batches: Iterator[pa.RecordBatch], column: str, block_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ def powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of ``base`` and of its inverse from 0 to ``size``; kept per process."""
     known = _powers.get(base)
     if known is None or len(known[0]) <= size:
-        length = max(size + 1, 1 << 21)
+        length = max(size + 1, (1 << 20) + (1 << 16))
         pair = []
         for b in (base, pow(base, -1, 1 << 64)):
             steps = np.full(length, b, _U)

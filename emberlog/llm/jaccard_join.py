@@ -41,6 +41,7 @@ SKETCH_BITS = 22
 CHUNK = 1 << 16
 CELL_CLASSES = 512
 WHOLE_LIST = 2048
+BROADCAST_ROWS = 100_000
 SUFFIX_PARTS = 16
 _U = np.uint64
 
@@ -325,6 +326,11 @@ def _check_cells(percent: int):
     return run
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """Stored narrow rows (about 80 bytes each), to be sent to all executors if they are few, so that the sets they meet stay in place."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def link_classes(docs: DataFrame, sized: DataFrame, order, k: int, percent: int) -> DataFrame:
     """``node, component`` over the classes of ``docs`` (doc_id, text, tag) that have a link; ``sized`` has (doc_id, n, class)."""
     lists = docs.select("text").mapInArrow(_prefixes(k, percent, order), "shingle long, class binary, n int, pos int").repartition("shingle").sortWithinPartitions("shingle", "class")
@@ -345,7 +351,7 @@ def link_classes(docs: DataFrame, sized: DataFrame, order, k: int, percent: int)
     sets = stored(texts.mapInArrow(_ordered_sets(k, order, wanted), "class binary, shingles binary"))
 
     left, right = sets.toDF("a", "x"), sets.toDF("b", "y")
-    near = stored(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_verify_pairs(percent), "a binary, b binary"))
+    near = stored(left.join(_small(pairs), "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_verify_pairs(percent), "a binary, b binary"))
 
     known = components(near)
     placed = lists.join(known, lists["class"] == known["node"], "left").select("shingle", "class", "n", "pos", F.coalesce("component", "class").alias("component"))
@@ -356,7 +362,8 @@ def link_classes(docs: DataFrame, sized: DataFrame, order, k: int, percent: int)
     placed = placed.repartition("shingle").sortWithinPartitions("shingle", "class").mapInArrow(_other_components(percent), "shingle long, class binary, n int, pos int, component binary, chunks int, whole boolean")
     members = placed.withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    cells = members.select("shingle", F.least("c", "other").alias("i"), F.greatest("c", "other").alias("j"), "c", "class", "n", "pos").join(sets, "class")
+    cells = members.select("shingle", F.least("c", "other").alias("i"), F.greatest("c", "other").alias("j"), "c", "class", "n", "pos")
+    cells = sets.join(_small(stored(cells)), "class")
     cells = cells.select("shingle", "i", "j", "c", "class", "n", "pos", "shingles").repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "class")
     rest = cells.mapInArrow(_check_cells(percent), "a binary, b binary")
     return components(near.unionByName(rest))
