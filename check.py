@@ -11,7 +11,7 @@ from tests.compare import connect, differences
 def main() -> int:
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = connect(sf_dir), oracle_sql(), 0
     for name, run in queries().items():

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberlog.session import fits_one_task, stored
+from emberlog.session import stored
 
 # kind -> (value within an ordered frame, how earlier slices add up)
 _FRAME = {
@@ -19,24 +19,6 @@ _FRAME = {
 }
 
 
-def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-            measures: Mapping[str, tuple[str, str | None]], parts: int | None = None,
-            distributed: bool | None = None) -> DataFrame:
-    """Add running values per key in a total order.
-
-    Kinds: ``count``, ``sum``, ``min``, ``max`` and ``last`` (non-null) up to and including the
-    row, ``prev`` (value of the row before), ``row`` (row number) and ``total`` (sum of a column
-    over the key, or row count without one).
-
-    A small input uses a window. A large one is cut into ordered slices by range, so that a key
-    with any share of the rows spreads over many tasks; each slice is scanned on its own, and the
-    at most ``parts`` slice totals per key carry the state across.
-    """
-    if distributed is None:
-        distributed = not fits_one_task(df)
-    return _sliced(df, keys, order, measures, parts) if distributed else _windowed(df, keys, order, measures)
-
-
 def _local(kind: str, column: str | None, ordered, rows, whole) -> Column:
     value = F.col(column) if column else F.lit(1)
     if kind == "row":
@@ -48,14 +30,18 @@ def _local(kind: str, column: str | None, ordered, rows, whole) -> Column:
     return _FRAME[kind][0](value).over(rows)
 
 
-def _windowed(df, keys, order, measures):
-    whole = Window.partitionBy(*keys)
-    ordered = whole.orderBy(*order)
-    rows = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.select("*", *[_local(kind, c, ordered, rows, whole).alias(n) for n, (kind, c) in measures.items()])
+def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
+            measures: Mapping[str, tuple[str, str | None]], parts: int | None = None) -> DataFrame:
+    """Add running values per key in a total order.
 
+    Kinds: ``count``, ``sum``, ``min``, ``max`` and ``last`` (non-null) up to and including the
+    row, ``prev`` (value of the row before), ``row`` (row number) and ``total`` (sum of a column
+    over the key, or row count without one).
 
-def _sliced(df, keys, order, measures, parts):
+    The input is cut into ordered slices by range, so that a key with any share of the rows, or no
+    key at all, spreads over many tasks; each slice is scanned on its own, and the at most ``parts``
+    slice totals per key carry the state across.
+    """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(parts, *[F.col(k).asc() for k in keys], *order)
     # Slice numbers must not change between the two uses below, so the slices are stored.

@@ -29,8 +29,10 @@ def utility_type(ability_id: Column, ability_name: Column) -> Column:
 
 
 def latest_cast_payloads(raw: DataFrame) -> DataFrame:
-    """Newest cast landing per report."""
-    return rows.latest_by(raw, ["report_code"], ["_ingested_at", "_file_path"])
+    """All records of the newest cast landing of each report; a landing may hold several."""
+    newest = raw.groupBy("report_code").agg(F.max("_ingested_at").alias("_newest")).withColumnRenamed("report_code", "_report")
+    fresh = raw.join(newest, raw["report_code"].eqNullSafe(newest["_report"]) & raw["_ingested_at"].eqNullSafe(newest["_newest"]), "left_semi")
+    return fresh
 
 
 def player_utility_by_pull(fights: DataFrame, actors: DataFrame, casts: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from emberlog import rules
 from emberlog.functions import names as nm
 from emberlog.operators import rows
 from emberlog.quality.contracts import contract_for, contract_report
+from emberlog.session import stored
 from emberlog.sources.sinks import plain_numbers, write_json
 
 Projection = Callable[[DataFrame], DataFrame]
@@ -146,15 +147,17 @@ def manifest_mismatch(listed: DataFrame, expected: DataFrame) -> DataFrame:
     return missing.unionByName(extra)
 
 
-def latest_complete_snapshot(manifests: DataFrame, expected: int) -> DataFrame:
-    """Manifest rows of the newest snapshot that lists every dataset."""
-    complete = manifests.groupBy("snapshot_id").agg(F.countDistinct("dataset").alias("_n")).filter(F.col("_n") == expected)
+def latest_complete_snapshot(manifests: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """Manifest rows of the newest snapshot that lists every expected dataset, and no other."""
+    known = F.col("dataset").isin(*expected)
+    counts = manifests.groupBy("snapshot_id").agg(F.countDistinct(F.when(known, F.col("dataset"))).alias("_n"), F.count_if(~F.coalesce(known, F.lit(False))).alias("_other"))
+    complete = counts.filter((F.col("_n") == len(set(expected))) & (F.col("_other") == 0))
     newest = complete.agg(F.max("snapshot_id").alias("snapshot_id"))
     return manifests.join(newest, "snapshot_id", "left_semi")
 
 
 def publish(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, snapshot_id: str, generated_at: str,
-            names: tuple[str, ...] = tuple(DATASETS)) -> DataFrame:
+            names: tuple[str, ...] = tuple(DATASETS), enforce_limits: bool = False) -> DataFrame:
     """Check, write and list the datasets of one snapshot.
 
     Rows are written by the executors, the manifest last: a snapshot without a full manifest is
@@ -171,15 +174,19 @@ def publish(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, sna
         frames[name] = spark.read.schema(plain_numbers(frame).schema).json(f"{root}/snapshots/snapshot_id={snapshot_id}/{name}")
         contract = contract_for(source, tables[source].schema).project(frame.columns)
         reports.append(contract_report(frame, contract).withColumn("dataset", F.lit(name)))
-    broken = rows.union_branches(reports).filter("violations > 0").limit(20).collect()
+    # one row per rule, so as long as the contracts are
+    report = stored(rows.union_branches(reports))
+    broken = report.filter("violations > 0").collect()
     if broken:
-        raise ValueError(f"Contract violations: {[tuple(r) for r in broken]}")
-    sizes = dataset_sizes(frames)
+        report.write.mode("overwrite").parquet(f"{root}/contract_reports/snapshot_id={snapshot_id}")
+        raise ValueError(f"{len(broken)} contract rules violated: {[tuple(r) for r in broken]}")
+    sizes = stored(dataset_sizes(frames))
     listed = manifest(spark, sizes, snapshot_id, generated_at)
-    over = sizes.filter("NOT within_limits").select("dataset").collect()
-    total = sizes.agg(F.sum("byte_size")).first()[0]
-    if over or total > rules.MAX_TOTAL_BYTES:
-        raise ValueError(f"Size limits exceeded: {[r.dataset for r in over]}, total {total}")
+    if enforce_limits:
+        over = sizes.filter("NOT within_limits").select("dataset").collect()
+        total = sizes.agg(F.sum("byte_size")).first()[0]
+        if over or total > rules.MAX_TOTAL_BYTES:
+            raise ValueError(f"Size limits exceeded: {[r.dataset for r in over]}, total {total}")
     listed.write.mode("append").parquet(f"{root}/manifest")
     return listed
 

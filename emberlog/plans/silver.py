@@ -86,12 +86,11 @@ def actor_roster(raw: DataFrame) -> DataFrame:
 # --- per-fight player payloads -------------------------------------------------------------
 
 def player_performance(raw: DataFrame) -> DataFrame:
-    parsed = payloads.parse(raw, "player_details_json", "player_details")
-    branches = [parsed.select("report_code", "fight_id", "boss_name", "encounter_id", "difficulty", "zone_id", "zone_name",
-                              "duration_ms", "_ingested_at", F.explode(f"payload.data.playerDetails.{group}").alias("p"),
-                              F.lit(role).alias("role"))
-                for group, role in (("dps", "dps"), ("healers", "healer"), ("tanks", "tank"))]
-    players = rows.union_branches(branches)
+    def of_all_roles(payload: Column) -> Column:
+        return v.tagged_items({role: payload["data"]["playerDetails"][group] for group, role in (("dps", "dps"), ("healers", "healer"), ("tanks", "tank"))}, "role", "p")
+
+    players = payloads.exploded(raw, "player_details_json", "player_details", of_all_roles, "_player", "report_code", "fight_id", "boss_name", "encounter_id", "difficulty",
+                                "zone_id", "zone_name", "duration_ms", "_ingested_at").select("*", "_player.*")
     weapons = nm.classify_names(nm.weapon_names(F.col("p.combatantInfo.gear"), rules.IMBUES), rules.WEAPON_NAMES, rules.WEAPON_KEYWORDS)
     stats = [F.col(f"p.combatantInfo.stats.{s}.min").alias(f"{s.lower()}_rating") for s in ("Crit", "Haste", "Mastery", "Versatility")]
     flat = players.withColumn("_weapons", weapons).select(
@@ -114,15 +113,14 @@ def player_rankings(raw: DataFrame) -> DataFrame:
         raw = raw.withColumn("rankings_hps_json", F.lit(None).cast("string"))
     latest = rows.latest_by(raw, ["report_code"], ["_ingested_at", "rankings_json"])
 
-    def branch(text: str, group: str, role: str) -> DataFrame:
-        fights = payloads.parse(latest, text, "rankings").select("report_code", "_ingested_at", F.explode("payload.data").alias("f"))
+    def branch(text: str, groups: dict[str, str]) -> DataFrame:
+        fights = payloads.exploded(latest, text, "rankings", lambda p: p["data"], "f", "report_code", "_ingested_at")
+        characters = F.explode_outer(v.tagged_items({role: F.col(f"f.roles.{group}.characters") for group, role in groups.items()}, "role", "c"))
         return fights.select("report_code", F.col("f.fightID").alias("fight_id"), F.col("f.encounter.id").alias("encounter_id"),
                              F.col("f.encounter.name").alias("encounter_name"), F.col("f.difficulty").alias("difficulty"),
-                             F.col("f.size").alias("fight_size"), "_ingested_at",
-                             F.explode(f"f.roles.{group}.characters").alias("c"), F.lit(role).alias("role"))
+                             F.col("f.size").alias("fight_size"), "_ingested_at", characters.alias("_character")).filter("_character IS NOT NULL").select("*", "_character.*")
 
-    players = rows.union_branches([branch("rankings_json", "tanks", "tank"), branch("rankings_json", "dps", "dps"),
-                                   branch("rankings_hps_json", "healers", "healer")])
+    players = rows.union_branches([branch("rankings_json", {"tanks": "tank", "dps": "dps"}), branch("rankings_hps_json", {"healers": "healer"})])
     flat = players.select(
         "report_code", "fight_id", "encounter_id", "encounter_name", "difficulty", "fight_size", "role",
         F.col("c.name").alias("player_name"), F.col("c.class").alias("player_class"), F.col("c.spec").alias("spec"),
@@ -137,8 +135,7 @@ def player_rankings(raw: DataFrame) -> DataFrame:
 def player_deaths(raw: DataFrame) -> DataFrame:
     """Deaths with their killing blow. A report with single-fight records drops its older multi-fight ones."""
     current = rows.prefer_flagged(raw, ["report_code"], F.coalesce(F.size("fight_ids") == 1, F.lit(False)))
-    entries = payloads.parse(current, "table_json", "deaths").select(
-        "report_code", "_ingested_at", F.explode("payload.data.entries").alias("e"))
+    entries = payloads.exploded(current, "table_json", "deaths", lambda p: p["data"]["entries"], "e", "report_code", "_ingested_at")
     flat = entries.select(
         "report_code", F.col("e.fight").alias("fight_id"), F.col("e.name").alias("player_name"),
         F.col("e.type").alias("player_class"), F.col("e.timestamp").alias("death_timestamp_ms"),
@@ -155,7 +152,7 @@ def fight_windows(fights: DataFrame) -> DataFrame:
 
 def parsed_casts(raw: DataFrame) -> DataFrame:
     """Cast events of the payloads; written once, it serves every product that reads casts."""
-    event = payloads.parse(raw, "events_json", "casts").select("report_code", "_ingested_at", F.explode("payload.data").alias("e"))
+    event = payloads.exploded(raw, "events_json", "casts", lambda p: p["data"], "e", "report_code", "_ingested_at")
     return event.select(
         "report_code", F.col("e.fight").alias("event_fight_id"), F.col("e.timestamp").alias("cast_timestamp_ms"),
         F.col("e.sourceID").alias("actor_id"), F.col("e.targetID").alias("target_actor_id"),
@@ -166,7 +163,7 @@ def parsed_casts(raw: DataFrame) -> DataFrame:
 
 
 def parsed_buffs(raw: DataFrame) -> DataFrame:
-    event = payloads.parse(raw, "buffs_json", "casts").select("report_code", F.explode("payload.data").alias("e"))
+    event = payloads.exploded(raw, "buffs_json", "casts", lambda p: p["data"], "e", "report_code")
     return event.select(
         "report_code", F.col("e.fight").alias("fight_id"), F.col("e.timestamp").alias("timestamp_ms"),
         F.coalesce("e.targetID", "e.sourceID").alias("actor_id"), F.col("e.ability.name").alias("ability_name"),
@@ -174,8 +171,7 @@ def parsed_buffs(raw: DataFrame) -> DataFrame:
 
 
 def parsed_combatants(raw: DataFrame) -> DataFrame:
-    event = payloads.parse(raw, "combatant_info_json", "combatants").select(
-        "report_code", "_ingested_at", F.explode("payload.data").alias("e"))
+    event = payloads.exploded(raw, "combatant_info_json", "combatants", lambda p: p["data"], "e", "report_code", "_ingested_at")
     ids = F.transform("e.talentTree", lambda t: F.coalesce(t["spellID"], t["id"], t["talentID"]).cast("string"))
     flat = event.select(
         "report_code", F.col("e.fight").alias("event_fight_id"), F.col("e.timestamp").alias("combatant_timestamp_ms"),

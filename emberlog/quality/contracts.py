@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ast
+import operator
 import re
 from collections.abc import Iterable, Mapping
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -37,8 +40,6 @@ class Contract(NamedTuple):
 
 
 _WORDS = {"and", "or", "not", "is", "None", "True", "False", "max", "min", "abs"}
-_SQL_WORDS = {"==": "=", "None": "NULL", "max": "greatest", "min": "least"}
-
 
 def names_in(expression: str) -> set[str]:
     """Field names an expression reads."""
@@ -46,13 +47,49 @@ def names_in(expression: str) -> set[str]:
     return set(re.findall(r"[A-Za-z_]\w*", bare)) - _WORDS
 
 
+_COMPARE = {ast.Eq: operator.eq, ast.NotEq: operator.ne, ast.Lt: operator.lt, ast.LtE: operator.le, ast.Gt: operator.gt, ast.GtE: operator.ge}
+_COMPUTE = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul, ast.Div: operator.truediv,
+            ast.Mod: lambda a, b: a - b * F.floor(a / b)}  # takes the sign of the divisor
+_CALLS = {"max": F.greatest, "min": F.least, "abs": F.abs}
+
+
 def row_condition(expression: str) -> Column:
-    """A row rule (and, or, not, comparisons, arithmetic, max, min, abs) as a column."""
-    for call in re.findall(r"([A-Za-z_]\w*)\s*\(", expression):
-        if call not in _WORDS:
-            raise ValueError(f"Unsupported function in contract rule: {call}")
-    text = re.sub(r'"([^"]*)"', r"'\1'", expression)
-    return F.expr(re.sub(r"==|\bNone\b|\bmax\b|\bmin\b", lambda m: _SQL_WORDS[m.group()], text))
+    """A row rule (and, or, not, comparisons, arithmetic, max, min, abs) as a column, built from its syntax tree."""
+    return _column(ast.parse(expression, mode="eval").body)
+
+
+def _column(node: ast.expr) -> Column:
+    match node:
+        case ast.Name(id=name):
+            return F.col(name)
+        case ast.Constant(value=value):
+            return F.lit(value)
+        case ast.BoolOp(op=op, values=values):
+            return reduce(operator.and_ if isinstance(op, ast.And) else operator.or_, map(_column, values))
+        case ast.UnaryOp(op=ast.Not(), operand=inner):
+            return ~_column(inner)
+        case ast.UnaryOp(op=ast.USub(), operand=inner):
+            return -_column(inner)
+        case ast.BinOp(left=left, op=op, right=right) if type(op) in _COMPUTE:
+            return _COMPUTE[type(op)](_column(left), _column(right))
+        case ast.Compare(left=left, ops=ops, comparators=others):
+            return reduce(operator.and_, [_compared(op, a, b) for op, a, b in zip(ops, [left, *others], others)])
+        case ast.Call(func=ast.Name(id=name), args=args, keywords=[]) if name in _CALLS:
+            columns = [_column(a) for a in args]
+            return columns[0] if name in ("max", "min") and len(columns) == 1 else _CALLS[name](*columns)
+        case ast.Call(func=called):
+            raise ValueError(f"Unsupported function in contract rule: {ast.unparse(called)}")
+    raise ValueError(f"Unsupported part of a contract rule: {ast.unparse(node)}")
+
+
+def _compared(op: ast.cmpop, left: ast.expr, right: ast.expr) -> Column:
+    for side, other in ((left, right), (right, left)):
+        if isinstance(side, ast.Constant) and side.value is None:
+            null = _column(other).isNull()
+            return ~null if isinstance(op, (ast.NotEq, ast.IsNot)) else null
+    if type(op) not in _COMPARE:
+        raise ValueError(f"Unsupported comparison in contract rule: {type(op).__name__}")
+    return _COMPARE[type(op)](_column(left), _column(right))
 
 
 _KINDS = {

@@ -1,4 +1,4 @@
-"""Session defaults, stored intermediate tables and size estimates."""
+"""Session defaults and stored intermediate tables."""
 
 from __future__ import annotations
 
@@ -17,9 +17,6 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-# Inputs whose scanned files add up to less than this may be ordered by one task per key.
-ONE_TASK_BYTES = 64 * 1024 * 1024
-
 
 def build_session(app: str = "emberlog", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the defaults the products rely on; ``conf`` overrides them."""
@@ -55,14 +52,3 @@ def stored(df: DataFrame) -> DataFrame:
     path = work_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def scanned_bytes(df: DataFrame) -> int:
-    """Bytes of all leaf relations of the optimised plan: a plan-time estimate, no job."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def fits_one_task(df: DataFrame, limit: int = ONE_TASK_BYTES) -> bool:
-    """Whether the whole input is small enough that any one key fits in one task."""
-    return scanned_bytes(df) <= limit

@@ -58,12 +58,6 @@ def read_landing(spark: SparkSession, root: str, folder: str) -> DataFrame:
             .withColumn("_file_path", F.col("_metadata.file_path")))
 
 
-def read_landing_batch(spark: SparkSession, root: str, folder: str) -> DataFrame:
-    """All files of a landing folder at once."""
-    return (spark.read.schema(landing_schema(folder)).json(f"{root}/{folder}")
-            .withColumn("_file_path", F.col("_metadata.file_path")))
-
-
 def file_versions(spark: SparkSession, root: str, folder: str) -> DataFrame:
     """Path and modification time of every landed file, listed by the executors' file scan."""
     listing = spark.read.format("binaryFile").load(f"{root}/{folder}").select("path", "modificationTime")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _CORRUPT = "_corrupt"
@@ -91,6 +93,17 @@ def parse(df: DataFrame, text: str, kind: str, name: str = "payload") -> DataFra
     return parsed.filter(F.col(text).isNotNull() & F.col(f"{name}.{_CORRUPT}").isNull())
 
 
+def exploded(df: DataFrame, text: str, kind: str, items: Callable[[Column], Column], name: str, *keep: str) -> DataFrame:
+    """``keep`` and one row per item of the readable payloads; null items are left out.
+
+    The payload is parsed once: neither a filter on it nor one that the optimiser derives from an
+    inner explode is pushed below the projection that parses it.
+    """
+    parsed = df.select(*keep, F.from_json(text, payload_ddl(kind, corrupt=True), {"columnNameOfCorruptRecord": _CORRUPT}).alias("_payload"))
+    readable = F.when(F.col(f"_payload.{_CORRUPT}").isNull(), items(F.col("_payload")))
+    return parsed.select(*keep, F.explode_outer(readable).alias(name)).filter(F.col(name).isNotNull())
+
+
 def corrupt_rows(df: DataFrame, text: str, kind: str) -> DataFrame:
     """Side table of rows whose payload is present but malformed."""
     parsed = df.withColumn("_p", F.from_json(text, payload_ddl(kind, corrupt=True), {"columnNameOfCorruptRecord": _CORRUPT}))

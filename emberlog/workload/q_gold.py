@@ -109,7 +109,7 @@ gold("gold_progression_timeline", f"""SELECT {_BOSS}, raid_night_date,
 gold("gold_best_kills", f"""SELECT {_BOSS}, MIN(duration_seconds) AS best_kill_seconds, {mean('duration_seconds')} AS avg_kill_seconds,
     COUNT(*) AS total_kills, MIN(raid_night_date) AS first_kill_date, MAX(raid_night_date) AS latest_kill_date,
     printf('%dm %02ds', MIN(duration_seconds) // 60, MIN(duration_seconds) % 60) AS best_kill_mm_ss FROM fights WHERE is_kill GROUP BY {_BOSS}""")
-gold("gold_boss_wipe_analysis", f"""SELECT {_BOSS}, COUNT(*) AS total_wipes, MIN(boss_percentage) AS best_wipe_pct, {mean('boss_percentage')} AS avg_wipe_pct,
+gold("gold_boss_wipe_analysis", f"""SELECT {_BOSS}, COUNT(*) AS total_wipes, MIN(boss_percentage) AS best_wipe_pct, CAST(SUM(CAST(boss_percentage AS DECIMAL(28,12))) AS DOUBLE) / COUNT(boss_percentage) AS avg_wipe_pct,
     {mean('last_phase')} AS avg_last_phase, MAX(last_phase) AS max_phase_reached, {mean('duration_seconds')} AS avg_wipe_duration_seconds,
     MAX(duration_seconds) AS longest_wipe_seconds, MIN(raid_night_date) AS first_wipe_date, MAX(raid_night_date) AS latest_wipe_date,
     COUNT(DISTINCT raid_night_date) AS raid_nights_attempted, ROUND({mean('boss_percentage')}, 1) AS avg_wipe_pct_rounded

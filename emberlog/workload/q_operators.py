@@ -292,7 +292,7 @@ def approximate_median(dom: Domain) -> DataFrame:
 @query("exact_quantiles", """SELECT l_returnflag, COUNT(*) AS n, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS median,
     quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem GROUP BY l_returnflag""")
 def exact_quantiles(dom: Domain) -> DataFrame:
-    return ordered.exact_quantiles(dom.table("lineitem"), ["l_returnflag"], "l_extendedprice", {"q1": 0.25, "median": 0.5, "q3": 0.75}, distributed=True)
+    return ordered.exact_quantiles(dom.table("lineitem"), ["l_returnflag"], "l_extendedprice", {"q1": 0.25, "median": 0.5, "q3": 0.75})
 
 
 @query("ratio_with_guard", """SELECT user_id, COUNT(*) FILTER (event_type = 'error') / GREATEST(COUNT(*) FILTER (event_type = 'click' AND k > 95), 1) AS errors_per_click,
@@ -338,7 +338,7 @@ def duplicate_counts(dom: Domain) -> DataFrame:
 def duplicate_ordinals(dom: Domain) -> DataFrame:
     """Equal rows collapse to a count, are numbered as runs, and expand again."""
     copies = rows.collapse_copies(dom.table("documents").select(F.md5("text").alias("text_hash"), "lang"))
-    placed = ordered.running(copies, ["text_hash"], [F.col("lang").asc()], {"_upto": ("sum", "_copies")}, distributed=True)
+    placed = ordered.running(copies, ["text_hash"], [F.col("lang").asc()], {"_upto": ("sum", "_copies")})
     expanded = rows.expand_copies(placed, chunk=2)
     return expanded.select("text_hash", (F.col("_upto") - F.col("_copies") + F.col("_copy") + 1).alias("copy_no"), "lang")
 
@@ -349,7 +349,7 @@ def duplicate_ordinals(dom: Domain) -> DataFrame:
     / (COUNT(*) OVER (PARTITION BY c_mktsegment) - 1) * 100, 1) END AS percentile FROM customer""")
 def rank_in_scope(dom: Domain) -> DataFrame:
     placed = ordered.ranked(dom.table("customer").select("c_mktsegment", "c_custkey", "c_acctbal"), ["c_mktsegment"],
-                            [cents("c_acctbal").desc(), F.col("c_custkey").asc()], "place", "total", distributed=True)
+                            [cents("c_acctbal").desc(), F.col("c_custkey").asc()], "place", "total")
     return placed.select("c_mktsegment", "c_custkey", F.col("place").cast("bigint").alias("place"), "total", v.rank_percentile("place", "total").alias("percentile"))
 
 
@@ -363,7 +363,7 @@ def running_values(dom: Domain) -> DataFrame:
     e = dom["ev"].select("event_id", "event_type", "ts", "cents", "k", F.when(F.col("k") % 10 == 0, F.col("k")).alias("_round"))
     done = ordered.running(e, ["event_type"], [F.col("ts").asc(), F.col("event_id").asc()], {
         "seen": ("count", None), "total_cents": ("sum", "cents"), "low": ("min", "cents"), "high": ("max", "cents"), "before": ("prev", "k"),
-        "last_round": ("last", "_round")}, distributed=True)
+        "last_round": ("last", "_round")})
     return done.select("event_id", "seen", "total_cents", "low", "high", "before", "last_round")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog import rules
@@ -194,12 +194,16 @@ def manifest_mismatch(dom: Domain) -> DataFrame:
     return publish.manifest_mismatch(listed, wanted)
 
 
-@query("latest_snapshot", """SELECT report_code AS snapshot_id, CAST(fight_id AS VARCHAR) AS dataset FROM fights WHERE NOT is_kill AND report_code = (SELECT MAX(report_code) FROM
-    (SELECT report_code FROM fights WHERE NOT is_kill GROUP BY report_code HAVING COUNT(DISTINCT fight_id) = 4) t)""")
+_NUMBERED = """(SELECT report_code AS snapshot_id, CAST(ROW_NUMBER() OVER (PARTITION BY report_code ORDER BY fight_id) AS VARCHAR) AS dataset FROM fights WHERE NOT is_kill)"""
+
+
+@query("latest_snapshot", f"""SELECT * FROM {_NUMBERED} n WHERE snapshot_id = (SELECT MAX(snapshot_id) FROM
+    (SELECT snapshot_id FROM {_NUMBERED} m GROUP BY snapshot_id HAVING LIST_SORT(LIST(dataset)) = ['1', '2', '3', '4']) t)""")
 def latest_snapshot(dom: Domain) -> DataFrame:
-    """Reports as snapshots and their wipes as datasets: the newest with exactly four."""
-    manifests = dom["fights"].filter("NOT is_kill").select(F.col("report_code").alias("snapshot_id"), F.col("fight_id").cast("string").alias("dataset"))
-    return publish.latest_complete_snapshot(manifests, 4)
+    """Reports as snapshots and their numbered wipes as datasets: the newest with exactly the first four."""
+    number = F.row_number().over(Window.partitionBy("report_code").orderBy("fight_id"))
+    manifests = dom["fights"].filter("NOT is_kill").select(F.col("report_code").alias("snapshot_id"), number.cast("string").alias("dataset"))
+    return publish.latest_complete_snapshot(manifests, ("1", "2", "3", "4"))
 
 
 @query("published_cooldown_totals", """SELECT boss_name, zone_name, difficulty_label, cooldown_category, player_identity_key, player_name, player_class, realm, ability_id, ability_name,

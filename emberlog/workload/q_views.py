@@ -126,7 +126,7 @@ cte("pull_series", """SELECT * FROM (SELECT encounter_id, difficulty, raid_night
 
 @view("pull_series", "SELECT * EXCLUDE (before) FROM pull_series")
 def pull_series(t: In) -> DataFrame:
-    return views.pull_series(t["gold_boss_pull_history"], distributed=True)
+    return views.pull_series(t["gold_boss_pull_history"])
 
 
 @view("phase_segments", """SELECT encounter_id, difficulty, phase, "end", COALESCE(LAG("end") OVER (PARTITION BY encounter_id, difficulty ORDER BY phase), 0) AS start FROM
@@ -142,7 +142,7 @@ def phase_segments(t: In) -> DataFrame:
     o AS (SELECT *, COALESCE(LAG(close) OVER w, f) AS "open", LAG(raid_night_date) OVER w AS previous_night FROM n WINDOW w AS (PARTITION BY encounter_id, difficulty ORDER BY raid_night_date))
     SELECT encounter_id, difficulty, raid_night_date, previous_night, "open", close, GREATEST(hi, "open") AS high, LEAST(lo, "open") AS low, pull_count FROM o""".replace("WITH n AS", "SELECT * FROM (WITH n AS") + ") q")
 def nightly_candles(t: In) -> DataFrame:
-    return views.nightly_candles(t["gold_boss_pull_history"], distributed=True)
+    return views.nightly_candles(t["gold_boss_pull_history"])
 
 
 @view("weekly_series", """SELECT g.zone_name, g.week_start, g.week_index, CAST(COALESCE(k, 0) AS BIGINT) AS boss_kills, CAST(COALESCE(w, 0) AS BIGINT) AS wipes, CAST(COALESCE(p, 0) AS BIGINT) AS pulls FROM
@@ -406,7 +406,7 @@ def parse_tier_mix(t: In) -> DataFrame:
 
 @view("parse_median", "SELECT COUNT(rank_percent) AS n, quantile_cont(rank_percent, 0.5) AS median FROM roster_in WHERE rank_percent >= 0 AND rank_percent <= 100")
 def parse_median(t: In) -> DataFrame:
-    return views.parse_median(t[_ROSTER], distributed=True)
+    return views.parse_median(t[_ROSTER])
 
 
 @view("parse_shape", """SELECT n, peaks, ROUND(sd, 6) AS standard_deviation, ROUND(skew, 6) AS skewness, ROUND(kurt, 6) AS kurtosis, type, ROUND(w / tot * 100, 4) AS probability FROM (

@@ -28,12 +28,11 @@ def readings():
     return [(i, key, rng.randrange(90), rng.choice([None, *range(5)])) for i, key in enumerate(keys)]
 
 
-@pytest.mark.parametrize("distributed", [False, True])
-def test_running_equals_loop(spark, readings, distributed):
+def test_running_equals_loop(spark, readings):
     df = table(spark, readings, "id INT, key STRING, at INT, x INT")
     got = ordered.running(df, ["key"], [F.col("at").asc(), F.col("id").asc()], {
         "n": ("count", None), "total": ("sum", "x"), "low": ("min", "x"), "high": ("max", "x"), "last": ("last", "x"), "before": ("prev", "x"),
-        "place": ("row", None), "size": ("total", None), "sum_all": ("total", "x")}, parts=5, distributed=distributed)
+        "place": ("row", None), "size": ("total", None), "sum_all": ("total", "x")}, parts=5)
     want = []
     for key in {r[1] for r in readings}:
         own = sorted((r for r in readings if r[1] == key), key=lambda r: (r[2], r[0]))
@@ -45,15 +44,14 @@ def test_running_equals_loop(spark, readings, distributed):
     assert collected(got, "id", "n", "total", "low", "high", "last", "before", "place", "size", "sum_all") == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("distributed", [False, True])
-def test_exact_quantiles(spark, readings, distributed):
+def test_exact_quantiles(spark, readings):
     import statistics
 
     df = table(spark, readings, "id INT, key STRING, at INT, x INT")
-    got = {r.key: r.m for r in ordered.exact_quantiles(df, ["key"], "at", {"m": 0.5}, parts=4, distributed=distributed).collect()}
+    got = {r.key: r.m for r in ordered.exact_quantiles(df, ["key"], "at", {"m": 0.5}, parts=4).collect()}
     for key, value in got.items():
         assert value == statistics.median(r[2] for r in readings if r[1] == key)
-    assert ordered.exact_quantiles(df.limit(0), [], "at", {"m": 0.5}, distributed=distributed).first().m is None
+    assert ordered.exact_quantiles(df.limit(0), [], "at", {"m": 0.5}).first().m is None
 
 
 @pytest.mark.parametrize("width,max_buckets", [(10, 256), (3, 2), (1000, 1)])
@@ -175,6 +173,6 @@ def test_hot_key_spreads_over_slices(spark, readings, monkeypatch):
 
     monkeypatch.setattr(ordered, "stored", keep)
     df = table(spark, readings, "id INT, key STRING, at INT, x INT")
-    ordered.running(df, ["key"], [F.col("at").asc(), F.col("id").asc()], {"n": ("row", None)}, parts=6, distributed=True).count()
+    ordered.running(df, ["key"], [F.col("at").asc(), F.col("id").asc()], {"n": ("row", None)}, parts=6).count()
     slices = kept[0].filter("key = 'hot'").groupBy("_slice").count().collect()
     assert len(slices) > 1 and max(r["count"] for r in slices) < 200

@@ -45,6 +45,10 @@ def test_contract_missing_column_and_projection(spark):
     assert found(df, contract.project(["a"])) == {("rule", "own"): 1}
     with pytest.raises(ValueError):
         contracts.row_condition("len(a) > 0")
+    rows = spark.createDataFrame([(-3, "min", None), (5, "x == 'y'", 1)], "a int, s string, n int")
+    for rule, want in {"s == 'min'": [True, False], "n == None": [True, False], "n != None": [False, True], "0 <= a < 6": [False, True], "a % 4 == 1": [True, True],
+                       "max(a, 0) == 0 or not a > 1": [True, False], "abs(-a) == 3 and s != \"x == 'y'\"": [True, False]}.items():
+        assert [r.ok for r in rows.select(contracts.row_condition(rule).alias("ok")).collect()] == want, rule
     assert contracts.names_in('a != "b" or max(c, 1) == 2') == {"a", "c"}
 
 
@@ -159,7 +163,7 @@ def test_publish_manifest_and_latest(spark, built, tmp_path):
     listed = spark.read.parquet(f"{root}/manifest")
     assert listed.count() == 8
     broken = listed.unionByName(listed.filter("snapshot_id = 's2'").limit(1).withColumn("snapshot_id", F.lit("s3")))
-    assert {r.snapshot_id for r in publish.latest_complete_snapshot(broken, len(names)).collect()} == {"s2"}
+    assert {r.snapshot_id for r in publish.latest_complete_snapshot(broken, names).collect()} == {"s2"}
     stored = spark.read.json(f"{root}/snapshots/snapshot_id=s2/boss_progression")
     assert stored.count() == built["gold_boss_progression"].count()
     lacking = {**built, "gold_player_attendance": built["gold_player_attendance"].drop("player_realm")}
