@@ -21,8 +21,9 @@ from emberlog.sources.sheet import parse_sheet
 
 
 def once(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("_ingested_at",)) -> DataFrame:
-    """One row per key; a stream keeps the first seen in its state, a batch the newest."""
-    return df.dropDuplicates(list(keys)) if df.isStreaming else rows.dedup_ordered(df, keys, order)
+    """One row per key, the newest. A stream cannot take back what it has written, so it drops
+    only repeated rows and keeps every version; the newest is taken on read (``tables.read_silver``)."""
+    return df.dropDuplicates() if df.isStreaming else rows.dedup_ordered(df, keys, order)
 
 
 def report_context(reports: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog import rules
@@ -13,8 +13,21 @@ from emberlog.operators import rows
 from emberlog.sources import payloads
 
 
+def newest_landings(raw: DataFrame) -> DataFrame:
+    """The newest record of each report of a rankings landing, picked as ``silver.player_rankings`` picks it.
+
+    Rows with the same time and first metric differ in the second one, whose greater text wins.
+    """
+    return rows.latest_by(raw, ["report_code"], ["_ingested_at", "rankings_json", "rankings_hps_json"])
+
+
+def file_ages(raw: DataFrame, today: Column) -> DataFrame:
+    """One row per report: the days from its newest landing to ``today``."""
+    return raw.groupBy("report_code").agg(F.datediff(today, F.to_date(F.max("_ingested_at"))).alias("file_age_days"))
+
+
 def parse_completeness(raw: DataFrame, limit: float = rules.NULL_RANK_SHARE) -> DataFrame:
-    """Per report: incomplete fights, fights, null and all parses of a rankings landing.
+    """Per report: incomplete fights, fights, null and all parses of its newest rankings landing.
 
     Tanks and damage dealers count from the first metric, healers from the second. A record
     without the second metric counts all its fights as incomplete and no parses; a record that
@@ -28,7 +41,7 @@ def parse_completeness(raw: DataFrame, limit: float = rules.NULL_RANK_SHARE) ->
         return fights.select("report_code", F.col("f.fightID").alias("fight_id"), F.size(ranks).alias("_all"),
                              F.size(F.filter(ranks, lambda r: r.isNull())).alias("_null"))
 
-    readable = payloads.parse(raw, "rankings_json", "rankings").drop("payload")
+    readable = payloads.parse(newest_landings(raw), "rankings_json", "rankings").drop("payload")
     legacy = readable.filter("rankings_hps_json IS NULL")
     current = payloads.parse(readable, "rankings_hps_json", "rankings").drop("payload")
     first = exploded(current, "rankings_json", ("tanks", "dps")).withColumn("_own", F.lit(1))

@@ -37,6 +37,14 @@ def within_watermark(keys: tuple[str, ...], event_time: str, delay: str) -> Call
     return lambda df: df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+KEYS = {"reports": ("code",), "fights": ("report_code", "fight_id"), "attendance": ("report_code", "player_name"), "actors": ("report_code", "actor_id")}
+
+
+def read_silver(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A streamed silver table with the newest version of each key, as a batch over all landings gives it."""
+    return silver.once(spark.read.parquet(path), KEYS[table])
+
+
 def stream_reports(spark: SparkSession, bronze: str) -> DataFrame:
     return silver.guild_reports(bronze_stream(spark, bronze, "guild_reports"))
 

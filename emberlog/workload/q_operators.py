@@ -92,11 +92,11 @@ def _landed(dom: Domain, name: str, frame: DataFrame) -> str:
 
 @query("stream_guild_reports", "SELECT code, zone_id, zone_name, start_time_utc FROM reports")
 def stream_guild_reports(dom: Domain) -> DataFrame:
-    root = _landed(dom, "guild_reports", bronze.guild_reports(dom).filter("title <> 'stale'"))
+    root = _landed(dom, "guild_reports", bronze.guild_reports(dom))
     stream.ingest_bronze(dom.spark, root, f"{root}/bronze", ("guild_reports",))
     out = stream.stream_reports(dom.spark, f"{root}/bronze")
     stream.run_available(out, f"{root}/silver", f"{root}/state")
-    return dom.spark.read.parquet(f"{root}/silver").select("code", "zone_id", "zone_name", "start_time_utc")
+    return stream.read_silver(dom.spark, f"{root}/silver", "reports").select("code", "zone_id", "zone_name", "start_time_utc")
 
 
 @query("stream_fight_events", "SELECT report_code, fight_id, boss_name, is_kill, difficulty_label, duration_seconds, zone_name, raid_night_date FROM fights")
@@ -104,7 +104,7 @@ def stream_fight_events(dom: Domain) -> DataFrame:
     root = _landed(dom, "report_fights", bronze.report_fights(dom))
     stream.ingest_bronze(dom.spark, root, f"{root}/bronze", ("report_fights",))
     stream.run_available(stream.stream_fights(dom.spark, f"{root}/bronze"), f"{root}/silver", f"{root}/state")
-    stored = stream.with_report_context(dom.spark.read.parquet(f"{root}/silver"), dom["reports"].drop("raid_night_date"))
+    stored = stream.with_report_context(stream.read_silver(dom.spark, f"{root}/silver", "fights"), dom["reports"].drop("raid_night_date"))
     return stored.select("report_code", "fight_id", "boss_name", "is_kill", "difficulty_label", "duration_seconds", "zone_name", "raid_night_date")
 
 
@@ -114,7 +114,7 @@ def stream_raid_attendance(dom: Domain) -> DataFrame:
     stream.ingest_bronze(dom.spark, root, f"{root}/bronze", ("raid_attendance",))
     out = stream.stream_attendance(dom.spark, f"{root}/bronze", dom["reports"])
     stream.run_available(out, f"{root}/silver", f"{root}/state")
-    return dom.spark.read.parquet(f"{root}/silver").select("report_code", "player_name", "presence_status", "zone_name", "raid_night_date")
+    return stream.read_silver(dom.spark, f"{root}/silver", "attendance").select("report_code", "player_name", "presence_status", "zone_name", "raid_night_date")
 
 
 @query("stream_actor_roster", "SELECT report_code, actor_id, player_name, player_class, realm FROM actors")
@@ -122,7 +122,7 @@ def stream_actor_roster(dom: Domain) -> DataFrame:
     root = _landed(dom, "actor_roster", bronze.actor_roster(dom))
     stream.ingest_bronze(dom.spark, root, f"{root}/bronze", ("actor_roster",))
     stream.run_available(stream.stream_actors(dom.spark, f"{root}/bronze"), f"{root}/silver", f"{root}/state")
-    return dom.spark.read.parquet(f"{root}/silver").drop("_ingested_at")
+    return stream.read_silver(dom.spark, f"{root}/silver", "actors").drop("_ingested_at")
 
 
 _BUILDERS = {

@@ -99,15 +99,16 @@ def unique_key_check(dom: Domain) -> DataFrame:
     CAST(SUM(n) AS BIGINT) AS null_chars, CAST(SUM(a) AS BIGINT) AS total_chars FROM (SELECT report_code, fight_id, COUNT(*) AS a, COUNT(*) FILTER (rank_percent IS NULL) AS n
     FROM rankings GROUP BY report_code, fight_id) t GROUP BY report_code""")
 def parse_completeness(dom: Domain) -> DataFrame:
-    return completeness.parse_completeness(bronze.fight_rankings(dom).filter("_ingested_at >= '2024'"))
+    """Over all landings; the newest of each report counts."""
+    return completeness.parse_completeness(bronze.fight_rankings(dom))
 
 
 @query("backfill_decisions", """SELECT report_code, incomplete_fights, file_age_days, CASE WHEN incomplete_fights = 0 THEN 'skip_complete' WHEN file_age_days >= 14 THEN 'accept_final' ELSE 'refetch' END AS decision
     FROM (SELECT report_code, CAST(SUM(CASE WHEN n / a > 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS incomplete_fights, CAST(date_diff('day', MAX(d), DATE '2024-01-31') AS INT) AS file_age_days FROM
     (SELECT r.report_code, fight_id, MAX(CAST(substr(_ingested_at, 1, 10) AS DATE)) AS d, COUNT(*) AS a, COUNT(*) FILTER (rank_percent IS NULL) AS n FROM rankings r GROUP BY r.report_code, fight_id) t GROUP BY report_code) x""")
 def backfill_decisions(dom: Domain) -> DataFrame:
-    landed = bronze.fight_rankings(dom).filter("_ingested_at >= '2024'")
-    ages = landed.select("report_code", F.datediff(F.lit("2024-01-31").cast("date"), F.to_date("_ingested_at")).alias("file_age_days"))
+    landed = bronze.fight_rankings(dom)
+    ages = completeness.file_ages(landed, F.lit("2024-01-31").cast("date"))
     decided = completeness.backfill_decision(completeness.parse_completeness(landed).join(ages, "report_code"))
     return decided.select("report_code", "incomplete_fights", "file_age_days", "decision")
 

@@ -187,3 +187,19 @@ def test_dataset_limits(spark, monkeypatch):
 def test_all_datasets_have_a_source():
     assert len(publish.DATASETS) == 35
     assert {s for s, _ in publish.DATASETS.values()} <= set(pipeline.TABLES) | {"identity_overrides"}
+
+
+def test_streamed_table_gives_the_newest_landing(spark, tmp_path):
+    landing, out = f"{tmp_path}/landing", f"{tmp_path}/bronze"
+
+    def run():
+        stream.ingest_bronze(spark, landing, out, ("guild_reports",))
+        stream.run_available(stream.stream_reports(spark, out), f"{tmp_path}/silver", f"{tmp_path}/state")
+        return sorted(tuple(r) for r in stream.read_silver(spark, f"{tmp_path}/silver", "reports").select("code", "title").collect())
+
+    write_lines(f"{landing}/guild_reports", "a.json", {"code": "R", "title": "old"}, {"code": "S", "title": "only", "_ingested_at": "2023-01-01T00:00:00"})
+    assert run() == [("R", "old"), ("S", "only")]
+    write_lines(f"{landing}/guild_reports", "b.json", {"code": "R", "title": "new", "_ingested_at": "2024-02-01T00:00:00"}, {"code": "R", "title": "stale", "_ingested_at": "2023-01-01T00:00:00"})
+    assert run() == [("R", "new"), ("S", "only")]
+    batch = silver.guild_reports(spark.read.schema(stream.landing_schema("guild_reports")).json(f"{landing}/guild_reports"))
+    assert sorted(tuple(r) for r in batch.select("code", "title").collect()) == [("R", "new"), ("S", "only")]

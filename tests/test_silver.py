@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberlog.plans import gold_core, gold_profile, gold_wipes, silver
-from emberlog.quality.completeness import backfill_decision, parse_completeness, stale_landings
+from emberlog.quality.completeness import backfill_decision, file_ages, parse_completeness, stale_landings
 from emberlog.sources import payloads
 from emberlog.sources.landing import FOLDERS, landing_rules, landing_schema
 from emberlog.sources.sheet import parse_sheet
@@ -274,3 +274,13 @@ def test_missing_auras_or_talents_keep_the_other(spark, fight_world):
     got = silver.player_combatant_buffs(silver.parsed_combatants(raw), fights, actors)
     assert flat(got, "player_name", "fight_id", "talent_spell_ids", "has_food_buff", "food_buff_names") == [
         ("Ann", 1, ["5"], False, None), ("Bob", 1, [], True, "Well Fed"), ("Bob", 2, [], False, None)]
+
+
+def test_completeness_counts_the_newest_landing_of_a_report_only(spark):
+    old, new = "2023-05-01T00:00:00", "2023-06-01T00:00:00"
+    raw = landed(spark, "fight_rankings", rankings("early", {"dps": chars(1.0, 2.0)}, when=old), rankings("twice", {"dps": chars(None, None)}, when=old),
+                 rankings("twice", {"dps": chars(5.0)}, when=new), rankings("twice", {"dps": chars(5.0)}, when=new))
+    got = parse_completeness(raw)
+    assert flat(got, "report_code", "incomplete_fights", "total_fights", "null_chars", "total_chars") == [("early", 0, 1, 0, 2), ("twice", 0, 1, 0, 1)]
+    ages = file_ages(raw, F.lit("2023-06-11").cast("date"))
+    assert flat(got.join(ages, "report_code"), "report_code", "file_age_days") == [("early", 41), ("twice", 10)]
