@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from emberlog.quality.declared import FIELDS
 from emberlog.rules import DIFFICULTIES
 
 
@@ -230,6 +231,15 @@ def _kind(dtype: T.DataType) -> str:
     return "any"
 
 
+def declared(table: str, version: str = "0.1.0") -> Contract:
+    """Contract of a published table with its fields as declared, so that a frame can lack one or have another type."""
+    def field(word: str) -> tuple[str, Field]:
+        name, kind = word.split(":")
+        return name, Field(kind.rstrip("?~"), "?" in kind, "~" in kind)
+
+    return Contract(table, version, dict(map(field, FIELDS[table].split())), tuple(KEYS[table].split()), ENUMS.get(table, {}), EXPRESSIONS.get(table, {}))
+
+
 def contract_for(table: str, schema: T.StructType, version: str = "0.1.0") -> Contract:
     """Contract of a published table: its key parts are required, all other fields may be null."""
     key = tuple(KEYS.get(table, "").split())

@@ -64,6 +64,14 @@ def table_row_counts(dom: Domain) -> DataFrame:
     return sinks.row_counts({t: dom.table(t) for t in _COUNTED})
 
 
+_TABLES = ("benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part", "region", "supplier")
+
+
+@query("table_row_counts_all", " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in _TABLES))
+def table_row_counts_all(dom: Domain) -> DataFrame:
+    return sinks.row_counts({t: dom.table(t) for t in _TABLES})
+
+
 @query("sample_dump")
 def sample_dump(dom: Domain) -> DataFrame:
     """The sampled dump of a table; which rows it takes is left open."""

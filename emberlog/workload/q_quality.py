@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from emberlog import rules
 from emberlog.operators import rows
-from emberlog.plans import publish
+from emberlog.plans import pipeline, publish
 from emberlog.quality import completeness, contracts
 from emberlog.quality.contracts import Contract, Field
 from emberlog.quality.expectations import RULES, expect_or_drop, expectation_report
+from emberlog.session import stored
 from emberlog.workload import bronze
 from emberlog.workload.domain import Domain
 from emberlog.workload.q_gold import SHARED, catalog
@@ -89,6 +90,19 @@ def gold_contracts(dom: Domain) -> DataFrame:
         F.count_if(F.col("violations") > 0).alias("failed_checks"), F.count_if(special).alias("key_and_rule_checks"))
 
 
+@query("gold_contracts_all")
+def gold_contracts_all(dom: Domain) -> DataFrame:
+    """All tables against their declared fields: per table the number of checks, and those that fail.
+
+    Each report is stored, so that no plan spans more than one table. What the fixture tables break is left open.
+    """
+    t = catalog(dom, SHARED)
+    reports = [stored(contracts.contract_report(t[name], contracts.declared(name))) for name in pipeline.GOLD]
+    every = rows.union_branches(reports)
+    return every.groupBy("table_name").agg(F.count(F.lit(1)).alias("checks"), F.array_sort(F.collect_set(F.when(
+        F.col("violations") > 0, F.struct("check", "subject", "violations")))).alias("failed"))
+
+
 @query("unique_key_check", """SELECT 'null_key' AS "check", 'text_hash' AS subject, CAST(0 AS BIGINT) AS violations UNION ALL
     SELECT 'duplicate_key', 'text_hash', COUNT(*) FROM (SELECT md5(text) FROM documents GROUP BY md5(text) HAVING COUNT(*) > 1) t""")
 def unique_key_check(dom: Domain) -> DataFrame:
@@ -171,6 +185,22 @@ def publish_sizes(dom: Domain) -> DataFrame:
     return publish.dataset_sizes({d: publish.project(d, t) for d in _PUBLISHED}).drop("byte_size")
 
 
+def _all_sizes(dom: Domain) -> DataFrame:
+    """Sizes of all datasets; each is stored, so that no plan spans more than one."""
+    t = catalog(dom, SHARED)
+    return rows.union_branches([stored(publish.dataset_sizes({d: publish.project(d, t)})) for d in publish.DATASETS])
+
+
+@query("publish_sizes_all")
+def publish_sizes_all(dom: Domain) -> DataFrame:
+    return _all_sizes(dom)
+
+
+@query("publish_manifest_all")
+def publish_manifest_all(dom: Domain) -> DataFrame:
+    return publish.manifest(dom.spark, _all_sizes(dom), "s1", "2024-02-01T00:00:00Z")
+
+
 @query("publish_bytes", f"""SELECT 'orders' AS dataset, COUNT(*) AS row_count, CAST(SUM(LENGTH(CONCAT('{{"o_orderkey":', o_orderkey, ',"o_orderstatus":"', o_orderstatus, '"}}')) + 1) + 1 AS BIGINT) AS byte_size,
     COUNT(*) <= 100000 AND SUM(LENGTH(CONCAT('{{"o_orderkey":', o_orderkey, ',"o_orderstatus":"', o_orderstatus, '"}}')) + 1) + 1 <= {rules.MAX_DATASET_BYTES} AS within_limits FROM orders""".replace("{{", "{").replace("}}", "}"))
 def publish_bytes(dom: Domain) -> DataFrame:

@@ -203,3 +203,11 @@ def test_streamed_table_gives_the_newest_landing(spark, tmp_path):
     assert run() == [("R", "new"), ("S", "only")]
     batch = silver.guild_reports(spark.read.schema(stream.landing_schema("guild_reports")).json(f"{landing}/guild_reports"))
     assert sorted(tuple(r) for r in batch.select("code", "title").collect()) == [("R", "new"), ("S", "only")]
+
+
+def test_declared_contracts_find_a_missing_column_and_a_wrong_type(spark):
+    assert set(pipeline.GOLD) == set(contracts.FIELDS) == set(contracts.KEYS)
+    contract = contracts.declared("gold_weekly_activity")
+    frame = spark.range(1).select(*[F.lit("x").alias(n) for n in contract.fields if n != "total_wipes"])
+    bad = found(frame, contract)
+    assert bad["missing_column", "total_wipes"] == 1 and bad["type", "total_pulls"] == 1
