@@ -15,6 +15,7 @@ from emberlog.plans import gold_readiness as readiness
 from emberlog.plans import gold_wipes as wipes
 from emberlog.plans import silver
 from emberlog.session import stored
+from emberlog.sources import payloads
 from emberlog.sources.sinks import write_clustered
 
 Table = tuple[Callable[..., DataFrame], tuple[str, ...]]
@@ -103,6 +104,23 @@ GOLD: dict[str, Table] = {
 }
 TABLES = {**SILVER, **GOLD}
 
+# landing folder, its payload column, and the kind it is parsed as
+PAYLOAD_COLUMNS = (
+    ("player_details", "player_details_json", "player_details"), ("fight_rankings", "rankings_json", "rankings"),
+    ("fight_rankings", "rankings_hps_json", "rankings"), ("fight_deaths", "table_json", "deaths"), ("fight_casts", "events_json", "casts"),
+    ("fight_casts", "buffs_json", "casts"), ("fight_casts", "combatant_info_json", "combatants"), ("guild_zone_ranks", "progress_json", "zone_progress"),
+    ("character_media", "media_json", "media"), ("item_media", "media_json", "media"), ("character_equipment", "equipment_json", "equipment"),
+    ("character_achievements", "achievements_json", "achievement_totals"), ("character_achievements", "achievements_json", "achievements"),
+    ("raiderio_character_profiles", "profile_json", "profile"))
+
+
+def _corrupt(column: str, kind: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda raw: payloads.corrupt_rows(raw, column, kind)
+
+
+# Landing rows whose payload cannot be read, whole as they landed: what the silver tables leave out. Usually empty.
+CORRUPT: dict[str, Table] = {f"corrupt_{folder}_{column.removesuffix('_json')}_as_{kind}": (_corrupt(column, kind), (folder,)) for folder, column, kind in PAYLOAD_COLUMNS}
+
 # Columns readers filter on, used to lay out files on write.
 LAYOUT = {
     "dim_player": ("player_name",), "dim_guild_member": ("name",), "fact_player_fight_performance": ("encounter_id",),
@@ -135,10 +153,14 @@ class Catalog(dict):
 
 
 def build_all(spark: SparkSession, bronze: Mapping[str, DataFrame], out: str, names: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
-    """Build the tables in order; each is written once and read back by those that follow."""
+    """Build the tables in order; each is written once and read back by those that follow.
+
+    Without ``names`` these are all tables, and the side tables of corrupt payloads.
+    """
     tables: dict[str, DataFrame] = dict(bronze)
-    for name in names or TABLES:
-        build, inputs = TABLES[name]
+    every = {**CORRUPT, **TABLES}
+    for name in names or every:
+        build, inputs = every[name]
         frame = build(*[tables[i] for i in inputs])
         if name in LAYOUT:
             write_clustered(frame, f"{out}/{name}", LAYOUT[name])

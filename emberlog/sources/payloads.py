@@ -105,6 +105,6 @@ def exploded(df: DataFrame, text: str, kind: str, items: Callable[[Column], Colu
 
 
 def corrupt_rows(df: DataFrame, text: str, kind: str) -> DataFrame:
-    """Side table of rows whose payload is present but malformed."""
+    """Side table of rows whose payload is present but malformed or blank."""
     parsed = df.withColumn("_p", F.from_json(text, payload_ddl(kind, corrupt=True), {"columnNameOfCorruptRecord": _CORRUPT}))
-    return parsed.filter(F.col(f"_p.{_CORRUPT}").isNotNull()).drop("_p")
+    return parsed.filter(F.col(f"_p.{_CORRUPT}").isNotNull() | (F.trim(text) == "")).drop("_p")

@@ -12,6 +12,7 @@ from emberlog.quality import completeness, contracts
 from emberlog.quality.contracts import Contract, Field
 from emberlog.quality.expectations import RULES, expect_or_drop, expectation_report
 from emberlog.session import stored
+from emberlog.sources import sinks
 from emberlog.workload import bronze
 from emberlog.workload.domain import Domain
 from emberlog.workload.q_gold import SHARED, catalog
@@ -127,6 +128,30 @@ def backfill_decisions(dom: Domain) -> DataFrame:
     return decided.select("report_code", "incomplete_fights", "file_age_days", "decision")
 
 
+_SIGNUPS, _CHUNKS = "SELECT COUNT(*) AS n FROM e WHERE event_type = 'signup'", "SELECT COUNT(*) AS n FROM (SELECT DISTINCT report_code, event_id // 64 FROM {}) t"
+_PLANTED_SQL = {
+    "corrupt_player_details_player_details_as_player_details": "SELECT COUNT(*) AS n FROM (SELECT DISTINCT report_code, fight_id FROM perf) t",
+    **{f"corrupt_fight_rankings_{c}_as_rankings": "SELECT 2 * COUNT(DISTINCT report_code) AS n FROM rankings" for c in ("rankings", "rankings_hps")},
+    # the fixture lands every record three times, once malformed
+    "corrupt_fight_deaths_table_as_deaths": "SELECT 4 * COUNT(*) AS n FROM (SELECT DISTINCT report_code, fight_id, event_id // 64 FROM deaths) t",
+    "corrupt_fight_casts_events_as_casts": _CHUNKS.format("raw_casts"), "corrupt_fight_casts_buffs_as_casts": _CHUNKS.format("buff_events"),
+    "corrupt_fight_casts_combatant_info_as_combatants": _CHUNKS.format("combatants"), "corrupt_guild_zone_ranks_progress_as_zone_progress": _SIGNUPS,
+    "corrupt_character_media_media_as_media": _SIGNUPS, "corrupt_item_media_media_as_media": _SIGNUPS, "corrupt_character_equipment_equipment_as_equipment": _SIGNUPS,
+    "corrupt_character_achievements_achievements_as_achievement_totals": _SIGNUPS, "corrupt_character_achievements_achievements_as_achievements": _SIGNUPS,
+    "corrupt_raiderio_character_profiles_profile_as_profile": "SELECT COUNT(*) AS n FROM runs"}
+
+
+@query("corrupt_payloads", " UNION ALL ".join(f"SELECT '{t}' AS table_name, CAST(n AS BIGINT) AS row_count FROM ({s}) t" for t, s in _PLANTED_SQL.items()))
+def corrupt_payloads(dom: Domain) -> DataFrame:
+    """Rows of every side table of corrupt payloads, with each landed payload once more, cut by its last character."""
+    counts = {}
+    for (folder, column, _), (name, (build, _)) in zip(pipeline.PAYLOAD_COLUMNS, pipeline.CORRUPT.items()):
+        landed = getattr(bronze, {"raiderio_character_profiles": "character_profiles"}.get(folder, folder))(dom)
+        cut = landed.filter(F.col(column).isNotNull()).withColumn(column, F.expr(f"left({column}, length({column}) - 1)"))
+        counts[name] = build(landed.unionByName(cut))
+    return sinks.row_counts(counts)
+
+
 @query("stale_landings", """SELECT f.report_code, COUNT(*) FILTER (d.fight_id IS NULL) AS missing_fights, COUNT(d.fight_id) = 0 AS never_landed, FALSE AS payload_absent, FALSE AS multi_fight_records
     FROM fights f LEFT JOIN (SELECT DISTINCT report_code, fight_id FROM bought) d ON f.report_code = d.report_code AND f.fight_id = d.fight_id
     GROUP BY f.report_code HAVING COUNT(*) FILTER (d.fight_id IS NULL) > 0""")

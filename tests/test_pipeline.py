@@ -211,3 +211,11 @@ def test_declared_contracts_find_a_missing_column_and_a_wrong_type(spark):
     frame = spark.range(1).select(*[F.lit("x").alias(n) for n in contract.fields if n != "total_wipes"])
     bad = found(frame, contract)
     assert bad["missing_column", "total_wipes"] == 1 and bad["type", "total_pulls"] == 1
+
+
+def test_corrupt_payloads_are_kept(spark, tmp_path):
+    texts = ['{"data": {"entries": [{"name": "A"}]}}', '{"data": {"entries": [{"na', "", None]
+    raw = spark.createDataFrame([("R", i, t) for i, t in enumerate(texts)], "report_code STRING, n INT, table_json STRING")
+    name = "corrupt_fight_deaths_table_as_deaths"
+    built = pipeline.build_all(spark, {"fight_deaths": raw}, str(tmp_path), (name,))
+    assert sorted(r.n for r in built[name].collect()) == [1, 2]
