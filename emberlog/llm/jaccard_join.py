@@ -14,6 +14,9 @@
    forest of its links, never all pairs.
 5. Components of both kinds of links are the result.
 
+``links`` and ``link_counts`` leave out steps 3 and 4: they check every list whole, so that each pair of
+classes is verified in its first common list, and no link inside a component is left out.
+
 No true link between different components is lost: its pair shares a list, and step 4 checks that list.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with nothing.
@@ -326,18 +329,43 @@ def _check_cells(percent: int):
     return run
 
 
+def _cell_matrix(rows: pa.Table, percent: int) -> np.ndarray:
+    """The verified pairs of one cell, each in the cell of its first common shingle only."""
+    n, pos = rows["n"].to_numpy().astype(np.int64), rows["pos"].to_numpy().astype(np.int64)
+    across = rows["i"][0] != rows["j"][0]
+    return cell_links([np.frombuffer(s, _U) for s in rows["shingles"].to_pylist()], n, pos, percent, rows["c"].to_numpy() if across else None)
+
+
+def _cell_pairs(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches, ["shingle", "i", "j"]):
+            names, (at, to) = rows["class"].to_pylist(), np.nonzero(_cell_matrix(rows, percent))
+            yield pa.RecordBatch.from_arrays([pa.array([names[x] for x in side], pa.binary()) for side in (at, to)], names=["a", "b"])
+    return run
+
+
+def _cell_counts(percent: int):
+    """Per class of a cell the rows of the classes linked with it there, so that no pair leaves the cell."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches, ["shingle", "i", "j"]):
+            links = _cell_matrix(rows, percent)
+            found = (links | links.T).astype(np.float64) @ rows["rows"].to_numpy().astype(np.float64)  # exact up to 2^53 rows
+            some = np.flatnonzero(found)
+            names = rows["class"].to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([names[x] for x in some], pa.binary()), pa.array(found[some].astype(np.int64))], names=["class", "found"])
+    return run
+
+
 def _small(rows: DataFrame) -> DataFrame:
     """Stored narrow rows (about 80 bytes each), to be sent to all executors if they are few, so that the sets they meet stay in place."""
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def link_classes(docs: DataFrame, sized: DataFrame, order, k: int, percent: int) -> DataFrame:
-    """``node, component`` over the classes of ``docs`` (doc_id, text, tag) that have a link; ``sized`` has (doc_id, n, class)."""
+def _lists_and_sets(docs: DataFrame, sized: DataFrame, order, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The lists (shingle, class, n, pos) that can give a pair, and the set of every class in one."""
     lists = docs.select("text").mapInArrow(_prefixes(k, percent, order), "shingle long, class binary, n int, pos int").repartition("shingle").sortWithinPartitions("shingle", "class")
     lists = stored(lists.mapInArrow(_lists(percent), "shingle long, class binary, n int, pos int"))
 
-    pairs = lists.repartition("shingle").sortWithinPartitions("shingle", "class").mapInArrow(_first_pairs(percent), "a binary, b binary").distinct()
-    pairs = stored(pairs)
     in_lists = lists.select("class").distinct()
     chosen = stored(sized.join(in_lists, "class", "left_semi").groupBy("class").agg(F.min(F.struct("doc_id", "tag")).alias("d")).select(F.xxhash64("d.doc_id", "d.tag").alias("key")))
 
@@ -348,8 +376,13 @@ def link_classes(docs: DataFrame, sized: DataFrame, order, k: int, percent: int)
     bits = bits_for(chosen.count(), per_hash=128)
     wanted = docs.sparkSession.sparkContext.broadcast(merged_bits(chosen.mapInArrow(chunk_rows(bits, keys), CHUNK_SCHEMA), bits, "once"))
     texts = docs.select("text", F.xxhash64("doc_id", "tag").alias("key"))
-    sets = stored(texts.mapInArrow(_ordered_sets(k, order, wanted), "class binary, shingles binary"))
+    return lists, stored(texts.mapInArrow(_ordered_sets(k, order, wanted), "class binary, shingles binary"))
+
 
+def link_classes(docs: DataFrame, sized: DataFrame, order, k: int, percent: int) -> DataFrame:
+    """``node, component`` over the classes of ``docs`` (doc_id, text, tag) that have a link; ``sized`` has (doc_id, n, class)."""
+    lists, sets = _lists_and_sets(docs, sized, order, k, percent)
+    pairs = stored(lists.repartition("shingle").sortWithinPartitions("shingle", "class").mapInArrow(_first_pairs(percent), "a binary, b binary").distinct())
     left, right = sets.toDF("a", "x"), sets.toDF("b", "y")
     near = stored(left.join(_small(pairs), "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_verify_pairs(percent), "a binary, b binary"))
 
@@ -369,8 +402,8 @@ def link_classes(docs: DataFrame, sized: DataFrame, order, k: int, percent: int)
     return components(near.unionByName(rest))
 
 
-def linked_rows(df: DataFrame, text: str, doc_id: str, k: int, percent: int) -> DataFrame:
-    """``doc_id, tag`` (hash of the text)``, n, class, component`` of every row, the last null without shingles."""
+def _prepared(df: DataFrame, text: str, doc_id: str, k: int):
+    """``doc_id, text, tag`` of every row, its ``doc_id, tag, n, class``, and the order of shingles, broadcast."""
     spark = df.sparkSession
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tag"))
     id_sql = docs.schema["doc_id"].dataType.simpleString()
@@ -383,7 +416,13 @@ def linked_rows(df: DataFrame, text: str, doc_id: str, k: int, percent: int) ->
     for row in first.filter("counts IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(_add_counts, "chunk int, counts binary").toLocalIterator():
         sketch[row["chunk"] * CHUNK:(row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
     order = Order(sketch, merged_bits(first.filter("once IS NOT NULL").select("chunk", "once", "twice"), bits, "twice"))
-    linked = stored(link_classes(docs, sized, spark.sparkContext.broadcast(order), k, percent))
+    return docs, sized, spark.sparkContext.broadcast(order)
+
+
+def linked_rows(df: DataFrame, text: str, doc_id: str, k: int, percent: int) -> DataFrame:
+    """``doc_id, tag`` (hash of the text)``, n, class, component`` of every row, the last null without shingles."""
+    docs, sized, order = _prepared(df, text, doc_id, k)
+    linked = stored(link_classes(docs, sized, order, k, percent))
     linked = linked.select("node", F.col("component").alias("reached"))
     found = sized.join(linked, F.col("class") == F.col("node"), "left")
     return stored(found.select("doc_id", "tag", "n", "class", F.when(F.col("n") > 0, F.coalesce("reached", "class")).alias("component")))
@@ -397,6 +436,42 @@ def cluster(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int =
     return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _whole_cells(docs: DataFrame, sized: DataFrame, order, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """All lists as cells of bounded size, without the component short cut; and the rows of each class with shingles."""
+    lists, sets = _lists_and_sets(docs, sized, order, k, percent)
+    lists = lists.dropDuplicates(["shingle", "class"])  # a long list was passed on in parts
+    sets = sets.dropDuplicates(["class"])  # the filter of chosen documents lets some copies pass
+    sizes = stored(sized.filter("n > 0").groupBy("class").agg(F.count("*").alias("rows")))
+    chunks = lists.groupBy(F.col("shingle").alias("s")).agg(F.ceil(F.count("*") / CELL_CLASSES).cast("int").alias("chunks"), F.count("*").alias("members")).filter("members > 1")
+    members = lists.join(chunks, F.col("shingle") == F.col("s")).withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    cells = members.select("shingle", F.least("c", "other").alias("i"), F.greatest("c", "other").alias("j"), "c", "class", "n", "pos")
+    cells = cells.join(sizes, "class").join(sets, "class").select("shingle", "i", "j", "c", "class", "n", "pos", "rows", "shingles")
+    return cells.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "class"), sizes
+
+
+def links(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """All links: pairs of classes ``a, b``, each once, and the membership ``doc_id, class`` of every row with shingles.
+
+    Rows of one class are linked with each other, and with every row of a class that theirs is paired with.
+    There are as many pairs as similar sets, so they grow with the square of a group of different near copies;
+    ``link_counts`` returns none of them.
+    """
+    docs, sized, order = _prepared(df, text, doc_id, k)
+    cells, _ = _whole_cells(docs, sized, order, k, percent)
+    return stored(cells.mapInArrow(_cell_pairs(percent), "a binary, b binary")), sized.filter("n > 0").select("doc_id", "class")
+
+
+def link_counts(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 80) -> DataFrame:
+    """One row per input row: ``doc_id``, ``n_shingles``, ``n_links`` (other rows that are similar, copies included)."""
+    docs, sized, order = _prepared(df, text, doc_id, k)
+    cells, sizes = _whole_cells(docs, sized, order, k, percent)
+    near = cells.mapInArrow(_cell_counts(percent), "class binary, found long").groupBy("class").agg(F.sum("found").alias("found"))
+    per_class = sizes.join(near, "class", "left").select("class", (F.col("rows") - 1 + F.coalesce("found", F.lit(0))).alias("n_links"))
+    found = sized.join(stored(per_class), "class", "left")
+    return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def keep_one(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``df`` without near duplicates: of each component the row with the smallest id, then hash of text, stays.
 

@@ -238,3 +238,16 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(reac
 def op10_prefix_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, similarity of 0.9 or more."""
     return jaccard_join.cluster(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+@query("op10_link_counts", r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+                             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
+rows AS (SELECT doc_id, unnest(s) AS x, len(s) AS n FROM sets),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b FROM rows a JOIN rows b ON a.x = b.x AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * COUNT(*) >= 90 * (a.n + b.n - COUNT(*)))
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, (SELECT COUNT(*) FROM pairs WHERE a = doc_id) AS n_links FROM sets""")
+def op10_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every link counted at both documents; three-word shingles, similarity of 0.9 or more."""
+    return jaccard_join.link_counts(table(spark, sf_dir, "documents"), k=3, percent=90)

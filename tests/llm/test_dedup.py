@@ -165,3 +165,18 @@ def test_family_levels_stay_logarithmic():
         assert family.add(batch).tolist() == known
         seen |= set(batch)
     assert len(family.levels) <= 7
+
+
+@pytest.mark.parametrize("cell", [4, 512])
+def test_links_inside_a_component_are_found(docs, monkeypatch, cell):
+    monkeypatch.setattr(jaccard_join, "CELL_CLASSES", cell)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join([*base, f"end{i}"])) for i in range(12)] + [(50, " ".join([*base, "end3"])), (51, "x y z"), (52, None)]
+    frame = docs(rows, extra=True)
+    found = {r["doc_id"]: r["n_links"] for r in jaccard_join.link_counts(frame, k=3, percent=90).collect()}
+    assert found == {**{i: 12 for i in range(12)}, 50: 12, 51: 0, 52: 0}
+    if cell == 4:
+        pairs, members = jaccard_join.links(frame, k=3, percent=90)
+        found = [frozenset(bytes(r[c]) for c in "ab") for r in pairs.collect()]
+        assert len(found) == len(set(found)) == 66  # twelve classes, each pair once
+        assert sorted(r["doc_id"] for r in members.collect()) == [*range(12), 50, 51]
