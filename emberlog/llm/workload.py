@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bloom_dedup, bpe, fair_mix, hash_search, jaccard_join, language_id, secret_ownership, suffix_dedup, url_reputation, warc_bundles
+from emberlog.llm import bloom_dedup, bpe, fair_mix, hash_search, importance, jaccard_join, language_id, secret_ownership, suffix_dedup, url_reputation, warc_bundles
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -251,3 +251,35 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, (SELECT COUNT(*) FROM pairs
 def op10_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every link counted at both documents; three-word shingles, similarity of 0.9 or more."""
     return jaccard_join.link_counts(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+# --- op13: importance resampling -----------------------------------------------------------
+
+@query("op13_overlapped_resampling", r"""
+WITH crc_table AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))),
+texts AS (SELECT 0 AS side, row_number() OVER () AS r, text FROM documents UNION ALL SELECT 1, row_number() OVER (), text FROM benchmark),
+words AS MATERIALIZED (
+  SELECT side, r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+grams AS (
+  SELECT side, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+                                     list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS g FROM words),
+counted AS MATERIALIZED (SELECT side, r, g, COUNT(*) AS n FROM grams GROUP BY ALL),
+hashed AS MATERIALIZED (
+  SELECT g, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, strlen(g)), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+                            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT g, hex(encode(g)) AS h FROM counted), crc_table),
+features AS MATERIALIZED (SELECT side, r, bucket, CAST(SUM(n) AS BIGINT) AS n FROM counted JOIN hashed USING (g) GROUP BY ALL),
+totals AS (SELECT b.bucket, CAST(coalesce(SUM(n) FILTER (WHERE side = 0), 0) AS DOUBLE) AS s, CAST(coalesce(SUM(n) FILTER (WHERE side = 1), 0) AS DOUBLE) AS t
+           FROM (SELECT range AS bucket FROM range(10000)) b LEFT JOIN features f ON f.bucket = b.bucket GROUP BY b.bucket),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((t + 1) * ((SELECT SUM(s) FROM totals) + 10000) / ((s + 1) * ((SELECT SUM(t) FROM totals) + 10000)))) AS BIGINT) AS gain FROM totals),
+summed AS (SELECT r, CAST(SUM(n) AS BIGINT) AS n_features, CAST(SUM(n * gain) AS BIGINT) AS weight FROM features JOIN gains USING (bucket) WHERE side = 0 GROUP BY r),
+noise AS (SELECT row_number() OVER () AS r, doc_id, CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM documents),
+scored AS (SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+           FROM noise JOIN words USING (r) LEFT JOIN summed USING (r) WHERE side = 0),
+ranked AS (SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS FIRST) END AS place FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * (SELECT COUNT(*) FROM scored WHERE n_words >= 20) // 100 THEN place END AS rank FROM ranked""")
+def op13_overlapped_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
