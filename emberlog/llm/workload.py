@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bloom_dedup, bpe, fair_mix, hash_search, importance, jaccard_join, language_id, secret_ownership, suffix_dedup, url_reputation, warc_bundles
+from emberlog.llm import bloom_dedup, bpe, fair_mix, hash_search, importance, jaccard_join, language_id, secret_ownership, suffix_dedup, token_counts, url_reputation, warc_bundles
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -136,11 +136,11 @@ def op5_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- op6: byte-level BPE -------------------------------------------------------------------
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     """The vocabulary file that the query names; the operator takes any path."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query("op6_numpy_bpe")
@@ -253,6 +253,15 @@ def op10_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_counts(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+# --- op12: token counts --------------------------------------------------------------------
+
+@query("op12_transducer_token_counts")
+def op12_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text; SQL cannot hold the machines, tests compare with the tokenizers library."""
+    vocabulary = token_counts.Vocabulary.read(vocabulary_path("word_bpe_49k.json"))
+    return token_counts.count(table(spark, sf_dir, "documents"), vocabulary, limit=2048)
+
+
 # --- op13: importance resampling -----------------------------------------------------------
 
 @query("op13_overlapped_resampling", r"""
