@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bloom_dedup, bpe, fair_mix, hash_search, importance, jaccard_join, language_id, secret_ownership, suffix_dedup, token_counts, url_reputation, warc_bundles
+from emberlog.llm import bloom_dedup, bpe, fair_mix, hard_negatives, hash_search, importance, jaccard_join, language_id, secret_ownership, suffix_dedup, token_counts, url_reputation, warc_bundles
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -253,6 +253,28 @@ def op10_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_counts(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+# --- op11: hard negatives ------------------------------------------------------------------
+
+@query("op11_zone_map_negatives", """
+WITH usable AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.r <> b.r),
+positives AS (SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id, b) <= 5),
+negatives AS (
+  SELECT p.a, p.b, p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.id, n.b) AS rank
+  FROM positives p JOIN scored n ON n.a = p.a AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3""")
+def op11_zone_map_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth id against all rows, after the labels of every seventh id are moved on."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), moved, anchor_step=50)
+
+
 # --- op12: token counts --------------------------------------------------------------------
 
 @query("op12_transducer_token_counts")
