@@ -48,6 +48,20 @@ def dedup_ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
     return best.select(*picked, *([count_as] if count_as else []))
 
 
+def drop_repeats(stream: DataFrame, keys: Sequence[str], order: Sequence[str] = (), delay: str = "14 days",
+                 arrived: Column | None = None) -> DataFrame:
+    """Of a stream, every version of a key once: rows that repeat one within ``delay`` of its arrival go.
+
+    The watermark follows the arrival (by default the time of the micro-batch), not a time in the data, so that
+    nothing that arrives is ever too late. State holds a key, its order columns and a hash of the row, and leaves
+    after the delay. A version that comes again later stays as a repeated row; ``dedup_ordered`` on read takes one.
+    """
+    rest = [c for c in stream.columns if c not in keys and c not in order]
+    stamped = stream.withColumns({"_arrived": F.current_timestamp() if arrived is None else arrived, "_content": F.xxhash64(*rest) if rest else F.lit(0).cast("bigint")})
+    once = stamped.withWatermark("_arrived", delay).dropDuplicatesWithinWatermark([*keys, *order, "_content"])
+    return once.drop("_arrived", "_content")
+
+
 def with_duplicate_count(df: DataFrame, keys: Sequence[str], name: str = "_duplicate_count") -> DataFrame:
     """All rows, with the number of rows sharing their key.
 

@@ -21,9 +21,9 @@ from emberlog.sources.sheet import parse_sheet
 
 
 def once(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("_ingested_at",)) -> DataFrame:
-    """One row per key, the newest. A stream cannot take back what it has written, so it drops
-    only repeated rows and keeps every version; the newest is taken on read (``tables.read_silver``)."""
-    return df.dropDuplicates() if df.isStreaming else rows.dedup_ordered(df, keys, order)
+    """One row per key, the newest. A stream cannot take back what it has written, so it drops only
+    versions that it has seen lately and keeps all others; the newest is taken on read (``tables.read_silver``)."""
+    return rows.drop_repeats(df, keys, order) if df.isStreaming else rows.dedup_ordered(df, keys, order)
 
 
 def report_context(reports: DataFrame) -> DataFrame:
@@ -65,14 +65,22 @@ def fight_events(raw: DataFrame, reports: DataFrame) -> DataFrame:
     return fights.join(report_context(reports), "report_code", "left")
 
 
-def raid_attendance(raw: DataFrame, reports: DataFrame) -> DataFrame:
+def attendance_rows(raw: DataFrame) -> DataFrame:
+    """One row per player of a report, not yet joined to the report."""
     flat = raw.select(F.col("code").alias("report_code"), F.explode("players").alias("p"), "_ingested_at").select(
         "report_code", F.trim("p.name").alias("player_name"), F.col("p.presence").cast("int").alias("presence"),
         F.trim("p.type").alias("player_class"), "_ingested_at")
     flat = flat.withColumn("presence_status", v.label("presence", rules.PRESENCE, "absent"))
     kept = expect_or_drop(flat, {"valid_report_code": "length(report_code) > 0", "valid_player_name": "length(player_name) > 0"})
-    context = report_context(reports).withColumnRenamed("start_time_utc", "report_start_utc")
-    return once(kept, ["report_code", "player_name"]).join(context, "report_code", "left")
+    return once(kept, ["report_code", "player_name"])
+
+
+def attendance_context(reports: DataFrame) -> DataFrame:
+    return report_context(reports).withColumnRenamed("start_time_utc", "report_start_utc")
+
+
+def raid_attendance(raw: DataFrame, reports: DataFrame) -> DataFrame:
+    return attendance_rows(raw).join(attendance_context(reports), "report_code", "left")
 
 
 def actor_roster(raw: DataFrame) -> DataFrame:

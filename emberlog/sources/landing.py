@@ -59,19 +59,12 @@ def read_landing(spark: SparkSession, root: str, folder: str) -> DataFrame:
 
 
 def file_versions(spark: SparkSession, root: str, folder: str) -> DataFrame:
-    """Path and modification time of every landed file, listed by the executors' file scan."""
+    """Path and modification time of every landed file: a listing, which opens none of them."""
     listing = spark.read.format("binaryFile").load(f"{root}/{folder}").select("path", "modificationTime")
     return listing.withColumnRenamed("modificationTime", "modified_at")
 
 
-def read_rewritten(spark: SparkSession, root: str, folder: str, ledger: DataFrame) -> DataFrame:
-    """Rows of files that are new or were overwritten since the ledger was written.
-
-    The stock file source keys on the path and skips a rewritten file; here a row belongs to a
-    version of a file, and versions in the ledger are skipped.
-    """
-    rows = (spark.read.schema(landing_schema(folder)).json(f"{root}/{folder}")
-            .select("*", F.col("_metadata.file_path").alias("_file_path"),
-                    F.col("_metadata.file_modification_time").alias("_modified_at")))
-    seen = ledger.select(F.col("path").alias("_file_path"), F.col("modified_at").alias("_modified_at"))
-    return rows.join(seen, ["_file_path", "_modified_at"], "left_anti")
+def read_versions(spark: SparkSession, folder: str, paths: list[str]) -> DataFrame:
+    """Rows of the given files of a landing folder, each with the version of the file it comes from."""
+    return (spark.read.schema(landing_schema(folder)).json(paths)
+            .select("*", F.col("_metadata.file_path").alias("_file_path"), F.col("_metadata.file_modification_time").alias("_modified_at")))

@@ -8,6 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from emberlog.operators import rows
 from emberlog.plans import pipeline, publish, silver
 from emberlog.quality import contracts
 from emberlog.quality.contracts import Contract, Field
@@ -103,21 +104,102 @@ def test_stream_in_two_drops_equals_batch(spark, tmp_path):
     assert batch.count() == 3
 
 
-def test_rewritten_files_are_read_again(spark, tmp_path):
+def test_rewritten_files_are_read_again(spark, tmp_path, monkeypatch):
     landing, out, ledger = f"{tmp_path}/landing", f"{tmp_path}/bronze", f"{tmp_path}/ledger"
     path = f"{landing}/actor_roster"
 
     def codes():
-        stream.ingest_rewritten(spark, landing, "actor_roster", out, ledger)
-        return sorted(r.report_code for r in spark.read.parquet(f"{out}/actor_roster").collect())
+        count = stream.ingest_rewritten(spark, landing, "actor_roster", out, ledger)
+        return count, sorted(r.report_code for r in spark.read.parquet(f"{out}/actor_roster").collect())
 
     write_lines(path, "a.json", actors("one", 1))
     write_lines(path, "b.json", actors("two", 1))
-    assert codes() == ["one", "two"]
+    assert codes() == (2, ["one", "two"])
     write_lines(path, "a.json", actors("one, corrected", 1))
     os.utime(f"{path}/a.json", (2_000_000_000, 2_000_000_000))
-    assert codes() == ["one", "one, corrected", "two"]
-    assert codes() == ["one", "one, corrected", "two"]
+    assert codes() == (1, ["one", "one, corrected", "two"])
+    monkeypatch.setattr(stream, "read_versions", lambda *a: pytest.fail("a file was opened"))
+    assert codes() == (0, ["one", "one, corrected", "two"])
+
+
+def test_rewritten_files_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream, "FILES_PER_READ", 2)
+    for i in range(5):
+        write_lines(f"{tmp_path}/landing/actor_roster", f"{i}.json", actors(f"R{i}", 1))
+    args = (spark, f"{tmp_path}/landing", "actor_roster", f"{tmp_path}/bronze", f"{tmp_path}/ledger")
+    assert [stream.ingest_rewritten(*args) for _ in range(2)] == [5, 0]
+    assert spark.read.parquet(f"{tmp_path}/bronze/actor_roster").count() == 5
+    assert spark.read.parquet(f"{tmp_path}/ledger").count() == 5
+
+
+def test_newest_row_of_a_rewritten_file_by_file_time(spark):
+    rows = spark.createDataFrame([("R", "t", 1, "old"), ("R", "t", 2, "new"), ("S", "u", 1, "only")], "code string, _ingested_at string, _modified_at int, title string")
+    assert sorted((r.code, r.title) for r in stream.newest_rows(rows, ("code",)).collect()) == [("R", "new"), ("S", "only")]
+
+
+def test_dedup_state_is_bounded_and_loses_nothing(spark, tmp_path):
+    """Once the watermark has passed a key's arrival by the delay, it leaves the state, and its repeat comes through."""
+    schema = "k STRING, _ingested_at STRING, at TIMESTAMP"
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+
+    def land(name, *lines):
+        os.makedirs(source, exist_ok=True)
+        with open(f"{source}/{name}", "w") as file:
+            file.writelines(json.dumps(dict(zip(("k", "_ingested_at", "at"), x))) + "\n" for x in lines)
+        frame = spark.readStream.schema(schema).json(source)
+        once = rows.drop_repeats(frame, ["k"], ["_ingested_at"], "1 day", F.col("at")).drop("at")
+        query = stream.run_available(once, out, f"{tmp_path}/state")
+        states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        return states[-1], sorted(tuple(r) for r in spark.read.parquet(out).select("k", "_ingested_at").collect())
+
+    day = "2024-01-0{}T00:00:00Z".format
+    assert land("a", ("x", "v1", day(1)), ("x", "v1", day(1)), ("y", "v1", day(1))) == (2, [("x", "v1"), ("y", "v1")])
+    assert land("b", ("x", "v1", day(1)), ("x", "v0", day(1))) == (3, [("x", "v0"), ("x", "v1"), ("y", "v1")])  # an older version is one of its own
+    land("c", ("z", "v1", day(4)))
+    states, found = land("d", ("w", "v1", day(4)))
+    assert states == 2 and {("w", "v1"), ("z", "v1")} < set(found)  # only what arrived within the delay is held
+    assert land("e", ("x", "v1", day(5)))[1].count(("x", "v1")) == 2  # repeated after the delay; taken once on read
+    newest = rows.dedup_ordered(spark.read.parquet(out), ["k"], ["_ingested_at"])
+    assert sorted((r.k, r._ingested_at) for r in newest.collect()) == [("w", "v1"), ("x", "v1"), ("y", "v1"), ("z", "v1")]
+
+
+def test_state_store_settings_are_put_back(spark):
+    key = next(iter(stream.STATE))
+    before = spark.conf.get(key, None)
+    with stream.state_on_disk(spark):
+        assert spark.conf.get(key) == stream.STATE[key]
+    assert spark.conf.get(key, None) == before
+
+
+def attendance(code, *names):
+    return {"code": code, "players": [{"name": n, "presence": 1, "type": "Mage"} for n in names]}
+
+
+def test_late_context_is_filled_in(spark, tmp_path):
+    landing, bronze, path = f"{tmp_path}/landing", f"{tmp_path}/bronze", f"{tmp_path}/silver"
+    reports = []
+
+    def context():
+        return spark.createDataFrame(reports, "code string, zone_id int, zone_name string, start_time_utc timestamp")
+
+    def run():
+        stream.ingest_bronze(spark, landing, bronze, ("raid_attendance",))
+        table = stream.settled_attendance(spark, bronze, path, context)
+        table.run(stream.stream_attendance(spark, bronze), f"{tmp_path}/state")
+        return sorted((r.report_code, r.player_name, r.zone_name) for r in table.read().collect())
+
+    write_lines(f"{landing}/raid_attendance", "a.json", attendance("R", "A", "B"), attendance("never", "C"))
+    assert run() == [("R", "A", None), ("R", "B", None), ("never", "C", None)]
+    reports.append(("R", 1, "Zone", None))
+    assert run() == [("R", "A", "Zone"), ("R", "B", "Zone"), ("never", "C", None)]  # the report came alone
+    assert run() == run()
+    reports.append(("S", 2, "Other", None))
+    write_lines(f"{landing}/raid_attendance", "b.json", attendance("S", "A"))
+    assert run() == [("R", "A", "Zone"), ("R", "B", "Zone"), ("S", "A", "Other"), ("never", "C", None)]
+    table = stream.settled_attendance(spark, bronze, path, context)
+    before, last = sorted(map(tuple, table.read().collect()), key=repr), table._steps()[-1].removeprefix("step=")
+    table.take(table.empty, last)  # a repeated step writes the same folder again
+    assert sorted(map(tuple, table.read().collect()), key=repr) == before
 
 
 def test_empty_landing_starts_cleanly(spark, tmp_path):
