@@ -10,8 +10,8 @@ Two machines, both deterministic, read a text:
   carries the number of tokens that the word's encoding grows by (less than one where the byte merges
   earlier tokens). It is the weighted subset construction of the rule that a token sequence is the
   encoding of its bytes exactly if every two neighbours encode to themselves: a state holds, for each place
-  from which a token may still be running, the token that ends there, the place in the vocabulary trie and
-  the token count there relative to the present one. Transitions are compiled where first needed and
+  from which a token may still be running, the class of the token that ends there, the place in the vocabulary
+  trie and the token count there relative to the present one. Transitions are compiled where first needed and
   kept in sorted arrays, so that all words of a block step together by binary search.
 
 A word's count is the sum of its transitions' numbers, a text's count that of its words and special tokens.
@@ -140,18 +140,28 @@ def character_classes() -> bytes:
 
 
 class MergeMachine:
-    """States and transitions compiled so far."""
+    """States and transitions compiled so far.
 
-    START = -1
+    Two tokens are neighbours if no merge of the sweep through all ranks joins them: a merge of a node of the
+    left token's right edge and a node of the right token's left edge, of a rank at which both exist. Left
+    tokens whose right edges offer the same merges are one class, and a state holds classes, not tokens.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        made = {merged: (rank, left, right) for (left, right), (rank, merged) in reversed(vocabulary.merges.items())}
+        self.opens = {left for left, _ in vocabulary.merges}
+        self.made = made
+        self.left_edges: dict[int, tuple] = {}
+        self.classes: dict[tuple, int] = {(): 0}  # class 0 also stands for the start of a word
+        self.edges: list[tuple] = [()]
+        self.class_of: dict[int, int] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         # trie over symbols; closed[node] is the token that ends there, if its own bytes encode to it
         self.children: list[dict[int, int]] = [{}]
         self.closed: list[int | None] = [None]
         for token, symbols in vocabulary.tokens.items():
-            if self._encode([vocabulary.symbols[s] for s in symbols]) != [token]:
+            if not self._whole(token, symbols):
                 continue
             node = 0
             for symbol in symbols:
@@ -165,38 +175,53 @@ class MergeMachine:
         self.reset()
 
     def reset(self) -> None:
-        start = ((0, self.START, 0),)
+        start = ((0, 0, 0),)
         self.states: list[tuple] = [start]
         self.number = {start: 0}
         self.moves: dict[int, tuple[int, int]] = {}
-        self._sort()
-
-    def _sort(self) -> None:
-        self.keys = np.fromiter(sorted(self.moves), np.int64, len(self.moves))
-        found = [self.moves[k] for k in self.keys.tolist()]
-        self.targets = np.array([f[0] for f in found], np.int64)
-        self.gains = np.array([f[1] for f in found], np.int64)
-
-    def _encode(self, tokens: list[int]) -> list[int]:
-        """Apply the merges of lowest rank first."""
-        merges, tokens = self.vocabulary.merges, list(tokens)
-        while len(tokens) > 1:
-            best = min(range(len(tokens) - 1), key=lambda i: merges.get((tokens[i], tokens[i + 1]), (1 << 40,))[0])
-            merged = merges.get((tokens[best], tokens[best + 1]))
-            if merged is None:
-                break
-            tokens[best:best + 2] = [merged[1]]
-        return tokens
+        self.new: list[int] = []
+        self.keys, self.targets, self.gains = (np.empty(0, np.int64) for _ in range(3))
+
+    def _whole(self, token: int, symbols: tuple[int, ...]) -> bool:
+        """Whether the token's bytes encode to the token."""
+        return encode_symbols([self.vocabulary.symbols[s] for s in symbols], self.vocabulary.merges) == [token]
+
+    def _edge(self, token: int, side: int) -> tuple:
+        """Nodes down one edge of a token's merge tree, with the ranks at which each is made and used up."""
+        out, used = [], 1 << 40
+        while True:
+            rank, *parts = self.made.get(token, (-1, None, None))
+            out.append((token, rank, used))
+            if rank < 0:
+                return tuple(out)
+            token, used = parts[side], rank
+
+    def _class(self, token: int) -> int:
+        known = self.class_of.get(token)
+        if known is None:
+            edge = tuple(n for n in self._edge(token, 1) if n[0] in self.opens)
+            known = self.class_of[token] = self.classes.setdefault(edge, len(self.classes))
+            if known == len(self.edges):
+                self.edges.append(edge)
+        return known
 
     def _neighbours(self, left: int, right: int) -> bool:
-        """Whether the two tokens' bytes encode to exactly these two."""
-        if left == self.START:
+        """Whether a token of class ``left`` and the token ``right`` stay apart."""
+        if not left:
             return True
         known = self.pairs.get((left, right))
         if known is None:
-            symbols = self.vocabulary.symbols
-            both = [symbols[s] for t in (left, right) for s in self.vocabulary.tokens[t]]
-            known = self.pairs[left, right] = self._encode(both) == [left, right]
+            edge = self.left_edges.get(right)
+            if edge is None:
+                edge = self.left_edges[right] = self._edge(right, 0)
+            merges, known = self.vocabulary.merges, True
+            for a, a_made, a_used in self.edges[left]:
+                for b, b_made, b_used in edge:
+                    merged = merges.get((a, b))
+                    # of equal ranks the merge further left comes first
+                    if merged and a_made < merged[0] < a_used and b_made < merged[0] <= b_used:
+                        known = False
+            self.pairs[left, right] = known
         return known
 
     def move(self, state: int, symbol: int) -> tuple[int, int]:
@@ -206,68 +231,102 @@ class MergeMachine:
         if known is not None:
             return known
         running, ended = [], None
-        for node, last, count in self.states[state]:
+        for node, left, count in self.states[state]:
             node = self.children[node].get(symbol)
             if node is None:
                 continue
             token = self.closed[node]
-            if ended is None and token is not None and self._neighbours(last, token):
+            if ended is None and token is not None and self._neighbours(left, token):
                 ended = (token, count + 1)
-            if self.children[node]:
-                running.append((node, last, count))
+            if symbol < 256 and self.children[node]:
+                running.append((node, left, count))
         if ended is None:
             raise ValueError(f"symbol {symbol} has no token")
         token, gain = ended
-        if symbol >= 256:  # the word is over
-            self.moves[key] = (0, gain)
-            return self.moves[key]
-        items = (*((node, last, count - gain) for node, last, count in running), (0, token, 0))
+        target = 0
+        if symbol < 256:  # else the word is over
+            target = self._state((*((node, left, count - gain) for node, left, count in running), (0, self._class(token), 0)))
+        self.moves[key] = (target, gain)
+        self.new.append(key)
+        return target, gain
+
+    def _state(self, items: tuple) -> int:
         target = self.number.setdefault(items, len(self.states))
         if target == len(self.states):
             self.states.append(items)
-        self.moves[key] = (target, gain)
-        return self.moves[key]
+        return target
+
+    def _merge_new(self) -> None:
+        """Sort what was compiled since into the arrays."""
+        if self.new:
+            keys = np.array(sorted(self.new), np.int64)
+            found = np.array([self.moves[k] for k in keys.tolist()], np.int64)
+            at = np.searchsorted(self.keys, keys)
+            self.keys, self.targets, self.gains = (np.insert(x, at, y) for x, y in zip((self.keys, self.targets, self.gains), (keys, found[:, 0], found[:, 1])))
+            self.new = []
+
+    def walk(self, word: list[int], state: int = 0) -> int:
+        """Tokens of the rest of one word, symbol by symbol."""
+        total = 0
+        for symbol in word:
+            state, gain = self.move(state, symbol)
+            total += gain
+            if len(self.states) > MAX_STATES:
+                items = self.states[state]
+                self.reset()
+                state = self._state(items)
+        return total
 
     def count(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Tokens of the words at ``starts`` in ``data``, stepping through all of them together."""
-        if len(self.states) > MAX_STATES:
-            self.reset()
-        out = np.zeros(len(starts), np.int64)
-        for at in np.flatnonzero(sizes > LONG_WORD):
-            state, total = 0, 0
-            word = data[starts[at]:starts[at] + sizes[at]].tolist()
+        """Tokens of the words at ``starts`` in ``data``, stepping through all of them together.
+
+        A word that meets a transition not compiled yet, and a long word, is walked on its own.
+        """
+        def symbols(at: int, step: int = 0) -> list[int]:
+            word = data[starts[at] + step:starts[at] + sizes[at]].tolist()
             word[-1] += 256
-            for symbol in word:
-                state, gain = self.move(state, symbol)
-                total += gain
-                if len(self.states) > MAX_STATES:
-                    items = self.states[state]
-                    self.reset()
-                    state = self.number.setdefault(items, len(self.states))
-                    if state == len(self.states):
-                        self.states.append(items)
-            out[at] = total
-        order = np.argsort(-np.where(sizes > LONG_WORD, 0, sizes), kind="stable")
-        state, lengths = np.zeros(len(starts), np.int64), np.where(sizes > LONG_WORD, 0, sizes)[order]
-        places = starts[order]
-        totals = np.zeros(len(starts), np.int64)
-        for step in range(int(lengths[0]) if len(lengths) else 0):
-            active = int(np.searchsorted(-lengths, -step, side="left"))  # words longer than ``step``
-            key = state[:active] * 512 + data[places[:active] + step] + 256 * (lengths[:active] == step + 1)
+            return word
+
+        out = np.zeros(len(starts), np.int64)
+        order = np.argsort(-sizes, kind="stable")
+        order = order[sizes[order] <= LONG_WORD]
+        state, step, alone = np.zeros(len(order), np.int64), 0, []
+        while len(order):
+            ends = sizes[order] == step + 1
+            key = state * 512 + data[starts[order] + step] + 256 * ends
             where = np.searchsorted(self.keys, key)
             where[where == len(self.keys)] = 0
-            new = np.unique(key[self.keys[where] != key]) if len(self.keys) else np.unique(key)
-            if len(new):
-                for k in new.tolist():
-                    self.move(k >> 9, k & 511)
-                self._sort()
-                where = np.searchsorted(self.keys, key)
-            totals[:active] += self.gains[where]
-            state[:active] = self.targets[where]
-        out[order] += totals
+            known = self.keys[where] == key if len(self.keys) else np.zeros(len(key), bool)
+            alone += zip(order[~known].tolist(), state[~known].tolist(), [step] * int((~known).sum()))
+            order, where, ends = order[known], where[known], ends[known]
+            out[order] += self.gains[where]
+            state, order = self.targets[where][~ends], order[~ends]
+            step += 1
+        words: dict[tuple, int] = {}
+        for at, state, step in alone:
+            rest = (state, data[starts[at] + step:starts[at] + sizes[at]].tobytes())
+            if len(self.states) > MAX_STATES // 2:  # a walk may drop the states: start from the word's own start
+                state, step, out[at], rest = 0, 0, 0, (0, data[starts[at]:starts[at] + sizes[at]].tobytes())
+            if rest not in words:
+                words[rest] = self.walk(symbols(at, step), state)
+            out[at] += words[rest]
+        for at in np.flatnonzero(sizes > LONG_WORD):
+            out[at] = self.walk(symbols(at))
+        self._merge_new()
         return out
 
 
+def encode_symbols(tokens: list[int], merges: dict) -> list[int]:
+    """Apply the merges of lowest rank first."""
+    while len(tokens) > 1:
+        best = min(range(len(tokens) - 1), key=lambda i: merges.get((tokens[i], tokens[i + 1]), (1 << 40,))[0])
+        merged = merges.get((tokens[best], tokens[best + 1]))
+        if merged is None:
+            break
+        tokens[best:best + 2] = [merged[1]]
+    return tokens
+
+
 class Counter:
     """A vocabulary's machines in one task."""
 
