@@ -38,11 +38,6 @@ def pct(part: Column | str, whole: Column | str, places: int = 1) -> Column:
     return tidy(ratio(part, whole) * 100, places)
 
 
-def exact_mean(value: Column | str) -> Column:
-    """Mean whose sum is exact to twelve places, so the result does not depend on how rows were partitioned."""
-    return F.sum(col(value).cast("decimal(32,12)")).cast("double") / F.nullif(F.count(col(value)), F.lit(0))
-
-
 def tagged_items(lists: Mapping[str, Column], tag: str, item: str) -> Column:
     """All items of several arrays as structs of the list's name and the item; null arrays are empty."""
     def tagged(name: str, values: Column) -> Column:

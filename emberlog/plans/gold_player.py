@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog import rules
@@ -32,10 +32,10 @@ def boss_kill_roster(fact: DataFrame, actors: DataFrame) -> DataFrame:
 
 
 def _level_stats() -> list[Column]:
-    return [v.exact_mean("throughput_per_second").cast("bigint").alias("avg_throughput_per_second"),
+    return [F.avg("throughput_per_second").cast("bigint").alias("avg_throughput_per_second"),
             F.max("throughput_per_second").alias("best_throughput_per_second"),
-            v.tidy(v.exact_mean("rank_percent"), 1).alias("avg_rank_percent"), v.tidy(F.max("rank_percent"), 1).alias("best_rank_percent"),
-            v.tidy(v.exact_mean("avg_item_level"), 1).alias("avg_item_level")]
+            v.tidy(F.avg("rank_percent"), 1).alias("avg_rank_percent"), v.tidy(F.max("rank_percent"), 1).alias("best_rank_percent"),
+            v.tidy(F.avg("avg_item_level"), 1).alias("avg_item_level")]
 
 
 def player_performance_summary(roster: DataFrame) -> DataFrame:
@@ -48,19 +48,19 @@ def player_performance_summary(roster: DataFrame) -> DataFrame:
 
 
 def player_boss_performance(roster: DataFrame) -> DataFrame:
-    """Per player, role and boss. The latest value is over all roles, as an aggregation by date."""
+    """Per player, role and boss, in one aggregation; the latest value is the newest of all roles' newest."""
     boss = ["encounter_id", "boss_name", "zone_name", "difficulty", "difficulty_label"]
     when = F.struct("raid_night_date", "report_code", "fight_id")
+    newest = F.struct("raid_night_date", "report_code", "fight_id", "throughput_per_second")
     grouped = roster.groupBy(*PLAYER, "role", *boss).agg(
         F.count(F.lit(1)).alias("kills_on_boss"), *_level_stats(), F.min("raid_night_date").alias("first_kill_date"),
-        F.max("raid_night_date").alias("latest_kill_date"),
+        F.max("raid_night_date").alias("latest_kill_date"), F.max(F.when(F.col("throughput_per_second").isNotNull(), newest)).alias("_newest"),
         F.min_by("spec", F.when(F.col("spec").isNotNull(), when)).alias("primary_spec"))
-    key = ["player_identity_key", "encounter_id", "difficulty"]
-    latest = roster.groupBy(*key).agg(F.max_by("throughput_per_second", F.when(F.col("throughput_per_second").isNotNull(), when))
-                                      .alias("latest_throughput_per_second"))
+    over_roles = Window.partitionBy("player_identity_key", "encounter_id", "difficulty")
+    latest = grouped.withColumn("latest_throughput_per_second", F.max("_newest").over(over_roles)["throughput_per_second"])
     change = (F.col("latest_throughput_per_second") - F.col("avg_throughput_per_second")).cast("double")
     trend = F.when(F.col("kills_on_boss") > 1, v.tidy(v.ratio(change, "avg_throughput_per_second") * 100, 1))
-    return grouped.join(latest, key, "left").select(
+    return latest.select(
         *PLAYER, "role", "primary_spec", *boss, "kills_on_boss", "avg_throughput_per_second", "best_throughput_per_second",
         "latest_throughput_per_second", trend.alias("throughput_trend"), "avg_rank_percent", "best_rank_percent", "avg_item_level",
         "first_kill_date", "latest_kill_date")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from emberlog import rules
 from emberlog.functions import values as v
+from emberlog.session import stored
 
 c = F.col
 
@@ -77,8 +78,8 @@ def preparation_readiness(summary: DataFrame, live: DataFrame, team: DataFrame,
         ~c("zone_name").isin(*rules.EXCLUDED_ZONES))
     # Newest zone and its raid nights in one pass over the raids.
     zones = raids.groupBy("zone_name").agg(F.max("raid_night_date").alias("last"), F.countDistinct("raid_night_date").alias("nights"))
-    newest = zones.agg(F.max(F.struct("last", "zone_name", "nights")).alias("t"))
-    tier, nights = newest.select("t.zone_name"), newest.select("t.nights")
+    tier = stored(zones.agg(F.max(F.struct("last", "zone_name", "nights")).alias("t")).select(
+        F.lit(1).alias("_one"), c("t.zone_name").alias("current_tier"), c("t.nights").alias("total_raids_tracked")))
 
     members = team_with_fallback(live, team)
     override = override_characters(overrides)
@@ -91,14 +92,14 @@ def preparation_readiness(summary: DataFrame, live: DataFrame, team: DataFrame,
         F.array_join(F.array_sort(F.collect_set("name")), "|").alias("character_names"), F.max("mode").alias("_mode"),
         F.max("roster_source").alias("roster_source"))
     characters = tagged.select("identity_key", F.lower("name").alias("_character")).distinct()
-    rates = readiness_rates(roster.filter(c("zone_name") == tier.scalar()), characters)
+    rates = readiness_rates(roster.join(F.broadcast(tier), c("zone_name") == c("current_tier"), "left_semi"), characters)
 
-    joined = identity.join(rates.withColumn("_seen", F.lit(True)), "identity_key", "left").fillna(
+    seen = identity.withColumn("_one", F.lit(1)).join(F.broadcast(tier), "_one", "left")  # the tier is one row
+    joined = seen.join(rates.withColumn("_seen", F.lit(True)), "identity_key", "left").fillna(
         0, ["kills_tracked", "raids_present", "_food", "_flask", "_weapon", "_potion"])
     role = F.when(c("_role").isin("healer", "healing"), "healer").when(c("_role").isin("tank", "dps"), c("_role")).otherwise("unknown")
     base = joined.select(
         "*", F.coalesce("_class", "_team_class", F.lit("Unknown")).alias("player_class"), role.alias("role"),
-        tier.scalar().alias("current_tier"), nights.scalar().alias("total_raids_tracked"),
         F.coalesce("_seen", F.lit(False)).alias("has_current_tier_data"))
     base = base.select("*", (v.ratio("raids_present", "total_raids_tracked") * 100).alias("_att"),
                        *[(v.ratio(f"_{k}", "kills_tracked") * 100).alias(f"_{k}_rate") for k in ("food", "flask", "weapon", "potion")])

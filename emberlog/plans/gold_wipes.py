@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from emberlog import rules
 from emberlog.functions import names as nm
 from emberlog.functions import values as v
-from emberlog.operators import joins, rows, scopes
+from emberlog.operators import joins, scopes
 from emberlog.plans.gold_player import PLAYER
 from emberlog.plans.identity import with_identity
+from emberlog.session import stored
 
 PULL = ["report_code", "fight_id"]
 
@@ -73,12 +74,12 @@ def wipe_survival_events(death_events: DataFrame, capacity: DataFrame, casts: Da
     tracked = with_identity(capacity.filter(F.col("has_tracked_capacity") & F.col("cooldown_category").isin(*rules.PERSONAL)), actors)
     tracked = tracked.select(*PULL, "player_identity_key", "spec_id", "ability_id", "ability_name", "cooldown_seconds", "active_seconds")
     moment = [*PULL, "player_identity_key", "player_name", "death_timestamp_ms"]
-    pairs = deaths.select(*moment).distinct().join(tracked, [*PULL, "player_identity_key"])
+    pairs = stored(deaths.select(*moment).distinct().join(tracked, [*PULL, "player_identity_key"]))
 
     marks = casts.select("report_code", "fight_id", "player_name", "ability_id", "cast_timestamp_ms")
-    on_pull = joins.asof_last(pairs, marks, [*PULL, "player_name", "ability_id"], "death_timestamp_ms", "cast_timestamp_ms", "_on_pull")
-    state = joins.asof_last(on_pull, marks.drop("fight_id"), ["report_code", "player_name", "ability_id"], "death_timestamp_ms",
-                            "cast_timestamp_ms", "_any")
+    # one pass finds the last cast on the pull and in the whole report; casts of reports without a wipe death take no part
+    state = joins.asof_last(pairs, joins.restrict_to(marks, pairs, ["report_code"]), ["report_code", "player_name", "ability_id"],
+                            "death_timestamp_ms", "cast_timestamp_ms", "_any", ["fight_id"], "_on_pull")
     at = F.col("death_timestamp_ms")
     ready_after = F.col("_any") + F.col("cooldown_seconds") * 1000
     if mode == "any_cast":
@@ -113,10 +114,11 @@ def wipe_survival_events(death_events: DataFrame, capacity: DataFrame, casts: Da
 
 
 def wipe_cooldown_utilization(capacity: DataFrame, actors: DataFrame) -> DataFrame:
+    """Use of scored cooldowns on wipes; ``is_kill`` is therefore false in every row."""
     scored = capacity.filter("has_scored_capacity").filter(_wipe()).filter("duration_seconds > 0")
     efficiency = F.when(F.col("possible_casts") > 0, v.pct("actual_casts", "possible_casts")).otherwise(0.0)
     return with_identity(scored, actors).select(
-        *PULL, "encounter_id", "boss_name", "zone_name", "difficulty", "difficulty_label", "raid_night_date", "duration_seconds", *PLAYER,
+        *PULL, "encounter_id", "boss_name", "zone_name", "difficulty", "difficulty_label", "raid_night_date", F.lit(False).alias("is_kill"), "duration_seconds", *PLAYER,
         "spec_id", "cooldown_category", "ability_id", "ability_name", "cooldown_seconds", "active_seconds", "capacity_model", "max_charges",
         "possible_casts", "observed_casts", "over_capacity_casts", "actual_casts",
         (F.col("possible_casts") - F.col("actual_casts")).alias("missed_casts"), efficiency.alias("cast_efficiency_pct"))
@@ -171,18 +173,17 @@ def wipe_survival_discipline(utility: DataFrame, survival: DataFrame, utilizatio
     key = ["player_identity_key"]
     counts = discipline_counts(utility, survival, utilization, roster, deaths)
     zero = F.lit(0).cast("bigint")
-    sums = {c: F.coalesce(F.sum(c), zero) for c in _ADDITIVE} | {c: F.max(c) for c in PLAYER[1:]}
-    scoped = scopes.scope_rollup(counts, key, DIMS, DISCIPLINE_SETS, sums, labels=LABELS)
-
     blows = survival.filter("killing_blow_name <> ''").groupBy(*key, *DIMS, "killing_blow_name").agg(F.count(F.lit(1)).alias("_n"))
-    blow_sets = [(*s, "killing_blow_name") for s in DISCIPLINE_SETS]
-    by_scope = scopes.scope_rollup(blows, key, [*DIMS, "killing_blow_name"], blow_sets, {"_n": F.sum("_n")}, labels=LABELS)
-    top = rows.latest_by(by_scope, [*key, *DIMS], [F.col("_n").desc(), F.col("killing_blow_name").asc()]).select(
-        *[F.col(c).alias(f"_t_{c}") for c in (*key, *DIMS)], F.col("killing_blow_name").alias("most_common_killing_blow"),
-        F.col("_n").alias("most_common_killing_blow_count"))
+    # Counts and killing blows go through one expansion of the scopes; rows of counts have no blow.
+    tagged = counts.unionByName(blows, allowMissingColumns=True)
+    sums = {c: F.sum(c) for c in (*_ADDITIVE, "_n")} | {c: F.max(c) for c in PLAYER[1:]}
+    expanded = scopes.scope_rollup(tagged, key, [*DIMS, "killing_blow_name"], [(*s, "killing_blow_name") for s in DISCIPLINE_SETS], sums, labels=LABELS)
+    often = F.min(F.when(F.col("killing_blow_name").isNotNull(), F.struct((-F.col("_n")).alias("less"), "killing_blow_name")))
+    scoped = expanded.groupBy(*key, *DIMS).agg(
+        *[F.coalesce(F.max(c), zero).alias(c) for c in _ADDITIVE], *[F.max(c).alias(c) for c in PLAYER[1:]], often.alias("_often"))
     roles = roster.groupBy(*key).agg(F.max_by("role", F.struct("raid_night_date", *PULL)).alias("role"))
-    same_scope = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in (*key, *DIMS)]
-    base = scoped.filter("player_name <> ''").join(roles, key, "left").join(top, same_scope, "left").drop(*[f"_t_{c}" for c in (*key, *DIMS)])
+    base = scoped.filter("player_name <> ''").join(roles, key, "left").select(
+        "*", F.col("_often.killing_blow_name").alias("most_common_killing_blow"), (-F.col("_often.less")).alias("most_common_killing_blow_count"))
 
     c = F.col
     none = F.lit(None).cast("double")

@@ -116,11 +116,16 @@ def player_performance(raw: DataFrame) -> DataFrame:
     return rows.dedup_ordered(kept, ["report_code", "fight_id", "player_name"], ["_ingested_at"], count_as="_duplicate_count")
 
 
-def player_rankings(raw: DataFrame) -> DataFrame:
-    """Newest payload per report; tanks and damage dealers from the first metric, healers from the second."""
+def newest_rankings(raw: DataFrame) -> DataFrame:
+    """The newest landing of each report; of landings equal in time the greater payloads, first metric before second."""
     if "rankings_hps_json" not in raw.columns:
         raw = raw.withColumn("rankings_hps_json", F.lit(None).cast("string"))
-    latest = rows.latest_by(raw, ["report_code"], ["_ingested_at", "rankings_json"])
+    return rows.latest_by(raw, ["report_code"], ["_ingested_at", "rankings_json", "rankings_hps_json"])
+
+
+def player_rankings(raw: DataFrame) -> DataFrame:
+    """Newest payload per report; tanks and damage dealers from the first metric, healers from the second."""
+    latest = newest_rankings(raw)
 
     def branch(text: str, groups: dict[str, str]) -> DataFrame:
         fights = payloads.exploded(latest, text, "rankings", lambda p: p["data"], "f", "report_code", "_ingested_at")

@@ -10,17 +10,10 @@ from pyspark.sql import functions as F
 from emberlog import rules
 from emberlog.functions import values as v
 from emberlog.operators import rows
+from emberlog.plans.silver import newest_rankings
 from emberlog.sources import payloads
 
 
-def newest_landings(raw: DataFrame) -> DataFrame:
-    """The newest record of each report of a rankings landing, picked as ``silver.player_rankings`` picks it.
-
-    Rows with the same time and first metric differ in the second one, whose greater text wins.
-    """
-    return rows.latest_by(raw, ["report_code"], ["_ingested_at", "rankings_json", "rankings_hps_json"])
-
-
 def file_ages(raw: DataFrame, today: Column) -> DataFrame:
     """One row per report: the days from its newest landing to ``today``."""
     return raw.groupBy("report_code").agg(F.datediff(today, F.to_date(F.max("_ingested_at"))).alias("file_age_days"))
@@ -33,29 +26,29 @@ def parse_completeness(raw: DataFrame, limit: float = rules.NULL_RANK_SHARE) ->
     without the second metric counts all its fights as incomplete and no parses; a record that
     cannot be read counts nothing.
     """
-    def exploded(df: DataFrame, text: str, groups: tuple[str, ...]) -> DataFrame:
-        fights = payloads.parse(df, text, "rankings").select("report_code", F.explode("payload.data").alias("f"))
-        empty = F.array().cast("array<double>")
-        nulls = [F.coalesce(F.transform(f"f.roles.{g}.characters", lambda c: c["rankPercent"]), empty) for g in groups]
-        ranks = F.concat(*nulls)
-        return fights.select("report_code", F.col("f.fightID").alias("fight_id"), F.size(ranks).alias("_all"),
-                             F.size(F.filter(ranks, lambda r: r.isNull())).alias("_null"))
-
-    readable = payloads.parse(newest_landings(raw), "rankings_json", "rankings").drop("payload")
-    legacy = readable.filter("rankings_hps_json IS NULL")
-    current = payloads.parse(readable, "rankings_hps_json", "rankings").drop("payload")
-    first = exploded(current, "rankings_json", ("tanks", "dps")).withColumn("_own", F.lit(1))
-    second = exploded(current, "rankings_hps_json", ("healers",)).withColumn("_own", F.lit(0))
-    per_fight = first.unionByName(second).groupBy("report_code", "fight_id").agg(
-        F.sum("_all").alias("_all"), F.sum("_null").alias("_null"), F.max("_own").alias("_own")).filter("_own = 1")
-    per_fight = per_fight.withColumn("_bad", ((F.col("_all") > 0) & (v.ratio("_null", "_all") > limit)).cast("int"))
-    old = payloads.parse(legacy, "rankings_json", "rankings").select(
-        "report_code", F.explode("payload.data").alias("f")).select(
-        "report_code", F.col("f.fightID").alias("fight_id"), F.lit(0).cast("bigint").alias("_all"), F.lit(0).cast("bigint").alias("_null"),
-        F.lit(1).alias("_own"), F.lit(1).alias("_bad"))
-    return per_fight.unionByName(old).groupBy("report_code").agg(
-        F.sum("_bad").alias("incomplete_fights"), F.count(F.lit(1)).alias("total_fights"), F.sum("_null").alias("null_chars"),
-        F.sum("_all").alias("total_chars"))
+    nothing = F.array().cast("array<double>")
+
+    def ranks(fight: Column, *groups: str) -> Column:
+        return F.concat(nothing, *[F.coalesce(F.transform(fight["roles"][g]["characters"], lambda c: c["rankPercent"]), nothing) for g in groups])
+
+    def fights(payload: str, own: int, *groups: str) -> Column:
+        counted = F.transform(f"{payload}.data", lambda f: F.struct(f["fightID"].alias("fight_id"), ranks(f, *groups).alias("ranks"), F.lit(own).alias("own")))
+        return F.coalesce(counted, F.array().cast("array<struct<fight_id: bigint, ranks: array<double>, own: int>>"))
+
+    landed = newest_rankings(raw).select("report_code", F.col("rankings_hps_json").isNull().alias("_legacy"), *[
+        payloads.readable(text, "rankings").alias(name) for text, name in (("rankings_json", "_first"), ("rankings_hps_json", "_second"))])
+    # a record counts if the first metric can be read, and the second where there is one
+    whole = F.col("_first").isNotNull() & (F.col("_legacy") | F.col("_second").isNotNull())
+    both = F.concat(fights("_first", 1, "tanks", "dps"), F.when(F.col("_legacy"), fights("_first", 0)).otherwise(fights("_second", 0, "healers")))
+    # an outer explode keeps the optimiser from deriving a filter that would parse the payloads again
+    each = landed.select("report_code", "_legacy", F.explode_outer(F.when(whole, both)).alias("f")).filter("f IS NOT NULL")
+    per_fight = each.groupBy("report_code", "_legacy", F.col("f.fight_id").alias("fight_id")).agg(
+        F.sum(F.size("f.ranks")).alias("_all"), F.sum(F.size(F.filter("f.ranks", lambda r: r.isNull()))).alias("_null"), F.max("f.own").alias("_own")).filter("_own = 1")
+    bad = F.col("_legacy") | ((F.col("_all") > 0) & (v.ratio("_null", "_all") > limit))
+    kept = F.when(F.col("_legacy"), 0)
+    return per_fight.groupBy("report_code").agg(
+        F.sum(bad.cast("int")).alias("incomplete_fights"), F.count(F.lit(1)).alias("total_fights"), F.sum(kept.otherwise(F.col("_null"))).alias("null_chars"),
+        F.sum(kept.otherwise(F.col("_all"))).alias("total_chars"))
 
 
 def backfill_decision(completeness: DataFrame, max_age_days: int = rules.BACKFILL_MAX_AGE_DAYS) -> DataFrame:

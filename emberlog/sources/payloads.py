@@ -93,6 +93,12 @@ def parse(df: DataFrame, text: str, kind: str, name: str = "payload") -> DataFra
     return parsed.filter(F.col(text).isNotNull() & F.col(f"{name}.{_CORRUPT}").isNull())
 
 
+def readable(text: str, kind: str) -> Column:
+    """The parsed payload, null where there is none or it is malformed."""
+    parsed = F.from_json(text, payload_ddl(kind, corrupt=True), {"columnNameOfCorruptRecord": _CORRUPT})
+    return F.when(parsed[_CORRUPT].isNull(), parsed)
+
+
 def exploded(df: DataFrame, text: str, kind: str, items: Callable[[Column], Column], name: str, *keep: str) -> DataFrame:
     """``keep`` and one row per item of the readable payloads; null items are left out.
 

@@ -357,7 +357,7 @@ def cooldown_capacity(dom: Domain) -> DataFrame:
     return joined_text(catalog(dom, SHARED[:3])["silver_player_cooldown_capacity"], "talent_spell_ids").drop("_ingested_at")
 
 
-cte("utilization", f"""SELECT report_code, fight_id, encounter_id, boss_name, zone_name, difficulty, difficulty_label, raid_night_date, duration_seconds, player_identity_key,
+cte("utilization", f"""SELECT report_code, fight_id, encounter_id, boss_name, zone_name, difficulty, difficulty_label, raid_night_date, FALSE AS is_kill, duration_seconds, player_identity_key,
     player_name, COALESCE(realm, 'unknown') AS realm, player_class, spec_id, cooldown_category, ability_id, ability_name, cooldown_seconds, active_seconds, capacity_model,
     max_charges, possible_casts, observed_casts, over_capacity_casts, actual_casts, possible_casts - actual_casts AS missed_casts,
     CASE WHEN possible_casts > 0 THEN ROUND(actual_casts / possible_casts * 100, 1) ELSE 0 END AS cast_efficiency_pct FROM capacity

@@ -179,7 +179,7 @@ _LANDED = {
     "raid_attendance": ("SELECT COUNT(DISTINCT report_code) FROM attendance", "0"), "actor_roster": ("SELECT COUNT(DISTINCT report_code) FROM actors", "0"),
     "player_details": ("SELECT COUNT(*) FROM (SELECT DISTINCT report_code, fight_id FROM perf)", "0"),
     "zone_catalog": ("SELECT COUNT(*) FROM (SELECT DISTINCT zone_id, zone_name FROM zones)", "0"),
-    "fight_rankings": ("SELECT 2 * COUNT(DISTINCT report_code) FROM rankings", "0"),
+    "fight_rankings": ("SELECT 3 * COUNT(DISTINCT report_code) FROM rankings", "0"),
     "fight_deaths": (f"SELECT 3 * COUNT(*) FROM (SELECT DISTINCT report_code, fight_id, event_id // {bronze.CHUNK} AS c FROM deaths)", "0"),
     "fight_casts": ("SELECT COUNT(*) FROM (" + " UNION ALL ".join(_CHUNKS.values()) + ")", f"SELECT COUNT(*) FROM ({_CHUNKS['buff_events']} UNION ALL {_CHUNKS['combatants']})"),
     "guild_zone_ranks": (_SIGNUPS, "0"), "guild_members": ("SELECT 2 * COUNT(*) FROM members", "0"), "character_media": (_SIGNUPS, "0"),
@@ -228,7 +228,7 @@ def asof_last_event(dom: Domain) -> DataFrame:
     e = dom["ev"].select("event_id", "user_id", "ms", "event_type")
     left = e.filter("event_type = 'error'").select("event_id", "user_id", "ms")
     right = e.filter("event_type = 'click'").select("user_id", "ms")
-    return joins.asof_last(left, right, ["user_id"], "ms", "ms", "last_click_ms", chunk=86_400_000).select("event_id", "last_click_ms")
+    return joins.asof_last(left, right, ["user_id"], "ms", "ms", "last_click_ms").select("event_id", "last_click_ms")
 
 
 @query("hot_key_join", "SELECT l_orderkey, l_linenumber, l_returnflag, n FROM lineitem JOIN (SELECT l_returnflag AS f, COUNT(*) AS n FROM lineitem GROUP BY l_returnflag) d ON l_returnflag = f")

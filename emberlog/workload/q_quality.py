@@ -131,7 +131,7 @@ def backfill_decisions(dom: Domain) -> DataFrame:
 _SIGNUPS, _CHUNKS = "SELECT COUNT(*) AS n FROM e WHERE event_type = 'signup'", "SELECT COUNT(*) AS n FROM (SELECT DISTINCT report_code, event_id // 64 FROM {}) t"
 _PLANTED_SQL = {
     "corrupt_player_details_player_details_as_player_details": "SELECT COUNT(*) AS n FROM (SELECT DISTINCT report_code, fight_id FROM perf) t",
-    **{f"corrupt_fight_rankings_{c}_as_rankings": "SELECT 2 * COUNT(DISTINCT report_code) AS n FROM rankings" for c in ("rankings", "rankings_hps")},
+    **{f"corrupt_fight_rankings_{c}_as_rankings": "SELECT 3 * COUNT(DISTINCT report_code) AS n FROM rankings" for c in ("rankings", "rankings_hps")},
     # the fixture lands every record three times, once malformed
     "corrupt_fight_deaths_table_as_deaths": "SELECT 4 * COUNT(*) AS n FROM (SELECT DISTINCT report_code, fight_id, event_id // 64 FROM deaths) t",
     "corrupt_fight_casts_events_as_casts": _CHUNKS.format("raw_casts"), "corrupt_fight_casts_buffs_as_casts": _CHUNKS.format("buff_events"),

@@ -54,14 +54,14 @@ def test_exact_quantiles(spark, readings):
     assert ordered.exact_quantiles(df.limit(0), [], "at", {"m": 0.5}).first().m is None
 
 
-@pytest.mark.parametrize("width,max_buckets", [(10, 256), (3, 2), (1000, 1)])
-def test_interval_join_equals_range_join(spark, readings, width, max_buckets):
+@pytest.mark.parametrize("base_bits", [0, 3, 20])
+def test_interval_join_equals_range_join(spark, readings, base_bits):
     rng = random.Random(3)
     spans = [(f"k{rng.randrange(40)}" if i % 3 else "hot", i, rng.randrange(80), 0) for i in range(90)]
-    spans = [(k, i, a, a + rng.choice([0, 3, 20, 500]) - (5 if i == 4 else 0)) for k, i, a, _ in spans]
+    spans = [(k, i, a, a + rng.choice([0, 3, 20, 500, 1 << 40]) - (5 if i == 4 else 0)) for k, i, a, _ in spans]
     events = table(spark, [(r[0], r[1], r[2]) for r in readings], "id INT, key STRING, at BIGINT")
     intervals = table(spark, spans, "key STRING, span INT, s BIGINT, e BIGINT")
-    got = joins.interval_join(events, intervals, ["key"], "at", "s", "e", ["span"], width=width, max_buckets=max_buckets)
+    got = joins.interval_join(events, intervals, ["key"], "at", "s", "e", ["span"], base_bits=base_bits)
     want = []
     for i, key, at, _ in readings:
         hits = [s for k, s, a, b in spans if k == key and a <= at <= b]
@@ -69,13 +69,33 @@ def test_interval_join_equals_range_join(spark, readings, width, max_buckets):
     assert collected(got, "id", "span") == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("chunk", [5, 1000])
-def test_asof_equals_loop(spark, readings, chunk):
-    left = [(r[0], r[1], r[2]) for r in readings if r[0] % 2]
-    right = [(r[1], r[2]) for r in readings if not r[0] % 2]
-    got = joins.asof_last(table(spark, left, "id INT, key STRING, at BIGINT"), table(spark, right, "key STRING, mark BIGINT"), ["key"], "at", "mark", "found", chunk=chunk)
-    want = [(i, max((m for k, m in right if k == key and m <= at), default=None)) for i, key, at in left]
-    assert collected(got, "id", "found") == sorted(want, key=repr)
+def test_interval_join_edges(spark):
+    events = table(spark, [(1, "a", -5), (2, "a", None), (3, None, 4), (4, "b", 4), (5, "a", 11), (6, "a", 10), (6, "a", 10)], "id INT, key STRING, at BIGINT")
+    spans = table(spark, [("a", 1, -9, -5), ("a", 2, 10, 10), ("a", 3, 10, 10), ("a", 4, 9, 3), ("a", 5, None, 3), (None, 6, 0, 9)], "key STRING, span INT, s BIGINT, e BIGINT")
+    got = joins.interval_join(events, spans, ["key"], "at", "s", "e", ["span"], base_bits=1)
+    assert collected(got, "id", "span") == sorted([(1, 1), (2, None), (3, None), (4, None), (5, None), *[(6, 2), (6, 3)] * 2], key=repr)
+    none = joins.interval_join(events, spans.limit(0), ["key"], "at", "s", "e", ["span"])
+    assert collected(none, "id", "span") == sorted([(i, None) for i in (1, 2, 3, 4, 5, 6, 6)], key=repr)
+    assert joins.interval_join(events.limit(0), spans, ["key"], "at", "s", "e", ["span"]).count() == 0
+
+
+def test_interval_join_reads_events_once(spark, tmp_path):
+    spark.range(100).selectExpr("id", "'a' AS key", "id AS at").write.parquet(f"{tmp_path}/events")
+    spans = table(spark, [("a", 1, 0, 10)], "key STRING, span INT, s BIGINT, e BIGINT")
+    plan = joins.interval_join(spark.read.parquet(f"{tmp_path}/events"), spans, ["key"], "at", "s", "e", ["span"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("id#") and sum(line.strip(" +-:").startswith("Relation [id#") for line in plan.splitlines()) == 1
+
+
+@pytest.mark.parametrize("hot_rows", [5, 1000])
+def test_asof_equals_loop(spark, readings, hot_rows):
+    left = [(r[0], r[1], r[2], r[0] % 4) for r in readings if r[0] % 2]
+    right = [(r[1], r[2], r[0] % 5) for r in readings if not r[0] % 2]
+    got = joins.asof_last(table(spark, left, "id INT, key STRING, at BIGINT, part INT"), table(spark, right, "key STRING, mark BIGINT, part INT"), ["key"], "at", "mark", "found",
+                          ["part"], "own", hot_rows=hot_rows)
+    want = [(i, max((m for k, m, _ in right if k == key and m <= at), default=None), max((m for k, m, p in right if k == key and m <= at and p == part), default=None)) for i, key, at, part in left]
+    assert collected(got, "id", "found", "own") == sorted(want, key=repr)
+    plain = joins.asof_last(table(spark, left, "id INT, key STRING, at BIGINT, part INT"), table(spark, right, "key STRING, mark BIGINT, part INT"), ["key"], "at", "mark", "found", hot_rows=hot_rows)
+    assert collected(plain, "id", "found") == sorted([w[:2] for w in want], key=repr)
 
 
 def test_resolve_interval_id_keeps_given_ids(spark):
@@ -93,6 +113,14 @@ def test_split_hot_join_equals_join(spark, readings, how):
     assert got == collected(df.join(dim, "key", how), "id", "key", "v")
 
 
+def test_split_hot_join_with_null_and_repeated_keys(spark):
+    df = table(spark, [(i, None if i % 2 else "hot") for i in range(40)], "id INT, key STRING")
+    dim = table(spark, [("hot", 1), (None, 5)], "key STRING, v INT")
+    assert collected(joins.split_hot_join(df, dim, ["key"]), "id", "v") == sorted([(i, None if i % 2 else 1) for i in range(40)], key=repr)
+    with pytest.raises(Exception, match="repeats a hot key"):
+        joins.split_hot_join(df, dim.unionByName(dim), ["key"]).collect()
+
+
 def test_latest_top_mode_are_unique_and_ordered(spark, readings):
     df = table(spark, readings, "id INT, key STRING, at INT, x INT")
     latest = rows.latest_by(df, ["key"], ["at", "id"]).collect()
