@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from emberlog.plans import gold_boss as boss
 from emberlog.plans import gold_core as core
@@ -14,6 +15,7 @@ from emberlog.plans import gold_profile as profile
 from emberlog.plans import gold_readiness as readiness
 from emberlog.plans import gold_wipes as wipes
 from emberlog.plans import silver
+from emberlog.quality.expectations import METRICS, collecting
 from emberlog.session import stored
 from emberlog.sources import payloads
 from emberlog.sources.sinks import write_clustered
@@ -130,6 +132,9 @@ LAYOUT = {
 }
 
 
+EXPECTATIONS = "table_expectations"
+
+
 class Catalog(dict):
     """Frames by table name; a missing table is planned from the ones it reads.
 
@@ -155,18 +160,26 @@ class Catalog(dict):
 def build_all(spark: SparkSession, bronze: Mapping[str, DataFrame], out: str, names: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
     """Build the tables in order; each is written once and read back by those that follow.
 
-    Without ``names`` these are all tables, and the side tables of corrupt payloads.
+    Without ``names`` these are all tables, and the side tables of corrupt payloads. What the rules of the
+    tables found is counted while they are written, and appended to the table ``EXPECTATIONS``.
     """
     tables: dict[str, DataFrame] = dict(bronze)
     every = {**CORRUPT, **TABLES}
+    seen: list[tuple] = []
     for name in names or every:
         build, inputs = every[name]
-        frame = build(*[tables[i] for i in inputs])
+        with collecting() as collector:
+            frame = build(*[tables[i] for i in inputs])
         if name in LAYOUT:
             write_clustered(frame, f"{out}/{name}", LAYOUT[name])
         else:
             frame.write.mode("overwrite").parquet(f"{out}/{name}")
+        seen += collector.rows()
         tables[name] = spark.read.parquet(f"{out}/{name}")
+    # one row per rule: a few dozen
+    metrics = spark.createDataFrame(seen, METRICS).withColumn("measured_at", F.current_timestamp())
+    metrics.coalesce(1).write.mode("append").parquet(f"{out}/{EXPECTATIONS}")
+    tables[EXPECTATIONS] = spark.read.parquet(f"{out}/{EXPECTATIONS}")
     return tables
 
 

@@ -15,7 +15,7 @@ from emberlog import rules
 from emberlog.functions import names as nm
 from emberlog.functions import values as v
 from emberlog.operators import joins, rows
-from emberlog.quality.expectations import expect_or_drop
+from emberlog.quality.expectations import hold
 from emberlog.sources import payloads
 from emberlog.sources.sheet import parse_sheet
 
@@ -37,7 +37,7 @@ def guild_reports(raw: DataFrame) -> DataFrame:
     flat = raw.select("code", "title", v.epoch_ms("startTime").alias("start_time_utc"),
                       v.epoch_ms("endTime").alias("end_time_utc"), F.col("zone.id").alias("zone_id"),
                       F.col("zone.name").alias("zone_name"), "_ingested_at", "_source")
-    return once(expect_or_drop(flat, {"valid_report_code": "code IS NOT NULL AND length(code) > 0"}), ["code"])
+    return hold(once(hold(flat, "silver_guild_reports", "drop"), ["code"]), "silver_guild_reports", "warn")
 
 
 def exploded_fights(raw: DataFrame) -> DataFrame:
@@ -51,17 +51,14 @@ def exploded_fights(raw: DataFrame) -> DataFrame:
         F.col("f.startTime").alias("fight_start_ms"), seconds.alias("duration_seconds"),
         F.col("f.bossPercentage").alias("boss_percentage"), F.col("f.lastPhase").alias("last_phase"),
         F.col("f.size").alias("fight_size"), F.col("f.friendlyPlayers").alias("friendly_player_ids"), "_ingested_at")
-    kept = expect_or_drop(flat, {
-        "valid_fight_id": "fight_id IS NOT NULL", "valid_report_code": "report_code IS NOT NULL",
-        "is_raid_encounter": "encounter_id > 0",
-        "is_raid_difficulty": f"difficulty IN ({', '.join(map(str, rules.DIFFICULTIES))})"})
+    kept = hold(flat, "silver_fight_events", "drop")
     return kept.select("*", v.label("difficulty", rules.DIFFICULTIES, "Unknown").alias("difficulty_label"),
                        v.outcome("is_kill").alias("outcome"))
 
 
 def fight_events(raw: DataFrame, reports: DataFrame) -> DataFrame:
     """Pulls with report context. A report landed twice keeps one row per (report, fight)."""
-    fights = once(exploded_fights(raw), ["report_code", "fight_id"])
+    fights = hold(once(exploded_fights(raw), ["report_code", "fight_id"]), "silver_fight_events", "warn")
     return fights.join(report_context(reports), "report_code", "left")
 
 
@@ -71,8 +68,8 @@ def attendance_rows(raw: DataFrame) -> DataFrame:
         "report_code", F.trim("p.name").alias("player_name"), F.col("p.presence").cast("int").alias("presence"),
         F.trim("p.type").alias("player_class"), "_ingested_at")
     flat = flat.withColumn("presence_status", v.label("presence", rules.PRESENCE, "absent"))
-    kept = expect_or_drop(flat, {"valid_report_code": "length(report_code) > 0", "valid_player_name": "length(player_name) > 0"})
-    return once(kept, ["report_code", "player_name"])
+    kept = hold(flat, "silver_raid_attendance", "drop")
+    return hold(once(kept, ["report_code", "player_name"]), "silver_raid_attendance", "warn")
 
 
 def attendance_context(reports: DataFrame) -> DataFrame:
@@ -87,9 +84,8 @@ def actor_roster(raw: DataFrame) -> DataFrame:
     flat = raw.select("report_code", F.explode("actors").alias("a"), "_ingested_at").select(
         "report_code", F.col("a.id").alias("actor_id"), F.trim("a.name").alias("player_name"),
         F.trim("a.subType").alias("player_class"), F.col("a.server").alias("realm"), "_ingested_at")
-    kept = expect_or_drop(flat, {"valid_report_code": "report_code IS NOT NULL", "valid_actor_id": "actor_id IS NOT NULL",
-                                 "valid_player_name": "length(player_name) > 0"})
-    return once(kept, ["report_code", "actor_id"])
+    kept = hold(flat, "silver_actor_roster", "drop")
+    return hold(once(kept, ["report_code", "actor_id"]), "silver_actor_roster", "warn")
 
 
 # --- per-fight player payloads -------------------------------------------------------------
@@ -111,9 +107,9 @@ def player_performance(raw: DataFrame) -> DataFrame:
         F.col("p.potionUse").alias("potion_use"), F.col("p.healthstoneUse").alias("healthstone_use"),
         F.coalesce(F.size("_weapons") > 0, F.lit(False)).alias("has_weapon_enhancement"),
         nm.join_names("_weapons").alias("weapon_enhancement_names"), *stats, "_ingested_at")
-    kept = expect_or_drop(flat, {"valid_fight_ref": "report_code IS NOT NULL AND fight_id IS NOT NULL",
-                                 "valid_player_name": "length(player_name) > 0"})
-    return rows.dedup_ordered(kept, ["report_code", "fight_id", "player_name"], ["_ingested_at"], count_as="_duplicate_count")
+    kept = hold(flat, "silver_player_performance", "drop")
+    single = rows.dedup_ordered(kept, ["report_code", "fight_id", "player_name"], ["_ingested_at"], count_as="_duplicate_count")
+    return hold(single, "silver_player_performance", "warn")
 
 
 def newest_rankings(raw: DataFrame) -> DataFrame:
@@ -141,9 +137,9 @@ def player_rankings(raw: DataFrame) -> DataFrame:
         F.col("c.amount").alias("amount"), F.col("c.rankPercent").alias("rank_percent"),
         F.col("c.bracketPercent").alias("bracket_percent"), F.col("c.rank").alias("rank_string"),
         F.col("c.totalParses").alias("total_parses"), "_ingested_at")
-    kept = expect_or_drop(flat, {"valid_ranking_ref": "report_code IS NOT NULL AND fight_id IS NOT NULL",
-                                 "valid_player_name": "player_name IS NOT NULL"})
-    return rows.dedup_ordered(kept, ["report_code", "fight_id", "player_name"], ["rank_percent", "amount"], count_as="_duplicate_count")
+    kept = hold(flat, "silver_player_rankings", "drop")
+    single = rows.dedup_ordered(kept, ["report_code", "fight_id", "player_name"], ["rank_percent", "amount"], count_as="_duplicate_count")
+    return hold(single, "silver_player_rankings", "warn")
 
 
 def player_deaths(raw: DataFrame) -> DataFrame:
@@ -155,8 +151,9 @@ def player_deaths(raw: DataFrame) -> DataFrame:
         F.col("e.type").alias("player_class"), F.col("e.timestamp").alias("death_timestamp_ms"),
         F.col("e.overkill").alias("overkill"), "_ingested_at", v.killing_blow("e.events")["ability"].alias("_blow"))
     named = flat.select("*", F.col("_blow.name").alias("killing_blow_name"), F.col("_blow.guid").alias("killing_blow_id"))
-    return rows.with_duplicate_count(named.drop("_blow").filter("player_name IS NOT NULL"),
-                                     ["report_code", "fight_id", "player_name", "death_timestamp_ms"])
+    counted = rows.with_duplicate_count(hold(named.drop("_blow"), "silver_player_deaths", "drop"),
+                                        ["report_code", "fight_id", "player_name", "death_timestamp_ms"])
+    return hold(counted, "silver_player_deaths", "warn")
 
 
 def fight_windows(fights: DataFrame) -> DataFrame:
@@ -204,7 +201,8 @@ def _named_in_fight(events: DataFrame, fights: DataFrame, actors: DataFrame, at:
 
 def player_cast_events(casts: DataFrame, fights: DataFrame, actors: DataFrame) -> DataFrame:
     named = _named_in_fight(casts, fights, actors, "cast_timestamp_ms")
-    return rows.dedup_ordered(named, ["report_code", "fight_id", "cast_timestamp_ms", "actor_id", "ability_id"], ["_ingested_at"])
+    single = rows.dedup_ordered(named, ["report_code", "fight_id", "cast_timestamp_ms", "actor_id", "ability_id"], ["_ingested_at"])
+    return hold(single, "silver_player_cast_events", "warn")
 
 
 def player_combatant_buffs(combatants: DataFrame, fights: DataFrame, actors: DataFrame) -> DataFrame:
@@ -231,13 +229,14 @@ def player_combatant_buffs(combatants: DataFrame, fights: DataFrame, actors: Dat
         return F.array_sort(F.transform(own, lambda i: i["name"]))
 
     split = grouped.select(*keys, "spec_id", "_ingested_at", of("talent").alias("talent_spell_ids"), *[of(k).alias(f"_{k}") for k in kinds])
-    return split.select(
+    prepared = split.select(
         *keys, "spec_id", "talent_spell_ids",
         (F.size("_food_buff") > 0).alias("has_food_buff"), nm.join_names("_food_buff").alias("food_buff_names"),
         (F.size("_flask_or_phial") > 0).alias("has_flask_or_phial_buff"),
         nm.join_names("_flask_or_phial").alias("flask_or_phial_names"),
         (F.size("_weapon") > 0).alias("has_weapon_enhancement_aura"),
         nm.join_names("_weapon").alias("weapon_enhancement_aura_names"), "_ingested_at")
+    return hold(prepared, "silver_player_combatant_buffs", "warn")
 
 
 def cooldown_rules(spark) -> DataFrame:
@@ -293,11 +292,12 @@ def player_cooldown_capacity(fights: DataFrame, actors: DataFrame, casts: DataFr
         F.coalesce(possible.cast("bigint"), F.lit(0).cast("bigint")).alias("possible_casts"),
         state_name.alias("cooldown_tracking_state"))
     tracked = F.col("cooldown_tracking_state") == "tracked"
-    return full.select(
+    capacity = full.select(
         *[c for c in full.columns if c not in ("has_combatant_info", "_seen", "_casts", "_info")],
         F.col("_info").alias("has_combatant_info"), tracked.alias("has_tracked_capacity"),
         (tracked & scored).alias("has_scored_capacity"), F.least("observed_casts", "possible_casts").alias("actual_casts"),
         F.greatest(F.col("observed_casts") - F.col("possible_casts"), F.lit(0)).alias("over_capacity_casts"))
+    return hold(capacity, "silver_player_cooldown_capacity", "warn")
 
 
 # --- catalog, members, profiles ------------------------------------------------------------
@@ -307,13 +307,13 @@ def zone_catalog(raw: DataFrame) -> DataFrame:
                       F.explode("encounters").alias("e"), "difficulties", "_ingested_at").select(
         "zone_id", "zone_name", "zone_frozen", F.col("e.id").alias("encounter_id"), F.col("e.name").alias("encounter_name"),
         F.transform("difficulties", lambda d: d["name"]).alias("difficulty_names"), "_ingested_at")
-    kept = expect_or_drop(flat, {"valid_zone_id": "zone_id IS NOT NULL", "valid_encounter_id": "encounter_id IS NOT NULL"})
+    kept = hold(flat, "silver_zone_catalog", "drop")
     return once(kept, ["zone_id", "encounter_id"])
 
 
 def guild_members(raw: DataFrame) -> DataFrame:
     latest = rows.latest_by(raw, ["name"], ["_ingested_at", "realm_slug"])
-    kept = expect_or_drop(latest, {"valid_name": "name IS NOT NULL", "valid_rank": "rank IS NOT NULL"})
+    kept = hold(latest, "silver_guild_members", "drop")
     labels = {code: pair[0] for code, pair in rules.RANKS.items()}
     groups = {code: pair[1] for code, pair in rules.RANKS.items()}
     return kept.select(
@@ -324,29 +324,28 @@ def guild_members(raw: DataFrame) -> DataFrame:
 
 def _snapshot(raw: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     """Newest payload per key with its time."""
-    return rows.latest_by(raw.filter(F.col(keys[0]).isNotNull()), list(keys), ["_ingested_at", text]).withColumn(
-        "snapshot_at", F.to_timestamp("_ingested_at"))
+    return rows.latest_by(raw, list(keys), ["_ingested_at", text]).withColumn("snapshot_at", F.to_timestamp("_ingested_at"))
 
 
 def guild_zone_ranks(raw: DataFrame) -> DataFrame:
     latest = _snapshot(raw, ["zone_id"], "progress_json")
-    return latest.filter("progress_json IS NOT NULL").select("zone_id", "zone_name", "progress_json", "snapshot_at", "_ingested_at")
+    return hold(latest, "silver_guild_zone_ranks", "drop").select("zone_id", "zone_name", "progress_json", "snapshot_at", "_ingested_at")
 
 
 def character_media(raw: DataFrame) -> DataFrame:
-    latest = _snapshot(raw, ["player_name", "realm_slug"], "media_json")
+    latest = _snapshot(hold(raw, "silver_character_media", "drop"), ["player_name", "realm_slug"], "media_json")
     parsed = latest.withColumn("m", F.from_json("media_json", payloads.payload_ddl("media")))
     urls = [v.keyed_value("m.assets", k).alias(f"{k.replace('-', '_')}_url") for k in ("avatar", "inset", "main", "main-raw")]
     return parsed.select("player_name", "realm_slug", *urls, "snapshot_at", "_ingested_at")
 
 
 def item_media(raw: DataFrame) -> DataFrame:
-    parsed = _snapshot(raw, ["item_id"], "media_json").withColumn("m", F.from_json("media_json", payloads.payload_ddl("media")))
+    parsed = _snapshot(hold(raw, "silver_item_media", "drop"), ["item_id"], "media_json").withColumn("m", F.from_json("media_json", payloads.payload_ddl("media")))
     return parsed.select("item_id", v.keyed_value("m.assets", "icon").alias("icon_url"), "snapshot_at", "_ingested_at")
 
 
 def character_equipment(raw: DataFrame) -> DataFrame:
-    latest = _snapshot(raw, ["player_name", "realm_slug"], "equipment_json")
+    latest = _snapshot(hold(raw, "silver_character_equipment", "drop"), ["player_name", "realm_slug"], "equipment_json")
     parsed = latest.withColumn("q", F.from_json("equipment_json", payloads.payload_ddl("equipment")))
     return parsed.select("player_name", "realm_slug", "equipment_json",
                          v.array_mean("q.equipped_items", lambda i: i["level"]["value"]).alias("avg_item_level"),
@@ -354,7 +353,7 @@ def character_equipment(raw: DataFrame) -> DataFrame:
 
 
 def character_achievements(raw: DataFrame) -> DataFrame:
-    latest = _snapshot(raw, ["player_name", "realm_slug"], "achievements_json")
+    latest = _snapshot(hold(raw, "silver_character_achievements", "drop"), ["player_name", "realm_slug"], "achievements_json")
     parsed = latest.withColumn("a", F.from_json("achievements_json", payloads.payload_ddl("achievement_totals")))
     return parsed.select("player_name", "realm_slug", "achievements_json", "a.total_quantity", "a.total_points",
                          "snapshot_at", "_ingested_at")
@@ -362,7 +361,7 @@ def character_achievements(raw: DataFrame) -> DataFrame:
 
 def _profiles(raw: DataFrame) -> DataFrame:
     parsed = payloads.parse(raw, "profile_json", "profile", "p")
-    return parsed.filter("player_name IS NOT NULL").select(
+    return parsed.select(
         "player_name", "realm_slug", F.lower(F.coalesce("region", "p.region")).alias("region"),
         F.coalesce("profile_url", "p.profile_url").alias("profile_url"), F.lit("current").alias("season"), "p",
         F.to_timestamp("_ingested_at").alias("snapshot_at"), "_ingested_at")
@@ -372,8 +371,9 @@ def mplus_scores(raw: DataFrame) -> DataFrame:
     season = _profiles(raw).withColumn("s", F.explode_outer("p.mythic_plus_scores_by_season"))
     scores = [F.col(f"s.scores.`{r}`").alias(f"score_{r}") for r in ("all", "dps", "healer", "tank")]
     places = [F.col(f"p.mythic_plus_ranks.overall.{r}").alias(f"{r}_rank") for r in ("world", "region", "realm")]
-    return season.select("player_name", "realm_slug", "region", "profile_url", "season", *scores, *places,
+    flat = season.select("player_name", "realm_slug", "region", "profile_url", "season", *scores, *places,
                          F.col("p.last_crawled_at").alias("raiderio_last_crawled_at"), "snapshot_at", "_ingested_at")
+    return hold(flat, "silver_raiderio_player_scores", "drop")
 
 
 RUN_KEY = ["player_name", "realm_slug", "region", "dungeon", "completed_at", "mythic_level"]
@@ -390,7 +390,7 @@ def mplus_runs(raw: DataFrame) -> DataFrame:
         F.to_timestamp("r.completed_at").alias("completed_at"), *[f"r.{c}" for c in plain],
         v.timed_run(F.col("source"), F.col("r.clear_time_ms"), F.col("r.par_time_ms"), F.col("r.num_keystone_upgrades")).alias("timed"),
         "snapshot_at", "_ingested_at")
-    return dedup_runs(flat.filter("dungeon IS NOT NULL"))
+    return dedup_runs(hold(flat, "silver_raiderio_player_runs", "drop"))
 
 
 def dedup_runs(flat: DataFrame) -> DataFrame:
@@ -401,5 +401,6 @@ def dedup_runs(flat: DataFrame) -> DataFrame:
 def live_raid_roster(raw: DataFrame) -> DataFrame:
     latest = rows.latest_by(raw, ["sheet_id", "gid"], ["_ingested_at", "csv_text"])
     parsed = parse_sheet(latest, "csv_text", keep=("sheet_id", "gid", "_ingested_at"))
-    return parsed.select("name", "roster_rank", "player_class", "race", "note", "source_refreshed_at",
-                         F.to_timestamp("_ingested_at").alias("snapshot_at"), "_ingested_at")
+    named = rows.latest_by(hold(parsed, "silver_live_raid_roster", "drop"), ["sheet_id", "gid", "_ingested_at", F.lower("name")], [F.col("_line").asc()])
+    return named.select("name", "roster_rank", "player_class", "race", "note", "source_refreshed_at",
+                        F.to_timestamp("_ingested_at").alias("snapshot_at"), "_ingested_at")

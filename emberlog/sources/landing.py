@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from emberlog.quality.expectations import TABLE_RULES, TableRules
+
 _META = "_source STRING, _ingested_at STRING"
 _ZONE = "zone STRUCT<id: BIGINT, name: STRING>"
 _ACTORS = "ARRAY<STRUCT<id: BIGINT, name: STRING, type: STRING, subType: STRING, server: STRING>>"
@@ -52,6 +54,10 @@ def landing_rules(folder: str) -> dict[str, str]:
     return {f"has_{c.lstrip('_')}": f"{c} IS NOT NULL" for c in _FOLDERS[folder][1]}
 
 
+# The rules of the bronze tables stand beside those of the silver ones.
+TABLE_RULES.update({f"bronze_{f}": TableRules(warn=landing_rules(f)) for f in FOLDERS})
+
+
 def read_landing(spark: SparkSession, root: str, folder: str) -> DataFrame:
     """Stream of a landing folder: each file once, with its path in ``_file_path``."""
     return (spark.readStream.schema(landing_schema(folder)).json(f"{root}/{folder}")

@@ -12,6 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from emberlog.operators.rows import dedup_ordered
 from emberlog.plans import silver
+from emberlog.quality.expectations import METRICS, hold, streamed_rows
 from emberlog.session import stored
 from emberlog.sources import files
 from emberlog.sources.landing import FOLDERS, file_versions, landing_schema, read_landing, read_versions
@@ -52,11 +53,15 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
     return query
 
 
-def ingest_bronze(spark: SparkSession, landing: str, out: str, folders: tuple[str, ...] = FOLDERS) -> None:
-    """Append the new files of each landing folder to its bronze table, all folders side by side."""
-    started = [start_available(read_landing(spark, landing, f), f"{out}/{f}", f"{out}/_checkpoints/{f}") for f in folders]
+def ingest_bronze(spark: SparkSession, landing: str, out: str, folders: tuple[str, ...] = FOLDERS) -> DataFrame:
+    """Append the new files of each landing folder to its bronze table, all folders side by side.
+
+    Returns what the rules of the tables found in the new rows, as the streams' progress reports it.
+    """
+    started = [start_available(hold(read_landing(spark, landing, f), f"bronze_{f}", "warn"), f"{out}/{f}", f"{out}/_checkpoints/{f}") for f in folders]
     for query in started:
         query.awaitTermination()
+    return spark.createDataFrame([row for query in started for row in streamed_rows(query)], METRICS)
 
 
 def read_bronze(spark: SparkSession, out: str, folder: str) -> DataFrame:

@@ -243,10 +243,18 @@ def live_raid_roster(dom: Domain) -> DataFrame:
     member = dom["members"].select((F.floor(F.col("user_id") / 50)).alias("_g"), "name").join(dom["live_roster"], "name")
     gap = {a: POSITIONS[b] - POSITIONS[a] for a, b in zip(list(POSITIONS), list(POSITIONS)[1:])}
     line = F.concat("name", F.lit("," * gap["name"]), "roster_rank", F.lit("," * gap["roster_rank"]), "player_class",
-                    F.lit("," * gap["player_class"]), "race", F.lit(","), F.concat(F.lit('"'), "note", F.lit('"')))
+                    F.lit("," * gap["player_class"]), "race", F.lit(","), F.concat(F.lit('"'), F.replace("note", F.lit('"'), F.lit('""')), F.lit('"')))
     sheets = member.groupBy("_g", "source_refreshed_at").agg(F.array_sort(F.collect_list(line)).alias("lines"))
     text = F.concat(F.lit("Title\nRefreshed,"), "source_refreshed_at", F.lit("\n"), F.array_join("lines", "\n"), F.lit("\n"),
                     F.array_join(F.transform("lines", F.lower), "\n"), F.lit("\n,,,\n"))
     new = sheets.select(F.lit("sheet").alias("sheet_id"), F.col("_g").cast("string").alias("gid"), text.alias("csv_text"),
                         F.lit("2024-02-01T00:00:00").alias("_ingested_at"))
     return new.unionByName(new.withColumn("csv_text", F.lit("old")).withColumn("_ingested_at", F.lit("2023-01-01T00:00:00")))
+
+
+BUILDERS = {"guild_reports": guild_reports, "report_fights": report_fights, "raid_attendance": raid_attendance,
+    "actor_roster": actor_roster, "player_details": player_details, "zone_catalog": zone_catalog,
+    "fight_rankings": fight_rankings, "fight_deaths": fight_deaths, "fight_casts": fight_casts,
+    "guild_zone_ranks": guild_zone_ranks, "guild_members": guild_members, "character_media": character_media,
+    "character_equipment": character_equipment, "character_achievements": character_achievements,
+    "item_media": item_media, "raiderio_character_profiles": character_profiles, "live_raid_roster": live_raid_roster}

@@ -136,7 +136,7 @@ CTES: dict[str, str] = {
         CASE WHEN user_id % 60 = 1 THEN NULL ELSE user_id % 60 <> 31 END AS enabled, '' AS notes, 'admin' AS updated_by,
         '2024-02-01T00:00:00' AS updated_at FROM users WHERE user_id % 30 IN (1, 5)""",
     "live_roster": """SELECT name, 'Raider' AS roster_rank, class_name AS player_class, CONCAT('Race ', CAST(class_id AS STRING)) AS race,
-        CASE WHEN class_id % 2 = 0 THEN 'late, often' ELSE '' END AS note, '2024-02-01 08:00' AS source_refreshed_at
+        CASE WHEN class_id % 2 = 0 THEN CONCAT('late, ', CHR(34), 'often', CHR(34), CHR(10), 'or not') ELSE '' END AS note, '2024-02-01 08:00' AS source_refreshed_at
         FROM labelled_members WHERE rank <= 5""",
     "zones": """SELECT DISTINCT zone_id, zone_name, zone_id = 0 AS zone_frozen, encounter_id, boss_name AS encounter_name,
         '2024-02-01T00:00:00' AS _ingested_at FROM fights""",

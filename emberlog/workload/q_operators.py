@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog import session
@@ -12,7 +12,6 @@ from emberlog.functions import values as v
 from emberlog.operators import joins, ordered, rows, scopes
 from emberlog.plans import publish, silver
 from emberlog.sources import files, sinks
-from emberlog.sources.landing import landing_rules
 from emberlog.streaming import tables as stream
 from emberlog.workload import bronze
 from emberlog.workload.domain import Domain
@@ -56,26 +55,44 @@ def csv_round_trip(dom: Domain) -> DataFrame:
     return dom.spark.read.schema(frame.schema).option("header", "true").csv(path)
 
 
-_COUNTED = ("customer", "documents", "events", "lineitem", "orders", "pages", "part", "supplier")
+_TABLES = ("benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part", "region", "supplier")
 
 
-@query("table_row_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in _COUNTED))
+@query("table_row_counts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in _TABLES))
 def table_row_counts(dom: Domain) -> DataFrame:
-    return sinks.row_counts({t: dom.table(t) for t in _COUNTED})
+    return sinks.row_counts({t: dom.table(t) for t in _TABLES})
 
 
-_TABLES = ("benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part", "region", "supplier")
+# tables of the dump with their keys; the last one is not there
+_DUMPED = {"benchmark": ("item_id",), "conversations": ("conv_id", "turn"), "customer": ("c_custkey",), "documents": ("doc_id",), "embeddings": ("vec_id",), "events": ("event_id",),
+           "labels": ("doc_id",), "lineitem": ("l_orderkey", "l_linenumber"), "nation": ("n_nationkey",), "orders": ("o_orderkey",), "pages": ("page_id",), "part": ("p_partkey",),
+           "region": ("r_regionkey",), "supplier": ("s_suppkey",), "missing_table": ("id",)}
 
 
-@query("table_row_counts_all", " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in _TABLES))
-def table_row_counts_all(dom: Domain) -> DataFrame:
-    return sinks.row_counts({t: dom.table(t) for t in _TABLES})
+def _key_text(keys: tuple[str, ...]) -> str:
+    return " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+
+
+def _dump_sql(table: str, keys: tuple[str, ...]) -> str:
+    if table == "missing_table":
+        return "SELECT 'missing_table' AS table_name, 'error' AS status, CAST(-1 AS BIGINT) AS row_count, CAST(NULL AS BIGINT) AS place, CAST(NULL AS VARCHAR) AS row_key"
+    return f"""SELECT '{table}' AS table_name, 'ok' AS status, (SELECT COUNT(*) FROM {table}) AS row_count, place, row_key FROM
+        (SELECT row_number() OVER (ORDER BY md5({_key_text(keys)}), {', '.join(keys)}) AS place, {_key_text(keys)} AS row_key FROM {table}) t WHERE place <= 50"""
 
 
-@query("sample_dump")
+@query("sample_dump", " UNION ALL ".join(_dump_sql(t, k) for t, k in _DUMPED.items()))
 def sample_dump(dom: Domain) -> DataFrame:
-    """The sampled dump of a table; which rows it takes is left open."""
-    return sinks.sample_rows(dom.table("lineitem"))
+    """Samples of all tables, read back from the dump in its order, with the status of each table."""
+    root = folder(dom)
+    read = {t: (lambda t=t: dom.spark.read.parquet(f"{dom.sf_dir}/{t}.parquet")) for t in _DUMPED}
+    status = sinks.dump_samples(dom.spark, read, _DUMPED, root).drop("note")
+    parts = []
+    for table, keys in list(_DUMPED.items())[:-1]:
+        dumped = dom.spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(f"{root}/{table}")
+        text = F.concat_ws("|", *keys)
+        numbered = dumped.select(text.alias("row_key")).withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).cast("bigint"))
+        parts.append(numbered.select(F.lit(table).alias("table_name"), "place", "row_key"))
+    return status.join(rows.union_branches(parts), "table_name", "left")
 
 
 @query("upsert_overrides", """SELECT id, mode, source_character, target_character, characters, CONCAT('New ', id) AS display_name, enabled, notes, 'draft' AS updated_by, updated_at
@@ -162,15 +179,7 @@ def rewritten_reports(dom: Domain) -> DataFrame:
     return newest.join(landings, "code").select("code", "title", "zone_id", "zone_name", "start_time_utc", "landings")
 
 
-_BUILDERS = {
-    "guild_reports": bronze.guild_reports, "report_fights": bronze.report_fights, "raid_attendance": bronze.raid_attendance,
-    "actor_roster": bronze.actor_roster, "player_details": bronze.player_details, "zone_catalog": bronze.zone_catalog,
-    "fight_rankings": bronze.fight_rankings, "fight_deaths": bronze.fight_deaths, "fight_casts": bronze.fight_casts,
-    "guild_zone_ranks": bronze.guild_zone_ranks, "guild_members": bronze.guild_members, "character_media": bronze.character_media,
-    "character_equipment": bronze.character_equipment, "character_achievements": bronze.character_achievements,
-    "item_media": bronze.item_media, "raiderio_character_profiles": bronze.character_profiles, "live_raid_roster": bronze.live_raid_roster}
-
-
+_BUILDERS = bronze.BUILDERS
 _CHUNKS = {t: f"SELECT DISTINCT report_code, event_id // {bronze.CHUNK} AS c FROM {t}" for t in ("raw_casts", "buff_events", "combatants")}
 _SIGNUPS = "SELECT COUNT(*) FROM e WHERE event_type = 'signup'"
 # rows of each landing folder, and the violations of its rules, as the fixture lands them
@@ -190,17 +199,14 @@ _LANDED = {
 
 @query("bronze_ingest_all", " UNION ALL ".join(f"SELECT '{t}' AS table_name, ({n}) AS rows, ({bad}) AS violations" for t, (n, bad) in _LANDED.items()))
 def bronze_ingest_all(dom: Domain) -> DataFrame:
-    """All seventeen landing folders through file streams side by side: rows and rule violations of each."""
+    """All seventeen landing folders through file streams side by side: rows, and violations as the streams observed them."""
     root = folder(dom)
     for name, build in _BUILDERS.items():
         build(dom).write.json(f"{root}/{name}")
-    stream.ingest_bronze(dom.spark, root, f"{root}/bronze")
-    parts = []
-    for name in _BUILDERS:
-        table = stream.read_bronze(dom.spark, f"{root}/bronze", name)
-        broken = [F.count_if(~F.expr(c)) for c in landing_rules(name).values()]
-        parts.append(table.agg(F.count(F.lit(1)).alias("rows"), sum(broken, F.lit(0).cast("bigint")).alias("violations")).select(F.lit(name).alias("table_name"), "rows", "violations"))
-    return rows.union_branches(parts)
+    seen = stream.ingest_bronze(dom.spark, root, f"{root}/bronze")
+    broken = seen.groupBy("table_name").agg(F.sum("failed_rows").alias("violations")).withColumn("table_name", F.replace("table_name", F.lit("bronze_"), F.lit("")))
+    landed = sinks.row_counts({name: stream.read_bronze(dom.spark, f"{root}/bronze", name) for name in _BUILDERS})
+    return landed.join(broken, "table_name", "left").select("table_name", F.col("row_count").alias("rows"), F.coalesce("violations", F.lit(0).cast("bigint")).alias("violations"))
 
 
 # --- joins ---------------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from emberlog.plans import pipeline, publish
 from emberlog.quality import completeness, contracts
 from emberlog.quality.contracts import Contract, Field
 from emberlog.quality.expectations import RULES, expect_or_drop, expectation_report
-from emberlog.session import stored
+from emberlog.session import stored, work_folder
 from emberlog.sources import sinks
 from emberlog.workload import bronze
 from emberlog.workload.domain import Domain
@@ -33,12 +33,65 @@ def dropped(dom: Domain) -> DataFrame:
     return expect_or_drop(dom["rankings"], {"ranked": "rank_percent > 20"}).select("report_code", "fight_id", "player_name")
 
 
-@query("shared_rules", """SELECT rule, CAST((SELECT COUNT(*) FROM members) AS BIGINT) AS total_rows, failed_rows, ROUND(failed_rows / (SELECT COUNT(*) FROM members), 4) AS failed_share FROM
-    (SELECT 'valid_id' AS rule, COUNT(*) FILTER (NOT user_id > 0) AS failed_rows FROM members UNION ALL SELECT 'valid_name', COUNT(*) FILTER (name IS NULL OR LENGTH(TRIM(name)) = 0) FROM members
-    UNION ALL SELECT 'no_future_dates', 0 FROM members LIMIT 3) t""".replace(" FROM members LIMIT 3", ""))
+_SHARED = {
+    "valid_id": "NOT user_id > 0", "valid_timestamp": "_ingested_at IS NULL", "no_future_dates": "FALSE", "valid_name": "name IS NULL OR LENGTH(TRIM(name)) = 0",
+    "unique_player_per_fight": "(SELECT COUNT(*) FROM members o WHERE o.rank = m.rank) <> 1", "ingested_at_present": "_ingested_at IS NULL", "freshness_within_48h": "TRUE"}
+
+
+@query("shared_rules", " UNION ALL ".join(
+    f"SELECT '{rule}' AS rule, COUNT(*) AS total_rows, COUNT(*) FILTER ({bad}) AS failed_rows, ROUND(COUNT(*) FILTER ({bad}) / GREATEST(COUNT(*), 1), 4) AS failed_share FROM members m"
+    for rule, bad in _SHARED.items()))
 def shared_rules(dom: Domain) -> DataFrame:
-    rows_ = dom["members"].withColumn("id", F.col("user_id")).withColumn("created_at", F.to_timestamp("_ingested_at"))
-    return expectation_report(rows_, {r: RULES[r] for r in ("valid_id", "valid_name", "no_future_dates")})
+    """All shared rules; the landings are years old, and members of one rank stand for the rows of one key."""
+    counted = rows.with_duplicate_count(dom["members"], ["rank"])
+    return expectation_report(counted.withColumn("id", F.col("user_id")).withColumn("created_at", F.to_timestamp("_ingested_at")), RULES)
+
+
+def _rule(table: str, action: str, rule: str, total: str, failed: str = "SELECT 0", dropped: str = "SELECT 0") -> str:
+    return (f"SELECT '{table}' AS table_name, '{action}' AS action, '{rule}' AS rule, CAST(({total}) AS BIGINT) AS total_rows, "
+            f"CAST(({failed}) AS BIGINT) AS failed_rows, CAST(({dropped}) AS BIGINT) AS dropped_rows")
+
+
+def _count(table: str, times: int = 1, where: str = "TRUE") -> str:
+    return f"SELECT {times} * COUNT(*) FROM {table} WHERE {where}"
+
+
+_ONCE_DEAD = """SELECT COALESCE(SUM(n), 0) FROM (SELECT COUNT(*) AS n FROM deaths GROUP BY report_code, fight_id, player_name, death_timestamp_ms HAVING COUNT(*) > 1) t"""
+# what each rule meets in the fixture: rows held to it, rows that break it, rows that the table drops
+_RULED = [
+    _rule("silver_guild_reports", "drop", "valid_report_code", _count("reports", 3), _count("reports"), _count("reports")),
+    *[_rule("silver_guild_reports", "warn", r, _count("reports")) for r in ("valid_start_time", "ingested_at_present")],
+    *[_rule("silver_fight_events", "drop", r, _count("fights", 3), bad, _count("fights", 2)) for r, bad in (
+        ("valid_fight_id", "SELECT 0"), ("valid_report_code", "SELECT 0"), ("is_raid_encounter", _count("fights")), ("is_raid_difficulty", _count("fights")))],
+    _rule("silver_fight_events", "warn", "ingested_at_present", _count("fights")),
+    *[_rule("silver_raid_attendance", "drop", r, _count("attendance")) for r in ("valid_report_code", "valid_player_name")],
+    _rule("silver_raid_attendance", "warn", "ingested_at_present", _count("attendance")),
+    *[_rule("silver_actor_roster", "drop", r, _count("actors")) for r in ("valid_report_code", "valid_actor_id", "valid_player_name")],
+    _rule("silver_actor_roster", "warn", "ingested_at_present", _count("actors")),
+    *[_rule("silver_player_performance", "drop", r, _count("perf")) for r in ("valid_fight_ref", "valid_player_name")],
+    *[_rule("silver_player_performance", "warn", r, _count("perf")) for r in ("unique_player_per_fight", "ingested_at_present")],
+    *[_rule("silver_player_rankings", "drop", r, _count("rankings")) for r in ("valid_ranking_ref", "valid_player_name")],
+    *[_rule("silver_player_rankings", "warn", r, _count("rankings"), bad) for r, bad in (
+        ("unique_player_per_fight", "SELECT 0"), ("ingested_at_present", "SELECT 0"), ("rank_percent_present", _count("rankings", 1, "rank_percent IS NULL")))],
+    _rule("silver_player_deaths", "drop", "valid_player_name", _count("deaths")),
+    _rule("silver_player_deaths", "warn", "unique_player_per_fight", _count("deaths"), _ONCE_DEAD),
+    *[_rule("silver_zone_catalog", "drop", r, _count("zones", 2)) for r in ("valid_zone_id", "valid_encounter_id")],
+    *[_rule("silver_guild_members", "drop", r, _count("members")) for r in ("valid_name", "valid_rank")],
+    *[_rule("silver_guild_zone_ranks", "drop", r, "SELECT COUNT(DISTINCT user_id % 4) FROM e WHERE event_type = 'signup'") for r in ("valid_zone_id", "valid_progress")],
+    *[_rule(f"silver_character_{t}", "drop", "valid_player_name", _count("e", 1, "event_type = 'signup'")) for t in ("media", "equipment", "achievements")],
+    _rule("silver_item_media", "drop", "valid_item_id", _count("e", 1, "event_type = 'signup'")),
+    *[_rule("silver_raiderio_player_runs", "drop", r, "SELECT COUNT(*) + COUNT(*) FILTER (source = 'best') FROM runs") for r in ("valid_player_name", "valid_dungeon")]]
+_MEASURED = ("silver_guild_reports", "silver_fight_events", "silver_raid_attendance", "silver_actor_roster", "silver_player_performance", "silver_player_rankings",
+             "silver_player_deaths", "silver_zone_catalog", "silver_guild_members", "silver_guild_zone_ranks", "silver_character_media", "silver_character_equipment",
+             "silver_character_achievements", "silver_item_media", "silver_raiderio_player_runs")
+
+
+@query("table_expectations", " UNION ALL ".join(_RULED))
+def table_expectations(dom: Domain) -> DataFrame:
+    """What the rules of the silver tables found, observed while the tables were written."""
+    landed = {name: build(dom) for name, build in bronze.BUILDERS.items()}
+    built = pipeline.build_all(dom.spark, landed, work_folder(dom.spark), _MEASURED)
+    return built[pipeline.EXPECTATIONS].drop("measured_at")
 
 
 _ORDERS = Contract("orders", "1", {

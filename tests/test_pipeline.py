@@ -77,6 +77,51 @@ def test_writers(spark, tmp_path):
     assert len(spans) == 4 and all(x.b < y.a for x, y in zip(spans, spans[1:]))
 
 
+@pytest.mark.parametrize("second", ["b", "word"])
+def test_z_order_keeps_files_narrow_in_the_second_column(spark, tmp_path, second):
+    import pyarrow.parquet as pq
+
+    df = spark.range(20_000).select((F.col("id") * 7919 % 1000).alias("a"), (F.col("id") * 104_729 % 1009).alias("b"))
+    df = df.withColumn("word", F.concat(F.lit("w"), F.lpad(F.col("b").cast("string"), 5, "0"))).withColumn("a", F.when(F.col("a") > 3, F.col("a")))
+    sinks.write_clustered(df, f"{tmp_path}/z", ["a", second], parts=16)
+    df.repartitionByRange(16, "a", second).sortWithinPartitions("a", second).write.parquet(f"{tmp_path}/plain")
+    wanted = 500 if second == "b" else "w00500"
+
+    def groups_read(folder):
+        """Row groups whose statistics let the filter through, and the rows that the scan then reads."""
+        hit = 0
+        for name in os.listdir(folder):
+            if name.endswith(".parquet"):
+                for i in range((meta := pq.ParquetFile(f"{folder}/{name}").metadata).num_row_groups):
+                    column = next(c for j in range(meta.num_columns) if (c := meta.row_group(i).column(j)).path_in_schema == second)
+                    hit += column.statistics.min <= wanted <= column.statistics.max
+        scan = spark.read.parquet(folder).filter(F.col(second) == F.lit(wanted))
+        rows_found = scan.collect()
+        plan = scan._jdf.queryExecution().executedPlan()
+        while plan.children().size():
+            plan = plan.children().head()
+        return hit, plan.metrics().apply("numOutputRows").value(), sorted(map(str, rows_found))
+
+    z, plain = groups_read(f"{tmp_path}/z"), groups_read(f"{tmp_path}/plain")
+    assert z[2] == plain[2] and z[0] <= 8 < plain[0] and z[1] < plain[1]
+    assert spark.read.parquet(f"{tmp_path}/z").count() == 20_000
+
+
+def test_sample_dump_reports_tables_that_fail(spark, tmp_path):
+    def broken():
+        raise RuntimeError("no access")
+
+    tables = {"few": lambda: spark.range(3), "none": lambda: spark.range(0), "many": lambda: spark.range(1000), "lost": lambda: spark.read.parquet(f"{tmp_path}/nowhere"), "shut": broken,
+              "late": lambda: spark.range(3).select(F.raise_error(F.lit("bad row")).cast("bigint").alias("id"))}
+    got = {r.table_name: r for r in sinks.dump_samples(spark, tables, {t: ("id",) for t in tables}, f"{tmp_path}/dump", n=5).collect()}
+    assert {t: (r.status, r.row_count) for t, r in got.items()} == {"few": ("ok", 3), "none": ("ok", 0), "many": ("ok", 1000), "lost": ("error", -1), "shut": ("error", -1), "late": ("error", -1)}
+    assert got["shut"].note == "no access" and len(got["lost"].note) <= 120
+    import hashlib
+
+    want = sorted(range(1000), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())[:5]
+    assert [int(r.id) for r in spark.read.option("header", "true").csv(f"{tmp_path}/dump/many").collect()] == want
+
+
 def write_lines(folder, name, *records):
     os.makedirs(folder, exist_ok=True)
     with open(f"{folder}/{name}", "w") as out:

@@ -11,7 +11,6 @@ from emberlog.plans import gold_core, gold_profile, gold_wipes, silver
 from emberlog.quality.completeness import backfill_decision, file_ages, parse_completeness, stale_landings
 from emberlog.sources import payloads
 from emberlog.sources.landing import FOLDERS, landing_rules, landing_schema
-from emberlog.sources.sheet import parse_sheet
 
 
 def landed(spark, folder, *records):
@@ -235,12 +234,40 @@ def test_runs_in_both_lists_count_once(spark):
     assert flat(silver.mplus_scores(raw), "player_name", "region", "score_all") == [("Ann", "eu", None), ("Bob", "us", None)]
 
 
+def sheet_rows(spark, *texts):
+    raw = spark.createDataFrame([("s", str(i), t, "2024-01-01T00:00:00") for i, t in enumerate(texts)], "sheet_id STRING, gid STRING, csv_text STRING, _ingested_at STRING")
+    return flat(silver.live_raid_roster(raw), "name", "roster_rank", "player_class", "race", "note", "source_refreshed_at")
+
+
 def test_sheet(spark):
     row = ["Ann", "", "", "Raider", "", "Mage"] + [""] * 113 + ["Elf", '"late, ""often"""']
-    texts = ["a,b", "title\nrefreshed, now ,x\n" + ",".join(row) + "\nann,,,Other\n\n Bob ,,,Trial\n,,,x", ""]
-    got = parse_sheet(spark.createDataFrame([(t,) for t in texts], "csv STRING"), "csv")
-    assert flat(got, "name", "roster_rank", "player_class", "race", "note", "source_refreshed_at") == [
-        ("Ann", "Raider", "Mage", "Elf", 'late, "often"', "now"), ("Bob", "Trial", "", "", "", "now")]
+    texts = ["a,b", "title\nrefreshed, now ,x\n" + ",".join(row) + "\nann,,,Other\n\n Bob ,,,Trial\n,,,x", "", None]
+    assert sheet_rows(spark, *texts) == [("Ann", "Raider", "Mage", "Elf", 'late, "often"', "now"), ("Bob", "Trial", "", "", "", "now")]
+
+
+def test_sheet_agrees_with_a_csv_reader(spark):
+    import csv
+    import io
+    import random
+
+    from emberlog.sources.sheet import POSITIONS
+
+    draw = random.Random(2)
+    texts = []
+    for _ in range(40):
+        lines = [["".join(draw.choice('ab ,"\n\r') for _ in range(draw.randrange(5))) for _ in range(122)] for _ in range(4)]
+        out = io.StringIO()
+        csv.writer(out, lineterminator=draw.choice(["\n", "\r\n"])).writerows([["title"], ["x", "today"], *lines])
+        texts.append(out.getvalue())
+    want = []
+    for text in texts:
+        seen = set()
+        for cells in list(csv.reader(io.StringIO(text, newline="")))[2:]:
+            cells = [c.strip() for c in cells] + [""] * 122
+            if cells[0] and cells[0].lower() not in seen:
+                seen.add(cells[0].lower())
+                want.append((*(cells[i] for i in POSITIONS.values()), "today"))
+    assert sorted(sheet_rows(spark, *texts)) == sorted(want)
 
 
 def test_combat_potions_by_name_or_id(spark, fight_world):
