@@ -4,25 +4,30 @@ A known word scores by its log frequency in each language. An unseen word falls
 character n-grams of it that are known, from ``LONGEST`` down to single characters. A document's
 score is the sum over its words; the prediction is the largest, its score the posterior under equal priors.
 
+The model is two sorted arrays of 64-bit keys (words, n-grams) with one row of log frequencies each, so it has
+the size of its numbers and is searched for all unseen words of a block at once.
+
 The model is fitted on a bounded sample of the labelled rows: the ``per_language`` documents of each
 language that come first in hash order, whole texts, and of their words the ``max_words`` most frequent
 of each language. It is therefore of fixed size per language and broadcast. Prediction covers all rows.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is every text if no
-labelled row exists. Ties go to the language first in code point order. Labels of null text or null
-language are not learned from. Repeated rows get equal results. Very long texts are counted in blocks
-of words, whole.
+labelled row exists; letters are those of Unicode category L, so "½" or "Ⅷ" alone is no word. A word of
+which no n-gram is known counts for no language. Ties go to the language first in code point order.
+Labels of null text or null language are not learned from; rows that share an id count within the same bound.
+Repeated rows get equal results. Very long texts are counted whole. An empty table gives an empty result.
+Further columns pass through; columns named ``lang_pred`` or ``lang_score`` are an error, raised before anything runs.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,9 +36,9 @@ from emberlog.llm.blocks import text_blocks
 PER_LANGUAGE = 1000
 MAX_WORDS = 30_000
 LONGEST = 5
-CACHE_WORDS = 400_000
+CACHE_WORDS = 65_536
 UNKNOWN = "und"
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = regex.compile(r"\p{L}+")
 
 
 def words_of(text: str) -> list[str]:
@@ -46,16 +51,41 @@ def held_out(doc_id: Column) -> Column:
 
 
 def grams_of(word: str, n: int) -> list[str]:
-    marked = f"^{word}$"
+    """Runs of ``n`` characters; longer ones than single characters see the word's ends as ``^`` and ``$``."""
+    marked = f"^{word}$" if n > 1 else word
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
+def _keys(names: list[str]) -> np.ndarray:
+    """64-bit keys of strings, the same in every process."""
+    return pd.util.hash_array(np.array(names, object), categorize=False)
+
+
+class _Table:
+    """Add-one-half smoothed log frequencies, one row per name, found by sorted key."""
+
+    def __init__(self, counts: dict[str, Counter], languages: list[str]):
+        seen = sorted({x for c in counts.values() for x in c})
+        table = np.array([[counts[lang].get(x, 0) for lang in languages] for x in seen], float).reshape(len(seen), len(languages)) + 0.5
+        keys = _keys(seen) if seen else np.empty(0, np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.rows = keys[order], np.log(table / table.sum(0))[order] if seen else table
+
+    def find(self, names: list[str]) -> np.ndarray:
+        """Row of each name, -1 where it is unknown."""
+        if not len(self.keys) or not names:
+            return np.full(len(names), -1)
+        keys = _keys(names)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+
 class Model:
-    """Log frequencies of words and n-grams: one row of ``table`` each, one column per language."""
+    """Log frequencies of words and of n-grams of each length, one column per language."""
 
     def __init__(self, counts: dict[str, dict[str, int]]):
         self.languages = sorted(counts)
-        self.words = self._logs({lang: Counter(c) for lang, c in counts.items()})
+        self.words = _Table({lang: Counter(c) for lang, c in counts.items()}, self.languages)
         self.grams = {}
         for n in range(1, LONGEST + 1):
             grams: dict[str, Counter] = defaultdict(Counter)
@@ -63,39 +93,36 @@ class Model:
                 for word, count in known.items():
                     for gram in grams_of(word, n):
                         grams[lang][gram] += count
-            self.grams[n] = self._logs(grams)
-
-    def _logs(self, counts: dict[str, Counter]) -> dict[str, np.ndarray]:
-        """Add-one-half smoothed log frequency vectors."""
-        seen = sorted({x for c in counts.values() for x in c})
-        table = np.array([[counts[lang].get(x, 0) for lang in self.languages] for x in seen], float).reshape(len(seen), len(self.languages)) + 0.5
-        return dict(zip(seen, np.log(table / table.sum(0)))) if seen else {}
-
-    def vector(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
-        if found is not None:
-            return found
-        for n in range(min(LONGEST, len(word) + 2), 0, -1):
-            known = [v for v in map(self.grams[n].get, grams_of(word, n)) if v is not None]
-            if known:
-                return np.mean(known, axis=0)
-        return np.zeros(len(self.languages))
-
-    def predict(self, texts: list[str | None], cache: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray]:
+            self.grams[n] = _Table(grams, self.languages)
+
+    def vectors(self, words: list[str]) -> np.ndarray:
+        """Scores of distinct words: their own row, else the mean of their longest known n-grams, else nothing."""
+        out = np.zeros((len(words), len(self.languages)))
+        found = self.words.find(words)
+        out[found >= 0] = self.words.rows[found[found >= 0]]
+        open_words = np.flatnonzero(found < 0)
+        for n in range(LONGEST, 0, -1):
+            if not len(open_words):
+                break
+            lists = [grams_of(words[i], n) for i in open_words]
+            owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+            row = self.grams[n].find([g for x in lists for g in x])
+            owner, row = owner[row >= 0], row[row >= 0]
+            known = np.bincount(owner, minlength=len(lists))
+            for lang in range(len(self.languages)):
+                sums = np.bincount(owner, self.grams[n].rows[row, lang], minlength=len(lists))
+                out[open_words[known > 0], lang] = sums[known > 0] / known[known > 0]
+            open_words = open_words[known == 0]
+        return out
+
+    def predict(self, texts: list[str | None], cache: Cache) -> tuple[list[str], np.ndarray]:
         lists = [words_of(t) if t else [] for t in texts]
         lengths = np.array([len(x) for x in lists], np.int64)
         labels, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if not self.languages or not lengths.sum():
             return labels, scores
         codes, words = pd.factorize(np.array([w for x in lists for w in x], object))
-        rows = np.empty((len(words), len(self.languages)))
-        for i, word in enumerate(words):
-            row = cache.get(word)
-            if row is None:
-                row = cache[word] = self.vector(word)
-            rows[i] = row
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
+        rows = cache.rows_of(words.tolist(), self)
         filled = np.flatnonzero(lengths)
         starts = (np.cumsum(lengths) - lengths)[filled]
         sums = np.add.reduceat(rows[codes], starts, axis=0)
@@ -106,6 +133,24 @@ class Model:
         return labels, scores
 
 
+class Cache:
+    """Rows of the words met last, in one matrix."""
+
+    def __init__(self, languages: int):
+        self.rows, self.at = np.empty((CACHE_WORDS, languages)), {}
+
+    def rows_of(self, words: list[str], model: Model) -> np.ndarray:
+        new = [w for w in words if w not in self.at]
+        if len(self.at) + len(new) > CACHE_WORDS:
+            self.at, new = {}, words
+        vectors = model.vectors(new)
+        if len(new) > CACHE_WORDS:
+            return vectors
+        self.rows[len(self.at):len(self.at) + len(new)] = vectors
+        self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
+        return self.rows[[self.at[w] for w in words]]
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, Counter] = defaultdict(Counter)
     for batch in batches:
@@ -118,15 +163,19 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = PER_LANGUAGE, max_words: int = MAX_WORDS) -> Model:
     """Fit on at most ``per_language`` documents and ``max_words`` words of each language."""
     usable = labelled.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    keys = usable.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id")).withColumn("at", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    usable = usable.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("at", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    keys = usable.select("lang", "doc_id", "at")
     # one row per language; of a frequent one only about four times the rows wanted are ranked at all
     counts = keys.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(4.0 * per_language) / F.count("*")).alias("share")).withColumnRenamed("lang", "of_lang")
     keys = keys.join(F.broadcast(counts), F.col("lang") == F.col("of_lang")).filter(F.col("at") < F.col("share") * (1 << 40))
     first = Window.partitionBy("lang").orderBy("at", "doc_id")
     chosen = keys.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_language)
     chosen = chosen.select(F.col("lang").alias("c_lang"), F.col("doc_id").alias("c_id")).distinct()
-    sample = usable.join(F.broadcast(chosen), (F.col(lang) == F.col("c_lang")) & (F.col(doc_id) == F.col("c_id")), "left_semi")
-    counts = sample.select(F.col(lang), F.col(text)).mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    sample = usable.join(F.broadcast(chosen), (F.col("lang") == F.col("c_lang")) & F.col("doc_id").eqNullSafe(F.col("c_id")), "left_semi")
+    # an id that many rows share brings them all back, so the bound is taken once more
+    again = Window.partitionBy("lang").orderBy("at", "doc_id", F.xxhash64("text"))
+    sample = sample.withColumn("rank", F.row_number().over(again)).filter(F.col("rank") <= per_language)
+    counts = sample.select("lang", "text").mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     often = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     model: dict[str, dict[str, int]] = defaultdict(dict)
     for row in counts.withColumn("at", F.row_number().over(often)).filter(F.col("at") <= max_words).toLocalIterator():
@@ -141,7 +190,7 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, np.ndarray] = {}
+        cache = Cache(len(shared.value.languages))
         for block in text_blocks(batches, text):
             labels, scores = shared.value.predict(block.column(text).to_pylist(), cache)
             yield pa.RecordBatch.from_arrays([*block.columns, pa.array(labels, pa.string()), pa.array(scores)], names=[*block.schema.names, "lang_pred", "lang_score"])

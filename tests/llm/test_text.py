@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from emberlog.llm import bpe, language_id, secret_ownership
@@ -22,7 +23,7 @@ TRAIN = [(1, "the cat and the dog", "en", "s"), (2, "the bird sings and sings",
 
 def plain_prediction(counts, text):
     """The method, word by word, without arrays."""
-    found = re.findall(r"[^\W\d_]+", (text or "").lower())
+    found = regex.findall(r"\p{L}+", (text or "").lower())
     if not found or not counts:
         return "und", 0.0
     languages = sorted(counts)
@@ -37,7 +38,7 @@ def plain_prediction(counts, text):
     sums = [0.0] * len(languages)
     for word in found:
         vectors = [words[1](word)] if word in words[0] else []
-        for n in range(min(5, len(word) + 2), 0, -1):
+        for n in range(5, 0, -1):
             vectors = vectors or [grams[n][1](g) for g in language_id.grams_of(word, n) if g in grams[n][0]]
         for i in range(len(languages)):
             sums[i] += sum(v[i] for v in vectors) / len(vectors) if vectors else 0.0
@@ -51,7 +52,7 @@ def test_language_equals_plain_method(docs):
     for _, text, lang, _ in TRAIN:
         if text and lang:
             counts[lang].update(language_id.words_of(text))
-    texts = ["the dog", "le chien chantait", "catlike birds", "zzz qqq", "123 _ --", "", None, "THE Cat", "the le", "chat " * 40_000, "ß"]
+    texts = ["the dog", "le chien chantait", "catlike birds", "zzz qqq", "123 _ --", "", None, "THE Cat", "the le", "chat " * 40_000, "ß", "½ ² Ⅷ", "½ dog", "qqqq"]
     found = {r["doc_id"]: (r["lang_pred"], r["lang_score"]) for r in language_id.identify(docs(list(enumerate(texts)), extra=True), model).collect()}
     for i, text in enumerate(texts):
         label, score = plain_prediction(counts, text)
@@ -68,7 +69,23 @@ def test_language_without_labels_or_rows(docs):
 
 def test_language_sample_is_bounded(docs):
     model = language_id.train(docs([(i, f"word{chr(97 + i % 26)} x{'y' * i}", "en", "s") for i in range(50)]), per_language=3, max_words=4)
-    assert len(model.words) <= 4
+    assert len(model.words.keys) <= 4
+    same_id = language_id.train(docs([(7, f"word{chr(97 + i % 26)}{chr(97 + i // 26)}", "en", "s") for i in range(50)]), per_language=3)
+    assert 0 < len(same_id.words.keys) <= 3
+
+
+def test_language_model_holds_no_objects_per_word(docs):
+    model = language_id.train(docs(TRAIN))
+    assert isinstance(model.words.keys, np.ndarray) and all(isinstance(t.rows, np.ndarray) and len(t.rows) == len(t.keys) for t in model.grams.values())
+
+
+def test_language_cache_is_cleared(docs, monkeypatch):
+    model = language_id.train(docs(TRAIN))
+    texts = [f"the chat {'q' * i} dog{chr(97 + i)}" for i in range(1, 20)]
+    want = model.predict(texts, language_id.Cache(2))
+    monkeypatch.setattr(language_id, "CACHE_WORDS", 5)
+    cache = language_id.Cache(2)
+    assert [model.predict([t], cache)[0][0] for t in texts] == want[0]
 
 
 def test_held_out_accuracy(spark, sf_dir):
