@@ -44,6 +44,7 @@ SKETCH_BITS = 22
 CHUNK = 1 << 16
 CELL_CLASSES = 512
 WHOLE_LIST = 2048
+VIABLE_ROWS = 64
 BROADCAST_ROWS = 100_000
 SUFFIX_PARTS = 16
 _U = np.uint64
@@ -182,12 +183,28 @@ def _first_pairs(percent: int):
 
 
 def viable(n: np.ndarray, pos: np.ndarray, percent: int, component: np.ndarray | None = None) -> np.ndarray:
-    """Which members of a list have a partner in it, of another component, that length and place of the shared shingle allow."""
-    rest = n - pos
-    fits = np.minimum(rest[:, None], rest[None, :]) >= least_overlap(n[:, None], n[None, :], percent)
-    fits &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
-    np.fill_diagonal(fits, False)
-    return (fits if component is None else fits & (component[:, None] != component[None, :])).any(1)
+    """Which members of a list have a partner in it, of another component, that length and place of the shared shingle allow.
+
+    Members go by length, so those whose length fits one of them are neighbours; a few members are compared at a time.
+    """
+    order = np.argsort(n, kind="stable")
+    n, rest = n[order], (n - pos)[order]
+    component = None if component is None else component[order]
+    # lengths that reach the threshold with each member's: percent * larger <= 100 * smaller
+    low = np.searchsorted(n, -(-percent * n // 100), side="left")
+    high = np.searchsorted(n, 100 * n // percent, side="right")
+    found = np.zeros(len(n), bool)
+    for start in range(0, len(n), VIABLE_ROWS):
+        end = min(start + VIABLE_ROWS, len(n))
+        at, to = np.arange(start, end), np.arange(low[start], high[end - 1])
+        fits = np.minimum(rest[at][:, None], rest[to]) >= least_overlap(n[at][:, None], n[to], percent)
+        fits &= (to >= low[at][:, None]) & (to < high[at][:, None]) & (to != at[:, None])
+        if component is not None:
+            fits &= component[at][:, None] != component[to]
+        found[at] = fits.any(1)
+    out = np.empty(len(n), bool)
+    out[order] = found
+    return out
 
 
 def _lists(percent: int):
@@ -376,7 +393,11 @@ def _lists_and_sets(docs: DataFrame, sized: DataFrame, order, k: int, percent: i
     bits = bits_for(chosen.count(), per_hash=128)
     wanted = docs.sparkSession.sparkContext.broadcast(merged_bits(chosen.mapInArrow(chunk_rows(bits, keys), CHUNK_SCHEMA), bits, "once"))
     texts = docs.select("text", F.xxhash64("doc_id", "tag").alias("key"))
-    return lists, stored(texts.mapInArrow(_ordered_sets(k, order, wanted), "class binary, shingles binary"))
+    sets = stored(texts.mapInArrow(_ordered_sets(k, order, wanted), "class binary, shingles binary"))
+    # lists and sets are stored: nothing reads the filters and the order again
+    wanted.unpersist()
+    order.unpersist()
+    return lists, sets
 
 
 def link_classes(docs: DataFrame, sized: DataFrame, order, k: int, percent: int) -> DataFrame:
