@@ -157,6 +157,7 @@ class MergeMachine:
         self.edges: list[tuple] = [()]
         self.class_of: dict[int, int] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.resets = 0
         # trie over symbols; closed[node] is the token that ends there, if its own bytes encode to it
         self.children: list[dict[int, int]] = [{}]
         self.closed: list[int | None] = [None]
@@ -175,6 +176,7 @@ class MergeMachine:
         self.reset()
 
     def reset(self) -> None:
+        self.resets += 1
         start = ((0, 0, 0),)
         self.states: list[tuple] = [start]
         self.number = {start: 0}
@@ -303,10 +305,11 @@ class MergeMachine:
             state, order = self.targets[where][~ends], order[~ends]
             step += 1
         words: dict[tuple, int] = {}
+        resets = self.resets
         for at, state, step in alone:
+            if self.resets != resets:  # a walk has dropped the states: start from the word's own start
+                state, step, out[at] = 0, 0, 0
             rest = (state, data[starts[at] + step:starts[at] + sizes[at]].tobytes())
-            if len(self.states) > MAX_STATES // 2:  # a walk may drop the states: start from the word's own start
-                state, step, out[at], rest = 0, 0, 0, (0, data[starts[at]:starts[at] + sizes[at]].tobytes())
             if rest not in words:
                 words[rest] = self.walk(symbols(at, step), state)
             out[at] += words[rest]
