@@ -1,4 +1,10 @@
-"""Snapshot publishing: dataset projections, checks, limits, manifest, and the newest full snapshot."""
+"""Snapshot publishing: dataset projections, checks, limits, manifest, and the newest full snapshot.
+
+A snapshot is published in two steps. First its data is written and checked where no reader looks: readers
+follow manifests only. Then one manifest file, which names every data file with its size and hash and the
+contract it was held to, is moved into place. A run that fails before that leaves the earlier snapshot in
+force, and a reader sees either all of a snapshot or nothing of it.
+"""
 
 from __future__ import annotations
 
@@ -10,9 +16,11 @@ from pyspark.sql import functions as F
 from emberlog import rules
 from emberlog.functions import names as nm
 from emberlog.operators import rows
-from emberlog.quality.contracts import contract_for, contract_report
+from emberlog.quality import contracts
+from emberlog.quality.contracts import contract_report, declared
 from emberlog.session import stored
-from emberlog.sources.sinks import plain_numbers, write_json
+from emberlog.sources import files
+from emberlog.sources.sinks import JSON_OPTIONS, plain_numbers, write_json
 
 Projection = Callable[[DataFrame], DataFrame]
 
@@ -22,12 +30,9 @@ def _columns(text: str) -> Projection:
     return lambda df: df.select(*names)
 
 
-def _without(*names: str) -> Projection:
-    return lambda df: df.drop(*names)
-
-
-def _everything(df: DataFrame) -> DataFrame:
-    return df
+def _fields(table: str, *left_out: str) -> Projection:
+    """The columns that the table's contract names, but for those left out."""
+    return _columns(" ".join(f for f in contracts.FIELDS[table] if f not in left_out))
 
 
 def named_zone(df: DataFrame) -> DataFrame:
@@ -38,6 +43,10 @@ def real_players(df: DataFrame) -> DataFrame:
     return df.filter("trim(player_name) <> '' AND lower(trim(player_name)) <> 'nil'")
 
 
+def _then(first: Projection, second: Projection) -> Projection:
+    return lambda df: second(first(df))
+
+
 _CAPACITY = ("possible_casts", "observed_casts", "actual_casts", "over_capacity_casts", "missed_casts")
 
 
@@ -58,42 +67,45 @@ def blank_texts(*names: str) -> Projection:
 
 # dataset -> (source table, projection)
 DATASETS: dict[str, tuple[str, Projection]] = {
-    "raid_summary": ("gold_raid_summary", named_zone),
-    "player_attendance": ("gold_player_attendance", real_players),
-    "boss_wipe_analysis": ("gold_boss_wipe_analysis", _everything),
-    "player_survivability": ("gold_player_survivability", _everything),
-    "boss_progression": ("gold_boss_progression", _everything),
-    "best_kills": ("gold_best_kills", _everything),
-    "player_performance_summary": ("gold_player_performance_summary", _everything),
-    "boss_kill_roster": ("gold_boss_kill_roster", _without("combat_potion_casts", "healthstone_use", "bracket_percent", "rank_string")),
-    "raid_team": ("gold_raid_team", _everything),
-    "preparation_readiness": ("gold_preparation_readiness", blank_texts("readiness_notes", "latest_kill_date", "weakest_signal_label")),
-    "live_raid_roster": ("gold_live_raid_roster", _everything),
-    "player_mplus_summary": ("gold_player_mplus_summary", _everything),
-    "weekly_activity": ("gold_weekly_activity", _everything),
-    "guild_roster": ("gold_guild_roster", _everything),
-    "boss_mechanics": ("gold_boss_mechanics", _without("trend_direction")),
-    "progression_timeline": ("gold_progression_timeline", _everything),
-    "guild_zone_ranks": ("gold_guild_zone_ranks", _everything),
-    "player_character_media": ("gold_player_character_media", _everything),
-    "player_character_equipment": ("gold_player_character_equipment", _everything),
-    "player_raid_achievements": ("gold_player_raid_achievements", _everything),
-    "player_mplus_score_history": ("gold_player_mplus_score_history", _everything),
-    "player_mplus_run_history": ("gold_player_mplus_run_history", _everything),
-    "player_mplus_weekly_activity": ("gold_player_mplus_weekly_activity", _everything),
-    "player_mplus_dungeon_breakdown": ("gold_player_mplus_dungeon_breakdown", _everything),
-    "boss_progress_history": ("gold_boss_progress_history", _everything),
-    "boss_pull_history": ("gold_boss_pull_history", _everything),
-    "encounter_catalog": ("gold_encounter_catalog", _everything),
+    "raid_summary": ("gold_raid_summary", _then(named_zone, _fields("gold_raid_summary"))),
+    "player_attendance": ("gold_player_attendance", _then(real_players, _fields("gold_player_attendance"))),
+    "boss_wipe_analysis": ("gold_boss_wipe_analysis", _fields("gold_boss_wipe_analysis")),
+    "player_survivability": ("gold_player_survivability", _fields("gold_player_survivability")),
+    "boss_progression": ("gold_boss_progression", _fields("gold_boss_progression")),
+    "best_kills": ("gold_best_kills", _fields("gold_best_kills")),
+    "player_performance_summary": ("gold_player_performance_summary", _fields("gold_player_performance_summary")),
+    "boss_kill_roster": ("gold_boss_kill_roster", _fields("gold_boss_kill_roster", "combat_potion_casts", "healthstone_use", "bracket_percent", "rank_string")),
+    "raid_team": ("gold_raid_team", _fields("gold_raid_team")),
+    "preparation_readiness": ("gold_preparation_readiness", _then(
+        blank_texts("readiness_notes", "latest_kill_date", "weakest_signal_label"), _fields("gold_preparation_readiness"))),
+    "live_raid_roster": ("gold_live_raid_roster", _fields("gold_live_raid_roster")),
+    "player_mplus_summary": ("gold_player_mplus_summary", _fields("gold_player_mplus_summary")),
+    "weekly_activity": ("gold_weekly_activity", _fields("gold_weekly_activity")),
+    "guild_roster": ("gold_guild_roster", _fields("gold_guild_roster")),
+    "boss_mechanics": ("gold_boss_mechanics", _fields("gold_boss_mechanics")),
+    "progression_timeline": ("gold_progression_timeline", _fields("gold_progression_timeline")),
+    "guild_zone_ranks": ("gold_guild_zone_ranks", _fields("gold_guild_zone_ranks")),
+    "player_character_media": ("gold_player_character_media", _fields("gold_player_character_media")),
+    "player_character_equipment": ("gold_player_character_equipment", _fields("gold_player_character_equipment")),
+    "player_raid_achievements": ("gold_player_raid_achievements", _fields("gold_player_raid_achievements")),
+    "player_mplus_score_history": ("gold_player_mplus_score_history", _fields("gold_player_mplus_score_history")),
+    "player_mplus_run_history": ("gold_player_mplus_run_history", _fields("gold_player_mplus_run_history")),
+    "player_mplus_weekly_activity": ("gold_player_mplus_weekly_activity", _fields("gold_player_mplus_weekly_activity")),
+    "player_mplus_dungeon_breakdown": ("gold_player_mplus_dungeon_breakdown", _fields("gold_player_mplus_dungeon_breakdown")),
+    "boss_progress_history": ("gold_boss_progress_history", _fields("gold_boss_progress_history")),
+    "boss_pull_history": ("gold_boss_pull_history", _fields("gold_boss_pull_history")),
+    "encounter_catalog": ("gold_encounter_catalog", _fields("gold_encounter_catalog")),
     "player_utility_by_pull": ("gold_player_utility_by_pull", distinct_pulls),
     "wipe_survival_events": ("gold_wipe_survival_events", _columns(
         "boss_name zone_name difficulty_label player_name player_class killing_blow_name healthstone_before_death health_potion_before_death")),
     "wipe_cooldown_utilization": ("gold_wipe_cooldown_utilization", ability_totals),
-    "wipe_survival_discipline": ("gold_wipe_survival_discipline", _everything),
-    "player_boss_performance": ("gold_player_boss_performance", _without("primary_spec", "avg_item_level", "first_kill_date", "latest_kill_date")),
-    "player_death_events": ("gold_player_death_events", _everything),
-    "player_survivability_rankings": ("gold_player_survivability_rankings", _everything),
-    "preparation_overrides": ("identity_overrides", _everything),
+    "wipe_survival_discipline": ("gold_wipe_survival_discipline", _fields("gold_wipe_survival_discipline")),
+    "player_boss_performance": ("gold_player_boss_performance", _fields(
+        "gold_player_boss_performance", "primary_spec", "avg_item_level", "first_kill_date", "latest_kill_date")),
+    "player_death_events": ("gold_player_death_events", _fields("gold_player_death_events")),
+    "player_survivability_rankings": ("gold_player_survivability_rankings", _fields("gold_player_survivability_rankings")),
+    "preparation_overrides": ("identity_overrides", _columns(
+        "id mode source_character target_character characters display_name enabled notes updated_by updated_at")),
 }
 
 # Columns a source must have before its dataset is published.
@@ -123,7 +135,7 @@ def dataset_sizes(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Rows and JSON bytes per dataset, with whether they pass the limits; one aggregation each."""
     def size(name: str, df: DataFrame):
         plain = plain_numbers(df)
-        text = F.to_json(F.struct(*[F.col(c) for c in plain.columns]), {"ignoreNullFields": "false"})
+        text = F.to_json(F.struct(*[F.col(c) for c in plain.columns]), JSON_OPTIONS)
         limit = rules.DATASET_BYTE_LIMITS.get(name, rules.MAX_DATASET_BYTES)
         # A JSON array: its rows, a comma or bracket after each, and one bracket.
         counted = plain.agg(F.count(F.lit(1)).alias("row_count"), (F.coalesce(F.sum(F.octet_length(text) + 1), F.lit(1)) + 1).cast("bigint").alias("byte_size"))
@@ -132,12 +144,73 @@ def dataset_sizes(datasets: Mapping[str, DataFrame]) -> DataFrame:
     return rows.union_branches([size(n, d) for n, d in datasets.items()])
 
 
-def manifest(spark: SparkSession, sizes: DataFrame, snapshot_id: str, generated_at: str) -> DataFrame:
-    """One row per dataset of a snapshot: where it is, its size and its source."""
-    sources = spark.createDataFrame([(d, t, f"{d}.json") for d, (t, _) in DATASETS.items()], "dataset STRING, source_table STRING, path STRING")
+MANIFEST = ("snapshot_id STRING, generated_at STRING, dataset STRING, path STRING, row_count BIGINT, byte_size BIGINT, source_table STRING, "
+            "contract_id STRING, contract_version STRING, files ARRAY<STRUCT<name: STRING, bytes: BIGINT, sha256: STRING>>")
+
+
+def data_path(snapshot_id: str, dataset: str) -> str:
+    """Where a dataset of a snapshot lies, seen from the root."""
+    return f"snapshots/snapshot_id={snapshot_id}/{dataset}"
+
+
+def contract_of(dataset: str) -> contracts.Contract | None:
+    """The contract of the table that a dataset is made from; what users enter themselves has none."""
+    source = DATASETS[dataset][0]
+    return declared(source) if source in contracts.FIELDS else None
+
+
+def data_files(spark: SparkSession, root: str, snapshot_id: str) -> DataFrame:
+    """``dataset, files`` of a snapshot: name, bytes and SHA-256 of each data file, read by the executors."""
+    landed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/snapshots/snapshot_id={snapshot_id}")
+    each = landed.select(F.element_at(F.split("path", "/"), -2).alias("dataset"), F.struct(
+        F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")).alias("f"))
+    return each.groupBy("dataset").agg(F.array_sort(F.collect_list("f")).alias("files"))
+
+
+def manifest(spark: SparkSession, sizes: DataFrame, snapshot_id: str, generated_at: str, listed: DataFrame | None = None) -> DataFrame:
+    """One row per dataset of a snapshot: where it is, its size, its source, its contract and its files."""
+    held = [(d, t, data_path(snapshot_id, d), *((contracts.contract_id(c), c.version) if (c := contract_of(d)) else (None, None))) for d, (t, _) in DATASETS.items()]
+    sources = spark.createDataFrame(held, "dataset STRING, source_table STRING, path STRING, contract_id STRING, contract_version STRING")
     joined = sizes.drop("within_limits").join(F.broadcast(sources), "dataset", "left")
-    return joined.select(F.lit(snapshot_id).alias("snapshot_id"), F.lit(generated_at).alias("generated_at"), "dataset", "path",
-                         "row_count", "byte_size", "source_table", F.lit("0.1.0").alias("contract_version"))
+    joined = joined.join(listed, "dataset", "left") if listed is not None else joined
+    names = ["dataset", "path", "row_count", "byte_size", "source_table", "contract_id", "contract_version", *(["files"] if listed is not None else [])]
+    return joined.select(F.lit(snapshot_id).alias("snapshot_id"), F.lit(generated_at).alias("generated_at"), *names)
+
+
+def commit(spark: SparkSession, root: str, snapshot_id: str, listed: DataFrame) -> None:
+    """Move the manifest of a snapshot into place, as one file under one name: the step that publishes it."""
+    target = f"{root}/manifests/{snapshot_id}.json"
+    if files.exists(spark, target):
+        raise ValueError(f"snapshot {snapshot_id} is published already")
+    staging = f"{root}/staging/{snapshot_id}"
+    listed.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(staging)
+    part = next(n for n in files.names(spark, staging) if n.startswith("part-"))
+    files.move_new(spark, f"{staging}/{part}", target)
+
+
+def read_manifests(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(MANIFEST).json(f"{root}/manifests")
+
+
+def damaged_files(spark: SparkSession, root: str, listed: DataFrame) -> DataFrame:
+    """``snapshot_id, dataset, name, problem`` of files that a manifest names but that are not there as named."""
+    named = listed.select("snapshot_id", "dataset", F.explode("files").alias("f")).select("snapshot_id", "dataset", "f.*")
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/snapshots").select(
+        F.element_at(F.split("path", "/"), -1).alias("name"), F.element_at(F.split("path", "/"), -2).alias("dataset"),
+        F.regexp_extract("path", "snapshot_id=([^/]*)", 1).alias("snapshot_id"), F.sha2("content", 256).alias("found"))
+    checked = named.join(there, ["snapshot_id", "dataset", "name"], "left")
+    problem = F.when(F.col("found").isNull(), "missing").when(F.col("found") != F.col("sha256"), "changed")
+    return checked.select("snapshot_id", "dataset", "name", problem.alias("problem")).filter("problem IS NOT NULL")
+
+
+def read_published(spark: SparkSession, root: str, dataset: str, schema: str, names: Sequence[str] = ()) -> DataFrame:
+    """A dataset of the newest complete snapshot, from exactly the files that its manifest names."""
+    newest = latest_complete_snapshot(read_manifests(spark, root), tuple(names or DATASETS))
+    found = newest.filter(F.col("dataset") == dataset).first()
+    if found is None:
+        raise ValueError("no complete snapshot")
+    paths = [f"{root}/{found['path']}/{f['name']}" for f in found["files"]]
+    return spark.read.schema(schema).json(paths) if paths else spark.createDataFrame([], schema)
 
 
 def manifest_mismatch(listed: DataFrame, expected: DataFrame) -> DataFrame:
@@ -156,39 +229,66 @@ def latest_complete_snapshot(manifests: DataFrame, expected: Sequence[str]) -> D
     return manifests.join(newest, "snapshot_id", "left_semi")
 
 
+def violations(tables: Mapping[str, DataFrame], names: Sequence[str]) -> DataFrame:
+    """Contract rules that datasets break, held to the contracts as declared: one row per dataset and check."""
+    reports = []
+    for name in names:
+        contract = contract_of(name)
+        if contract:
+            frame = project(name, tables)
+            report = contract_report(frame, contract.project(frame.columns))
+            reports.append(report.filter("violations > 0").withColumn("dataset", F.lit(name)))
+    return rows.union_branches(reports)
+
+
 def publish(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, snapshot_id: str, generated_at: str,
-            names: tuple[str, ...] = tuple(DATASETS), enforce_limits: bool = False) -> DataFrame:
-    """Check, write and list the datasets of one snapshot.
+            names: tuple[str, ...] = tuple(DATASETS), enforce_limits: bool = False, strict: bool = True) -> DataFrame:
+    """Check, write and list the datasets of one snapshot; returns its manifest.
 
-    Rows are written by the executors, the manifest last: a snapshot without a full manifest is
-    never the latest, so a failed run leaves the earlier snapshot in force.
+    Tables are held to the contracts as declared: a column that is missing, of another type, or against a
+    rule stops the run before the manifest is written. Without ``strict`` broken rules are only reported.
     """
     lacking = missing_columns(tables)
+    for name in names:
+        contract = contract_of(name)
+        lacking += [(name, c) for _, c in contracts.schema_violations(tables[DATASETS[name][0]], contract)] if contract else []
     if lacking:
-        raise ValueError(f"Source columns missing: {lacking}")
-    frames, reports = {}, []
+        raise ValueError(f"Source columns missing: {sorted(set(lacking))}")
+    frames = {}
     for name in names:
-        source = DATASETS[name][0]
-        frame = project(name, tables)
-        write_json(frame, f"{root}/snapshots/snapshot_id={snapshot_id}/{name}")
-        frames[name] = spark.read.schema(plain_numbers(frame).schema).json(f"{root}/snapshots/snapshot_id={snapshot_id}/{name}")
-        contract = contract_for(source, tables[source].schema).project(frame.columns)
-        reports.append(contract_report(frame, contract).withColumn("dataset", F.lit(name)))
-    # one row per rule, so as long as the contracts are
-    report = stored(rows.union_branches(reports))
-    broken = report.filter("violations > 0").collect()
+        frame, path = project(name, tables), f"{root}/{data_path(snapshot_id, name)}"
+        write_json(frame, path)
+        frames[name] = spark.read.schema(plain_numbers(frame).schema).json(path)
+    # one row per broken rule, so no longer than the contracts
+    report = stored(violations(tables, names))
+    broken = report.collect()
     if broken:
         report.write.mode("overwrite").parquet(f"{root}/contract_reports/snapshot_id={snapshot_id}")
-        raise ValueError(f"{len(broken)} contract rules violated: {[tuple(r) for r in broken]}")
+        if strict:
+            raise ValueError(f"{len(broken)} contract rules violated: {[tuple(r) for r in broken]}")
     sizes = stored(dataset_sizes(frames))
-    listed = manifest(spark, sizes, snapshot_id, generated_at)
     if enforce_limits:
         over = sizes.filter("NOT within_limits").select("dataset").collect()
         total = sizes.agg(F.sum("byte_size")).first()[0]
         if over or total > rules.MAX_TOTAL_BYTES:
             raise ValueError(f"Size limits exceeded: {[r.dataset for r in over]}, total {total}")
-    listed.write.mode("append").parquet(f"{root}/manifest")
-    return listed
+    commit(spark, root, snapshot_id, manifest(spark, sizes, snapshot_id, generated_at, data_files(spark, root, snapshot_id)))
+    return read_manifests(spark, root).filter(F.col("snapshot_id") == snapshot_id)
+
+
+def export(spark: SparkSession, tables: Mapping[str, DataFrame], dataset: str, path: str) -> DataFrame:
+    """Write one dataset on its own, after the same checks; its row of sizes."""
+    contract = contract_of(dataset)
+    lacking = [(d, c) for d, c in missing_columns(tables) if d == dataset]
+    lacking += [(dataset, c) for _, c in contracts.schema_violations(tables[DATASETS[dataset][0]], contract)] if contract else []
+    if lacking:
+        raise ValueError(f"Source columns missing: {lacking}")
+    broken = violations(tables, [dataset]).collect() if contract else []
+    if broken:
+        raise ValueError(f"{len(broken)} contract rules violated: {[tuple(r) for r in broken]}")
+    frame = project(dataset, tables)
+    write_json(frame, path)
+    return dataset_sizes({dataset: spark.read.schema(plain_numbers(frame).schema).json(path)})
 
 
 # --- candidate lists of the profile jobs ---------------------------------------------------

@@ -258,6 +258,15 @@ def raid_kills(roster: DataFrame) -> DataFrame:
     return roster.groupBy("report_code", "encounter_id", "fight_id", "boss_name", "difficulty_label", "duration_seconds").agg(F.count("*").alias("players"))
 
 
+def raid_kill_rosters(roster: DataFrame) -> DataFrame:
+    """The players of each kill of a report, one row each, with the key of the kill and the size of its roster."""
+    kill = ["report_code", "encounter_id", "fight_id"]
+    counted = rows.with_duplicate_count(roster, kill, "players")
+    return counted.select(
+        "report_code", F.concat_ws("-", "encounter_id", "fight_id").alias("encounter_key"), "boss_name", "difficulty_label", "duration_seconds", "players",
+        "player_identity_key", "player_name", "player_class", "role", "spec", "avg_item_level", "throughput_per_second", "rank_percent")
+
+
 def top_parses(roster: DataFrame, n: int = 10) -> DataFrame:
     ranked = roster.filter("rank_percent > 0").select("report_code", "fight_id", "player_identity_key", "boss_name", "rank_percent")
     return ranked.orderBy(c("rank_percent").desc(), "report_code", "fight_id", "player_identity_key").limit(n)
@@ -444,7 +453,10 @@ def parse_median(roster: DataFrame, **options) -> DataFrame:
 
 
 def parse_shape(roster: DataFrame) -> DataFrame:
-    """One row: moments of the parse distribution and the most likely type with its probability."""
+    """One row: moments of the parse distribution and the most likely type with its probability.
+
+    Parses that are all equal are surely uniform, with no spread, skewness or kurtosis.
+    """
     moments = _parses(roster).agg(F.count("*").alias("n"), F.stddev_pop("rank_percent").alias("sd"), F.skewness("rank_percent").alias("skew"),
                                   (F.kurtosis("rank_percent") + 3).alias("kurt"))
     line = Window.partitionBy(F.lit(0)).orderBy("bin")  # twenty rows
@@ -469,8 +481,13 @@ def parse_shape(roster: DataFrame) -> DataFrame:
         "Uniform": bounded(1 - size / 0.8 - F.abs(c("kurt") - 1.8) / 1.4 - F.when(c("peaks") > 2, 0.2).otherwise(0.0), 0.82)}
     weighted = base.select("*", F.array(*[F.struct(F.exp(s * 4).alias("w"), F.lit(t).alias("t")) for t, s in scores.items()]).alias("all"))
     best = weighted.select("*", F.array_max("all").alias("top"), F.aggregate("all", F.lit(0.0), lambda acc, x: acc + x["w"]).alias("sum"))
-    return best.select("n", "peaks", v.tidy("sd", 6).alias("standard_deviation"), v.tidy("skew", 6).alias("skewness"), v.tidy("kurt", 6).alias("kurtosis"),
-                       c("top.t").alias("type"), v.tidy(c("top.w") / c("sum") * 100, 4).alias("probability"))
+    spread = best.select("n", "peaks", v.tidy("sd", 6).alias("standard_deviation"), v.tidy("skew", 6).alias("skewness"), v.tidy("kurt", 6).alias("kurtosis"),
+                         c("top.t").alias("type"), v.tidy(c("top.w") / c("sum") * 100, 4).alias("probability"))
+    none = F.lit(0.0)
+    equal = moments.filter("n >= 10 AND sd = 0").select(
+        "n", F.lit(0).cast("bigint").alias("peaks"), none.alias("standard_deviation"), none.alias("skewness"), none.alias("kurtosis"),
+        F.lit("Uniform").alias("type"), F.lit(100.0).alias("probability"))
+    return spread.unionByName(equal)
 
 
 # --- wipes ---------------------------------------------------------------------------------
@@ -566,9 +583,24 @@ def cause_by_boss(deaths: DataFrame, n: int = 5) -> DataFrame:
     return recurring_killers(deaths, n).join(bosses, "killing_blow_name", "left")
 
 
+def _death_times(deaths: DataFrame) -> DataFrame:
+    return deaths.filter(~c("is_kill")).select((c("death_timestamp_ms") - c("fight_start_ms")).alias("ms")).filter("ms >= 0 AND ms < 3600000")
+
+
+def death_outliers(deaths: DataFrame, **options) -> DataFrame:
+    """Times of wipe deaths beyond the whiskers of their box plot, with the number of deaths at each; none below five deaths."""
+    after = _death_times(deaths)
+    box = ordered.exact_quantiles(after, [], "ms", {"q1": 0.25, "q3": 0.75}, **options).filter("n >= 5")
+    reach = (c("q3") - c("q1")) * 1.5
+    fences = F.broadcast(box.select(F.lit(1).alias("_one"), (c("q1") - reach).alias("_low"), (c("q3") + reach).alias("_high")))  # one row
+    times = after.groupBy("ms").agg(F.count("*").alias("deaths")).withColumn("_one", F.lit(1)).join(fences, "_one")
+    side = F.when(c("ms") < c("_low"), "below").when(c("ms") > c("_high"), "above")
+    return times.select("ms", "deaths", side.alias("side")).filter("side IS NOT NULL")
+
+
 def death_timing(deaths: DataFrame, **options) -> DataFrame:
     """Box plot of the time of wipe deaths: quartiles, whiskers and outlier count, from five deaths on."""
-    after = deaths.filter(~c("is_kill")).select((c("death_timestamp_ms") - c("fight_start_ms")).alias("ms")).filter("ms >= 0 AND ms < 3600000")
+    after = _death_times(deaths)
     box = ordered.exact_quantiles(after, [], "ms", {"q1": 0.25, "median": 0.5, "q3": 0.75}, **options).filter("n >= 5")
     low = box.select((c("q1") - (c("q3") - c("q1")) * 1.5).alias("x"))
     high = box.select((c("q3") + (c("q3") - c("q1")) * 1.5).alias("x"))

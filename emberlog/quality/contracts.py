@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import ast
+import hashlib
+import json
 import operator
 import re
 from collections.abc import Iterable, Mapping
@@ -13,14 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberlog.quality.declared import FIELDS
-from emberlog.rules import DIFFICULTIES
-
-
-class Field(NamedTuple):
-    type: str
-    nullable: bool = False
-    allow_empty: bool = False
+from emberlog.quality.declared import ENUMS, EXPRESSIONS, FIELDS, KEYS, VERSION, VERSIONS, Field
 
 
 class Contract(NamedTuple):
@@ -174,74 +169,11 @@ def failed(report: DataFrame) -> DataFrame:
     return report.filter("violations > 0")
 
 
-_LEVELS = {"difficulty_label": tuple(DIFFICULTIES.values())}
-# Keys and rules of the published tables.
-KEYS = {
-    "dim_guild_member": "name realm_slug", "dim_player": "player_name",
-    "fact_player_events": "report_code fight_id player_name death_timestamp_ms",
-    "fact_player_fight_performance": "report_code fight_id player_name",
-    "gold_best_kills": "encounter_id boss_name zone_name difficulty", "gold_boss_kill_roster": "report_code fight_id player_identity_key",
-    "gold_boss_mechanics": "encounter_id boss_name zone_name difficulty difficulty_label",
-    "gold_boss_progress_history": "encounter_id difficulty report_code",
-    "gold_boss_progression": "encounter_id boss_name zone_id zone_name difficulty", "gold_boss_pull_history": "report_code fight_id",
-    "gold_boss_wipe_analysis": "encounter_id zone_name difficulty", "gold_encounter_catalog": "zone_id encounter_id",
-    "gold_guild_roster": "name realm", "gold_guild_zone_ranks": "zone_id", "gold_live_raid_roster": "name",
-    "gold_parse_completeness_daily": "raid_night_date role", "gold_player_attendance": "player_identity_key",
-    "gold_player_boss_performance": "player_identity_key role encounter_id boss_name zone_name difficulty difficulty_label",
-    "gold_player_character_equipment": "player_identity_key slot_type", "gold_player_character_media": "player_identity_key",
-    "gold_player_death_events": "death_event_key", "gold_player_mplus_dungeon_breakdown": "player_identity_key region season dungeon",
-    "gold_player_mplus_run_history": "player_identity_key region season dungeon completed_at url",
-    "gold_player_mplus_score_history": "player_identity_key region season snapshot_at",
-    "gold_player_mplus_summary": "player_identity_key region season",
-    "gold_player_mplus_weekly_activity": "player_identity_key region season week_start",
-    "gold_player_performance_summary": "player_identity_key role",
-    "gold_player_raid_achievements": "player_identity_key achievement_id completed_timestamp",
-    "gold_player_survivability": "player_identity_key",
-    "gold_player_survivability_rankings": "player_identity_key zone_name boss_name difficulty_label",
-    "gold_player_utility_by_pull": "report_code fight_id player_identity_key", "gold_preparation_readiness": "identity_key",
-    "gold_progression_timeline": "encounter_id difficulty", "gold_raid_summary": "report_code", "gold_raid_team": "name realm",
-    "gold_weekly_activity": "week_start", "gold_wipe_cooldown_utilization": "report_code fight_id player_identity_key ability_id",
-    "gold_wipe_survival_discipline": "player_identity_key zone_name boss_name difficulty_label",
-    "gold_wipe_survival_events": "report_code fight_id player_identity_key death_timestamp_ms",
-}
-ENUMS = {
-    "gold_best_kills": _LEVELS, "gold_boss_kill_roster": _LEVELS, "gold_boss_progression": _LEVELS,
-    "gold_preparation_readiness": {"readiness_label": ("watch", "steady", "strong")},
-    "gold_wipe_survival_discipline": {"defensive_tracking_status": ("tracked_used", "tracked_zero_usage", "no_tracked_capacity", "unknown")},
-}
-EXPRESSIONS = {
-    "gold_best_kills": {"positive_kill_count": "total_kills > 0"},
-    "gold_boss_kill_roster": {"non_negative_potions": "potion_use >= 0"},
-    "gold_boss_progression": {"pull_counts": "total_pulls == total_kills + total_wipes"},
-    "gold_player_attendance": {"attendance_range": "attendance_rate_pct >= 0 and attendance_rate_pct <= 100"},
-    "gold_player_mplus_summary": {"runs_add_up": "total_runs == timed_runs + untimed_runs"},
-    "gold_player_survivability_rankings": {"rank_bounds": "survivability_rank >= 1 and survivability_rank <= survivability_rank_total"},
-    "gold_preparation_readiness": {"score_range": "readiness_score >= 0 and readiness_score <= 100"},
-    "gold_raid_summary": {"pull_counts": "total_pulls == boss_kills + total_wipes and total_pulls >= 0"},
-    "gold_wipe_survival_discipline": {
-        "score_range": "survival_discipline_score >= 0 and survival_discipline_score <= 100 and survival_failure_score == survival_discipline_score",
-        "defensive_zero_usage_semantics": 'defensive_tracking_status != "tracked_zero_usage" or defensive_usage_rate == 0'},
-}
-
-
-def _kind(dtype: T.DataType) -> str:
-    for kind in ("boolean", "integer", "number", "array", "date", "string"):
-        if isinstance(dtype, _KINDS[kind]):
-            return kind
-    return "any"
-
-
-def declared(table: str, version: str = "0.1.0") -> Contract:
+def declared(table: str) -> Contract:
     """Contract of a published table with its fields as declared, so that a frame can lack one or have another type."""
-    def field(word: str) -> tuple[str, Field]:
-        name, kind = word.split(":")
-        return name, Field(kind.rstrip("?~"), "?" in kind, "~" in kind)
-
-    return Contract(table, version, dict(map(field, FIELDS[table].split())), tuple(KEYS[table].split()), ENUMS.get(table, {}), EXPRESSIONS.get(table, {}))
+    return Contract(table, VERSIONS.get(table, VERSION), FIELDS[table], KEYS[table], ENUMS.get(table, {}), EXPRESSIONS.get(table, {}))
 
 
-def contract_for(table: str, schema: T.StructType, version: str = "0.1.0") -> Contract:
-    """Contract of a published table: its key parts are required, all other fields may be null."""
-    key = tuple(KEYS.get(table, "").split())
-    fields = {f.name: Field(_kind(f.dataType), nullable=f.name not in key, allow_empty=f.name not in key) for f in schema}
-    return Contract(table, version, fields, key, ENUMS.get(table, {}), EXPRESSIONS.get(table, {}))
+def contract_id(contract: Contract) -> str:
+    """A name for exactly these checks: it changes when a field, key or rule does."""
+    return hashlib.sha256(json.dumps(contract, sort_keys=True).encode()).hexdigest()[:16]

@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from emberlog import rules
 from emberlog.operators import rows
 from emberlog.plans import pipeline, publish
+from emberlog.plans.pipeline import Catalog
 from emberlog.quality import completeness, contracts
 from emberlog.quality.contracts import Contract, Field
 from emberlog.quality.expectations import RULES, expect_or_drop, expectation_report
 from emberlog.session import stored, work_folder
-from emberlog.sources import sinks
+from emberlog.sources import files, sinks
 from emberlog.workload import bronze
 from emberlog.workload.domain import Domain
 from emberlog.workload.q_gold import SHARED, catalog
-from emberlog.workload.registry import query
+from emberlog.workload.registry import query, statement
 
 
 @query("expectation_report", """SELECT rule, (SELECT COUNT(*) FROM rankings) AS total_rows, failed_rows, ROUND(failed_rows / (SELECT COUNT(*) FROM rankings), 4) AS failed_share
@@ -124,37 +125,49 @@ def contract_projection(dom: Domain) -> DataFrame:
     return contracts.contract_report(frame, _ORDERS.project(frame.columns))
 
 
-def _clean(table: str, keys: int) -> str:
-    return f"SELECT '{table}' AS table_name, CAST(0 AS BIGINT) AS failed_checks, CAST({keys} AS BIGINT) AS key_and_rule_checks"
+# columns that the statement of a table leaves out, because its value is Spark's own
+_LEFT_OUT = {"death_event_key", "_ingested_at"}
 
 
-_CHECKED = ("gold_boss_progression", "gold_raid_summary", "gold_best_kills", "gold_player_attendance", "gold_player_mplus_summary", "gold_boss_pull_history")
+def _rule_sql(expression: str) -> str:
+    return expression.replace("==", "=").replace("!=", "<>").replace('"', "'")
 
 
-@query("gold_contracts", " UNION ALL ".join(_clean(t, 2 + len(contracts.ENUMS.get(t, {})) + len(contracts.EXPRESSIONS.get(t, {}))) for t in _CHECKED))
-def gold_contracts(dom: Domain) -> DataFrame:
-    """The carried-over contracts hold on the tables: no check fails."""
-    t = catalog(dom)
-    reports = []
-    for name in _CHECKED:
-        frame = t[name]
-        reports.append(contracts.contract_report(frame, contracts.contract_for(name, frame.schema)))
-    special = F.col("check").isin("null_key", "duplicate_key", "enum", "rule")
-    return rows.union_branches(reports).groupBy("table_name").agg(
-        F.count_if(F.col("violations") > 0).alias("failed_checks"), F.count_if(special).alias("key_and_rule_checks"))
+def _contract_sql(table: str) -> str:
+    """The rows of a table's own statement, held to the declared contract."""
+    contract = contracts.declared(table)
+    present = {n: f for n, f in contract.fields.items() if n not in _LEFT_OUT}
 
+    def total(conditions: list[str]) -> str:
+        return " + ".join(f"COUNT(*) FILTER ({c})" for c in conditions) or "0"
 
-@query("gold_contracts_all")
-def gold_contracts_all(dom: Domain) -> DataFrame:
-    """All tables against their declared fields: per table the number of checks, and those that fail.
+    keyed = set(contract.key) <= set(present)
+    twice = f"(SELECT COUNT(*) FROM (SELECT 1 FROM t GROUP BY {', '.join(contract.key)} HAVING COUNT(*) > 1) k)" if keyed else "0"
+    allowed = [f"{n} IS NOT NULL AND {n} NOT IN ({', '.join(repr(v) for v in values)})" for n, values in contract.enums.items()]
+    return f"""(WITH t AS MATERIALIZED ({statement(table)}) SELECT '{table}' AS table_name, COUNT(*) AS row_count, 0 AS schema_failures,
+        CAST({total([f'{n} IS NULL' for n, f in present.items() if not f.nullable])} AS BIGINT) AS null_fields,
+        CAST({total([f"{n} = ''" for n, f in present.items() if f.type == 'string' and not f.allow_empty])} AS BIGINT) AS empty_texts,
+        CAST({total(allowed)} AS BIGINT) AS wrong_values, CAST({total([f'NOT COALESCE({_rule_sql(e)}, FALSE)' for e in contract.expressions.values()])} AS BIGINT) AS broken_rules,
+        CAST({total([' OR '.join(f'{k} IS NULL' for k in contract.key)]) if keyed else '0'} AS BIGINT) AS null_keys, CAST({twice} AS BIGINT) AS duplicate_keys FROM t)"""
 
-    Each report is stored, so that no plan spans more than one table. What the fixture tables break is left open.
+
+@query("gold_contracts", " UNION ALL ".join(f"SELECT * FROM {_contract_sql(t)} c" for t in pipeline.GOLD))
+def gold_contracts(dom: Domain) -> DataFrame:
+    """All tables against their declared contracts: violations by kind of check.
+
+    Each table is stored first, so that it is planned once and no plan spans more than one.
     """
     t = catalog(dom, SHARED)
-    reports = [stored(contracts.contract_report(t[name], contracts.declared(name))) for name in pipeline.GOLD]
-    every = rows.union_branches(reports)
-    return every.groupBy("table_name").agg(F.count(F.lit(1)).alias("checks"), F.array_sort(F.collect_set(F.when(
-        F.col("violations") > 0, F.struct("check", "subject", "violations")))).alias("failed"))
+    kinds = {"null_fields": ("null",), "empty_texts": ("empty",), "wrong_values": ("enum",), "broken_rules": ("rule",), "null_keys": ("null_key",), "duplicate_keys": ("duplicate_key",)}
+    reports = []
+    for name in pipeline.GOLD:
+        frame = stored(t[name])
+        report = contracts.contract_report(frame, contracts.declared(name))
+        shape = F.col("check").isin("missing_column", "type")
+        sums = report.groupBy("table_name").agg(F.sum(F.when(shape, F.col("violations")).otherwise(0)).alias("schema_failures"), *[
+            F.sum(F.when(F.col("check").isin(*checks), F.col("violations")).otherwise(0)).alias(kind) for kind, checks in kinds.items()])
+        reports.append(sums.join(sinks.row_counts({name: frame}), "table_name"))
+    return rows.union_branches(reports)
 
 
 @query("unique_key_check", """SELECT 'null_key' AS "check", 'text_hash' AS subject, CAST(0 AS BIGINT) AS violations UNION ALL
@@ -248,51 +261,70 @@ def required_source_columns(dom: Domain) -> DataFrame:
     return counted.select(F.explode(F.array(*[F.struct(F.lit(d).alias("dataset"), F.lit(c).alias("column")) for d, c in lacking])).alias("m"), "source_rows").select("m.*", "source_rows")
 
 
-_PUBLISHED = ("boss_progression", "best_kills", "raid_summary", "player_attendance", "boss_pull_history", "progression_timeline", "player_mplus_summary")
-_SIZE_SQL = {
-    "raid_summary": "raid_summary WHERE TRIM(zone_name) <> ''", "boss_progression": "(SELECT DISTINCT encounter_id, difficulty, zone_id FROM fights)",
-    "best_kills": "(SELECT DISTINCT encounter_id, difficulty FROM fights WHERE is_kill)", "player_attendance": "(SELECT DISTINCT player_name FROM attendance)",
-    "boss_pull_history": "fights", "progression_timeline": "(SELECT DISTINCT encounter_id, difficulty FROM fights WHERE is_kill)",
-    "player_mplus_summary": "(SELECT DISTINCT player_name FROM scores)"}
-_SIZES = " UNION ALL ".join(f"SELECT '{d}' AS dataset, COUNT(*) AS row_count FROM {s}" for d, s in _SIZE_SQL.items())
+_DISTINCT_PULLS = "report_code, fight_id, boss_name, zone_name, difficulty_label, is_kill, player_name, player_class"
+_ABILITY = "boss_name, zone_name, difficulty_label, cooldown_category, player_identity_key, player_name, player_class, realm, ability_id, ability_name"
+# datasets that leave out or sum rows of their table; all others publish every row
+_ROWS_SQL = {
+    "raid_summary": "SELECT * FROM raid_summary WHERE TRIM(zone_name) <> ''",
+    "player_attendance": f"SELECT * FROM ({statement('gold_player_attendance')}) a WHERE TRIM(player_name) <> '' AND LOWER(TRIM(player_name)) <> 'nil'",
+    "player_utility_by_pull": f"SELECT DISTINCT {_DISTINCT_PULLS} FROM utility", "wipe_cooldown_utilization": f"SELECT DISTINCT {_ABILITY} FROM utilization",
+    "preparation_overrides": "SELECT * FROM overrides"}
+_DATASET_ROWS = " UNION ALL ".join(f"SELECT '{d}' AS dataset, '{t}' AS source_table, (SELECT COUNT(*) FROM ({_ROWS_SQL.get(d) or statement(t)}) r) AS row_count"
+                                   for d, (t, _) in publish.DATASETS.items())
 
 
-@query("publish_sizes", f"SELECT dataset, row_count, row_count <= 100000 AS within_limits FROM ({_SIZES}) t")
-def publish_sizes(dom: Domain) -> DataFrame:
-    t = catalog(dom)
-    return publish.dataset_sizes({d: publish.project(d, t) for d in _PUBLISHED}).drop("byte_size")
+def _shared_tables(dom: Domain) -> Catalog:
+    t = catalog(dom, SHARED)
+    t["identity_overrides"] = dom["overrides"]
+    return t
 
 
-def _all_sizes(dom: Domain) -> DataFrame:
-    """Sizes of all datasets; each is stored, so that no plan spans more than one."""
-    t = catalog(dom, SHARED)
-    return rows.union_branches([stored(publish.dataset_sizes({d: publish.project(d, t)})) for d in publish.DATASETS])
+@query("publish_sizes", f"SELECT dataset, row_count, row_count <= {rules.MAX_DATASET_ROWS} AS within_limits, TRUE AS bytes_as_written FROM ({_DATASET_ROWS}) t")
+def publish_sizes(dom: Domain) -> DataFrame:
+    """Rows and bytes of all datasets; the bytes counted from the rows are those of the files written from them."""
+    t, root, sizes = _shared_tables(dom), work_folder(dom.spark), []
+    for name in publish.DATASETS:
+        frame = stored(publish.project(name, t))
+        sinks.write_json(frame, f"{root}/{name}")
+        # a JSON array has one bracket more than its rows as lines have line ends
+        written = F.lit(files.byte_count(dom.spark, f"{root}/{name}") + 1)
+        size = publish.dataset_sizes({name: frame})
+        sizes.append(size.select("dataset", "row_count", "within_limits", ((F.col("byte_size") == written) | (F.col("row_count") == 0)).alias("bytes_as_written")))
+    return rows.union_branches(sizes)
+
+
+@query("publish_manifest", f"""SELECT 's2' AS snapshot_id, '2024-02-02T00:00:00Z' AS generated_at, dataset, CONCAT('snapshots/snapshot_id=s2/', dataset) AS path, row_count, source_table,
+    CASE WHEN source_table <> 'identity_overrides' THEN '{contracts.VERSION}' END AS contract_version, CAST(0 AS BIGINT) AS damaged FROM ({_DATASET_ROWS}) t""")
+def publish_manifest(dom: Domain) -> DataFrame:
+    """All datasets published as a snapshot; a later one is written but not committed, and a reader still gets the first."""
+    root, t = work_folder(dom.spark), _shared_tables(dom)
+    for name in publish.DATASETS:
+        t[publish.DATASETS[name][0]] = stored(t[publish.DATASETS[name][0]])
+    publish.publish(dom.spark, t, root, "s2", "2024-02-02T00:00:00Z", strict=False)
+    sinks.write_json(publish.project("raid_summary", t).limit(1), f"{root}/{publish.data_path('s3', 'raid_summary')}")
+    newest = publish.latest_complete_snapshot(publish.read_manifests(dom.spark, root), tuple(publish.DATASETS))
+    damaged = publish.damaged_files(dom.spark, root, newest).groupBy("dataset").agg(F.count(F.lit(1)).alias("damaged"))
+    return newest.join(damaged, "dataset", "left").select(
+        "snapshot_id", "generated_at", "dataset", "path", "row_count", "source_table", "contract_version", F.coalesce("damaged", F.lit(0).cast("bigint")).alias("damaged"))
 
 
-@query("publish_sizes_all")
-def publish_sizes_all(dom: Domain) -> DataFrame:
-    return _all_sizes(dom)
+@query("export_dataset", "SELECT * EXCLUDE (start_time_utc, end_time_utc) FROM raid_summary WHERE TRIM(zone_name) <> ''")
+def export_dataset(dom: Domain) -> DataFrame:
+    """One dataset checked, written and read back; published times are whole seconds."""
+    path, t = work_folder(dom.spark), catalog(dom)
+    publish.export(dom.spark, t, "raid_summary", path)
+    return dom.spark.read.schema(publish.project("raid_summary", t).schema).json(path).drop("start_time_utc", "end_time_utc")
 
 
-@query("publish_manifest_all")
-def publish_manifest_all(dom: Domain) -> DataFrame:
-    return publish.manifest(dom.spark, _all_sizes(dom), "s1", "2024-02-01T00:00:00Z")
+_ORDER_JSON = """LENGTH(CONCAT('{"o_orderkey":', o_orderkey, ',"o_orderstatus":"', o_orderstatus, '"}')) + 1"""
 
 
-@query("publish_bytes", f"""SELECT 'orders' AS dataset, COUNT(*) AS row_count, CAST(SUM(LENGTH(CONCAT('{{"o_orderkey":', o_orderkey, ',"o_orderstatus":"', o_orderstatus, '"}}')) + 1) + 1 AS BIGINT) AS byte_size,
-    COUNT(*) <= 100000 AND SUM(LENGTH(CONCAT('{{"o_orderkey":', o_orderkey, ',"o_orderstatus":"', o_orderstatus, '"}}')) + 1) + 1 <= {rules.MAX_DATASET_BYTES} AS within_limits FROM orders""".replace("{{", "{").replace("}}", "}"))
+@query("publish_bytes", f"""SELECT 'orders' AS dataset, COUNT(*) AS row_count, CAST(SUM({_ORDER_JSON}) + 1 AS BIGINT) AS byte_size,
+    COUNT(*) <= {rules.MAX_DATASET_ROWS} AND SUM({_ORDER_JSON}) + 1 <= {rules.MAX_DATASET_BYTES} AS within_limits FROM orders""")
 def publish_bytes(dom: Domain) -> DataFrame:
     return publish.dataset_sizes({"orders": dom.table("orders").select("o_orderkey", "o_orderstatus")})
 
 
-@query("publish_manifest", f"""SELECT 's1' AS snapshot_id, '2024-02-01T00:00:00Z' AS generated_at, dataset, CONCAT(dataset, '.json') AS path, row_count, CONCAT('gold_', dataset) AS source_table,
-    '0.1.0' AS contract_version FROM ({_SIZES}) t""")
-def publish_manifest(dom: Domain) -> DataFrame:
-    t = catalog(dom)
-    sizes = publish.dataset_sizes({d: publish.project(d, t) for d in _PUBLISHED})
-    return publish.manifest(dom.spark, sizes, "s1", "2024-02-01T00:00:00Z").drop("byte_size")
-
-
 @query("manifest_mismatch", """SELECT report_code AS dataset, 'missing' AS problem FROM (SELECT DISTINCT report_code FROM fights WHERE is_kill) a WHERE report_code NOT IN
     (SELECT report_code FROM deaths WHERE killing_blow_id IS NULL) UNION ALL SELECT report_code, 'extra' FROM (SELECT DISTINCT report_code FROM deaths WHERE killing_blow_id IS NULL) b
     WHERE report_code NOT IN (SELECT report_code FROM fights WHERE is_kill)""")

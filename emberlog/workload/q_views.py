@@ -259,6 +259,13 @@ def raid_kills(t: In) -> DataFrame:
     return views.raid_kills(t[_ROSTER])
 
 
+@view("raid_kill_rosters", """SELECT report_code, CONCAT(encounter_id, '-', fight_id) AS encounter_key, boss_name, difficulty_label, duration_seconds,
+    COUNT(*) OVER (PARTITION BY report_code, encounter_id, fight_id) AS players, player_identity_key, player_name, player_class, role, spec, avg_item_level, throughput_per_second, rank_percent
+    FROM roster_in""")
+def raid_kill_rosters(t: In) -> DataFrame:
+    return views.raid_kill_rosters(t[_ROSTER])
+
+
 @view("top_parses", """SELECT report_code, fight_id, player_identity_key, boss_name, rank_percent FROM roster_in WHERE rank_percent > 0
     ORDER BY rank_percent DESC, report_code, fight_id, player_identity_key LIMIT 10""")
 def top_parses(t: In) -> DataFrame:
@@ -426,6 +433,13 @@ def parse_shape(t: In) -> DataFrame:
     return views.parse_shape(t[_ROSTER])
 
 
+@view("parse_shape_of_equal_parses", """SELECT COUNT(*) AS n, 0 AS peaks, 0.0 AS standard_deviation, 0.0 AS skewness, 0.0 AS kurtosis, 'Uniform' AS type, 100.0 AS probability
+    FROM roster_in HAVING COUNT(*) >= 10""", _ROSTER)
+def parse_shape_of_equal_parses(t: In) -> DataFrame:
+    """All parses of the roster set to one value."""
+    return views.parse_shape(t[_ROSTER].withColumn("rank_percent", F.lit(50.0)))
+
+
 # --- wipes ---------------------------------------------------------------------------------
 
 cte("scoped_survivability", """WITH k AS (SELECT player_name, COUNT(*) AS kills_tracked, MAX(player_class) AS pc FROM roster_in GROUP BY player_name),
@@ -516,6 +530,21 @@ def death_timing(t: In) -> DataFrame:
     return views.death_timing(t[_DEATHS])
 
 
+_LATE = "(ms * ms // 3600000) * (ms * ms // 3600000) // 3600000"
+
+
+@view("death_outliers", f"""SELECT * FROM (WITH x AS (SELECT {_LATE} AS ms FROM (SELECT death_timestamp_ms - fight_start_ms AS ms FROM deaths_in WHERE NOT is_kill
+    AND death_timestamp_ms >= fight_start_ms AND death_timestamp_ms - fight_start_ms < 3600000) t),
+    b AS (SELECT COUNT(*) AS n, quantile_cont(ms, 0.25) AS q1, quantile_cont(ms, 0.75) AS q3 FROM x)
+    SELECT ms, COUNT(*) AS deaths, CASE WHEN ms < MAX(q1) - (MAX(q3) - MAX(q1)) * 1.5 THEN 'below' ELSE 'above' END AS side FROM x, b
+    WHERE n >= 5 AND (ms < q1 - (q3 - q1) * 1.5 OR ms > q3 + (q3 - q1) * 1.5) GROUP BY ms) o""", _DEATHS)
+def death_outliers(t: In) -> DataFrame:
+    """Times are drawn towards the pull, so that late deaths stand out."""
+    ms = F.col("death_timestamp_ms") - F.col("fight_start_ms")
+    late = t[_DEATHS].filter(ms.between(0, 3_599_999)).withColumn("_ms", ms).withColumn("_ms", F.expr("(_ms * _ms div 3600000) * (_ms * _ms div 3600000) div 3600000"))
+    return views.death_outliers(late.withColumn("death_timestamp_ms", F.col("fight_start_ms") + F.col("_ms")))
+
+
 cte("openers", """SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY report_code, fight_id, boss_name ORDER BY death_timestamp_ms, player_name, killing_blow_name NULLS FIRST) AS rn
     FROM deaths_in WHERE NOT is_kill AND death_timestamp_ms > 0) t WHERE rn = 1""")
 

@@ -29,6 +29,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def statement(name: str) -> str:
+    """The check statement of a query that is registered already, to be read as a table."""
+    return _SQL[name]
+
+
 def mean(x: str) -> str:
     """The plain mean; what the engine does to keep its sum exact is not repeated here."""
     return f"AVG({x})"

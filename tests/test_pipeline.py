@@ -53,6 +53,32 @@ def test_contract_missing_column_and_projection(spark):
     assert contracts.names_in('a != "b" or max(c, 1) == 2') == {"a", "c"}
 
 
+def test_table_rules_are_observed_while_written(spark, tmp_path):
+    from emberlog.quality.expectations import METRICS, TABLE_RULES, collecting, hold
+    from emberlog.sources.landing import FOLDERS
+
+    assert {n for n in pipeline.SILVER if "payload" not in n} | {f"bronze_{f}" for f in FOLDERS} == set(TABLE_RULES)
+    df = spark.createDataFrame([("a", 1), ("", 2), (None, 3)], "name STRING, x INT")
+    with collecting() as seen:
+        kept = hold(df, "silver_live_raid_roster", "drop")
+    kept.write.parquet(f"{tmp_path}/kept")
+    assert seen.rows() == [("silver_live_raid_roster", "drop", "valid_name", 3, 2, 2)]
+    assert spark.createDataFrame(seen.rows(), METRICS).count() == 1
+    assert spark.read.parquet(f"{tmp_path}/kept").count() == 1
+    assert hold(df, "silver_live_raid_roster", "drop").count() == 1  # outside nothing is observed
+
+
+def test_stream_progress_reports_the_rules(spark, tmp_path):
+    write_lines(f"{tmp_path}/landing/actor_roster", "a.json", actors("R", 1), {"report_code": None, "actors": []}, {"report_code": "S", "_ingested_at": None})
+    seen = stream.ingest_bronze(spark, f"{tmp_path}/landing", f"{tmp_path}/bronze", ("actor_roster",))
+    assert sorted((r.table_name, r.action, r.rule, r.total_rows, r.failed_rows) for r in seen.collect()) == [
+        ("bronze_actor_roster", "warn", "has_ingested_at", 3, 1), ("bronze_actor_roster", "warn", "has_report_code", 3, 1)]
+    query = stream.run_available(stream.stream_actors(spark, f"{tmp_path}/bronze"), f"{tmp_path}/silver", f"{tmp_path}/state")
+    from emberlog.quality.expectations import streamed_rows
+
+    assert {(r[0], r[1], r[2]): r[3:] for r in streamed_rows(query)}["silver_actor_roster", "drop", "valid_player_name"] == (1, 0, 0)
+
+
 def test_expectations_count_and_drop(spark):
     from pyspark.sql import Observation
 
@@ -270,7 +296,7 @@ def test_every_table_is_built(built):
 @pytest.mark.parametrize("name", sorted(contracts.KEYS))
 def test_gold_contracts_hold(built, name):
     known = {"gold_player_mplus_run_history", "gold_player_raid_achievements", "fact_player_events", "gold_wipe_survival_events"}
-    report = contracts.failed(contracts.contract_report(built[name], contracts.contract_for(name, built[name].schema)))
+    report = contracts.failed(contracts.contract_report(built[name], contracts.declared(name)))
     bad = {(r.check, r.subject) for r in report.collect()}
     if name in known:  # two deaths at one time, or a feat completed by flag with no time
         bad = {b for b in bad if b[0] not in ("duplicate_key", "null_key", "null")}
@@ -284,22 +310,71 @@ def test_views_register(spark, built):
 
 def test_publish_manifest_and_latest(spark, built, tmp_path):
     names = ("boss_progression", "best_kills", "weekly_activity", "raid_summary")
-    root = str(tmp_path)
+    root, schema = str(tmp_path), "boss_name STRING, total_pulls BIGINT"
+    with pytest.raises(Exception):
+        publish.read_published(spark, root, "boss_progression", schema, names)
     for snapshot in ("s1", "s2"):
-        publish.publish(spark, built, root, snapshot, "2024-02-01T00:00:00Z", names)
-    listed = spark.read.parquet(f"{root}/manifest")
-    assert listed.count() == 8
-    broken = listed.unionByName(listed.filter("snapshot_id = 's2'").limit(1).withColumn("snapshot_id", F.lit("s3")))
-    assert {r.snapshot_id for r in publish.latest_complete_snapshot(broken, names).collect()} == {"s2"}
-    stored = spark.read.json(f"{root}/snapshots/snapshot_id=s2/boss_progression")
-    assert stored.count() == built["gold_boss_progression"].count()
+        listed = publish.publish(spark, built, root, snapshot, "2024-02-01T00:00:00Z", names)
+        assert {r.dataset for r in listed.collect()} == set(names)
+    manifests = publish.read_manifests(spark, root)
+    assert manifests.count() == 8
+    for row in manifests.collect():
+        assert row.contract_version == "0.1.0" and row.contract_id == contracts.contract_id(contracts.declared(row.source_table))
+        assert sorted(f.name for f in row.files) == sorted(n for n in os.listdir(f"{root}/{row.path}") if n.startswith("part-"))
+        assert row.byte_size == sum(f.bytes for f in row.files) + 1 or not row.row_count
+    assert publish.damaged_files(spark, root, manifests).count() == 0
+    assert publish.read_published(spark, root, "boss_progression", schema, names).count() == built["gold_boss_progression"].count()
+    with pytest.raises(ValueError, match="published already"):
+        publish.publish(spark, built, root, "s2", "t", names)
+    # data without a manifest, and a manifest that lists too little, are never read
+    sinks.write_json(built["gold_boss_progression"].limit(1), f"{root}/{publish.data_path('s3', 'boss_progression')}")
+    publish.commit(spark, root, "s4", manifests.filter("snapshot_id = 's2'").limit(1).withColumn("snapshot_id", F.lit("s4")))
+    assert {r.snapshot_id for r in publish.latest_complete_snapshot(publish.read_manifests(spark, root), names).collect()} == {"s2"}
+    # a data file that changes later is found, and a file beside the listed ones is not read
+    row = manifests.filter("snapshot_id = 's2' AND dataset = 'boss_progression'").first()
+    with open(f"{root}/{row.path}/part-extra.json", "w") as out:
+        out.write('{"boss_name": "X", "total_pulls": 1}\n')
+    assert publish.read_published(spark, root, "boss_progression", schema, names).count() == built["gold_boss_progression"].count()
+    with open(f"{root}/{row.path}/{row.files[0].name}", "a") as out:
+        out.write("\n")
+    assert [tuple(r) for r in publish.damaged_files(spark, root, manifests).collect()] == [("s2", "boss_progression", row.files[0].name, "changed")]
+
+
+def test_publish_stops_before_the_manifest(spark, built, tmp_path):
+    root = str(tmp_path)
     lacking = {**built, "gold_player_attendance": built["gold_player_attendance"].drop("player_realm")}
     with pytest.raises(ValueError, match="player_realm"):
         publish.publish(spark, lacking, root, "s4", "t", ("player_attendance",))
+    with pytest.raises(ValueError, match="total_wipes"):  # named by the contract alone
+        publish.publish(spark, {**built, "gold_weekly_activity": built["gold_weekly_activity"].drop("total_wipes")}, root, "s4", "t", ("weekly_activity",))
     twice = {**built, "gold_best_kills": built["gold_best_kills"].unionByName(built["gold_best_kills"])}
     with pytest.raises(ValueError, match="duplicate_key"):
         publish.publish(spark, twice, root, "s5", "t", ("best_kills",))
-    assert {r.snapshot_id for r in spark.read.parquet(f"{root}/manifest").select("snapshot_id").distinct().collect()} == {"s1", "s2"}
+    wrong = {**built, "gold_best_kills": built["gold_best_kills"].withColumn("total_kills", F.lit("many"))}
+    with pytest.raises(ValueError, match="type"):
+        publish.publish(spark, wrong, root, "s6", "t", ("best_kills",))
+    with pytest.raises(ValueError, match="duplicate_key"):
+        publish.export(spark, twice, "best_kills", f"{root}/one")
+    assert not os.path.exists(f"{root}/manifests") and not os.path.exists(f"{root}/one")
+    size = publish.export(spark, built, "best_kills", f"{root}/one").first()
+    assert (size.dataset, size.row_count, size.within_limits) == ("best_kills", built["gold_best_kills"].count(), True)
+
+
+def test_contract_ids_change_with_the_checks():
+    base = contracts.declared("gold_best_kills")
+    changed = base._replace(fields={**base.fields, "total_kills": Field("number")})
+    assert contracts.contract_id(base) == contracts.contract_id(contracts.declared("gold_best_kills")) != contracts.contract_id(changed)
+
+
+def test_every_dataset_names_its_columns(spark):
+    for dataset, (source, _) in publish.DATASETS.items():
+        contract = publish.contract_of(dataset)
+        if contract is None:
+            continue
+        empty = spark.createDataFrame([], ", ".join(f"`{n}` {'STRING' if f.type == 'string' else 'BIGINT'}" for n, f in contract.fields.items()))
+        wide = empty.withColumn("not_published", F.lit(1))
+        if dataset not in ("wipe_cooldown_utilization",):
+            assert "not_published" not in publish.project(dataset, {source: wide}).columns
 
 
 def test_dataset_limits(spark, monkeypatch):
