@@ -177,11 +177,13 @@ def manifest(spark: SparkSession, sizes: DataFrame, snapshot_id: str, generated_
     return joined.select(F.lit(snapshot_id).alias("snapshot_id"), F.lit(generated_at).alias("generated_at"), *names)
 
 
+def manifest_path(root: str, snapshot_id: str) -> str:
+    return f"{root}/manifests/{snapshot_id}.json"
+
+
 def commit(spark: SparkSession, root: str, snapshot_id: str, listed: DataFrame) -> None:
     """Move the manifest of a snapshot into place, as one file under one name: the step that publishes it."""
-    target = f"{root}/manifests/{snapshot_id}.json"
-    if files.exists(spark, target):
-        raise ValueError(f"snapshot {snapshot_id} is published already")
+    target = manifest_path(root, snapshot_id)
     staging = f"{root}/staging/{snapshot_id}"
     listed.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(staging)
     part = next(n for n in files.names(spark, staging) if n.startswith("part-"))
@@ -246,8 +248,11 @@ def publish(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, sna
     """Check, write and list the datasets of one snapshot; returns its manifest.
 
     Tables are held to the contracts as declared: a column that is missing, of another type, or against a
-    rule stops the run before the manifest is written. Without ``strict`` broken rules are only reported.
+    rule stops the run before the manifest is written. Without ``strict`` broken rules are only reported. A
+    published snapshot is never written again.
     """
+    if files.exists(spark, manifest_path(root, snapshot_id)):
+        raise ValueError(f"snapshot {snapshot_id} is published already")
     lacking = missing_columns(tables)
     for name in names:
         contract = contract_of(name)

@@ -49,9 +49,16 @@ _COMPUTE = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul
 _CALLS = {"max": F.greatest, "min": F.least, "abs": F.abs}
 
 
-def row_condition(expression: str) -> Column:
-    """A row rule (and, or, not, comparisons, arithmetic, max, min, abs) as a column, built from its syntax tree."""
-    return _column(ast.parse(expression, mode="eval").body)
+def row_condition(expression: str, stands_for: Mapping[str, str] | None = None) -> Column:
+    """A row rule (and, or, not, comparisons, arithmetic, max, min, abs) as a column, built from its syntax tree.
+
+    ``stands_for`` names other columns to read in place of some fields.
+    """
+    tree = ast.parse(expression, mode="eval").body
+    for node in ast.walk(tree):
+        if isinstance(node, ast.Name):
+            node.id = (stands_for or {}).get(node.id, node.id)
+    return _column(tree)
 
 
 def _column(node: ast.expr) -> Column:
@@ -140,11 +147,14 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
             if present[name].allow_empty:
                 passes = passes | (F.col(name) == "")
             checks["enum", name] = F.count_if(F.col(name).isNotNull() & ~passes)
+    # numbers kept as text are read as numbers by the rules; text that is none breaks them, and does not end the run
+    texts = {n: f"_typed_{n}" for n, f in present.items() if f.type in _PARSED and isinstance(df.schema[n].dataType, T.StringType)}
     for name, expression in contract.expressions.items():
         if not names_in(expression) & absent:
-            checks["rule", name] = F.count_if(~F.coalesce(row_condition(expression), F.lit(False)))
+            checks["rule", name] = F.count_if(~F.coalesce(row_condition(expression, texts), F.lit(False)))
     order = {pair: f"c{i}" for i, pair in enumerate(checks)}
-    counted = df.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(order[p]) for p, c in checks.items()])
+    typed = df.withColumns({t: F.col(n).try_cast(_PARSED[present[n].type]) for n, t in texts.items()}) if texts else df
+    counted = typed.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(order[p]) for p, c in checks.items()])
     entries = F.array(*[F.struct(F.lit(k).alias("check"), F.lit(n).alias("subject"), F.col(a).alias("violations")) for (k, n), a in order.items()])
     report = counted.select(F.explode(entries).alias("e")).select("e.*")
     if contract.key and not set(contract.key) & absent:
