@@ -87,3 +87,22 @@ def test_rule_table():
     charged = {r.ability_name for r in rules.COOLDOWN_RULES if r.max_charges == 2}
     assert charged == {r.ability_name for r in rules.COOLDOWN_RULES if r.capacity_model == "charge_based"}
     assert [r.ability_name for r in rules.COOLDOWN_RULES if not r.capacity_score_eligible] == ["Metamorphosis"]
+
+
+def test_hash_keys_have_known_values(spark):
+    """Each column's hash seeds the next, from 42 on; whole numbers as eight bytes, nulls leave the seed as it is."""
+    import struct
+
+    import xxhash
+
+    def plain(*values):
+        seed = 42
+        for value in values:
+            if value is not None:
+                seed = xxhash.xxh64_intdigest(value.encode() if isinstance(value, str) else struct.pack("<q", value), seed=seed)
+        return seed - (1 << 64) if seed >> 63 else seed
+
+    rows = [("R", 1, "Ann", 5, None), ("", 0, None, -1, "Blow"), (None, None, None, None, None)]
+    frame = spark.createDataFrame(rows, "report_code STRING, fight_id BIGINT, player_name STRING, at BIGINT, blow STRING")
+    found = frame.select(F.xxhash64("report_code", "fight_id", "player_name", "at", "blow").alias("h")).collect()
+    assert [r.h for r in found] == [plain(*row) for row in rows]
