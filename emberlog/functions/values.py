@@ -38,6 +38,19 @@ def pct(part: Column | str, whole: Column | str, places: int = 1) -> Column:
     return tidy(ratio(part, whole) * 100, places)
 
 
+def mean(value: Column | str) -> Column:
+    """Mean of doubles or whole numbers.
+
+    Where every value has at most fourteen decimal places the sum is taken exactly, so that the result does
+    not depend on how rows were partitioned; else, and where that sum would be too long, it is the plain average.
+    """
+    given = col(value)
+    exact = given.try_cast("decimal(38,14)")
+    inexact = F.count_if(given.isNotNull() & ~F.coalesce(exact.cast("double") == given.cast("double"), F.lit(False)))
+    total = F.try_sum(exact).cast("double") / F.nullif(F.count(given), F.lit(0))
+    return F.when(inexact == 0, F.coalesce(total, F.avg(given.cast("double")))).otherwise(F.avg(given.cast("double")))
+
+
 def tagged_items(lists: Mapping[str, Column], tag: str, item: str) -> Column:
     """All items of several arrays as structs of the list's name and the item; null arrays are empty."""
     def tagged(name: str, values: Column) -> Column:

@@ -28,7 +28,7 @@ def boss_progression(fights: DataFrame) -> DataFrame:
     grouped = fights.groupBy("encounter_id", "boss_name", "zone_id", "zone_name", "difficulty", "difficulty_label").agg(
         F.count(F.lit(1)).alias("total_pulls"), F.count_if(_kill()).alias("total_kills"), F.count_if(~_kill()).alias("total_wipes"),
         F.min(_when_kill("duration_seconds")).alias("best_kill_seconds"),
-        F.avg("duration_seconds").alias("avg_pull_duration_seconds"), F.max(F.when(_kill(), F.lit(True))).alias("is_killed"),
+        v.mean("duration_seconds").alias("avg_pull_duration_seconds"), F.max(F.when(_kill(), F.lit(True))).alias("is_killed"),
         F.min(_when_kill("raid_night_date")).alias("first_kill_date"), F.max("raid_night_date").alias("last_attempt_date"))
     return grouped.withColumn("wipe_to_kill_ratio", v.tidy(v.ratio("total_wipes", "total_kills"), 2))
 
@@ -66,7 +66,7 @@ def progression_timeline(fights: DataFrame) -> DataFrame:
 
 def best_kills(fights: DataFrame) -> DataFrame:
     grouped = fights.filter(_kill()).groupBy(*BOSS).agg(
-        F.min("duration_seconds").alias("best_kill_seconds"), F.avg("duration_seconds").alias("avg_kill_seconds"),
+        F.min("duration_seconds").alias("best_kill_seconds"), v.mean("duration_seconds").alias("avg_kill_seconds"),
         F.count(F.lit(1)).alias("total_kills"), F.min("raid_night_date").alias("first_kill_date"),
         F.max("raid_night_date").alias("latest_kill_date"))
     return grouped.withColumn("best_kill_mm_ss", v.mm_ss("best_kill_seconds"))
@@ -75,8 +75,8 @@ def best_kills(fights: DataFrame) -> DataFrame:
 def boss_wipe_analysis(fights: DataFrame) -> DataFrame:
     grouped = fights.filter(~F.col("is_kill")).groupBy(*BOSS).agg(
         F.count(F.lit(1)).alias("total_wipes"), F.min("boss_percentage").alias("best_wipe_pct"),
-        F.avg("boss_percentage").alias("avg_wipe_pct"), F.avg("last_phase").alias("avg_last_phase"),
-        F.max("last_phase").alias("max_phase_reached"), F.avg("duration_seconds").alias("avg_wipe_duration_seconds"),
+        v.mean("boss_percentage").alias("avg_wipe_pct"), v.mean("last_phase").alias("avg_last_phase"),
+        F.max("last_phase").alias("max_phase_reached"), v.mean("duration_seconds").alias("avg_wipe_duration_seconds"),
         F.max("duration_seconds").alias("longest_wipe_seconds"), F.min("raid_night_date").alias("first_wipe_date"),
         F.max("raid_night_date").alias("latest_wipe_date"), F.countDistinct("raid_night_date").alias("raid_nights_attempted"))
     return grouped.withColumn("avg_wipe_pct_rounded", v.tidy("avg_wipe_pct", 1))
@@ -90,7 +90,7 @@ def boss_progress_history(fights: DataFrame, reports: DataFrame) -> DataFrame:
     nights = fights.groupBy(*BOSS, "raid_night_date", "report_code").agg(
         F.count(F.lit(1)).alias("pulls_on_night"), F.count_if(_kill()).alias("kills_on_night"), F.count_if(~_kill()).alias("wipes_on_night"),
         F.min(_when_wipe("boss_percentage")).alias("best_wipe_pct_on_night"),
-        v.tidy(F.avg(_when_wipe("boss_percentage")), 2).alias("avg_wipe_pct_on_night"), F.max(_kill()).alias("is_kill_on_night"),
+        v.tidy(v.mean(_when_wipe("boss_percentage")), 2).alias("avg_wipe_pct_on_night"), F.max(_kill()).alias("is_kill_on_night"),
         F.max("duration_seconds").alias("longest_pull_seconds"), F.max(_when_kill("duration_seconds")).alias("kill_duration_seconds"))
     left = F.when(F.col("is_kill_on_night"), 0.0).otherwise(v.tidy("best_wipe_pct_on_night", 2))
     return nights.join(_report_titles(reports), "report_code", "left").select(

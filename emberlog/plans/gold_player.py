@@ -32,10 +32,10 @@ def boss_kill_roster(fact: DataFrame, actors: DataFrame) -> DataFrame:
 
 
 def _level_stats() -> list[Column]:
-    return [F.avg("throughput_per_second").cast("bigint").alias("avg_throughput_per_second"),
+    return [v.mean("throughput_per_second").cast("bigint").alias("avg_throughput_per_second"),
             F.max("throughput_per_second").alias("best_throughput_per_second"),
-            v.tidy(F.avg("rank_percent"), 1).alias("avg_rank_percent"), v.tidy(F.max("rank_percent"), 1).alias("best_rank_percent"),
-            v.tidy(F.avg("avg_item_level"), 1).alias("avg_item_level")]
+            v.tidy(v.mean("rank_percent"), 1).alias("avg_rank_percent"), v.tidy(F.max("rank_percent"), 1).alias("best_rank_percent"),
+            v.tidy(v.mean("avg_item_level"), 1).alias("avg_item_level")]
 
 
 def player_performance_summary(roster: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def included(df: DataFrame) -> DataFrame:
 
 def _mean(column: Column | str) -> Column:
     """Mean of the known values, 0 when there is none."""
-    return F.coalesce(F.avg(column), F.lit(0.0))
+    return F.coalesce(v.mean(column), F.lit(0.0))
 
 
 # --- attendance ----------------------------------------------------------------------------
@@ -47,7 +47,7 @@ def scoped_attendance(roster: DataFrame, summary: DataFrame, attendance: DataFra
 
 def attendance_kpis(scoped: DataFrame) -> DataFrame:
     tracked = scoped.filter("total_raids_tracked > 0")
-    return tracked.agg(F.count("*").alias("players"), v.tidy(F.avg("attendance_rate_pct"), 2).alias("avg_attendance"),
+    return tracked.agg(F.count("*").alias("players"), v.tidy(v.mean("attendance_rate_pct"), 2).alias("avg_attendance"),
                        F.count_if(c("raids_present") == c("total_raids_tracked")).alias("perfect"), F.max("total_raids_tracked").alias("sessions"))
 
 
@@ -77,7 +77,7 @@ def boss_kpis(progression: DataFrame, wipes: DataFrame, best: DataFrame) -> Data
     label = F.concat_ws(" / ", "boss_name", "difficulty_label")
     base = progression.agg(
         F.sum("total_pulls").alias("total_pulls"), F.sum("total_kills").alias("total_kills"),
-        F.coalesce(v.tidy(F.avg(F.when(killed, c("total_pulls"))), 4), F.lit(0.0)).alias("avg_pulls_to_kill"),
+        F.coalesce(v.tidy(v.mean(F.when(killed, c("total_pulls"))), 4), F.lit(0.0)).alias("avg_pulls_to_kill"),
         F.count_if(~killed).alias("unresolved"), F.coalesce(F.sum(F.when(~killed, c("total_pulls"))), F.lit(0)).alias("unresolved_pulls"),
         F.max_by(label, F.when(~killed, F.struct("total_wipes", label))).alias("biggest_wall"),
         F.count_if(killed & (c("difficulty_label") == "Mythic")).alias("mythic_kills"),
@@ -187,7 +187,7 @@ def player_kpis(players: DataFrame) -> DataFrame:
 
 def top_performers(roster: DataFrame, n: int = 9) -> DataFrame:
     players = roster.groupBy("player_name").agg(F.count("*").alias("kills_tracked"), F.count("rank_percent").alias("_ranked"),
-                                                v.tidy(F.avg("rank_percent"), 4).alias("avg_rank_percent"))
+                                                v.tidy(v.mean("rank_percent"), 4).alias("avg_rank_percent"))
     kept = players.filter("kills_tracked >= 2 AND _ranked > 0").drop("_ranked")
     return kept.orderBy(c("avg_rank_percent").desc(), "player_name").limit(n)
 
@@ -213,7 +213,7 @@ def player_boss_fallback(roster: DataFrame) -> DataFrame:
 def item_levels(equipment: DataFrame, roster: DataFrame, summary: DataFrame) -> DataFrame:
     """Worn gear mean without cosmetic slots, else the latest log, else the summary."""
     worn = equipment.filter(~F.upper("slot_type").isin("SHIRT", "TABARD") & (c("item_level") > 0)).groupBy("player_name").agg(
-        v.tidy(F.avg("item_level"), 4).alias("_gear"))
+        v.tidy(v.mean("item_level"), 4).alias("_gear"))
     logged = roster.groupBy("player_name").agg(F.max_by("avg_item_level", F.when(c("avg_item_level") > 0, _latest())).alias("_log"))
     known = summary.groupBy("player_name").agg(F.max(F.when(c("avg_item_level") > 0, c("avg_item_level"))).alias("_summary"))
     merged = rows.union_branches([worn, logged, known]).groupBy("player_name").agg(*[F.max(n).alias(n) for n in ("_gear", "_log", "_summary")])
@@ -246,7 +246,7 @@ def reports_by_boss(roster: DataFrame, summary: DataFrame) -> DataFrame:
 
 def raid_kpis(summary: DataFrame) -> DataFrame:
     return summary.agg(F.count("*").alias("raids"), F.sum("boss_kills").alias("total_kills"), F.sum("total_wipes").alias("total_wipes"),
-                       F.sum("total_fight_seconds").alias("total_seconds"), v.tidy(F.avg("boss_kills"), 4).alias("avg_kills"))
+                       F.sum("total_fight_seconds").alias("total_seconds"), v.tidy(v.mean("boss_kills"), 4).alias("avg_kills"))
 
 
 def raids_by_zone(summary: DataFrame) -> DataFrame:
@@ -311,7 +311,7 @@ def readiness_kpis(ready: DataFrame) -> DataFrame:
     core = (c("food_rate") + c("flask_rate") + c("weapon_rate")) / 3
     bare = (c("food_rate") + c("flask_rate") + c("weapon_rate") + c("combat_potion_rate")) == 0
     return ready.agg(
-        v.tidy(F.avg("readiness_score"), 2).alias("avg_readiness"), v.tidy(_mean(F.when(tracked, c("combat_potion_rate"))), 2).alias("avg_combat_potion"),
+        v.tidy(v.mean("readiness_score"), 2).alias("avg_readiness"), v.tidy(_mean(F.when(tracked, c("combat_potion_rate"))), 2).alias("avg_combat_potion"),
         v.tidy(_mean(F.when(tracked, core)), 2).alias("avg_core_coverage"), F.count_if(c("readiness_label") == "watch").alias("watchlist"),
         F.count_if("is_active").alias("active"), F.count_if("has_current_tier_data").alias("current_tier"),
         ((F.count_if(tracked) > 0) & (F.count_if(tracked & ~bare) == 0)).alias("zero_consumable_coverage"))
@@ -361,7 +361,7 @@ def _this_week(weekly: DataFrame) -> DataFrame:
 
 def runner_kpis(runners: DataFrame, weekly: DataFrame) -> DataFrame:
     joined = runners.join(_this_week(weekly), "player_name", "left").fillna(0, ["runs_this_week"])
-    return joined.agg(F.count("*").alias("active"), v.tidy(F.avg("score_all"), 2).alias("avg_score"),
+    return joined.agg(F.count("*").alias("active"), v.tidy(v.mean("score_all"), 2).alias("avg_score"),
                       F.max_by("player_name", F.struct("score_all", "player_name")).alias("top_player"), F.sum("runs_this_week").alias("keys_this_week"))
 
 
@@ -396,8 +396,8 @@ def score_trajectory(history: DataFrame, runners: DataFrame) -> DataFrame:
     roles = runners.groupBy("player_name").agg(F.max("role").alias("role"))
     scored = history.filter("score_all > 0").join(roles, "player_name")
     return scored.groupBy("snapshot_date").agg(
-        *[v.tidy(F.avg(F.when(c("role") == r, c("score_all"))), 4).alias(r) for r in ("dps", "healer", "tank")],
-        v.tidy(F.avg("score_all"), 4).alias("all_roles"))
+        *[v.tidy(v.mean(F.when(c("role") == r, c("score_all"))), 4).alias(r) for r in ("dps", "healer", "tank")],
+        v.tidy(v.mean("score_all"), 4).alias("all_roles"))
 
 
 def push_candidates(dungeons: DataFrame, runners: DataFrame) -> DataFrame:

@@ -106,3 +106,10 @@ def test_hash_keys_have_known_values(spark):
     frame = spark.createDataFrame(rows, "report_code STRING, fight_id BIGINT, player_name STRING, at BIGINT, blow STRING")
     found = frame.select(F.xxhash64("report_code", "fight_id", "player_name", "at", "blow").alias("h")).collect()
     assert [r.h for r in found] == [plain(*row) for row in rows]
+
+
+def test_mean_is_exact_or_plain(spark):
+    frame = spark.createDataFrame([(1, 0.1), (1, 0.2), (1, 0.3), (1, None), (2, 1e20), (2, 2e20), (3, 1 / 3), (3, 2 / 3), (4, None), (5, 9e23), (5, 9e23)], "k INT, x DOUBLE")
+    found = {r.k: r.m for r in frame.groupBy("k").agg(v.mean("x").alias("m")).collect()}
+    assert found == {1: 0.6 / 3, 2: 1.5e20, 3: 0.5, 4: None, 5: 9e23}
+    assert spark.range(5).agg(v.mean("id").alias("m")).first().m == 2.0
