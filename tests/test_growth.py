@@ -5,7 +5,9 @@ from __future__ import annotations
 import contextlib
 import io
 
-from emberlog.plans import silver
+from emberlog import rules
+from emberlog.plans import publish, silver
+from emberlog.sources import sinks
 
 
 def explained(df) -> str:
@@ -48,3 +50,13 @@ def test_nothing_is_shuffled_once_rules_multiply_the_rows(spark):
     ruled = next(i for i, line in enumerate(lines) if "BroadcastHashJoin" in line and "player_class" in line)
     assert not any("hashpartitioning" in line for line in lines[:ruled])
     assert sum("ability_id" in line for line in lines if "Exchange hashpartitioning" in line) <= 2
+
+
+def test_published_files_are_short_enough_to_be_hashed_whole(spark, tmp_path):
+    root, rows = str(tmp_path), 2 * rules.MAX_FILE_ROWS + 1
+    sinks.write_json(spark.range(rows).coalesce(1), f"{root}/snapshots/snapshot_id=s1/ids")
+    listed = publish.data_files(spark, root, "s1").first()
+    assert listed["dataset"] == "ids" and len(listed["files"]) == 3
+    for f in listed["files"]:
+        assert spark.read.text(f"{root}/snapshots/snapshot_id=s1/ids/{f['name']}").count() <= rules.MAX_FILE_ROWS
+    assert spark.read.json(f"{root}/snapshots/snapshot_id=s1/ids").distinct().count() == rows
