@@ -6,8 +6,10 @@ import contextlib
 import io
 
 from emberlog import rules
-from emberlog.plans import publish, silver
+from emberlog.plans import gold_wipes, pipeline, publish, silver, views
 from emberlog.sources import sinks
+from emberlog.workload import q_gold, q_quality
+from emberlog.workload.domain import Domain
 
 
 def explained(df) -> str:
@@ -60,3 +62,34 @@ def test_published_files_are_short_enough_to_be_hashed_whole(spark, tmp_path):
     for f in listed["files"]:
         assert spark.read.text(f"{root}/snapshots/snapshot_id=s1/ids/{f['name']}").count() <= rules.MAX_FILE_ROWS
     assert spark.read.json(f"{root}/snapshots/snapshot_id=s1/ids").distinct().count() == rows
+
+
+def test_scores_are_worked_out_once_before_they_are_graded(spark):
+    scores = spark.range(9).selectExpr("concat('p', id) AS player_identity_key", "'z' AS zone_name", "'b' AS boss_name", "'All' AS difficulty_label", "CAST(id AS DOUBLE) AS survival_discipline_score")
+    graded = views.relative_grades(scores)
+    assert "Range" not in explained(graded)
+    assert [r[0] for r in graded.orderBy("survival_discipline_score").select("survival_grade").collect()] == list("FEEDCBAAS")
+
+
+def test_shared_tables_are_worked_out_once(spark, sf_dir, monkeypatch):
+    made = []
+    monkeypatch.setattr(pipeline, "stored", lambda df: made.append(df) or df)
+    tables = q_quality._shared_tables(Domain(spark, sf_dir))
+    assert set(tables.store) == set(pipeline.TABLES)
+    for name in ("gold_guild_roster", "gold_raid_team", "dim_guild_member", "gold_raid_summary", "gold_weekly_activity"):
+        tables[name]
+    # two dimensions, reports, fights, actors, members, attendance, performance, and the four gold tables
+    assert len(made) == len({id(df) for df in made}) == 12
+    assert {"gold_raid_team", "silver_actor_roster"} <= set(q_gold.SHARED)
+
+
+def test_discipline_inputs_are_read_once(spark, monkeypatch):
+    keys = "player_identity_key STRING, player_name STRING, player_class STRING, realm STRING, zone_name STRING, encounter_id BIGINT, boss_name STRING, difficulty BIGINT, difficulty_label STRING"
+    counts = spark.range(2).selectExpr("concat('p', id) AS player_identity_key", "'P' AS player_name", "'Mage' AS player_class", "'r' AS realm", "'z' AS zone_name", "1L AS encounter_id",
+                                       "'b' AS boss_name", "3L AS difficulty", "'Normal' AS difficulty_label", *[f"4L AS {c}" for c in gold_wipes._ADDITIVE])
+    monkeypatch.setattr(gold_wipes, "discipline_counts", lambda *_: counts)
+    survival = spark.createDataFrame([], f"{keys}, killing_blow_name STRING")
+    roster = spark.createDataFrame([], "player_identity_key STRING, role STRING, raid_night_date STRING, report_code STRING, fight_id BIGINT")
+    scored = gold_wipes.wipe_survival_discipline(None, survival, None, roster, None)
+    assert "Range" not in explained(scored)
+    assert scored.count() == 2 * len(gold_wipes.DISCIPLINE_SETS)
