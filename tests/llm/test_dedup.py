@@ -155,6 +155,48 @@ def test_strings_of_repeated_rows_null_ids_and_nothing(docs):
     assert suffix_dedup.remove_repeats(docs([])).count() == 0
 
 
+def test_every_string_is_in_one_context():
+    import pyarrow as pa
+
+    texts = [*(t for _, t in string_rows(6)), "".join(random.Random(3).choices("abcdefgh ", k=20_000))]
+    found = suffix_dedup.Anchors(pa.array(texts))
+    found.contexts()
+    starts = [s for low, high in zip(found.low.tolist(), found.high.tolist()) for s in range(low, high - 99)]
+    sizes, want, at = [len((t or "").encode()) for t in texts], [], 0
+    for size in sizes:
+        want += range(at, at + max(0, size - 99))
+        at += size
+    assert starts == want  # each once: what moves and what the families hold is no multiple of the texts
+    data, anchors = found.data.tobytes(), {}
+    for low, high, anchor in zip(found.low.tolist(), found.high.tolist(), found.at.tolist()):
+        for s in range(low, high - 99):
+            assert anchors.setdefault(data[s:s + 100], anchor - s) == anchor - s and 0 <= anchor - s <= 60
+
+
+def test_cut_in_many_blocks(monkeypatch):
+    import pyarrow as pa
+
+    rng, rows = random.Random(8), []
+    for i in range(60):
+        text = "".join(rng.choices("abé", k=rng.choice([0, 1, 30, 300])))
+        size = len(text.encode())
+        ends = [sorted(rng.sample(range(size + 1), 2)) for _ in range(rng.randrange(4))] if size > 1 else []
+        rows.append((i, text if i % 7 else None, (ends + [[0, size]] * (i % 5 == 0 and size > 0) if i % 7 else []) or None))
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 200)
+    kind = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
+    ranges = [r and [{"low": a, "high": b} for a, b in r] for _, _, r in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.string()), pa.array(ranges, kind)], names=["doc_id", "text", "ranges"])
+    blocks = list(suffix_dedup._cut(iter([batch.slice(0, 1), batch.slice(1)])))
+    found = [r for b in blocks for r in b.to_pylist()]
+    assert len(blocks) > 10 and [r["doc_id"] for r in found] == [r[0] for r in rows]
+    for (_, text, ends), row in zip(rows, found):
+        data = (text or "").encode()
+        mark = [any(a <= i < b for a, b in ends or []) for i in range(len(data))]
+        assert row["kept_bytes"] == bytes(x for x, m in zip(data, mark) if not m)
+        assert [i for s in row["spans"] for i in range(s["low"], s["high"])] == [i for i, m in enumerate(mark) if m]
+        assert all(a["high"] < b["low"] for a, b in zip(row["spans"], row["spans"][1:]))
+
+
 def test_family_levels_stay_logarithmic():
     import numpy as np
 
