@@ -165,9 +165,9 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
     usable = labelled.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
     usable = usable.select(F.col(lang).alias("lang"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("at", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
     keys = usable.select("lang", "doc_id", "at")
-    # one row per language; of a frequent one only about four times the rows wanted are ranked at all
-    counts = keys.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(4.0 * per_language) / F.count("*")).alias("share")).withColumnRenamed("lang", "of_lang")
-    keys = keys.join(F.broadcast(counts), F.col("lang") == F.col("of_lang")).filter(F.col("at") < F.col("share") * (1 << 40))
+    # one row per language; of a frequent one only about four times the ids wanted are ranked at all
+    counts = keys.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(4.0 * per_language) / F.approx_count_distinct("at")).alias("share")).withColumnRenamed("lang", "of_lang")
+    keys = keys.join(F.broadcast(counts), F.col("lang") == F.col("of_lang")).filter(F.col("at") < F.col("share") * (1 << 40)).select("lang", "doc_id", "at").distinct()
     first = Window.partitionBy("lang").orderBy("at", "doc_id")
     chosen = keys.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_language)
     chosen = chosen.select(F.col("lang").alias("c_lang"), F.col("doc_id").alias("c_id")).distinct()
