@@ -32,20 +32,25 @@ class Chunks:
 
     def __init__(self, bits: int):
         self.bits, self.held, self.count = bits, [], 0
+        self.slot_type = np.int32 if bits <= 1 << 31 else np.int64
 
     def add(self, hashes: np.ndarray) -> list[tuple[int, bytes, bytes]]:
-        self.held.append((hashes % _U(self.bits)).astype(np.int64))
+        self.held.append((hashes % _U(self.bits)).astype(self.slot_type))
         self.count += len(hashes)
         return self.rows() if self.count > HELD_HASHES else []
 
     def rows(self) -> list[tuple[int, bytes, bytes]]:
         if not self.count:
             return []
-        slots, counts = np.unique(np.concatenate(self.held), return_counts=True)
+        slots = np.concatenate(self.held)
         self.held, self.count = [], 0
+        slots.sort()
+        new = np.ones(len(slots), bool)
+        np.not_equal(slots[1:], slots[:-1], out=new[1:])
+        again, slots = np.append(~new[1:], False)[new], slots[new]
         chunks = slots // CHUNK_BITS
         starts = np.flatnonzero(np.diff(chunks, prepend=-1))
-        return [(int(chunks[s]), _packed(slots[s:e]), _packed(slots[s:e][counts[s:e] > 1])) for s, e in zip(starts, [*starts[1:], len(slots)])]
+        return [(int(chunks[s]), _packed(slots[s:e]), _packed(slots[s:e][again[s:e]])) for s, e in zip(starts, [*starts[1:], len(slots)])]
 
 
 def _packed(slots: np.ndarray) -> bytes:

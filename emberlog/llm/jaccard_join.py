@@ -35,13 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm.bit_filter import CHUNK_SCHEMA, Chunks, bits_for, chunk_rows, contains, merged_bits
-from emberlog.llm.blocks import text_blocks
+from emberlog.llm.blocks import free_unused, small_batches, text_blocks
 from emberlog.llm.components import components
 from emberlog.llm.hashing import mixed, shingle_sets
 from emberlog.session import stored
 
 SKETCH_BITS = 22
 CHUNK = 1 << 16
+TEXT_BYTES = 1 << 18
 CELL_CLASSES = 512
 WHOLE_LIST = 2048
 VIABLE_ROWS = 64
@@ -69,8 +70,9 @@ def _classes_and_counts(k: int, id_type: pa.DataType, bits: int):
         return pa.RecordBatch.from_arrays([*nothing, *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_unused()
         counts, seen_bits = np.zeros(1 << SKETCH_BITS, np.uint32), Chunks(bits)
-        for block in text_blocks(batches, "text"):
+        for block in text_blocks(batches, "text", TEXT_BYTES):
             sets = shingle_sets(block.column("text"), k)
             if sets:
                 together = np.concatenate(sets)
@@ -120,8 +122,9 @@ def prefix_length(n: int, percent: int) -> int:
 def _prefixes(k: int, percent: int, shared):
     """(shingle, class, n, pos) of every prefix shingle, once per class and task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_unused()
         done: set[bytes] = set()
-        for block in text_blocks(batches, "text"):
+        for block in text_blocks(batches, "text", TEXT_BYTES):
             rows, names = [], []
             for shingles in shingle_sets(block.column("text"), k):
                 name = class_of(shingles)
@@ -256,7 +259,8 @@ def _viable_rows(rows: pa.Table, percent: int, long_list: int | None) -> Iterato
 def _ordered_sets(k: int, order, chosen):
     """(class, shingles in global order) of the documents whose key passes the filter of chosen ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in text_blocks(batches, "text"):
+        free_unused()
+        for block in text_blocks(batches, "text", TEXT_BYTES):
             block = block.filter(pa.array(contains(chosen.value, block.column("key").to_numpy().view(_U))))
             found = [(class_of(s), order.value.rare_first(s)[0].tobytes()) for s in shingle_sets(block.column("text"), k)]
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.binary()) for i in range(2)], names=["class", "shingles"])
@@ -442,8 +446,9 @@ def _prepared(df: DataFrame, text: str, doc_id: str, k: int):
 
 def linked_rows(df: DataFrame, text: str, doc_id: str, k: int, percent: int) -> DataFrame:
     """``doc_id, tag`` (hash of the text)``, n, class, component`` of every row, the last null without shingles."""
-    docs, sized, order = _prepared(df, text, doc_id, k)
-    linked = stored(link_classes(docs, sized, order, k, percent))
+    with small_batches(df.sparkSession):
+        docs, sized, order = _prepared(df, text, doc_id, k)
+        linked = stored(link_classes(docs, sized, order, k, percent))
     linked = linked.select("node", F.col("component").alias("reached"))
     found = sized.join(linked, F.col("class") == F.col("node"), "left")
     return stored(found.select("doc_id", "tag", "n", "class", F.when(F.col("n") > 0, F.coalesce("reached", "class")).alias("component")))
@@ -478,18 +483,20 @@ def links(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5,
     There are as many pairs as similar sets, so they grow with the square of a group of different near copies;
     ``link_counts`` returns none of them.
     """
-    docs, sized, order = _prepared(df, text, doc_id, k)
-    cells, _ = _whole_cells(docs, sized, order, k, percent)
-    return stored(cells.mapInArrow(_cell_pairs(percent), "a binary, b binary")), sized.filter("n > 0").select("doc_id", "class")
+    with small_batches(df.sparkSession):
+        docs, sized, order = _prepared(df, text, doc_id, k)
+        cells, _ = _whole_cells(docs, sized, order, k, percent)
+        return stored(cells.mapInArrow(_cell_pairs(percent), "a binary, b binary")), sized.filter("n > 0").select("doc_id", "class")
 
 
 def link_counts(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 80) -> DataFrame:
     """One row per input row: ``doc_id``, ``n_shingles``, ``n_links`` (other rows that are similar, copies included)."""
-    docs, sized, order = _prepared(df, text, doc_id, k)
-    cells, sizes = _whole_cells(docs, sized, order, k, percent)
-    near = cells.mapInArrow(_cell_counts(percent), "class binary, found long").groupBy("class").agg(F.sum("found").alias("found"))
-    per_class = sizes.join(near, "class", "left").select("class", (F.col("rows") - 1 + F.coalesce("found", F.lit(0))).alias("n_links"))
-    found = sized.join(stored(per_class), "class", "left")
+    with small_batches(df.sparkSession):
+        docs, sized, order = _prepared(df, text, doc_id, k)
+        cells, sizes = _whole_cells(docs, sized, order, k, percent)
+        near = cells.mapInArrow(_cell_counts(percent), "class binary, found long").groupBy("class").agg(F.sum("found").alias("found"))
+        per_class = stored(sizes.join(near, "class", "left").select("class", (F.col("rows") - 1 + F.coalesce("found", F.lit(0))).alias("n_links")))
+    found = sized.join(per_class, "class", "left")
     return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
+import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from emberlog.llm import bloom_dedup, jaccard_join, suffix_dedup
+from emberlog.llm import bit_filter, blocks, bloom_dedup, jaccard_join, suffix_dedup
 from emberlog.llm.components import components
 
 
@@ -107,6 +111,48 @@ def test_keep_one_of_each_component(docs):
     assert kept.columns == frame.columns and sorted(r["doc_id"] for r in kept.collect()) == want
 
 
+def test_near_copies_read_small_batches(docs, monkeypatch):
+    limits, real = [], jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df: limits.append(df.sparkSession.conf.get(blocks.BATCH_LIMIT, None)) or real(df))
+    frame = docs(near_rows(4))
+    frame.sparkSession.conf.unset(blocks.BATCH_LIMIT)
+    jaccard_join.keep_one(frame)
+    assert limits[0] == str(blocks.BLOCK_BYTES) and frame.sparkSession.conf.get(blocks.BATCH_LIMIT, None) is None
+    with pytest.raises(ZeroDivisionError), blocks.small_batches(frame.sparkSession):
+        1 / 0
+    assert frame.sparkSession.conf.get(blocks.BATCH_LIMIT, None) is None
+
+
+def test_memory_of_a_prefix_task_does_not_follow_its_batch():
+    """About 4 MB of text in one batch: what the task holds at once, besides the order and the powers of the hash, stays small."""
+    rng = random.Random(6)
+    texts = [" ".join(str(rng.randrange(10**6)) for _ in range(1200)) for _ in range(500)]
+    order = type("Shared", (), {"value": jaccard_join.Order(np.ones(1 << jaccard_join.SKETCH_BITS, np.uint32), np.full(1 << 16, 255, np.uint8))})
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    task = jaccard_join._prefixes(5, 80, order)
+    assert sum(len(b) for b in task(iter([batch.slice(0, 9)]))) == 9 * 240
+    tracemalloc.start()
+    try:
+        count = sum(len(b) for b in task(iter([batch])))
+        assert count == 500 * 240 and tracemalloc.get_traced_memory()[1] < 24 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_filter_chunks_tell_once_from_twice():
+    rng = np.random.default_rng(3)
+    for bits in (1 << 20, 1 << 33):
+        chunks = bit_filter.Chunks(bits)
+        some = rng.integers(0, 1 << 62, 3000, dtype=np.uint64)
+        assert chunks.add(np.concatenate([some[:2000], some[:500]])) == [] and chunks.add(some[1900:]) == []
+        slots, counts = np.unique((np.concatenate([some[:2000], some[:500], some[1900:]]) % np.uint64(bits)).astype(np.int64), return_counts=True)
+        once, twice = [], []
+        for chunk, a, b in chunks.rows():
+            for packed, found in ((a, once), (b, twice)):
+                found.extend(chunk * bit_filter.CHUNK_BITS + np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8))))
+        assert once == slots.tolist() and twice == slots[counts > 1].tolist() and chunks.rows() == []
+
+
 def test_chain_of_links_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     found = {r["node"]: r["component"] for r in components(edges).collect()}
