@@ -134,7 +134,7 @@ def test_memory_of_a_prefix_task_does_not_follow_its_batch():
     tracemalloc.start()
     try:
         count = sum(len(b) for b in task(iter([batch])))
-        assert count == 500 * 240 and tracemalloc.get_traced_memory()[1] < 24 << 20
+        assert count == 500 * 240 and tracemalloc.get_traced_memory()[1] < 12 << 20
     finally:
         tracemalloc.stop()
 
