@@ -59,6 +59,70 @@ def _packed(slots: np.ndarray) -> bytes:
     return zlib.compress(np.packbits(chunk).tobytes(), 1)
 
 
+OCCURRENCE_BITS = 64
+HELD_OCCURRENCES = 1 << 20
+_SLOT = _U(CHUNK_BITS - 1)
+
+
+class Occurrences:
+    """Collects hashes and gives rows of them packed by chunk, for ``Counted`` to tell which occur again, and how often.
+
+    A hash is cut to its slot among ``bits`` and to ``extra`` more bits, so that all together ``OCCURRENCE_BITS`` values
+    stand for each of ``count`` hashes: what occurs again is told from what only shares a slot. A row takes about 2.3 bytes a hash.
+    """
+
+    def __init__(self, bits: int, count: int):
+        self.shift = _U(bits.bit_length() - 1)
+        extra = max(0, (max(1, count) * OCCURRENCE_BITS // bits).bit_length())
+        self.low, self.high = _U(bits - 1), _U((1 << min(extra, 32 - CHUNK_BITS.bit_length() + 1)) - 1)
+        self.held, self.count = [], 0
+
+    def add(self, hashes: np.ndarray) -> list[tuple[int, bytes]]:
+        slots = hashes & self.low
+        key = ((hashes >> self.shift) & self.high) * _U(CHUNK_BITS) | slots & _SLOT
+        self.held.append((slots // _U(CHUNK_BITS)) << _U(32) | key)
+        self.count += len(hashes)
+        return self.rows() if self.count > HELD_OCCURRENCES else []
+
+    def rows(self) -> list[tuple[int, bytes]]:
+        if not self.count:
+            return []
+        together = np.concatenate(self.held)
+        self.held, self.count = [], 0
+        together.sort()
+        keys, chunks = together.astype(np.uint32), (together >> _U(32)).astype(np.int64)
+        starts = np.flatnonzero(np.diff(chunks, prepend=-1))
+        return [(int(chunks[s]), packed_keys(keys[s:e])) for s, e in zip(starts, [*starts[1:], len(keys)])]
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as steps from each to the next, byte by byte of their place: the upper bytes are mostly zero."""
+    return zlib.compress(np.diff(keys, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked_keys(packed: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+    return np.cumsum(steps, dtype=np.uint32)
+
+
+def counted(rows: list[bytes], run: int) -> tuple[bytes, bytes]:
+    """Of all packed rows of a chunk: the bitmap of slots with a hash that occurs again, and the levels of how often.
+
+    A level stands for ``run`` slots: eight times the binary logarithm of the most occurrences of a hash there.
+    """
+    keys = np.concatenate([unpacked_keys(r) for r in rows])
+    keys.sort()
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    counts = np.diff(starts, append=len(keys))
+    many = counts > 1
+    slots = (keys[starts[many]] & np.uint32(CHUNK_BITS - 1)).astype(np.int64)
+    again = np.zeros(CHUNK_BITS, bool)
+    again[slots] = True
+    levels = np.zeros(CHUNK_BITS // run, np.uint8)
+    np.maximum.at(levels, slots // run, np.minimum(8 * np.log2(counts[many]), 255).astype(np.uint8))
+    return zlib.compress(np.packbits(again).tobytes(), 1), zlib.compress(levels.tobytes(), 1)
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(_TYPES)], names=["chunk", "once", "twice"])
 

@@ -34,18 +34,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.bit_filter import CHUNK_SCHEMA, Chunks, bits_for, chunk_rows, contains, merged_bits
+from emberlog.llm.bit_filter import CHUNK_BITS, CHUNK_SCHEMA, Occurrences, bits_for, chunk_rows, contains, counted, merged_bits
 from emberlog.llm.blocks import free_unused, small_batches, text_blocks
 from emberlog.llm.components import components
 from emberlog.llm.hashing import mixed, shingle_sets
 from emberlog.session import stored
 
-SKETCH_BITS = 22
-CHUNK = 1 << 16
+SKETCH_BITS = 24
+FIRST_ROW = 1 << 40
 TEXT_BYTES = 1 << 18
 CELL_CLASSES = 512
 WHOLE_LIST = 2048
 VIABLE_ROWS = 64
+CELL_BYTES = 1 << 20
 BROADCAST_ROWS = 100_000
 SUFFIX_PARTS = 16
 _U = np.uint64
@@ -57,56 +58,66 @@ def class_of(shingles: np.ndarray) -> bytes:
     return b"".join(int(p).to_bytes(8, "big") for p in parts)
 
 
-def _slots(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> _U(64 - SKETCH_BITS)).astype(np.int64)
+def _classes_and_hashes(k: int, id_type: pa.DataType, bits: int, count: int):
+    """Rows (doc_id, tag, n, class) of all documents, each a part of its own, and the task's shingles packed by chunk."""
+    names = ["doc_id", "tag", "n", "class", "part", "packed"]
 
-
-def _classes_and_counts(k: int, id_type: pa.DataType, bits: int):
-    """Rows (doc_id, tag, n, class) of all documents, and the task's filter and sketch in packed chunks."""
-    names, types = ["doc_id", "tag", "n", "class", "chunk", "counts", "once", "twice"], (pa.int32(), pa.binary(), pa.binary(), pa.binary())
-
-    def packed(rows: list[tuple]) -> pa.RecordBatch:
+    def chunks(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
         nothing = [pa.nulls(len(rows), t) for t in (id_type, pa.int64(), pa.int32(), pa.binary())]
-        return pa.RecordBatch.from_arrays([*nothing, *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))], names=names)
+        return pa.RecordBatch.from_arrays([*nothing, pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_unused()
-        counts, seen_bits = np.zeros(1 << SKETCH_BITS, np.uint32), Chunks(bits)
+        seen, number = Occurrences(bits, count), FIRST_ROW
         for block in text_blocks(batches, "text", TEXT_BYTES):
             sets = shingle_sets(block.column("text"), k)
-            if sets:
-                together = np.concatenate(sets)
-                slots, seen = np.unique(_slots(together), return_counts=True)
-                counts[slots] += seen.astype(np.uint32)
-                if rows := seen_bits.add(together):
-                    yield packed([(chunk, None, once, twice) for chunk, once, twice in rows])
+            if sets and (rows := seen.add(np.concatenate(sets))):
+                yield chunks(rows)
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("tag"), pa.array([len(s) for s in sets], pa.int32()), pa.array([class_of(s) for s in sets], pa.binary()),
-                                              *(pa.nulls(len(sets), t) for t in types)], names=names)
-        yield packed([(chunk, None, once, twice) for chunk, once, twice in seen_bits.rows()])
-        yield packed([(i, zlib.compress(c.tobytes(), 1), None, None) for i, c in enumerate(counts.reshape(-1, CHUNK)) if c.any()])
+                                              pa.array(np.arange(number, number + len(sets))), pa.nulls(len(sets), pa.binary())], names=names)
+            number += len(sets)
+        yield chunks(seen.rows())
     return run
 
 
-def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum the packed chunks of a partition; each chunk number is in one partition only."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            sums[chunk] = sums.get(chunk, 0) + np.frombuffer(zlib.decompress(counts), np.uint32).astype(np.uint64)
-    packed = [zlib.compress(np.minimum(c, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1) for c in sums.values()]
-    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary())], names=["chunk", "counts"])
+def _counted_chunks(id_type: pa.DataType, run_of_level: int):
+    """Of rows sorted by part: each chunk's filter of repeated shingles and their levels; the rows of documents as they are."""
+    names = ["doc_id", "tag", "n", "class", "part", "repeated", "levels"]
+
+    def chunk(part: int, rows: list[bytes]) -> pa.RecordBatch:
+        nothing = [pa.nulls(1, t) for t in (id_type, pa.int64(), pa.int32(), pa.binary())]
+        return pa.RecordBatch.from_arrays([*nothing, pa.array([part], pa.int64()), *(pa.array([x], pa.binary()) for x in counted(rows, run_of_level))], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+        for batch in batches:
+            parts = batch.column("part").to_numpy()
+            edge = int(np.searchsorted(parts, FIRST_ROW))
+            for part, packed in zip(parts[:edge].tolist(), batch.column("packed").slice(0, edge).to_pylist()):
+                if held and part != last:
+                    yield chunk(last, held)
+                    held = []
+                last = part
+                held.append(packed)
+            rest = batch.slice(edge)
+            yield pa.RecordBatch.from_arrays([*(rest.column(c) for c in names[:5]), pa.nulls(len(rest), pa.binary()), pa.nulls(len(rest), pa.binary())], names=names)
+        if held:
+            yield chunk(last, held)
+    return run
 
 
 class Order:
-    """The global order of shingles: those that surely occur once, then by sketch count, then by hash."""
+    """The global order of shingles: those that surely occur once, then by the level of how often, then by hash."""
 
     def __init__(self, sketch: np.ndarray, repeated: np.ndarray):
         self.sketch, self.repeated = sketch, repeated
+        self.run = max(1, len(repeated) * 8 // len(sketch))
 
     def rare_first(self, shingles: np.ndarray) -> tuple[np.ndarray, int]:
         """The set, sorted by hash, in the global order; and how many of it surely occur once."""
         many = contains(self.repeated, shingles)
-        rank = np.where(many, self.sketch[_slots(shingles)].astype(np.int64) + 1, 0)
+        slots = (shingles % _U(len(self.repeated) * 8)).astype(np.int64)
+        rank = np.where(many, self.sketch[slots // self.run].astype(np.int64) + 1, 0)
         return shingles[np.argsort(rank, kind="stable")], len(many) - int(many.sum())
 
 
@@ -279,6 +290,61 @@ def _other_components(percent: int):
     return run
 
 
+def signature(shingles: np.ndarray) -> bytes:
+    """Whether the shingles in each slot are odd in number, of as many slots as shingles, up to a power of two.
+
+    Two sets differ in at least as many shingles as their signatures in bits, once the longer one is folded.
+    """
+    slots = max(64, 1 << (len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & _U(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [signature(np.frombuffer(s, _U)) for s in batch.column("shingles").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(found, pa.binary())], names=["class", "signature"])
+
+
+def possible_partners(n: np.ndarray, pos: np.ndarray, component: np.ndarray, signatures: list[bytes], percent: int, side: np.ndarray | None = None) -> np.ndarray:
+    """Which members of a cell have a partner of another component that length, place and signatures allow; with ``side``, across sides only."""
+    need = least_overlap(n[:, None], n[None, :], percent)
+    fits = 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
+    fits &= np.minimum((n - pos)[:, None], (n - pos)[None, :]) >= need
+    fits &= component[:, None] != component[None, :]
+    if side is not None:
+        fits &= side[:, None] != side[None, :]
+    at, to = np.nonzero(np.triu(fits, 1))
+    found, sizes = np.zeros(len(n), bool), np.array([len(s) for s in signatures])
+    shared = np.minimum(sizes[at], sizes[to])
+    for size in np.unique(shared):
+        folded = np.zeros((len(n), size // 8), _U)
+        for member in np.flatnonzero(sizes >= size):
+            folded[member] = np.bitwise_xor.reduce(np.frombuffer(signatures[member], _U).reshape(-1, size // 8), axis=0)
+        i, j = at[shared == size], to[shared == size]
+        block = max(1, CELL_BYTES // size)
+        for start in range(0, len(i), block):
+            x, y = i[start:start + block], j[start:start + block]
+            new = ~(found[x] & found[y])
+            x, y = x[new], y[new]
+            apart = np.bitwise_count(folded[x] ^ folded[y]).sum(1, dtype=np.int64)
+            fine = apart <= n[x] + n[y] - 2 * need[x, y]
+            found[x[fine]] = found[y[fine]] = True
+    return found
+
+
+def _cell_members(percent: int):
+    """Of cells with signatures: members with a possible partner in another component, as rows without signatures."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches, ["shingle", "i", "j"]):
+            n, pos = rows["n"].to_numpy().astype(np.int64), rows["pos"].to_numpy().astype(np.int64)
+            component = np.unique(rows["component"].to_pylist(), return_inverse=True)[1]
+            side = rows["c"].to_numpy() if rows["i"][0] != rows["j"][0] else None
+            keep = possible_partners(n, pos, component, rows["signature"].to_pylist(), percent, side)
+            yield from rows.select(["shingle", "i", "j", "c", "class", "n", "pos"]).filter(pa.array(keep)).to_batches()
+    return run
+
+
 def _verify_pairs(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -382,6 +448,10 @@ def _small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    return (batch.column(0).to_numpy().view(_U) for batch in batches)
+
+
 def _lists_and_sets(docs: DataFrame, sized: DataFrame, order, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The lists (shingle, class, n, pos) that can give a pair, and the set of every class in one."""
     lists = docs.select("text").mapInArrow(_prefixes(k, percent, order), "shingle long, class binary, n int, pos int").repartition("shingle").sortWithinPartitions("shingle", "class")
@@ -390,12 +460,9 @@ def _lists_and_sets(docs: DataFrame, sized: DataFrame, order, k: int, percent: i
     in_lists = lists.select("class").distinct()
     chosen = stored(sized.join(in_lists, "class", "left_semi").groupBy("class").agg(F.min(F.struct("doc_id", "tag")).alias("d")).select(F.xxhash64("d.doc_id", "d.tag").alias("key")))
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        return (batch.column(0).to_numpy().view(_U) for batch in batches)
-
     # the filter finds the chosen documents without a shuffle of texts; a wrong hit is one set too many
     bits = bits_for(chosen.count(), per_hash=128)
-    wanted = docs.sparkSession.sparkContext.broadcast(merged_bits(chosen.mapInArrow(chunk_rows(bits, keys), CHUNK_SCHEMA), bits, "once"))
+    wanted = docs.sparkSession.sparkContext.broadcast(merged_bits(chosen.mapInArrow(chunk_rows(bits, _keys), CHUNK_SCHEMA), bits, "once"))
     texts = docs.select("text", F.xxhash64("doc_id", "tag").alias("key"))
     sets = stored(texts.mapInArrow(_ordered_sets(k, order, wanted), "class binary, shingles binary"))
     # lists and sets are stored: nothing reads the filters and the order again
@@ -420,11 +487,15 @@ def link_classes(docs: DataFrame, sized: DataFrame, order, k: int, percent: int)
     placed = placed.repartition("shingle").sortWithinPartitions("shingle", "class").mapInArrow(_other_components(percent), "shingle long, class binary, n int, pos int, component binary, chunks int, whole boolean")
     members = placed.withColumn("c", F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    cells = members.select("shingle", F.least("c", "other").alias("i"), F.greatest("c", "other").alias("j"), "c", "class", "n", "pos")
-    cells = sets.join(_small(stored(cells)), "class")
+    cells = members.select("shingle", F.least("c", "other").alias("i"), F.greatest("c", "other").alias("j"), "c", "class", "n", "pos", "component")
+    # signatures, a bit or two for each shingle, tell most members that no set needs to be sent for
+    signed = stored(sets.select("class", "shingles").mapInArrow(_signatures, "class binary, signature binary"))
+    cells = stored(cells).join(signed, "class").select("shingle", "i", "j", "c", "class", "n", "pos", "component", "signature")
+    cells = cells.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "class")
+    cells = stored(cells.mapInArrow(_cell_members(percent), "shingle long, i int, j int, c int, class binary, n int, pos int"))
+    cells = sets.join(_small(cells), "class")
     cells = cells.select("shingle", "i", "j", "c", "class", "n", "pos", "shingles").repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "class")
-    rest = cells.mapInArrow(_check_cells(percent), "a binary, b binary")
-    return components(near.unionByName(rest))
+    return components(near.unionByName(cells.mapInArrow(_check_cells(percent), "a binary, b binary")))
 
 
 def _prepared(df: DataFrame, text: str, doc_id: str, k: int):
@@ -433,14 +504,19 @@ def _prepared(df: DataFrame, text: str, doc_id: str, k: int):
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tag"))
     id_sql = docs.schema["doc_id"].dataType.simpleString()
     id_type = docs.select("doc_id").limit(0).toArrow().schema.field(0).type
-    bits = bits_for(docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] // 6, per_hash=8)  # about one word in six bytes
-    first = docs.mapInArrow(_classes_and_counts(k, id_type, bits), f"doc_id {id_sql}, tag long, n int, class binary, chunk int, counts binary, once binary, twice binary")
-    first = stored(first)
+    count = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] // 6  # about one word in six bytes
+    bits = bits_for(count, per_hash=8)
+    repeated, sketch = np.zeros(bits // 8, np.uint8), np.zeros(min(bits, 1 << SKETCH_BITS), np.uint8)
+    kept = f"doc_id {id_sql}, tag long, n int, class binary, part long"
+    first = docs.mapInArrow(_classes_and_hashes(k, id_type, bits, count), f"{kept}, packed binary").repartition("part").sortWithinPartitions("part")
+    first = stored(first.mapInArrow(_counted_chunks(id_type, bits // len(sketch)), f"{kept}, repeated binary, levels binary"))
     sized = first.filter("class IS NOT NULL").select("doc_id", "tag", "n", "class")
-    sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
-    for row in first.filter("counts IS NOT NULL").select("chunk", "counts").repartition("chunk").mapInArrow(_add_counts, "chunk int, counts binary").toLocalIterator():
-        sketch[row["chunk"] * CHUNK:(row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
-    order = Order(sketch, merged_bits(first.filter("once IS NOT NULL").select("chunk", "once", "twice"), bits, "twice"))
+    chunks = bits // CHUNK_BITS
+    for part, *packed in first.filter("class IS NULL").select("part", "repeated", "levels").toLocalIterator():
+        for whole, piece in zip((repeated, sketch), packed):
+            size = len(whole) // chunks
+            whole[part * size:(part + 1) * size] = np.frombuffer(zlib.decompress(piece), np.uint8)
+    order = Order(sketch, repeated)
     return docs, sized, spark.sparkContext.broadcast(order)
 
 

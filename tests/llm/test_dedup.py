@@ -153,6 +153,59 @@ def test_filter_chunks_tell_once_from_twice():
         assert once == slots.tolist() and twice == slots[counts > 1].tolist() and chunks.rows() == []
 
 
+def counted_in_whole(hashes, bits, count, levels):
+    """The filter of repeated hashes and their levels, as two tasks and one merge give them."""
+    rows, repeated, sketch = {}, np.zeros(bits // 8, np.uint8), np.zeros(levels, np.uint8)
+    for part in np.array_split(hashes, 2):
+        task = bit_filter.Occurrences(bits, count)
+        for chunk, packed in [*task.add(part), *task.rows()]:
+            rows.setdefault(chunk, []).append(packed)
+    for chunk, packed in rows.items():
+        for whole, piece in zip((repeated, sketch), bit_filter.counted(packed, bits // levels)):
+            size = len(whole) * bit_filter.CHUNK_BITS // bits
+            whole[chunk * size:(chunk + 1) * size] = np.frombuffer(zlib.decompress(piece), np.uint8)
+    return repeated, sketch
+
+
+def test_filter_of_repeats_does_not_fill_up_with_hashes_that_occur_once():
+    """As at large inputs, there are more hashes than slots: those that occur once must still be told from the others."""
+    bits, rng = 1 << 20, np.random.default_rng(5)
+    once, often = rng.integers(0, 1 << 64, 3 << 20, dtype=np.uint64), rng.integers(0, 1 << 64, 1000, dtype=np.uint64)
+    repeated, sketch = counted_in_whole(np.concatenate([often, once, *[often] * 31]), bits, 3 << 20, bits >> 4)
+    assert bit_filter.contains(repeated, often).all()
+    assert bit_filter.contains(repeated, once).mean() < 0.1  # 0.95 where slots alone are compared
+    assert (jaccard_join.Order(sketch, repeated).sketch[(often % np.uint64(bits)).astype(np.int64) >> 4] >= 40).all()  # 32 times
+
+
+def test_packed_keys_are_read_back():
+    for keys in ([], [0], [0, 0, 7, 7, 7, 1 << 20, (1 << 32) - 1]):
+        keys = np.array(keys, np.uint32)
+        assert bit_filter.unpacked_keys(bit_filter.packed_keys(keys)).tolist() == keys.tolist()
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_signatures_drop_members_without_a_link_and_no_link(percent):
+    """Sets go to a cell only for members that signatures leave: no link is lost, and sets that share little are not sent."""
+    rng, sets, family = np.random.default_rng(percent), [], []
+    for number in range(12):
+        base = rng.integers(0, 1 << 64, int(rng.integers(40, 700)), dtype=np.uint64)
+        for changed in (0, 0.02, 0.1, 0.4, 0.9):
+            new = base.copy()
+            new[:int(len(base) * changed)] = rng.integers(0, 1 << 64, int(len(base) * changed), dtype=np.uint64)
+            sets.append(np.unique(new[:len(new) - int(rng.integers(0, 5))]))
+            family.append(number)
+    n, pos, component = np.array([len(s) for s in sets]), np.zeros(len(sets), np.int64), np.arange(len(sets))
+    found = jaccard_join.possible_partners(n, pos, component, [jaccard_join.signature(s) for s in sets], percent)
+    overlap = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    linked = (100 * overlap >= percent * (n[:, None] + n[None, :] - overlap)) & ~np.eye(len(sets), dtype=bool)
+    assert found[linked.any(1)].all() and linked.any()
+    if percent >= 80:  # below, signatures of this size are too short to tell
+        assert not found[4::5].any()  # nine tenths changed
+        signatures, sides = [jaccard_join.signature(s) for s in sets], np.array(family) % 2
+        assert not jaccard_join.possible_partners(n, pos, component, signatures, percent, sides).any()  # links stay in a family
+        assert not jaccard_join.possible_partners(n, pos, np.array(family), signatures, percent).any()
+
+
 def test_chain_of_links_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     found = {r["node"]: r["component"] for r in components(edges).collect()}
