@@ -30,6 +30,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -582,11 +583,21 @@ def keep_one(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int =
     Rows without shingles all stay. Only the ids of the rows to drop are joined to the texts, by id
     and hash, so no component meets in one task. Rows equal in id and text stay or go together.
     """
-    if "near_tag" in df.columns:
-        raise ValueError("reserved column name: near_tag")
+    if clash := {"near_tag", "near_hit"} & set(df.columns):
+        raise ValueError(f"reserved column names: {sorted(clash)}")
     rows = linked_rows(df, text, doc_id, k, percent)
     winners = stored(rows.filter("n > 0").groupBy("component").agg(F.min(F.struct("doc_id", "tag")).alias("winner")).withColumnRenamed("component", "c"))
     losers = rows.join(winners, F.col("component") == F.col("c")).filter(F.struct("doc_id", "tag") > F.col("winner"))
     losers = stored(losers.select(F.col("doc_id").alias("l_id"), F.col("tag").alias("l_tag")))
+    # a filter of their ids lets nearly all other rows by, so that no text is shuffled but those of rows that may go
+    key, bits = F.xxhash64("l_id", "l_tag"), bits_for(losers.count(), per_hash=128)
+    wanted = df.sparkSession.sparkContext.broadcast(merged_bits(losers.select(key).mapInArrow(chunk_rows(bits, _keys), CHUNK_SCHEMA), bits, "once"))
+
+    @F.pandas_udf("boolean")
+    def among(keys: pd.Series) -> pd.Series:
+        return pd.Series(contains(wanted.value, keys.to_numpy().view(_U)))
+
     tagged = df.withColumn("near_tag", F.xxhash64(text))
-    return tagged.join(losers, tagged[doc_id].eqNullSafe(losers["l_id"]) & (tagged["near_tag"] == losers["l_tag"]), "left_anti").drop("near_tag")
+    tagged = tagged.withColumn("near_hit", among(F.xxhash64(doc_id, "near_tag")))
+    stay = tagged.filter("near_hit").join(losers, tagged[doc_id].eqNullSafe(losers["l_id"]) & (tagged["near_tag"] == losers["l_tag"]), "left_anti")
+    return tagged.filter("NOT near_hit").unionByName(stay).drop("near_tag", "near_hit")

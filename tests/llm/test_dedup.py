@@ -206,6 +206,16 @@ def test_signatures_drop_members_without_a_link_and_no_link(percent):
         assert not jaccard_join.possible_partners(n, pos, np.array(family), signatures, percent).any()
 
 
+def test_no_text_is_shuffled_for_the_last_step(docs):
+    """However many ids go, only the texts of rows whose id passes the filter meet them."""
+    frame = docs([(i, f"a{i} b c d e f g h{i}") for i in range(500)] + [(1000, "a7 b c d e f g h7"), (None, "a8 b c d e f g h8")])
+    kept = jaccard_join.keep_one(frame)
+    lines = kept._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joined = next(i for i, line in enumerate(lines) if "Join LeftAnti" in line)
+    assert any("Filter" in line and "pythonUDF" in line for line in lines[joined + 1:joined + 4])
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == sorted([i for i in range(500) if i != 8] + [0])
+
+
 def test_chain_of_links_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     found = {r["node"]: r["component"] for r in components(edges).collect()}
