@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import contextlib
 import io
+import os
+import time
 
-from emberlog import rules
+import pytest
+
+from emberlog import rules, session
 from emberlog.plans import gold_wipes, pipeline, publish, silver, views
 from emberlog.sources import sinks
 from emberlog.workload import q_gold, q_quality
@@ -93,3 +97,60 @@ def test_discipline_inputs_are_read_once(spark, monkeypatch):
     scored = gold_wipes.wipe_survival_discipline(None, survival, None, roster, None)
     assert "Range" not in explained(scored)
     assert scored.count() == 2 * len(gold_wipes.DISCIPLINE_SETS)
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    """A job of many steps must not hold the shuffles of all of them."""
+    def files():
+        return spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    before = files()
+    table = session.stored(spark.range(1000).repartition(7))
+    until = time.time() + 20
+    while files() > before and time.time() < until:
+        time.sleep(0.2)
+    assert files() <= before and table.count() == 1000
+    assert spark.conf.get(session.FREE_SHUFFLES, None) != "true"
+
+
+def test_discarded_tables_leave_no_files(spark):
+    with session.collected() as made:
+        table = session.stored(spark.range(5))
+    path = table.stored_path.removeprefix("file:")
+    assert made == [table] and os.path.isdir(path)
+    session.discard(table, table, spark.range(1))
+    assert not os.path.exists(path)
+
+
+def test_tables_go_after_their_last_reader(spark):
+    made = []
+
+    def build(*inputs):
+        made.append(len(inputs))
+        return session.stored(inputs[0]) if inputs else spark.range(3)  # a step of its own
+
+    t = pipeline.Catalog(store=("base", "left", "right", "top"))
+    t.builds = {"base": (build, ()), "left": (build, ("base",)), "right": (build, ("base", "left")), "top": (build, ("right", "right"))}
+    t.only_for(["left", "top", "top"])
+    folder = {n: t[n].stored_path.removeprefix("file:") for n in ("base", "left")}
+    assert all(map(os.path.isdir, folder.values()))
+    t.release("left")
+    folder["right"] = t["right"].stored_path.removeprefix("file:")
+    assert "base" not in t and "left" not in t and not os.path.exists(folder["base"]) and not os.path.exists(folder["left"])
+    assert t["top"].count() == 3 and not os.path.exists(folder["right"])
+    t.release("top")
+    assert t["top"].count() == 3 and len(made) == 4
+    t.release("top")
+    assert "top" not in t
+    with pytest.raises(ValueError, match="not stored"):
+        pipeline.Catalog().only_for(["gold_raid_team"])
+
+
+def test_text_is_counted_slice_by_slice(spark, tmp_path, monkeypatch):
+    sizes, real = [], publish.write_json
+    monkeypatch.setattr(publish, "write_json", lambda df, path: (real(df, path), sizes.append(publish.files.byte_count(spark, path))))
+    table = session.stored(spark.range(3000).selectExpr("id", "md5(CAST(id AS STRING)) AS text").repartition(6))
+    whole = publish.dataset_sizes({"a": table}).first()["byte_size"]
+    assert publish.written_bytes(table, f"{tmp_path}/a", 1) + 1 == whole
+    assert len(sizes) == 6 and max(sizes) < whole / 3 and not os.path.exists(f"{tmp_path}/a")
+    assert publish.written_bytes(table, f"{tmp_path}/b") + 1 == whole and len(sizes) == 7
