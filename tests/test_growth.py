@@ -154,3 +154,14 @@ def test_text_is_counted_slice_by_slice(spark, tmp_path, monkeypatch):
     assert publish.written_bytes(table, f"{tmp_path}/a", 1) + 1 == whole
     assert len(sizes) == 6 and max(sizes) < whole / 3 and not os.path.exists(f"{tmp_path}/a")
     assert publish.written_bytes(table, f"{tmp_path}/b") + 1 == whole and len(sizes) == 7
+
+
+def test_publish_releases_a_table_after_its_dataset(spark, tmp_path, monkeypatch):
+    released, at = [], []
+    monkeypatch.setattr(publish, "DATASETS", {"a": ("one", lambda df: df), "b": ("two", lambda df: df)})
+    monkeypatch.setattr(publish, "REQUIRED", {})
+    real = publish.write_json
+    monkeypatch.setattr(publish, "write_json", lambda df, path: (real(df, path), at.append(list(released))))
+    listed = publish.publish(spark, {"one": spark.range(3), "two": spark.range(4)}, str(tmp_path), "s1", "t", ("a", "b"), release=released.append)
+    assert released == ["one", "two"] and at == [[], ["one"]]
+    assert {r["dataset"]: r["row_count"] for r in listed.collect()} == {"a": 3, "b": 4}
